@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("jaccard", "mixing", "secrets", "sharding")
+MODULES = ("jaccard", "decontaminate", "mixing", "secrets", "sharding")
 
 
 def queries() -> dict:
