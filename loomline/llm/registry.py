@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("jaccard", "decontaminate", "mixing", "quality", "secrets", "sharding")
+MODULES = ("jaccard", "decontaminate", "mixing", "quality", "secrets", "sharding", "neighbours")
 
 
 def queries() -> dict:
