@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("jaccard", "decontaminate", "mixing", "quality", "language_model", "secrets", "sharding", "neighbours")
+MODULES = ("jaccard", "decontaminate", "mixing", "pages", "quality", "language_model", "secrets", "sharding", "neighbours")
 
 
 def queries() -> dict:
