@@ -48,8 +48,9 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share
         .withColumn("left", F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0)))
         .withColumn("pool", F.sum("source_size").over(everything) * F.lit(float(share)))
         .withColumn("level", (F.col("pool") - F.col("done")) / F.col("left"))
-        # The level is the first at which the next source does not reach its cap.
-        .withColumn("level", F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(everything))
+        # The level is the first at which the next source does not reach its cap, which is
+        # the largest of those; beyond it they fall.
+        .withColumn("level", F.max(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(everything))
     )
     target = F.when(F.col("level").isNull() | (F.col("cap") <= F.col("level") * F.col("w")), F.col("cap").cast("double"))
     return levels.select("source", "source_size", target.otherwise(F.col("level") * F.col("w")).alias("target"))
@@ -86,6 +87,18 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", last.alias("last"))
 
 
+def _planned(docs: DataFrame, weights: tuple[int, ...], share: float, most: int) -> tuple[DataFrame, DataFrame]:
+    """(sizes of docs, a row per source: _source, source_size, target, _passes, _last)."""
+    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), doc_hash(F.col("doc_id")).alias("h"))
+    sizes = written(sizes, "mix-sizes")
+    targets = written(source_targets(sizes, weights, share, most), "mix-targets")
+    last = thresholds(sizes, targets)
+    per = targets.alias("t").join(last.alias("l"), F.expr("t.source <=> l.source"), "left")
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    per = per.select(F.col("t.source").alias("_source"), "source_size", "target", passes.alias("_passes"), F.col("last").alias("_last"))
+    return sizes, written(per, "mix-plan")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
     """One row per row of docs (doc_id, text, source): doc_id, size, source_size, target, taken.
 
@@ -94,26 +107,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     are taken or left together. An empty table gives an empty one. Other columns of docs
     play no part. It runs on DataFrame functions alone.
     """
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), doc_hash(F.col("doc_id")).alias("h"))
-    sizes = written(sizes, "mix-sizes")
-    targets = written(source_targets(sizes, weights, share, most), "mix-targets")
-    last = thresholds(sizes, targets)
-    per = targets.alias("t").join(last.alias("l"), F.expr("t.source <=> l.source"), "left")
-    per = written(per.select(F.col("t.source").alias("s"), "source_size", "target", "last"), "mix-plan")
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    more = F.when(F.col("h") <= F.col("last"), 1).otherwise(0)
-    out = sizes.join(small(per), F.col("source").eqNullSafe(F.col("s")))
-    taken = F.least(F.col("size") * (passes + more), F.col("size") * most)
-    return out.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    sizes, per = _planned(docs, weights, share, most)
+    out = sizes.join(small(per), F.col("source").eqNullSafe(F.col("_source")))
+    times = F.least(F.col("_passes") + F.when(F.col("h") <= F.col("_last"), 1).otherwise(0), F.lit(most))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
 
 
-def apply_mix(docs: DataFrame, **how) -> DataFrame:
-    """docs with each row as often as the mix takes it (0 to `most` times); rows without words go."""
-    columns = docs.columns
-    per = mix(docs, **how).filter("size > 0").groupBy("doc_id").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    hit = docs.alias("d").join(per.withColumnRenamed("doc_id", "_id"), F.col("d.doc_id") == F.col("_id"))
-    copies = hit.filter("_times > 0").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times"))))
-    return copies.select(*(F.col(f"d.`{c}`") for c in columns))
+def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
+    """docs with each row as often as the mix takes it, 0 to `most` times; rows without words go.
+
+    The columns stay as they are. A row's number follows from its id and source, so texts
+    are not shuffled.
+    """
+    columns = [F.col(f"d.`{c}`") for c in docs.columns]
+    _, per = _planned(docs, weights, share, most)
+    more = F.when(doc_hash(F.col("d.doc_id")) <= F.col("p._last"), 1).otherwise(0)
+    times = F.when(word_count(F.col("d.text")) > 0, F.least(F.col("p._passes") + more, F.lit(most))).otherwise(0)
+    hit = docs.alias("d").join(small(per).alias("p"), F.col("d.source").eqNullSafe(F.col("p._source")))
+    row = hit.select(F.struct(*columns).alias("row"), times.cast("int").alias("times"))
+    return row.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("row.*")
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +153,7 @@ WITH sizes AS (
              - coalesce(sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS own
   FROM caps
 ), lev AS (
-  SELECT *, min(CASE WHEN own * w <= cap THEN own END) OVER () AS level FROM levels
+  SELECT *, max(CASE WHEN own * w <= cap THEN own END) OVER () AS level FROM levels
 ), targets AS (
   SELECT source, source_size,
          CASE WHEN level IS NULL OR cap <= level * w THEN CAST(cap AS DOUBLE) ELSE level * w END AS target
