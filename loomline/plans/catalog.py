@@ -2,5 +2,581 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomline.eventlog import EventLog, with_sentinels
+from loomline.functions import scalar
+from loomline.operators import cluster, factors, happypath, insights, metrics, outliers, quality, series
+from loomline.sources import io
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+DIGITS = 4
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf_dir: str) -> EventLog:
+    return EventLog(table(spark, sf_dir, "events"), "user_id", "event_type", "ts", tiebreak=("event_id",))
+
+
+def lines(spark: SparkSession, sf_dir: str) -> EventLog:
+    tie = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    return EventLog(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_returnflag", "l_shipdate", user="l_suppkey", tiebreak=tie)
+
+
+def orders(spark: SparkSession, sf_dir: str) -> EventLog:
+    return EventLog(table(spark, sf_dir, "orders"), "o_custkey", "o_orderstatus", "o_orderdate", tiebreak=("o_orderkey",))
+
+
+def talks(spark: SparkSession, sf_dir: str) -> EventLog:
+    return EventLog(table(spark, sf_dir, "conversations"), "conv_id", "role", text="text", tiebreak=("turn",))
+
+
+def _log(name: str, case: str, activity: str, order: str, ts: str | None, user: str = "NULL") -> str:
+    time = f"{ts} AS ts, date_diff('microsecond', {ts}, lead({ts}) OVER w) AS duration_us" if ts else "NULL::TIMESTAMP AS ts, NULL::BIGINT AS duration_us"
+    return f"log AS (SELECT {case} AS case_id, {activity} AS activity, {time}, {user} AS usr, lead({activity}) OVER w AS next_activity, row_number() OVER w AS activity_num FROM {name} WINDOW w AS (PARTITION BY {case} ORDER BY {order}))"
+
+
+EVENTS = _log("events", "user_id", "event_type", "ts, event_id", "ts")
+LINES = _log("lineitem", "l_orderkey", "l_returnflag", "l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice", "l_shipdate", "l_suppkey")
+ORDERS = _log("orders", "o_custkey", "o_orderstatus", "o_orderdate, o_orderkey", "o_orderdate")
+TALKS = _log("conversations", "conv_id", "role", "turn", None)
+
+_TIME = ", ".join(
+    f"round({e}, {DIGITS}) AS {n}"
+    for n, e in {
+        "total_duration": "coalesce(sum(duration_us), 0) / 3.6e9",
+        "mean_duration": "avg(duration_us) / 3.6e9",
+        "median_duration": "median(duration_us) / 3.6e9",
+        "max_duration": "max(duration_us) / 3.6e9",
+        "min_duration": "min(duration_us) / 3.6e9",
+        "variance_duration": "var_pop(duration_us / 1e6) / 3600",
+        "std_duration": "stddev_pop(duration_us / 1e6) / 3600",
+    }.items()
+)
+#: Durations in lineitem are of years, so a variance has fewer meaningful digits.
+_TIME_LONG = _TIME.replace(f"3600, {DIGITS}) AS variance", "3600, -3) AS variance")
+_CASES = f"count(activity) AS count, count(DISTINCT case_id) AS unique_ids_num, round(count(activity) / count(DISTINCT case_id), {DIGITS}) AS aver_count_in_trace, round((1 - count(DISTINCT case_id) / count(activity)) * 100, {DIGITS}) AS loop_percent, round(count(activity) / nullif(coalesce(sum(duration_us), 0) / 3.6e9, 0), {DIGITS}) AS throughput"
+
+
+def _long(df: DataFrame) -> DataFrame:
+    return df.withColumn("variance_duration", F.round("variance_duration", -3))
+
+
+def query(name: str, sql: str | None = None):
+    """Registers a function of (spark, sf_dir) under a name, with the SQL that gives its rows."""
+
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLE[name] = sql
+        return f
+
+    return add
+
+
+# Metric families.
+
+
+@query("activity_metrics", f"WITH {EVENTS} SELECT activity, {_CASES}, {_TIME} FROM log WHERE activity IS NOT NULL GROUP BY activity")
+def _(spark, d):
+    return metrics.ActivityMetrics(events(spark, d), digits=DIGITS).apply()
+
+
+@query("activity_metrics_users", f"WITH {LINES} SELECT activity, {_CASES}, count(DISTINCT usr) AS unique_users_num, {_TIME_LONG} FROM log WHERE activity IS NOT NULL GROUP BY activity")
+def _(spark, d):
+    return _long(metrics.ActivityMetrics(lines(spark, d), digits=DIGITS).apply())
+
+
+@query("activity_time_metrics", f"WITH {EVENTS} SELECT activity, round(avg(duration_us) / 6e7, 4) AS mean_duration, round(median(duration_us) / 6e7, 4) AS median_duration FROM log GROUP BY activity")
+def _(spark, d):
+    return metrics.ActivityMetrics(events(spark, d), unit="m", digits=4).calc("mean_duration", "median_duration")
+
+
+@query("activity_case_sets", "SELECT event_type AS activity, array_to_string(list_sort(list(DISTINCT user_id)), ',') AS unique_ids FROM events GROUP BY 1")
+def _(spark, d):
+    out = metrics.ActivityMetrics(events(spark, d)).calc("unique_ids")
+    return out.select("activity", F.array_join(F.col("unique_ids").cast("array<string>"), ",").alias("unique_ids"))
+
+
+@query("transition_metrics", f"WITH {EVENTS} SELECT activity, next_activity, {_CASES}, {_TIME} FROM log WHERE activity IS NOT NULL AND next_activity IS NOT NULL GROUP BY ALL")
+def _(spark, d):
+    return metrics.TransitionMetrics(events(spark, d), digits=DIGITS).apply()
+
+
+@query("transition_metrics_users", f"WITH {LINES} SELECT activity, next_activity, {_CASES}, count(DISTINCT usr) AS unique_users_num, {_TIME_LONG} FROM log WHERE activity IS NOT NULL AND next_activity IS NOT NULL GROUP BY ALL")
+def _(spark, d):
+    return _long(metrics.TransitionMetrics(lines(spark, d), digits=DIGITS).apply())
+
+
+_CASE_SQL = f"string_agg(activity, '>' ORDER BY activity_num) AS trace, count(activity) AS trace_length, count(DISTINCT activity) AS unique_activities_num, round((1 - count(DISTINCT activity) / count(activity)) * 100, {DIGITS}) AS loop_percent"
+
+
+@query("case_metrics", f"WITH {EVENTS} SELECT case_id, {_CASE_SQL}, {_TIME} FROM log GROUP BY case_id")
+def _(spark, d):
+    return metrics.CaseMetrics(events(spark, d), digits=DIGITS).apply().withColumn("trace", F.array_join("trace", ">"))
+
+
+@query("case_metrics_users", f"WITH {LINES} SELECT case_id, {_CASE_SQL}, count(DISTINCT usr) AS unique_users_num, {_TIME_LONG} FROM log GROUP BY case_id")
+def _(spark, d):
+    return _long(metrics.CaseMetrics(lines(spark, d), digits=DIGITS).apply()).withColumn("trace", F.array_join("trace", ">"))
+
+
+@query("user_metrics", f"WITH {LINES} SELECT usr AS user, count(usr) AS count, count(DISTINCT activity) AS unique_activities_num, count(DISTINCT case_id) AS unique_ids_num, round(count(usr) / nullif(coalesce(sum(duration_us), 0) / 3.6e9, 0), 4) AS throughput, round(count(usr) / sum(count(usr)) OVER (), 4) AS workload, {_TIME_LONG} FROM log WHERE usr IS NOT NULL GROUP BY usr")
+def _(spark, d):
+    return _long(metrics.UserMetrics(lines(spark, d), digits=DIGITS).apply())
+
+
+_VARIANT = "c AS (SELECT case_id, string_agg(activity, '>' ORDER BY activity_num) AS trace, count(activity) AS trace_length, count(DISTINCT activity) AS kinds, coalesce(sum(duration_us), 0) AS duration_us FROM log GROUP BY case_id)"
+_VARIANT_SQL = f"trace, count(*) AS count, max(trace_length) AS trace_length, max(kinds) AS unique_activities_num, round((1 - max(kinds) / max(trace_length)) * 100, {DIGITS}) AS loop_percent, {_TIME_LONG}"
+
+
+@query("variant_metrics", f"WITH {LINES}, {_VARIANT} SELECT {_VARIANT_SQL} FROM c GROUP BY trace")
+def _(spark, d):
+    out = _long(metrics.VariantMetrics(lines(spark, d), digits=DIGITS).apply()).drop("unique_users_num")
+    return out.withColumn("trace", F.array_join("trace", ">"))
+
+
+@query("variant_cases", f"WITH {TALKS}, {_VARIANT} SELECT trace, count(*) AS count, string_agg(case_id, ',' ORDER BY case_id) AS ids FROM c GROUP BY trace")
+def _(spark, d):
+    out = metrics.VariantMetrics(talks(spark, d)).calc("count", "ids")
+    return out.select(F.array_join("trace", ">").alias("trace"), "count", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
+_HIT = "hit AS (SELECT *, max(CASE WHEN activity IN ({}) THEN 1 ELSE 0 END) OVER (PARTITION BY case_id) AS h FROM {})"
+
+
+@query("activity_success_rate", f"WITH {LINES}, {_HIT.format("'R'", 'log')} SELECT activity, round(count(DISTINCT CASE WHEN h = 1 THEN case_id END) / count(DISTINCT case_id), 4) AS success_rate FROM hit GROUP BY activity")
+def _(spark, d):
+    return metrics.ActivityMetrics(lines(spark, d), digits=4).success_rate(["R"])
+
+
+@query("transition_failure_rate", f"WITH {LINES}, steps AS (SELECT * FROM log WHERE next_activity IS NOT NULL), {_HIT.format("'A'", 'steps')} SELECT activity, next_activity, round(count(DISTINCT CASE WHEN h = 1 THEN case_id END) / count(DISTINCT case_id), 4) AS failure_rate FROM hit GROUP BY ALL")
+def _(spark, d):
+    return metrics.TransitionMetrics(lines(spark, d), digits=4).failure_rate(["A"])
+
+
+@query("user_inclusion_rate", f"WITH {LINES}, {_HIT.format("'N'", 'log')} SELECT usr AS user, round(count(DISTINCT CASE WHEN h = 1 THEN case_id END) / count(DISTINCT case_id), 4) AS inclusion_rate FROM hit GROUP BY usr")
+def _(spark, d):
+    return metrics.UserMetrics(lines(spark, d), digits=4).inclusion_rate(["N"])
+
+
+@query("variant_inclusion_rate", f"WITH {TALKS}, {_VARIANT} SELECT trace, CASE WHEN list_contains(string_split(trace, '>'), 'system') THEN 1.0 ELSE 0.0 END::DOUBLE AS inclusion_rate FROM c GROUP BY trace")
+def _(spark, d):
+    return metrics.VariantMetrics(talks(spark, d)).inclusion_rate(["system"]).withColumn("trace", F.array_join("trace", ">"))
+
+
+@query("virtual_metrics", f"WITH {LINES}, c AS (SELECT case_id, count(activity) AS n, count(DISTINCT activity) AS k, count(next_activity) AS s, string_agg(activity, '>' ORDER BY activity_num) AS t FROM log GROUP BY 1) SELECT count(*) AS case_count, sum(n)::BIGINT AS activity_count, sum(s)::BIGINT AS transition_count, count(DISTINCT t) AS variant_count, sum(n - k)::BIGINT AS rework_count, round(sum(n - k) / sum(n) * 100, 4) AS activity_cycle_percent FROM c")
+def _(spark, d):
+    return metrics.virtual_metrics(lines(spark, d)).withColumn("activity_cycle_percent", F.round("activity_cycle_percent", 4))
+
+
+# Derived fields.
+
+
+@query(
+    "enriched_log",
+    f"""WITH {EVENTS}, x AS (SELECT e.event_id, l.* FROM events e JOIN log l ON e.user_id = l.case_id AND e.ts = l.ts),
+    v AS (SELECT case_id, count(*) AS activity_cnt, count(DISTINCT activity) AS activity_cnt_unique, count(next_activity) AS transition_cnt,
+          count(DISTINCT CASE WHEN next_activity IS NOT NULL THEN activity || '>' || next_activity END) AS transition_cnt_unique,
+          date_diff('microsecond', min(ts), max(ts)) AS case_duration_us, md5(string_agg(activity, '>' ORDER BY activity_num)) AS variant FROM log GROUP BY case_id)
+    SELECT x.event_id, activity_num, next_activity, duration_us, activity_num = 1 AS is_first, next_activity IS NULL AS is_last,
+           row_number() OVER (PARTITION BY x.case_id, activity ORDER BY activity_num) - 1 AS rework_num, v.* EXCLUDE (case_id)
+    FROM x JOIN v USING (case_id)""",
+)
+def _(spark, d):
+    out = events(spark, d).enriched().withColumn("variant", F.md5("variant"))
+    return out.select("event_id", "activity_num", "next_activity", "duration_us", "is_first", "is_last", "rework_num", "activity_cnt", "activity_cnt_unique", "transition_cnt", "transition_cnt_unique", "case_duration_us", "variant")
+
+
+@query("rework_flags", f"WITH {LINES}, r AS (SELECT activity, row_number() OVER (PARTITION BY case_id, activity ORDER BY activity_num) > 1 AS is_rework FROM log) SELECT activity, count(*) AS n, count(*) FILTER (is_rework) AS rework FROM r GROUP BY activity")
+def _(spark, d):
+    return lines(spark, d).enriched().groupBy(F.col("l_returnflag").alias("activity")).agg(F.count("*").alias("n"), F.count_if("is_rework").alias("rework"))
+
+
+@query("sentinel_events", f"WITH {ORDERS} SELECT case_id, activity, coalesce(duration_us, 0) AS duration_us, activity_num AS pos FROM log UNION ALL SELECT case_id, 'start', 0, 0 FROM log GROUP BY case_id UNION ALL SELECT case_id, 'end', 0, max(activity_num) + 1 FROM log GROUP BY case_id")
+def _(spark, d):
+    return with_sentinels(orders(spark, d))
+
+
+# Outliers.
+
+
+def _numbered(spark, d) -> DataFrame:
+    """lineitem with the number of each line in its order, and the customer-free sections it has."""
+    log = lines(spark, d)
+    return log.df.select("l_orderkey", "l_returnflag", "l_linestatus", "l_extendedprice", F.row_number().over(log.within_case()).alias("num"))
+
+
+_NUM = "x AS (SELECT l_orderkey, l_returnflag, l_linestatus, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)::INT AS num FROM lineitem)"
+_AT = "list_sort(list({v}))[least(floor({p} * count({v})), count({v}) - 1)::BIGINT + 1]"
+
+
+def _exact(p: float, v: str = "l_extendedprice") -> str:
+    return _AT.format(v=v, p=p)
+
+
+@query("outliers_quantile_activity", f"WITH {_NUM}, b AS (SELECT l_returnflag, l_linestatus, {_exact(0.05)} AS lo, {_exact(0.95)} AS hi, count(*) AS n FROM x GROUP BY 1, 2) SELECT DISTINCT l_orderkey AS case_id, num AS activity_num FROM x JOIN b USING (l_returnflag, l_linestatus) WHERE CASE WHEN l_extendedprice BETWEEN lo AND hi OR n < 30 THEN 0 ELSE 1 END = 1")
+def _(spark, d):
+    return outliers.detect("default", _numbered(spark, d), "l_orderkey", "num", "l_returnflag", "l_extendedprice", ["l_linestatus"])
+
+
+@query("outliers_quantile_manual_cases", f"WITH {_NUM}, b AS (SELECT l_returnflag, {_exact(0.2)} AS lo, {_exact(0.8)} AS hi, count(*) AS n FROM x GROUP BY 1) SELECT DISTINCT l_orderkey AS case_id, 0 AS activity_num FROM x JOIN b USING (l_returnflag) WHERE CASE WHEN l_extendedprice BETWEEN lo AND hi OR n < 40 THEN 0 ELSE 1 END = 1")
+def _(spark, d):
+    return outliers.quantile_activity(_numbered(spark, d), "l_orderkey", "num", "l_returnflag", "l_extendedprice", detector=outliers.Detector(0.2, 0.8, 40), whole_process=True)
+
+
+@query("outliers_iqr_activity", f"WITH {_NUM}, b AS (SELECT l_returnflag, {_exact(0.25)} AS q1, {_exact(0.75)} AS q3, count(*) AS n FROM x GROUP BY 1) SELECT DISTINCT l_orderkey AS case_id, num AS activity_num FROM x JOIN b USING (l_returnflag) WHERE CASE WHEN l_extendedprice BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5 OR n < 30 THEN 0 ELSE 1 END = 1")
+def _(spark, d):
+    return outliers.detect("iqr", _numbered(spark, d), "l_orderkey", "num", "l_returnflag", "l_extendedprice")
+
+
+_CASE_ROWS = "x AS (SELECT DISTINCT o_custkey, o_totalprice, o_orderpriority FROM orders)"
+
+
+@query("outliers_quantile_case", f"WITH {_CASE_ROWS}, b AS (SELECT o_orderpriority, {_exact(0.05, 'o_totalprice')} AS lo, {_exact(0.95, 'o_totalprice')} AS hi, count(DISTINCT o_custkey) AS n FROM x GROUP BY 1) SELECT DISTINCT o_custkey AS case_id, 0 AS activity_num FROM x JOIN b USING (o_orderpriority) WHERE NOT (o_totalprice BETWEEN lo AND hi OR n < 30)")
+def _(spark, d):
+    return outliers.quantile_case(table(spark, d, "orders"), "o_custkey", "o_totalprice", ["o_orderpriority"])
+
+
+@query("outliers_iqr_case", f"WITH {_CASE_ROWS}, b AS (SELECT o_orderpriority, {_exact(0.25, 'o_totalprice')} AS q1, {_exact(0.75, 'o_totalprice')} AS q3, count(DISTINCT o_custkey) AS n FROM x GROUP BY 1) SELECT DISTINCT o_custkey AS case_id, 0 AS activity_num FROM x JOIN b USING (o_orderpriority) WHERE NOT (o_totalprice BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5 OR n < 30)")
+def _(spark, d):
+    return outliers.iqr_case(table(spark, d, "orders"), "o_custkey", "o_totalprice", ["o_orderpriority"])
+
+
+@query("outliers_batch", f"WITH {_NUM}, b AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.05) AS lo, quantile_cont(l_extendedprice, 0.95) AS hi, count(DISTINCT l_orderkey) AS n FROM x GROUP BY 1) SELECT DISTINCT l_orderkey AS case_id, num AS activity_num FROM x JOIN b USING (l_returnflag) WHERE NOT (l_extendedprice BETWEEN lo AND hi OR n < 15)")
+def _(spark, d):
+    return outliers.quantile_interpolated(_numbered(spark, d), "l_orderkey", "num", "l_returnflag", "l_extendedprice", detector=outliers.Detector(0.05, 0.95, 15))
+
+
+_CENTS = "x AS (SELECT event_id, user_id, event_type, round(value * 100)::BIGINT AS cents FROM events)"
+_NOISE = "n1 AS (SELECT *, count(*) OVER (PARTITION BY event_type ORDER BY cents RANGE BETWEEN 10 PRECEDING AND 10 FOLLOWING) >= 9 AS core FROM x), n2 AS (SELECT *, count(*) FILTER (core) OVER (PARTITION BY event_type ORDER BY cents RANGE BETWEEN 10 PRECEDING AND 10 FOLLOWING) AS cores FROM n1)"
+
+
+def _cents(spark, d) -> DataFrame:
+    return table(spark, d, "events").select("event_id", "user_id", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"))
+
+
+@query("outliers_density", f"WITH {_CENTS}, {_NOISE} SELECT event_id, event_type, cents FROM n2 WHERE cores = 0")
+def _(spark, d):
+    return outliers.density_noise(_cents(spark, d), "cents", 10, 9, ["event_type"]).select("event_id", "event_type", "cents")
+
+
+@query(
+    "outliers_ensemble",
+    f"""WITH x AS (SELECT DISTINCT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)::INT AS num, round(value * 100)::BIGINT AS cents, 1 AS event_type FROM events), {_NOISE},
+    e AS (SELECT {_exact(0.3, 'abs(cents)')} AS edge FROM x)
+    SELECT DISTINCT user_id AS case_id, num AS activity_num FROM n2, e WHERE cores = 0 OR abs(cents) < edge""",
+)
+def _(spark, d):
+    log = events(spark, d)
+    rows = log.df.select("user_id", F.row_number().over(log.within_case()).cast("int").alias("num"), F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return outliers.ensemble(rows, "user_id", "num", "cents", 10)
+
+
+# Insights.
+
+
+@query("mean_median_ratio", f"WITH {EVENTS} SELECT activity, round(coalesce(avg(duration_us) / nullif(median(duration_us), 0), 1), 4) AS mean_median_ratio FROM log GROUP BY activity")
+def _(spark, d):
+    return insights.mean_median_ratio(events(spark, d)).withColumn("mean_median_ratio", F.round("mean_median_ratio", 4))
+
+
+_BISECT = "s AS (SELECT min(ts) AS a, date_diff('microsecond', min(ts), max(ts)) AS us FROM log), r AS (SELECT activity, round(coalesce(avg(duration_us) FILTER (date_diff('microsecond', a, ts) * 2 > us) / nullif(avg(duration_us) FILTER (date_diff('microsecond', a, ts) * 2 <= us), 0), 1), 4) AS bisect_ratio FROM log, s GROUP BY activity)"
+
+
+@query("bisect_ratio", f"WITH {EVENTS}, {_BISECT} SELECT * FROM r")
+def _(spark, d):
+    return insights.bisect_ratio(events(spark, d)).withColumn("bisect_ratio", F.round("bisect_ratio", 4))
+
+
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+@query("pivot_appearance", f"SELECT user_id AS case_id, {', '.join(f"count(*) FILTER (event_type = '{k}') AS {k}" for k in _KINDS)} FROM events GROUP BY 1")
+def _(spark, d):
+    return insights.pivot(events(spark, d), "appearance")
+
+
+@query("pivot_recycles", f"SELECT user_id AS case_id, {', '.join(f"greatest(count(*) FILTER (event_type = '{k}') - 1, 0) AS {k}" for k in _KINDS)} FROM events GROUP BY 1")
+def _(spark, d):
+    return insights.pivot(events(spark, d), "recycles")
+
+
+@query("pivot_time", f"WITH {EVENTS} SELECT case_id, {', '.join(f"round(ln(1 + coalesce(sum(coalesce(duration_us, 0) / 1e6) FILTER (activity = '{k}'), 0)), 4) AS {k}" for k in _KINDS)} FROM log GROUP BY 1")
+def _(spark, d):
+    out = insights.pivot(events(spark, d), "time")
+    return out.select("case_id", *(F.round(c, 4).alias(c) for c in out.columns[1:]))
+
+
+@query("pivot_user_metric", f"SELECT user_id AS case_id, {', '.join(f"round(coalesce(sum(value) FILTER (event_type = '{k}'), 0), 3) AS {k}" for k in _KINDS)} FROM events GROUP BY 1")
+def _(spark, d):
+    out = insights.pivot(events(spark, d), "user", metric="value")
+    return out.select("case_id", *(F.round(c, 3).alias(c) for c in out.columns[1:]))
+
+
+@query("duration_warnings", f"WITH {EVENTS} SELECT activity, CASE WHEN count(duration_us) = 0 THEN 'missing' WHEN max(abs(duration_us)) = 0 THEN 'zero' WHEN count(duration_us) < 2 THEN 'insufficient' ELSE 'ok' END AS warning FROM log GROUP BY activity")
+def _(spark, d):
+    return insights.duration_warnings(events(spark, d))
+
+
+_INSIGHT = f"{_BISECT}, i AS (SELECT activity, avg(duration_us) / 1e6 AS mean_time, count(*) / count(DISTINCT case_id) AS frequency, (1 - count(DISTINCT case_id) / count(*)) * 100 AS cycles, (count(*) - count(DISTINCT case_id)) / count(*) AS duplicates_rate, count(*) AS activities_num, coalesce(avg(duration_us) / nullif(median(duration_us), 0), 1) AS mean_median FROM log GROUP BY activity)"
+
+
+@query("insight_table", f"WITH {EVENTS}, {_INSIGHT} SELECT activity, round(mean_time, 3) AS mean_time, round(frequency, 4) AS frequency, round(cycles, 4) AS cycles, round(duplicates_rate, 4) AS duplicates_rate, activities_num, round(mean_median, 4) AS mean_median, bisect_ratio AS diff_time FROM i JOIN r USING (activity)")
+def _(spark, d):
+    digits = {"mean_time": 3, "frequency": 4, "cycles": 4, "duplicates_rate": 4, "mean_median": 4, "diff_time": 4}
+    return insights.insight_table(events(spark, d)).withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@query("insight_flags", f"WITH {EVENTS}, {_INSIGHT}, q AS (SELECT quantile_cont(mean_time, 0.75) AS lim FROM i) SELECT activity, 'mean_time' AS metric, round(mean_time, 3) AS value, 'long stage' AS label FROM i, q WHERE mean_time > lim UNION ALL SELECT activity, 'cycles', round(cycles, 3), 'loops' FROM i WHERE cycles > 20 UNION ALL SELECT activity, 'mean_median', round(mean_median, 3), 'irregular duration' FROM i WHERE mean_median > 1.5 UNION ALL SELECT activity, 'diff_time', round(bisect_ratio, 3), 'growing duration' FROM r WHERE bisect_ratio > 1.1")
+def _(spark, d):
+    return insights.insight_flags(events(spark, d)).withColumn("value", F.round("value", 3))
+
+
+@query("feature_influence")
+def _(spark, d):
+    return factors.feature_influence(insights.pivot(events(spark, d), "appearance"), "case_id")
+
+
+@query("text_flags", "SELECT conv_id, turn, coalesce(regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])(error|the)([^\\p{L}\\p{N}_]|$)'), false) AS has_word FROM conversations")
+def _(spark, d):
+    out = insights.text_flags(talks(spark, d), ["error", "the"])
+    return out.select("conv_id", "turn", "has_word")
+
+
+# Sources and filters.
+
+
+@query("filtered_cases_semi", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 7)")
+def _(spark, d):
+    c = table(spark, d, "customer")
+    chosen = c.select(F.col("c_custkey").alias("_caseId"), F.lit(1).alias("_workspaceId"), F.col("c_nationkey").alias("_widgetId"), F.col("c_mktsegment").alias("_widgetType"))
+    rows = io.select_columns(table(spark, d, "orders"), ["o_orderkey", "o_custkey", "o_totalprice", "o_custkey"])
+    return io.filter_cases(rows, "o_custkey", chosen, 1, 7, "BUILDING").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("negative_case_anti", "SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE value < 0.5)")
+def _(spark, d):
+    e = table(spark, d, "events").withColumn("_shift", F.col("value") - 0.5)
+    return io.without_negative(e, "user_id", "_shift").select("event_id", "user_id")
+
+
+@query("sampled_rows", "SELECT event_id, event_type FROM events")
+def _(spark, d):
+    return io.sample_rows(table(spark, d, "events").select("event_id", "event_type"))
+
+
+@query("jsonl_export", """SELECT '{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS value FROM orders""")
+def _(spark, d):
+    return io.json_lines(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+
+
+@query("scalar_functions", "SELECT o_orderkey, replace(round(o_totalprice / 7, 2)::VARCHAR, '.', ',') AS comma, strftime(o_orderdate::DATE + INTERVAL 3 DAY, '%Y-%m-%d') AS later, regexp_replace(o_orderpriority, '[-0-9]', '', 'g') AS letters, o_orderstatus || '-' || o_orderpriority AS edge, date_trunc('day', o_orderdate + INTERVAL 12 HOUR)::DATE AS nearest FROM orders")
+def _(spark, d):
+    o = table(spark, d, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return o.select("o_orderkey", scalar.decimal_comma(F.col("o_totalprice") / 7, 2).alias("comma"), scalar.add_days(day, 3).alias("later"), scalar.letters_only(F.col("o_orderpriority")).alias("letters"), scalar.edge_label(F.col("o_orderstatus"), F.col("o_orderpriority")).alias("edge"), scalar.nearest_day(F.col("o_orderdate")).cast("date").alias("nearest"))
+
+
+# Series.
+
+_DENSE = """span AS (SELECT min(p) AS a, max(p) AS b FROM rows), days AS (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY))::DATE AS p FROM span),
+c AS (SELECT p, {keys}, count(*) AS n, avg(duration_us) / 1e6 AS m FROM rows GROUP BY ALL), spine AS (SELECT p, k.* FROM days, (SELECT DISTINCT {keys} FROM rows) k),
+dense AS (SELECT p, {keys}, coalesce(n, 0) AS n, coalesce(n / nullif(sum(n) OVER (PARTITION BY p), 0), 0) AS probability, coalesce(m, 0) AS m FROM spine LEFT JOIN c USING (p, {keys}))"""
+_NODES = f"{EVENTS}, rows AS (SELECT date_trunc('day', ts + INTERVAL 12 HOUR)::DATE AS p, * FROM log), {_DENSE.format(keys='activity')}"
+_EDGES = f"{EVENTS}, rows AS (SELECT date_trunc('day', ts + INTERVAL 12 HOUR)::DATE AS p, * FROM log WHERE next_activity IS NOT NULL), {_DENSE.format(keys='activity, next_activity')}"
+
+
+def _series(df: DataFrame) -> DataFrame:
+    return df.withColumn("probability", F.round("probability", 6)).withColumn("mean_duration_s", F.round("mean_duration_s", 3))
+
+
+@query("node_series", f"WITH {_NODES} SELECT p AS period, activity, n, round(probability, 6) AS probability, round(m, 3) AS mean_duration_s FROM dense")
+def _(spark, d):
+    return _series(series.node_series(events(spark, d)))
+
+
+@query("edge_series", f"WITH {_EDGES} SELECT p AS period, activity, next_activity, n, round(probability, 6) AS probability, round(m, 3) AS mean_duration_s FROM dense")
+def _(spark, d):
+    return _series(series.edge_series(events(spark, d)))
+
+
+_LAGS = ", ".join(f"lag(y, {i}) OVER w AS lag_{i}" for i in range(1, 8))
+_DIFFS = ", ".join(f"round(lag_1 - lag_{i}, 6) AS diff_{i}" for i in range(2, 8))
+
+
+@query("lag_features", f"WITH {_NODES}, l AS (SELECT activity, p AS period, probability AS y, row_number() OVER w AS nth, {_LAGS} FROM (SELECT activity, p, probability, probability AS y FROM dense) WINDOW w AS (PARTITION BY activity ORDER BY p)) SELECT activity, period, round(y, 6) AS y, {', '.join(f'round(lag_{i}, 6) AS lag_{i}' for i in range(1, 8))}, {_DIFFS}, month(period)::INT AS month, (nth - 7)::INT AS linear FROM l WHERE nth > 7")
+def _(spark, d):
+    out = series.lag_features(series.node_series(events(spark, d)), ["activity"])
+    return out.select(*(F.round(c, 6).alias(c) if c == "y" or c.startswith(("lag_", "diff_")) else c for c in out.columns))
+
+
+@query("chrono_split", f"WITH {_NODES}, s AS (SELECT activity, p AS period, count(*) OVER (PARTITION BY activity) AS c, row_number() OVER (PARTITION BY activity ORDER BY p) AS r FROM dense) SELECT activity, period, CASE WHEN r > c - greatest(floor(c * 0.1), 1) THEN 'test' WHEN r > c - 2 * greatest(floor(c * 0.1), 1) THEN 'validation' ELSE 'train' END AS part FROM s")
+def _(spark, d):
+    return series.chrono_split(series.node_series(events(spark, d)).select("activity", "period"), ["activity"])
+
+
+@query("forecast_nodes")
+def _(spark, d):
+    return series.forecast(series.node_series(events(spark, d)), ["activity"])
+
+
+@query("working_days", "WITH d AS (SELECT unnest(generate_series(DATE '2015-01-01', DATE '2025-12-31', INTERVAL 1 DAY))::DATE AS d), m AS (SELECT date_trunc('month', d)::DATE AS period, count(*) AS month_days FROM d WHERE isodow(d) < 6 GROUP BY 1) SELECT period, month_days, sum(month_days) OVER (PARTITION BY year(period), quarter(period))::BIGINT AS quarter_days, sum(month_days) OVER (PARTITION BY year(period), quarter(period) > 2)::BIGINT AS half_days FROM m")
+def _(spark, d):
+    return series.working_days(spark, "2015-01-01", "2025-12-31")
+
+
+# Happy path.
+
+_STEPS = f"{ORDERS}, s AS (SELECT case_id, activity, coalesce(duration_us, 0) AS duration_us, activity_num AS pos FROM log UNION ALL SELECT case_id, 'start', 0, 0 FROM log GROUP BY case_id UNION ALL SELECT case_id, 'end', 0, max(activity_num) + 1 FROM log GROUP BY case_id), st AS (SELECT activity, lead(activity) OVER (PARTITION BY case_id ORDER BY pos) AS next_activity FROM s), n AS (SELECT activity, next_activity, count(*) AS n FROM st WHERE next_activity IS NOT NULL GROUP BY ALL), p AS (SELECT *, n / sum(n) OVER (PARTITION BY activity) AS p FROM n), e AS (SELECT activity, next_activity, n, p / sum(p) OVER (PARTITION BY activity) AS probability FROM p WHERE p > 0.02), d AS (SELECT activity AS next_activity, avg(duration_us) / 6e7 AS minutes FROM s GROUP BY 1), rw AS (SELECT activity, next_activity, probability, CASE WHEN next_activity = 'end' THEN 0 ELSE -coalesce(minutes / nullif(avg(minutes) OVER (), 0), 0) END AS reward FROM e JOIN d USING (next_activity))"
+
+
+@query("start_distribution", f"WITH {ORDERS}, f AS (SELECT activity, count(*) / sum(count(*)) OVER () AS probability FROM log WHERE activity_num = 1 GROUP BY activity) SELECT activity, round(probability, 6) AS probability FROM f WHERE probability > 0.05")
+def _(spark, d):
+    return happypath.start_distribution(orders(spark, d)).withColumn("probability", F.round("probability", 6))
+
+
+@query("transition_probabilities", f"WITH {_STEPS} SELECT activity, next_activity, n, round(probability, 6) AS probability FROM e")
+def _(spark, d):
+    return happypath.conditional_probabilities(orders(spark, d), 0.02).withColumn("probability", F.round("probability", 6))
+
+
+@query("mdp_rewards", f"WITH {_STEPS} SELECT activity, next_activity, round(probability, 6) AS probability, round(reward, 6) AS reward FROM rw")
+def _(spark, d):
+    return happypath.rewards(orders(spark, d), 0.02).withColumns({c: F.round(c, 6) for c in ("probability", "reward")})
+
+
+@query("mdp_actions", f"WITH {_STEPS} SELECT a.activity, b.next_activity AS action, a.next_activity, round((a.probability + CASE WHEN a.next_activity = b.next_activity THEN 0.3 ELSE 0 END) / 1.3, 6) AS probability FROM rw a JOIN rw b ON a.activity = b.activity")
+def _(spark, d):
+    return happypath.actions(happypath.rewards(orders(spark, d), 0.02)).select("activity", "action", "next_activity", F.round("probability", 6).alias("probability"))
+
+
+@query("mdp_consistency", "SELECT NULL::VARCHAR AS activity, NULL::VARCHAR AS action, NULL::DOUBLE AS total WHERE false")
+def _(spark, d):
+    return happypath.inconsistent(happypath.actions(happypath.rewards(orders(spark, d), 0.02)))
+
+
+@query("case_layers", f"WITH {ORDERS} SELECT case_id, count(*) FILTER (activity = 'F') AS layer FROM log GROUP BY case_id")
+def _(spark, d):
+    return happypath.layers(orders(spark, d), "F")
+
+
+def _edges(spark, d) -> DataFrame:
+    return happypath.rewards(orders(spark, d), 0.02)
+
+
+@query("value_iteration")
+def _(spark, d):
+    return happypath.value_iteration(_edges(spark, d))
+
+
+@query("happy_path")
+def _(spark, d):
+    return happypath.best_path(_edges(spark, d))
+
+
+@query("happy_path_q_learning")
+def _(spark, d):
+    return happypath.q_learning(_edges(spark, d), episodes=300)
+
+
+@query("happy_path_cross_entropy")
+def _(spark, d):
+    return happypath.cross_entropy(_edges(spark, d), events=8, sessions=40)
+
+
+@query("happy_path_genetic")
+def _(spark, d):
+    return happypath.genetic(_edges(spark, d))
+
+
+# Factors.
+
+
+@query("factor_encode", "SELECT c_custkey, c_acctbal, c_nationkey::DOUBLE AS c_nationkey, " + ", ".join(f"CASE WHEN c_mktsegment = '{s}' THEN 1.0 ELSE 0.0 END::DOUBLE AS \"c_mktsegment={s}\"" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) + " FROM customer")
+def _(spark, d):
+    return factors.encode(table(spark, d, "customer"), "c_acctbal", ["c_mktsegment", "c_nationkey"], keep=("c_custkey",))[0]
+
+
+@query("factor_frequency", "SELECT p_partkey, count(*) OVER (PARTITION BY p_type) AS p_type_freq FROM part")
+def _(spark, d):
+    return factors.frequency_encoded(table(spark, d, "part"), "p_type").select("p_partkey", "p_type_freq")
+
+
+@query("factor_min_max", "SELECT p_partkey, round((p_size - min(p_size) OVER ()) / (max(p_size) OVER () - min(p_size) OVER ()), 6) AS p_size FROM part")
+def _(spark, d):
+    return factors.min_max(table(spark, d, "part").select("p_partkey", "p_size"), ["p_size"]).withColumn("p_size", F.round("p_size", 6))
+
+
+@query("factor_share", "SELECT p_brand, p_size, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY p_brand), 6) AS share FROM part GROUP BY p_brand, p_size")
+def _(spark, d):
+    return factors.share_within(table(spark, d, "part"), ["p_brand"], "p_size").withColumn("share", F.round("share", 6))
+
+
+@query("factor_ridge", "SELECT round((regr_slope(l_extendedprice, l_quantity)), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS offset_, round(regr_r2(l_extendedprice, l_quantity), 6) AS r2 FROM lineitem")
+def _(spark, d):
+    m = factors.moments(table(spark, d, "lineitem"), ["l_quantity"], "l_extendedprice")[0]
+    w, b = factors.solve(m, [0], alpha=0.0)
+    return spark.createDataFrame([(round(float(w[0]), 4), round(b, 2), round(factors.r2(m, [0], w, b), 6))], "slope double, offset_ double, r2 double")
+
+
+@query("factor_importances")
+def _(spark, d):
+    return factors.importances(table(spark, d, "part"), "p_retailprice", ["p_brand", "p_size", "p_type"], "p_partkey")
+
+
+# Clusters.
+
+
+@query("stage_clusters")
+def _(spark, d):
+    return cluster.stage_clusters(table(spark, d, "part"), "p_type")
+
+
+@query("text_clusters")
+def _(spark, d):
+    return cluster.text_clusters(table(spark, d, "conversations").select("conv_id", "turn", "text"), "text", k=4).select("conv_id", "turn", "text_cluster")
+
+
+# Quality.
+
+
+@query("column_checks", "SELECT 'o_orderkey' AS \"column\", 'null_check' AS \"check\", count(*) FILTER (o_orderkey IS NULL)::DOUBLE AS value, count(*) FILTER (o_orderkey IS NULL) = 0 AS success FROM orders UNION ALL SELECT 'o_orderkey', 'unique_check', (count(o_orderkey) - count(DISTINCT o_orderkey))::DOUBLE, count(o_orderkey) = count(DISTINCT o_orderkey) FROM orders UNION ALL SELECT 'o_totalprice', 'min', min(o_totalprice), min(o_totalprice) > 0 FROM orders UNION ALL SELECT 'o_orderstatus', 'distinct_check', count(DISTINCT o_orderstatus), count(DISTINCT o_orderstatus) BETWEEN 2.7 AND 3.3 FROM orders")
+def _(spark, d):
+    return quality.column_checks(table(spark, d, "orders"), {"o_orderkey": {"null_check": {"equal_to": 0}, "unique_check": {"equal_to": 0}}, "o_totalprice": {"min": {"greater_than": 0}}, "o_orderstatus": {"distinct_check": {"equal_to": 3, "tolerance": 0.1}}})
+
+
+@query("table_checks", "SELECT 'rows' AS \"check\", count(*) > 100 AS success FROM orders UNION ALL SELECT 'price', max(o_totalprice) < 1 FROM orders WHERE o_orderstatus = 'F'")
+def _(spark, d):
+    return quality.table_checks(table(spark, d, "orders"), {"rows": {"check_statement": "count(*) > 100"}, "price": {"check_statement": "max(o_totalprice) < 1", "partition_clause": "o_orderstatus = 'F'"}})
+
+
+@query("interval_check", "WITH d AS (SELECT ts::DATE AS day, count(*)::DOUBLE AS n, count(DISTINCT user_id)::DOUBLE AS users FROM events GROUP BY 1), c AS (SELECT 'n' AS metric, max(n) FILTER (day = DATE '2024-01-15') AS current, max(n) FILTER (day = DATE '2024-01-08') AS reference FROM d UNION ALL SELECT 'users', max(users) FILTER (day = DATE '2024-01-15'), max(users) FILTER (day = DATE '2024-01-08') FROM d) SELECT metric, current, reference, round(greatest(current, reference) / nullif(least(current, reference), 0), 6) AS ratio, coalesce(greatest(current, reference) / nullif(least(current, reference), 0) < 1.5, false) AS success FROM c")
+def _(spark, d):
+    out = quality.interval_check(table(spark, d, "events"), "ts", {"n": "count(*)", "users": "count(distinct user_id)"}, "2024-01-15")
+    return out.withColumn("ratio", F.round("ratio", 6))
+
+
+@query("table_stats", "SELECT '' AS col, 'count' AS metric, count(*)::DOUBLE AS value FROM supplier UNION ALL SELECT 's_suppkey', 'non_null', count(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'sum', sum(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'min', min(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'max', max(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'avg', avg(s_suppkey) FROM supplier UNION ALL SELECT 's_name', 'non_null', count(s_name) FROM supplier UNION ALL SELECT 's_name', 'len', sum(length(s_name)) FROM supplier UNION ALL SELECT '', 'debtors', count(*) FILTER (s_acctbal < 0) FROM supplier")
+def _(spark, d):
+    s = table(spark, d, "supplier")
+    return quality.table_stats(s, exclude=("s_nationkey", "s_acctbal"), extra={"debtors": "count_if(s_acctbal < 0)"}).filter("metric <> 'approx_distinct'")
+
+
+@query("closest_partition", "SELECT min_by(ts::DATE, (abs(date_diff('day', ts::DATE, DATE '2024-01-10')), ts::DATE)) AS closest FROM events WHERE ts::DATE <= DATE '2024-01-10'")
+def _(spark, d):
+    return quality.closest_partition(table(spark, d, "events"), "ts", "2024-01-10", before=True)
+
+
+@query("date_windows", "SELECT date_trunc('day', ts) AS window_start, event_type AS activity, count(*) AS n FROM events GROUP BY ALL")
+def _(spark, d):
+    from loomline.streaming.activity import activity_counts
+
+    return activity_counts(table(spark, d, "events"), "event_type", "ts").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
