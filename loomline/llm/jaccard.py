@@ -31,6 +31,8 @@ CHUNK_BITS = 16
 SALTS = 16
 #: Sets in a group of the matrix, about.
 GROUP = 64
+#: Times that groups are extended by other leads, at most; what is left is the matrix's.
+TURNS = 4
 _U = np.uint64
 
 
@@ -108,14 +110,14 @@ def _sketch(profile: DataFrame) -> np.ndarray:
 
 
 def _first_shingles(k: int, num: int, den: int, sketch) -> Callable:
-    """(id, meta, first): the first shingles in the order, and n with the mean frequency above it."""
+    """(id, n, first): the first shingles in the order, and the set's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = sketch.value
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for first, sets in set_slices(batch.column(1), k):
-                out_id, meta, firsts = [], [], []
+                out_id, size, firsts = [], [], []
                 for r, s in enumerate(sets):
                     n = len(s)
                     if n:
@@ -123,11 +125,11 @@ def _first_shingles(k: int, num: int, den: int, sketch) -> Callable:
                         key = (seen.astype(np.uint64) << _U(56)) | (mix(s) >> _U(8))
                         p = n - (num * n + den - 1) // den + 1
                         out_id.append(ids[first + r])
-                        meta.append((int(seen.mean() * 64) << 32) | n)
+                        size.append(n)
                         firsts.append(np.partition(key, p - 1)[:p].astype(np.int64))
                 sizes = np.cumsum([0, *map(len, firsts)])
                 tokens = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(firsts) if firsts else [], pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(meta, pa.int64()), tokens], ["id", "meta", "first"])
+                yield pa.RecordBatch.from_arrays([pa.array(out_id, pa.int64()), pa.array(size, pa.int64()), tokens], ["id", "n", "first"])
 
     return run
 
@@ -176,7 +178,8 @@ def _reachable(num: int, den: int) -> Callable:
             for least, x, y in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
                 q, union = np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)
                 both = np.intersect1d(q, union, assume_unique=True).size
-                keep.append(den * both >= num * max(len(q), least))
+                # |both| >= t / (1 + t) * (|q| + |s|), and no member is smaller than the least.
+                keep.append((num + den) * both >= num * (len(q) + least))
             yield batch.select(["a", "g"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -208,38 +211,71 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     classes = written(thin.filter("n > 0 and doc_id is not null").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "join-classes")
     reps = small(classes.select(F.col("rep").alias("doc_id")).distinct())
 
-    first = docs.join(reps, "doc_id", "left_semi").mapInArrow(_first_shingles(k, num, den, sketch), "id long, meta long, first array<long>")
-    tokens = first.select(F.explode("first").alias("token"), "id", "meta")
+    first = docs.join(reps, "doc_id", "left_semi").mapInArrow(_first_shingles(k, num, den, sketch), "id long, n long, first array<long>")
+    tokens = first.select(F.explode("first").alias("token"), "id", "n")
     same = Window.partitionBy("token")
-    lists = tokens.withColumn("alone", F.min("id").over(same) == F.max("id").over(same)).withColumn("top", F.max(F.struct("meta", "id")).over(same))
-    n_of = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)
-    lists = lists.filter(~F.col("alone")).select("token", "id", n_of("meta").alias("n"), F.col("top.id").alias("lead"), n_of("top.meta").alias("lead_n"))
+    lists = tokens.withColumn("alone", F.min("id").over(same) == F.max("id").over(same)).filter(~F.col("alone")).drop("alone")
     lists = written(lists, "join-lists")
 
     def near(a: str, b: str):
         return (F.col(a) * den >= F.col(b) * num) & (F.col(b) * den >= F.col(a) * num)
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        wanted = small(written(ids.distinct(), "join-ids"))
-        return written(docs.join(wanted, F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets(k), "id long, tokens binary"), "join-sets")
+    sets = None
 
-    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        left = sets.select(F.col("id").alias("ia"), F.col("tokens").alias("ta"))
-        right = sets.select(F.col("id").alias("ib"), F.col("tokens").alias("tb"))
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """The sets of these ids, and of all asked for before."""
+        nonlocal sets
+        ids = ids.distinct()
+        wanted = written(ids if sets is None else ids.join(sets.select("id"), "id", "left_anti"), "join-ids")
+        if sets is None or not wanted.isEmpty():
+            more = written(docs.join(small(wanted), F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets(k), "id long, tokens binary"), "join-sets")
+            sets = more if sets is None else sets.union(more)
+        return sets
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        all_sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+        left = all_sets.select(F.col("id").alias("ia"), F.col("tokens").alias("ta"))
+        right = all_sets.select(F.col("id").alias("ib"), F.col("tokens").alias("tb"))
         full = pairs.join(left, F.col("a") == F.col("ia")).select("a", "b", "ta").join(right, F.col("b") == F.col("ib")).select("a", "b", "ta", "tb")
         return written(full.mapInArrow(_linked(num, den), "a long, b long").distinct(), "join-links")
 
-    # Groups: sets linked with the one of their list whose shingles are the most frequent.
-    stars = lists.filter((F.col("id") != F.col("lead")) & near("n", "lead_n")).select(F.col("id").alias("a"), F.col("lead").alias("b"))
-    stars = written(stars.distinct(), "join-stars")
-    sets = sets_of(stars.select(F.col("a").alias("id")).union(stars.select("b")))
-    links = verified(stars, sets)
+    def led(rows: DataFrame, rank: str) -> DataFrame:
+        """Pairs of each set with the highest ranked of its lists, smaller id first."""
+        top = F.max(F.struct(rank, "id", "n", "c")).over(same)
+        pairs = rows.withColumn("top", top).select("id", "n", "c", F.col("top.id").alias("lead"), F.col("top.n").alias("lead_n"), F.col("top.c").alias("lead_c"))
+        pairs = pairs.filter((F.col("c") != F.col("lead_c")) & near("n", "lead_n"))
+        return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
+
+    # Groups form around leads: first the set of each list whose first shingles are shared
+    # the most, as those of an original are by its copies; then others, drawn by hash, for
+    # the sets that linked with no lead so far.
+    share = lists.groupBy(F.col("id").alias("i")).agg((F.count("*") / (F.first("n") - F.ceil(F.first("n") * num / den) + 1)).alias("share"))
+    done = written(led(lists.join(share, F.col("id") == F.col("i")).withColumn("c", F.col("id")), "share"), "join-stars")
+    links = verified(done)
     comps = connected(links)
+    for turn in range(1, TURNS):
+        size = comps.groupBy("component").agg(F.count("*").alias("size"))
+        of = comps.join(size, "component").select(F.col("id").alias("mid"), F.col("component").alias("mc"), "size")
+        rows = lists.join(of, F.col("id") == F.col("mid"), "left").select("token", "id", "n", F.coalesce("mc", "id").alias("c"), "size")
+        rows = rows.withColumn("open", (F.min("c").over(same) != F.max("c").over(same)) & (F.count("size").over(same) > 0)).filter("open")
+        rows = rows.withColumn("rank", F.struct(F.col("size").isNotNull().alias("grown"), F.xxhash64("id", F.lit(turn)).alias("draw")))
+        pairs = written(led(rows, "rank").join(done, ["a", "b"], "left_anti"), "join-stars")
+        if pairs.isEmpty():
+            break
+        done = done.union(pairs)
+        found = verified(pairs)
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        comps = connected(links)
     sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
     grouped = comps.join(sizes, "component")
+    # Sets of a group are alike in size, which keeps the bound close.
+    band = F.floor(F.log(F.col("n").cast("double")) * 20)
     chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / GROUP))
+    grouped = grouped.join(lists.groupBy(F.col("id").alias("nid")).agg(F.first("n").alias("n")), F.col("id") == F.col("nid"))
     # A set that linked with none is a group of its own, so its union is itself.
-    members = written(grouped.select("id", "component", "size", F.xxhash64("component", chunk).alias("g")), "join-groups")
+    members = written(grouped.select("id", "component", "size", F.xxhash64("component", band, chunk).alias("g")), "join-groups")
 
     # The matrix: first shingles by set and by group, where more than one component meets.
     known = members.select(F.col("id").alias("mid"), "component", "size", "g")
@@ -255,22 +291,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     meets = written(meets.groupBy("a", "g", "only").agg(F.first("na").alias("na"), F.min("least").alias("least")), "join-meets")
     pairs = meets.filter("only is not null").select("a", F.col("only").alias("b"))
     wide = meets.filter("g is not null").select("a", "na", "g", "least")
-    more_sets = None
     if not wide.isEmpty():
         opened = small(wide.select("g").distinct())
         inside = written(members.join(opened, "g", "left_semi").select("g", "id"), "join-inside")
-        asked = written(sets_of(wide.select(F.col("a").alias("id")).union(inside.select("id"))), "join-sets")
+        asked = sets_of(wide.select(F.col("a").alias("id")).union(inside.select("id")))
         unions = inside.join(asked, "id").select("g", "tokens").groupBy("g").applyInPandas(_union, "g long, tokens binary")
         unions = written(unions.select(F.col("g").alias("ug"), F.col("tokens").alias("ut")), "join-unions")
         bound = wide.join(asked, F.col("a") == F.col("id")).join(unions, F.col("g") == F.col("ug")).select("a", "g", "least", "tokens", "ut")
         bound = bound.mapInArrow(_reachable(num, den), "a long, g long")
         pairs = pairs.union(bound.join(inside, "g").select("a", F.col("id").alias("b")))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "join-pairs")
     if not pairs.isEmpty():
-        more_sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
-        links = links.union(verified(pairs, more_sets))
+        links = links.union(verified(pairs))
         comps = connected(links)
 
     named = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
@@ -280,12 +313,17 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """docs without the documents whose component has a smaller id; all columns stay.
+    """docs with one row of each component, that of the smallest id; all columns stay.
 
-    Of rows that share the kept id, each stays. Rows with a null id stay.
+    Of rows that share the kept id, any one stays. Rows with a null id all stay.
     """
-    kept = jaccard_components(docs, **how).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"] == F.col("_id"), "left_semi").union(docs.filter(docs["doc_id"].isNull()))
+    kept = written(jaccard_components(docs, **how).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows")), "join-kept")
+    one = small(kept.filter("_rows = 1").select("_id"))
+    out = docs.join(one, docs["doc_id"] == F.col("_id"), "left_semi").union(docs.filter(docs["doc_id"].isNull()))
+    several = kept.filter("_rows > 1").select("_id")
+    if not several.isEmpty():
+        out = out.union(docs.join(small(several), docs["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]))
+    return out
 
 
 def op1_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
