@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm.shared import written
+from loomline.llm.shared import packed, written
 from loomline.llm.words import ALNUM, Words, shingle_hashes, word_slices
 
 K = 5
@@ -201,9 +201,8 @@ def decontamination_report(docs: DataFrame, benchmark: DataFrame, span: int = 10
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10) -> DataFrame:
     """docs without the rows that hold a hit; every column stays as it is."""
-    columns = docs.columns
-    hits = contamination(docs, benchmark, span, tuple(columns)).filter(F.size("_spans") == 0)
-    return hits.select(*columns)
+    hits = contamination(packed(docs), benchmark, span, ("row",))
+    return hits.filter(F.size("_spans") == 0).select("row.*")
 
 
 def op2_winnowed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

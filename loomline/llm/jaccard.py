@@ -319,10 +319,10 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     """
     kept = written(jaccard_components(docs, **how).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows")), "join-kept")
     one = small(kept.filter("_rows = 1").select("_id"))
-    out = docs.join(one, docs["doc_id"] == F.col("_id"), "left_semi").union(docs.filter(docs["doc_id"].isNull()))
-    several = kept.filter("_rows > 1").select("_id")
+    out = docs.join(one, docs["doc_id"] == one["_id"], "left_semi").union(docs.filter(docs["doc_id"].isNull()))
+    several = small(kept.filter("_rows > 1").select("_id"))
     if not several.isEmpty():
-        out = out.union(docs.join(small(several), docs["doc_id"] == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]))
+        out = out.union(docs.join(several, docs["doc_id"] == several["_id"], "left_semi").dropDuplicates(["doc_id"]))
     return out
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm.shared import small
+from loomline.llm.shared import packed, small
 from loomline.llm.words import mix, text_slices
 
 BITS = 17
@@ -222,7 +222,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """docs whose score reaches the threshold; their columns stay as they are."""
     model = fit(docs, labels)
-    return scored(docs, model, "_score").filter(F.col("_score") >= threshold).select(*docs.columns)
+    return scored(packed(docs), model).filter(F.col("score") >= threshold).select("row.*")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,3 +39,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df marked for broadcast if it has at most so many rows; else as it is, to be shuffled."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(row, text): all columns as one struct, so that none clashes with columns added to it."""
+    return docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), docs["text"].cast("string").alias("text"))
