@@ -5,8 +5,10 @@ rare before frequent; two sets that link share one of their first ones, so only
 enter the matrix. Similar sets are put into groups: sets that share a first shingle are
 compared with the best of them and the linked ones stand together. For each group the
 matrix says which first shingles it holds; a set queries the groups of other components
-that hold one of its own. A group's token union bounds what any member can share with the
-query, and only groups whose bound reaches the threshold are opened and compared in full.
+that hold one of its own. Sets that linked with none are put into groups too, by the most
+frequent of their first shingles. A group's token union bounds what any member can share
+with the query, and only groups whose bound reaches the threshold are opened and compared
+in full.
 
 Frequencies come from a sketch of fixed width over all documents. They decide the order,
 hence the work, but not the result: any order that all sets share gives the same links.
@@ -29,8 +31,11 @@ from loomline.llm.words import SPACED, mix, shingle_hashes, word_slices
 SKETCH_BITS = 21
 CHUNK_BITS = 16
 SALTS = 16
-#: Sets in a group of the matrix, about.
+#: Sets in a group of the matrix, about, and shingles of them all.
 GROUP = 64
+GROUP_SHINGLES = 1 << 21
+#: Queries that meet one copy of a group, about.
+QUERIES_A_GROUP = 256
 #: Times that groups are extended by other leads, at most; what is left is the matrix's.
 TURNS = 4
 _U = np.uint64
@@ -134,64 +139,52 @@ def _first_shingles(k: int, num: int, den: int, sketch) -> Callable:
     return run
 
 
-def _sets(k: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            for first, sets in set_slices(batch.column(1), k):
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(sets)).cast(pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["id", "tokens"])
-
-    return run
-
-
-def _common(a: bytes, b: bytes) -> tuple[int, int, int]:
-    x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+def _common(x: np.ndarray, y: np.ndarray) -> int:
     if len(x) > len(y):
         x, y = y, x
     if not len(x):
-        return 0, 0, len(y)
+        return 0
     at = np.searchsorted(y, x)
     at[at == len(y)] = 0
-    return int(np.count_nonzero(y[at] == x)), len(x), len(y)
-
-
-def _linked(num: int, den: int) -> Callable:
-    """Keeps the pairs (a, b, tokens of each) that link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                both, n, m = _common(x.as_py(), y.as_py())
-                keep.append(den * both >= num * (n + m - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return int(np.count_nonzero(y[at] == x))
 
-    return run
 
+def _opened(k: int, num: int, den: int) -> Callable:
+    """(a, b) that link, from rows (g, salt, asks, id, text) in which a group's members precede its queries.
 
-def _reachable(num: int, den: int) -> Callable:
-    """Keeps the (query, group) whose token union holds enough of the query for one link."""
+    A query is compared with the members only if the group's token union holds enough of
+    it for one link. Memory holds the sets of one group and its union.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, ids, sets, union, least = None, [], [], None, 0
         for batch in batches:
-            keep = []
-            for least, x, y in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
-                q, union = np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)
-                both = np.intersect1d(q, union, assume_unique=True).size
-                # |both| >= t / (1 + t) * (|q| + |s|), and no member is smaller than the least.
-                keep.append((num + den) * both >= num * (len(q) + least))
-            yield batch.select(["a", "g"]).filter(pa.array(keep, pa.bool_()))
+            groups, salts, asks, doc = (batch.column(i).to_pylist() for i in range(4))
+            out = []
+            for first, part in set_slices(batch.column(4), k):
+                for i, s in enumerate(part, first):
+                    if (groups[i], salts[i]) != here:
+                        here, ids, sets, union = (groups[i], salts[i]), [], [], None
+                    if not asks[i]:
+                        ids.append(doc[i])
+                        sets.append(s)
+                        continue
+                    if union is None:
+                        union = np.unique(np.concatenate(sets))
+                        least = min(map(len, sets))
+                    # |both| >= t / (1 + t) * (|q| + |s|), and no member is smaller than the least.
+                    if (num + den) * _common(s, union) < num * (len(s) + least):
+                        continue
+                    for m, t in zip(ids, sets, strict=True):
+                        if m != doc[i] and den * min(len(s), len(t)) >= num * max(len(s), len(t)):
+                            both = _common(s, t)
+                            if den * both >= num * (len(s) + len(t) - both):
+                                out.append((min(m, doc[i]), max(m, doc[i])))
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in range(2)], ["a", "b"])
 
     return run
 
 
-def _union(pdf):
-    import pandas as pd
-
-    parts = [np.frombuffer(x, dtype=np.uint64) for x in pdf["tokens"]]
-    return pd.DataFrame({"g": pdf["g"].iloc[:1], "tokens": [np.unique(np.concatenate(parts)).tobytes()]})
-
-
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -220,24 +213,27 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     def near(a: str, b: str):
         return (F.col(a) * den >= F.col(b) * num) & (F.col(b) * den >= F.col(a) * num)
 
-    sets = None
+    def compared(members: DataFrame, queries: DataFrame) -> DataFrame:
+        """Links of the queries (g, id) with the members (g, id) of groups that the bound leaves open.
 
-    def sets_of(ids: DataFrame) -> DataFrame:
-        """The sets of these ids, and of all asked for before."""
-        nonlocal sets
-        ids = ids.distinct()
-        wanted = written(ids if sets is None else ids.join(sets.select("id"), "id", "left_anti"), "join-ids")
-        if sets is None or not wanted.isEmpty():
-            more = written(docs.join(small(wanted), F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets(k), "id long, tokens binary"), "join-sets")
-            sets = more if sets is None else sets.union(more)
-        return sets
+        A group of many queries is split and meets them in several places. Texts move, as
+        they are smaller than their sets.
+        """
+        split = queries.groupBy("g").agg(F.ceil(F.count("*") / QUERIES_A_GROUP).cast("int").alias("salts"))
+        ask = queries.join(split, "g").select("g", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.lit(True).alias("asks"), "id")
+        told = members.join(split, "g").select("g", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"), "id")
+        rows = small(written(ask.union(told), "join-rows"))
+        texts = docs.join(rows, F.col("doc_id") == F.col("id")).select("g", "salt", "asks", "id", "text")
+        texts = texts.repartition("g", "salt").sortWithinPartitions("g", "salt", "asks")
+        return written(texts.mapInArrow(_opened(k, num, den), "a long, b long").distinct(), "join-links")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        all_sets = sets_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
-        left = all_sets.select(F.col("id").alias("ia"), F.col("tokens").alias("ta"))
-        right = all_sets.select(F.col("id").alias("ib"), F.col("tokens").alias("tb"))
-        full = pairs.join(left, F.col("a") == F.col("ia")).select("a", "b", "ta").join(right, F.col("b") == F.col("ib")).select("a", "b", "ta", "tb")
-        return written(full.mapInArrow(_linked(num, den), "a long, b long").distinct(), "join-links")
+        """The pairs (a, b) that link; the end with more pairs is the group that the other asks."""
+        degree = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).groupBy("e").agg(F.count("*").alias("pairs"))
+        both = pairs.join(degree.toDF("a", "pa"), "a").join(degree.toDF("b", "pb"), "b")
+        hub = F.col("pa") >= F.col("pb")
+        both = written(both.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("id")), "join-stars")
+        return compared(both.select("g", F.col("g").alias("id")).distinct(), both)
 
     def led(rows: DataFrame, rank: str) -> DataFrame:
         """Pairs of each set with the highest ranked of its lists, smaller id first."""
@@ -268,42 +264,33 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             break
         links = links.union(found)
         comps = connected(links)
-    sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
-    grouped = comps.join(sizes, "component")
-    # Sets of a group are alike in size, which keeps the bound close.
-    band = F.floor(F.log(F.col("n").cast("double")) * 20)
-    chunk = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / GROUP))
-    grouped = grouped.join(lists.groupBy(F.col("id").alias("nid")).agg(F.first("n").alias("n")), F.col("id") == F.col("nid"))
-    # A set that linked with none is a group of its own, so its union is itself.
-    members = written(grouped.select("id", "component", "size", F.xxhash64("component", band, chunk).alias("g")), "join-groups")
-
     # The matrix: first shingles by set and by group, where more than one component meets.
-    known = members.select(F.col("id").alias("mid"), "component", "size", "g")
-    rows = lists.select("token", "id", "n").join(known, F.col("id") == F.col("mid"), "left")
-    rows = rows.select("token", "id", "n", F.coalesce("component", "id").alias("c"), F.coalesce("size", F.lit(1)).alias("size"), F.col("g"))
-    rows = rows.withColumn("more", F.min("c").over(same) != F.max("c").over(same)).filter("more").drop("more")
-    rows = written(rows, "join-matrix")
-    cells = rows.groupBy("token", F.col("c").alias("gc"), F.col("size").alias("gsize"), F.when(F.col("g").isNull(), F.col("id")).alias("only"), "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    asks = rows.select("token", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("size").alias("sa"))
-    # The smaller component asks, so a large one is met by groups and not by rows.
-    meets = asks.join(cells, "token").filter(F.struct("sa", "ca") < F.struct(F.col("gsize").alias("sa"), F.col("gc").alias("ca")))
-    meets = meets.filter((F.col("na") * den >= F.col("least") * num) & (F.col("most") * den >= F.col("na") * num))
-    meets = written(meets.groupBy("a", "g", "only").agg(F.first("na").alias("na"), F.min("least").alias("least")), "join-meets")
-    pairs = meets.filter("only is not null").select("a", F.col("only").alias("b"))
-    wide = meets.filter("g is not null").select("a", "na", "g", "least")
-    if not wide.isEmpty():
-        opened = small(wide.select("g").distinct())
-        inside = written(members.join(opened, "g", "left_semi").select("g", "id"), "join-inside")
-        asked = sets_of(wide.select(F.col("a").alias("id")).union(inside.select("id")))
-        unions = inside.join(asked, "id").select("g", "tokens").groupBy("g").applyInPandas(_union, "g long, tokens binary")
-        unions = written(unions.select(F.col("g").alias("ug"), F.col("tokens").alias("ut")), "join-unions")
-        bound = wide.join(asked, F.col("a") == F.col("id")).join(unions, F.col("g") == F.col("ug")).select("a", "g", "least", "tokens", "ut")
-        bound = bound.mapInArrow(_reachable(num, den), "a long, g long")
-        pairs = pairs.union(bound.join(inside, "g").select("a", F.col("id").alias("b")))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = written(pairs.join(done, ["a", "b"], "left_anti"), "join-pairs")
-    if not pairs.isEmpty():
-        links = links.union(verified(pairs))
+    # A set that linked with none so far stands in a group of such sets, those that share
+    # the most frequent of its first shingles. Sets of a group are alike in size, which
+    # keeps the bound close.
+    sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
+    of = comps.join(sizes, "component").select(F.col("id").alias("mid"), "component", "size")
+    rows = lists.join(of, F.col("id") == F.col("mid"), "left").withColumn("c", F.coalesce("component", "id"))
+    rows = rows.withColumn("met", F.count("*").over(same)).withColumn("more", F.min("c").over(same) != F.max("c").over(same)).filter("more")
+    rows = written(rows.select("token", "id", "n", "component", F.coalesce("size", F.lit(1)).alias("size"), "met"), "join-matrix")
+    sets = rows.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.first("size").alias("size"), F.max(F.struct("met", "token")).alias("top"))
+    sets = sets.withColumn("kin", F.coalesce("component", "top.token")).withColumn("band", F.floor(F.log(F.col("n").cast("double")) * 20))
+    sets = sets.withColumn("single", F.col("component").isNull()).drop("top")
+    alike = sets.groupBy("single", "kin", "band").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_SHINGLES)).alias("chunks"))
+    sets = sets.join(alike, ["single", "kin", "band"]).withColumn("g", F.xxhash64("single", "kin", "band", F.pmod(F.xxhash64("id"), "chunks")))
+    sets = written(sets.select("id", F.coalesce("component", "g").alias("c"), "g"), "join-groups")
+
+    asks = rows.select("token", F.col("id").alias("a"), "n", "size").join(sets.withColumnRenamed("id", "a"), "a")
+    cells = asks.groupBy("token", F.col("g").alias("cg"), F.col("c").alias("gc"), F.col("size").alias("gsize")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("held"))
+    # The smaller component asks, so a large one is met by groups and not by rows. Groups
+    # of single sets ask in order and also within themselves.
+    turn = F.struct("size", "c") < F.struct(F.col("gsize").alias("size"), F.col("gc").alias("c"))
+    meets = asks.join(cells, "token").filter(turn | ((F.col("size") == 1) & (F.col("g") == F.col("cg")) & (F.col("held") > 1)))
+    meets = meets.filter((F.col("n") * den >= F.col("least") * num) & (F.col("most") * den >= F.col("n") * num))
+    meets = written(meets.select(F.col("cg").alias("g"), F.col("a").alias("id")).distinct(), "join-meets")
+    if not meets.isEmpty():
+        opened = small(meets.select("g").distinct())
+        links = links.union(compared(sets.select("g", "id").join(opened, "g", "left_semi"), meets))
         comps = connected(links)
 
     named = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
