@@ -97,16 +97,16 @@ def find_hits(w: Words, block: Block, k: int = K) -> tuple[np.ndarray, dict[int,
         low = np.searchsorted(block.prints, hashes, side="left")
         high = np.searchsorted(block.prints, hashes, side="right")
         some = np.flatnonzero(high > low)
-        seen: set[tuple[int, int]] = set()
+        seen: set[tuple[int, int, int]] = set()
         for i in some.tolist():
             p = int(at[i])
             r = int(w.row[p])
             for item, j in block.places[low[i] : high[i]].tolist():
                 d = p - j
                 # A diagonal of one row and item is extended once, over its whole length.
-                if (item, d) in seen:
+                if (r, item, d) in seen:
                     continue
-                seen.add((item, d))
+                seen.add((r, item, d))
                 words = block.words[item]
                 a, b = max(int(w.bound[r]), d), min(int(w.bound[r + 1]), d + len(words))
                 equal = np.concatenate(([False], w.hash[a:b] == words[a - d : b - d], [False]))

@@ -78,3 +78,15 @@ def test_empty_tables(spark):
     assert [r.n_hit for r in decontaminate.decontamination_report(d, b).collect()] == [0]
     d, b = run(spark, [], [(1, "a b")])
     assert decontaminate.decontamination_report(d, b).count() == 0
+
+
+def test_item_split_over_neighbouring_rows(spark):
+    """Parts of an item that run on from row to row lie on one diagonal of the batch."""
+    item = [f"w{i}" for i in range(45)]
+    docs = [(0, "x y " + " ".join(item[:15])), (1, " ".join(item[15:30])), (2, " ".join(item[30:]) + " z"), (3, "x y z")]
+    d, b = run(spark, docs, [(7, " ".join(item))])
+    d = d.coalesce(1).sortWithinPartitions("doc_id")
+    out = sorted(map(tuple, decontaminate.decontamination_report(d, b).collect()))
+    assert [r[2] for r in out] == [15, 15, 15, 0]
+    assert out == brute(docs, [(7, " ".join(item))])
+    assert [r.doc_id for r in decontaminate.drop_contaminated(d, b).collect()] == [3]
