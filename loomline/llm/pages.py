@@ -31,7 +31,12 @@ _WORD = re.compile(r"[A-Za-z]+")
 _SPLIT = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe template select button svg object video audio canvas math".split())
+#: Elements of plain characters up to their end tag.
+RAW = frozenset("script style textarea title".split())
+#: Elements that are dropped along with all inside, once their end tag is found.
+DROP = frozenset("noscript iframe template select button svg object video audio canvas math".split())
+#: Start tags that may stand in a head; any other, and text, ends it.
+HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input".split())
 #: A start tag in the first set closes an open one of the second, up to the third.
 CLOSES = {
@@ -100,17 +105,24 @@ def _hits(attributes: str) -> tuple[int, ...]:
 
 
 def parse(page: str) -> Node:
-    """The tree of block elements and text runs ("#text") of a page, however ill-formed."""
+    """The tree of block elements and text runs ("#text") of a page, however ill-formed.
+
+    Of a head ("#head") and of elements in DROP nothing is kept; one of the latter that is
+    never closed is an element like any other.
+    """
     root = Node("#root", None)
     at, run, linked = root, None, 0
+    drops: list[tuple[Node, Node | None, int]] = []  # opened, with the run and link around them
 
     def text(s: str) -> None:
-        nonlocal run
+        nonlocal at, run
         if not s:
             return
         if run is None:
             if s.isspace():
                 return
+            while at.tag == "#head":
+                at = at.parent
             run = Node("#text", at)
         run.parts.append(s)
         if linked:
@@ -129,11 +141,35 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         closing, attributes = m[1], m[3] or ""
+        if not closing:
+            if tag == "body":  # ends a head around open elements too
+                up = at
+                while up is not root and up.tag != "#head":
+                    up = up.parent
+                at = up if up is not root else at
+            while at.tag == "#head" and tag not in HEAD:
+                at = at.parent
         if tag in RAW:
             if not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, pos)
                 pos = end.end() if end else n
             continue
+        if tag in DROP:
+            if closing:
+                up = at
+                while up is not root and up.tag != tag:
+                    up = up.parent
+                if up is not root:
+                    while drops[-1][0] is not up:
+                        drops.pop()
+                    _, run, linked = drops.pop()
+                    at = up.parent
+                    at.children.pop()
+            elif not attributes.endswith("/"):
+                node = Node(tag, at)
+                drops.append((node, run, linked))
+                at, run, linked = node, None, 0
+            continue
         if tag in INLINE:
             if tag == "a":
                 linked = 0 if closing else 1
@@ -143,6 +179,8 @@ def parse(page: str) -> Node:
         run = None
         if tag in VOID:
             continue
+        if tag == "head":
+            tag = "#head"
         if closing:
             up = at
             while up is not root and up.tag != tag:
@@ -154,19 +192,18 @@ def parse(page: str) -> Node:
         if tag in CLOSES:
             shut, stop = CLOSES[tag]
             up = at
-            while up is not root and up.tag not in shut and up.tag not in stop:
+            while up is not root and up.tag not in shut and up.tag not in stop and up.tag not in DROP:
                 up = up.parent
             if up.tag in shut:
                 at = up.parent
-        if tag == "head":
-            tag = "#head"
-        elif tag == "body":
-            while at is not root and at.tag == "#head":
-                at = at.parent
         label = _LABEL.search(attributes)
         node = Node(tag, at, _hits(attributes), int(label[1]) if label else None)
         if not attributes.endswith("/"):
             at = node
+    while at is not root:  # a head that reaches to the end of the page was no head
+        if at.tag == "#head":
+            at.tag = "head"
+        at = at.parent
     return root
 
 

@@ -93,6 +93,27 @@ def test_page_text(spark, trees):
     assert pages.main_text(df.limit(0), trees).count() == 0
 
 
+def test_head_without_body(trees):
+    article = "<article><h1>A title</h1><p>" + "word " * 40 + "</p><p>" + "more " * 40 + "</p></article>"
+    want = pages.extract(f"<html><head><title>t</title></head><body>{article}</body></html>", trees)
+    assert want == "A title\n" + ("word " * 40).strip() + "\n" + ("more " * 40).strip()
+    for start in ("<head><title>t</title></head>", "<head><title>t</title>", "<head><meta charset=utf-8><noscript>off</noscript></HEAD>", "<head><noscript><link><body>", "<head><head><title>t</title>"):
+        assert pages.extract(f"<html>{start}{article}</html>", trees) == want, start
+    plain = pages.measure(pages.parse("<head><title>t</title>bare text"))
+    assert [(n.text, n.parent.tag) for n in plain if n.text] == [("bare text", "#root")]
+    assert [n.text for n in pages.measure(pages.parse(f"<head><noscript>{article}")) if n.text] == want.split("\n")
+
+
+@pytest.mark.parametrize("tag", sorted("noscript iframe template select button svg object video audio canvas math".split()))
+def test_dropped_elements(tag):
+    texts = lambda page: [n.text for n in pages.measure(pages.parse(page)) if n.text]
+    assert texts(f"<body><div><{tag}>x</div><article><p>one<p>two</article>")[-2:] == ["one", "two"]
+    assert texts(f"<body><{tag}><article><p>one<p>two</article>") == ["one", "two"]
+    assert texts(f"<body><{tag}>x<article><p>one</article><{tag}>y</{tag}><p>two")[-2:] == ["one", "two"]
+    assert texts(f"<p>one <{tag} a='>'><div><p>x</p><{tag}>y</{tag}></div>z</{tag}> two</p>") == ["one two"]
+    assert texts(f"<p>one</{tag}> two <{tag}/>three</p>") == ["one two three"]
+
+
 def test_decoding_is_the_best_closed_set():
     rng = random.Random(4)
     for _ in range(40):
