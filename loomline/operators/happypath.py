@@ -115,23 +115,29 @@ def best_path(edges: DataFrame, most: int = 100, **how) -> DataFrame:
     return edges.sparkSession.createDataFrame(list(enumerate(path)), "step int, activity string")
 
 
-def _arrays(edges: DataFrame, increase: float):
-    table = actions(edges, increase).toPandas()
-    out: dict[str, dict[str, list]] = {}
-    for a, b, c, q, w in table[["activity", "action", "next_activity", "probability", "reward"]].sort_values(["activity", "action", "next_activity"]).itertuples(index=False):
-        out.setdefault(a, {}).setdefault(b, []).append((c, q, w))
+def _arrays(edges: DataFrame) -> dict[str, list[tuple[str, float, float]]]:
+    """(next activity, probability, reward) of the edges of each activity, by target.
+
+    Their targets are its actions; an action's own probabilities are raised as it is taken,
+    so no table of actions is held.
+    """
+    out: dict[str, list[tuple[str, float, float]]] = {}
+    table = edges.select("activity", "next_activity", "probability", "reward").toPandas()
+    for a, b, p, w in table.sort_values(["activity", "next_activity"]).itertuples(index=False):
+        out.setdefault(a, []).append((b, p, w))
     return out
 
 
-def _step(rng, ways: list) -> tuple[str, float]:
-    i = rng.choice(len(ways), p=np.array([q for _, q, _ in ways]) / sum(q for _, q, _ in ways))
+def _step(rng, ways: list, action: str, increase: float) -> tuple[str, float]:
+    raised = np.array([(p + (increase if b == action else 0.0)) / (1 + increase) for b, p, _ in ways])
+    i = rng.choice(len(ways), p=raised / sum(raised.tolist()))
     return ways[i][0], ways[i][2]
 
 
 def q_learning(edges: DataFrame, episodes: int = 2000, alpha: float = 0.09, gamma: float = 0.9, epsilon: float = 0.5, decay: float = 0.9992, most: int = 200, increase: float = 0.3, seed: int = 0) -> DataFrame:
     """(activity, action, value) after so many seeded episodes of an epsilon-greedy learner."""
-    ways, rng = _arrays(edges, increase), np.random.default_rng(seed)
-    q = {s: dict.fromkeys(a, 0.0) for s, a in ways.items()}
+    ways, rng = _arrays(edges), np.random.default_rng(seed)
+    q = {s: {b: 0.0 for b, _, _ in w} for s, w in ways.items()}
     for t in range(episodes):
         s = "start"
         for _ in range(most):
@@ -139,7 +145,7 @@ def q_learning(edges: DataFrame, episodes: int = 2000, alpha: float = 0.09, gamm
                 break
             names = list(q[s])
             a = names[rng.integers(len(names))] if rng.random() < epsilon * decay**t else max(names, key=q[s].get)
-            n, r = _step(rng, ways[s][a])
+            n, r = _step(rng, ways[s], a, increase)
             q[s][a] += alpha * (r + gamma * max(q[n].values(), default=0.0) - q[s][a] if n in q else r - q[s][a])
             s = n
     return edges.sparkSession.createDataFrame([(s, a, float(v)) for s in q for a, v in q[s].items()], "activity string, action string, value double")
@@ -147,9 +153,9 @@ def q_learning(edges: DataFrame, episodes: int = 2000, alpha: float = 0.09, gamm
 
 def cross_entropy(edges: DataFrame, events: int = 30, sessions: int = 100, elite: float = 80.0, rate: float = 0.2, most: int = 200, increase: float = 0.3, seed: int = 0) -> DataFrame:
     """(activity, action, probability): a policy moved towards its sessions of highest reward."""
-    ways, rng = _arrays(edges, increase), np.random.default_rng(seed)
+    ways, rng = _arrays(edges), np.random.default_rng(seed)
     policy = {s: np.full(len(a), 1 / len(a)) for s, a in ways.items()}
-    names = {s: list(a) for s, a in ways.items()}
+    names = {s: [b for b, _, _ in w] for s, w in ways.items()}
     for _ in range(events):
         runs = []
         for _ in range(sessions):
@@ -159,7 +165,7 @@ def cross_entropy(edges: DataFrame, events: int = 30, sessions: int = 100, elite
                     break
                 i = rng.choice(len(policy[s]), p=policy[s])
                 seen.append((s, i))
-                s, r = _step(rng, ways[s][names[s][i]])
+                s, r = _step(rng, ways[s], names[s][i], increase)
                 total += r
             runs.append((total, seen))
         edge = np.percentile([t for t, _ in runs], elite)

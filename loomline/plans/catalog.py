@@ -484,12 +484,12 @@ def _(spark, d):
 
 @query("happy_path_q_learning")
 def _(spark, d):
-    return happypath.q_learning(_edges(spark, d), episodes=300)
+    return happypath.q_learning(_edges(spark, d), episodes=10_000)
 
 
 @query("happy_path_cross_entropy")
 def _(spark, d):
-    return happypath.cross_entropy(_edges(spark, d), events=8, sessions=40)
+    return happypath.cross_entropy(_edges(spark, d), events=50, sessions=100)
 
 
 @query("happy_path_genetic")

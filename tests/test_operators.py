@@ -133,3 +133,22 @@ def test_quality(spark):
         quality.sql_sensor(df.limit(0), fail_on_empty=True)
     with pytest.raises(ValueError):
         quality.column_checks(df, {"id": {"nonsense": {"equal_to": 0}}})
+
+
+@pytest.mark.parametrize(("name", "learner", "want"), [("happy_path_q_learning", "q_learning", {"episodes": 10_000}), ("happy_path_cross_entropy", "cross_entropy", {"events": 50, "sessions": 100})])
+def test_learners_are_registered_with_their_whole_training(spark, monkeypatch, name, learner, want):
+    from loomline.plans import catalog
+
+    asked = {}
+    monkeypatch.setattr(catalog, "_edges", lambda spark, d: None)
+    monkeypatch.setattr(happypath, learner, lambda edges, **how: asked.update(how))
+    catalog.QUERIES[name](spark, "")
+    assert asked == want
+
+
+def test_learners_hold_edges_only(log, monkeypatch):
+    edges = happypath.rewards(log)
+    monkeypatch.setattr(happypath, "actions", None)
+    ways = {(r.activity, r.next_activity) for r in edges.collect()}
+    for out in (happypath.q_learning(edges, 20), happypath.cross_entropy(edges, 2, 10)):
+        assert {(r.activity, r.action) for r in out.collect()} == ways
