@@ -3,12 +3,13 @@
 Documents are sets of shingles. Equal sets are one. The shingles have a global order,
 rare before frequent; two sets that link share one of their first ones, so only those
 enter the matrix. Similar sets are put into groups: sets that share a first shingle are
-compared with the best of them and the linked ones stand together. For each group the
-matrix says which first shingles it holds; a set queries the groups of other components
-that hold one of its own. Sets that linked with none are put into groups too, by the most
-frequent of their first shingles. A group's token union bounds what any member can share
-with the query, and only groups whose bound reaches the threshold are opened and compared
-in full.
+compared with the best of them and the linked ones stand together; those that linked with
+none stand together by the most frequent of their first shingles. The matrix says, for
+each first shingle, which groups hold it, and a set queries the groups that hold one of
+its own. Of every group so asked the token union is stored, as a bitmap of hashed tokens,
+with the size of its smallest member. The number of a query's tokens in the union bounds
+what it can share with any member; only the groups that some query may reach are opened,
+their texts moved, and compared in full with those queries.
 
 Frequencies come from a sketch of fixed width over all documents. They decide the order,
 hence the work, but not the result: any order that all sets share gives the same links.
@@ -149,32 +150,73 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.count_nonzero(y[at] == x))
 
 
+def _unions(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(g, least, union) from rows (g, text) in order of g: a bitmap of the tokens, 8 to 16 bits for each, and the smallest size."""
+    here, sets = None, []
+
+    def stored() -> pa.RecordBatch:
+        tokens = np.unique(np.concatenate(sets))
+        bits = max(6, int(8 * len(tokens) - 1).bit_length())
+        marks = np.zeros(1 << bits, dtype=bool)
+        marks[(tokens >> _U(64 - bits)).astype(np.int64)] = True
+        return pa.RecordBatch.from_arrays([pa.array([here], pa.int64()), pa.array([min(map(len, sets))], pa.int64()), pa.array([np.packbits(marks).tobytes()], pa.binary())], ["g", "least", "union"])
+
+    for batch in batches:
+        groups = batch.column(0).to_pylist()
+        for first, part in set_slices(batch.column(1), k):
+            for i, s in enumerate(part, first):
+                if groups[i] != here and sets:
+                    yield stored()
+                    sets = []
+                here = groups[i]
+                sets.append(s)
+    if sets:
+        yield stored()
+
+
+def _bounded(k: int, num: int, den: int) -> Callable:
+    """(g, id) of the queries that may link, from rows (g, salt, asks, id, text, least, union) in which a group's union comes first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, bits, least = np.zeros(1, bool), 0, 0
+        for batch in batches:
+            groups, asks, doc, sizes = (batch.column(i).to_pylist() for i in (0, 2, 3, 5))
+            out_g, out_id = [], []
+            for first, part in set_slices(batch.column(4), k):
+                for i, s in enumerate(part, first):
+                    if not asks[i]:
+                        marks = np.unpackbits(np.frombuffer(batch.column(6)[i].as_buffer(), dtype=np.uint8)).view(bool)
+                        bits, least = len(marks).bit_length() - 1, sizes[i]
+                        continue
+                    both = int(np.count_nonzero(marks[(s >> _U(64 - bits)).astype(np.int64)]))
+                    # |both| >= t / (1 + t) * (|q| + |s|), where |s| >= t * |q| and no member is smaller than the least.
+                    if (num + den) * both >= num * (len(s) + max(least, -(-num * len(s) // den))):
+                        out_g.append(groups[i])
+                        out_id.append(doc[i])
+            yield pa.RecordBatch.from_arrays([pa.array(out_g, pa.int64()), pa.array(out_id, pa.int64())], ["g", "id"])
+
+    return run
+
+
 def _opened(k: int, num: int, den: int) -> Callable:
     """(a, b) that link, from rows (g, salt, asks, id, text) in which a group's members precede its queries.
 
-    A query is compared with the members only if the group's token union holds enough of
-    it for one link. Memory holds the sets of one group and its union.
+    Memory holds the sets of one group.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, ids, sets, union, least = None, [], [], None, 0
+        here, ids, sets = None, [], []
         for batch in batches:
             groups, salts, asks, doc = (batch.column(i).to_pylist() for i in range(4))
             out = []
             for first, part in set_slices(batch.column(4), k):
                 for i, s in enumerate(part, first):
                     if (groups[i], salts[i]) != here:
-                        here, ids, sets, union = (groups[i], salts[i]), [], [], None
+                        here, ids, sets = (groups[i], salts[i]), [], []
                     if not asks[i]:
                         ids.append(doc[i])
                         sets.append(s)
                         continue
-                    if union is None:
-                        union = np.unique(np.concatenate(sets))
-                        least = min(map(len, sets))
-                    # |both| >= t / (1 + t) * (|q| + |s|), and no member is smaller than the least.
-                    if (num + den) * _common(s, union) < num * (len(s) + least):
-                        continue
                     for m, t in zip(ids, sets, strict=True):
                         if m != doc[i] and den * min(len(s), len(t)) >= num * max(len(s), len(t)):
                             both = _common(s, t)
@@ -185,69 +227,168 @@ def _opened(k: int, num: int, den: int) -> Callable:
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
-
-    Two documents link when den * |both| >= num * |either| over their distinct shingles of
-    k words; a text of fewer words, but not none, is one shingle. component_id is the
-    smallest doc_id reachable by links, itself included. Null, empty and blank texts have
-    no shingles and link with nothing. Rows with a null id link with nothing and get a null
-    component; rows that share an id are one node. Equal texts link. An empty table gives
-    an empty one. Other columns play no part. Shingles are compared by 64-bit hashes.
-    """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = written(docs.mapInArrow(_profile(k), "doc_id long, n long, h1 long, h2 long, chunk int, salt int, counts binary"), "join-profile")
-    thin = profile.filter("chunk is null").select("doc_id", "n", "h1", "h2")
-    sketch = spark.sparkContext.broadcast(_sketch(profile))
-    # Equal sets are one node, the smallest id.
-    classes = written(thin.filter("n > 0 and doc_id is not null").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "join-classes")
-    reps = small(classes.select(F.col("rep").alias("doc_id")).distinct())
-
-    first = docs.join(reps, "doc_id", "left_semi").mapInArrow(_first_shingles(k, num, den, sketch), "id long, n long, first array<long>")
-    tokens = first.select(F.explode("first").alias("token"), "id", "n")
-    same = Window.partitionBy("token")
-    lists = tokens.withColumn("alone", F.min("id").over(same) == F.max("id").over(same)).filter(~F.col("alone")).drop("alone")
-    lists = written(lists, "join-lists")
-
-    def near(a: str, b: str):
-        return (F.col(a) * den >= F.col(b) * num) & (F.col(b) * den >= F.col(a) * num)
-
-    def compared(members: DataFrame, queries: DataFrame) -> DataFrame:
-        """Links of the queries (g, id) with the members (g, id) of groups that the bound leaves open.
-
-        A group of many queries is split and meets them in several places. Texts move, as
-        they are smaller than their sets.
-        """
-        split = queries.groupBy("g").agg(F.ceil(F.count("*") / QUERIES_A_GROUP).cast("int").alias("salts"))
+class _Join:
+    """The tables of one join: thin (a row per document), classes of equal sets and lists of first shingles."""
+
+    def __init__(self, docs: DataFrame, k: int, num: int, den: int):
+        spark = docs.sparkSession
+        self.k, self.num, self.den = k, num, den
+        self.docs = docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        profile = written(docs.mapInArrow(_profile(k), "doc_id long, n long, h1 long, h2 long, chunk int, salt int, counts binary"), "join-profile")
+        self.thin = profile.filter("chunk is null").select("doc_id", "n", "h1", "h2")
+        self.linked = self.thin.filter("n > 0 and doc_id is not null")
+        # Equal sets are one node, the smallest id.
+        self.classes = written(self.linked.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "join-classes")
+        reps = small(self.classes.select(F.col("rep").alias("doc_id")).distinct())
+        shingles = _first_shingles(k, num, den, spark.sparkContext.broadcast(_sketch(profile)))
+        first = docs.join(reps, "doc_id", "left_semi").mapInArrow(shingles, "id long, n long, first array<long>")
+        self.same = Window.partitionBy("token")
+        lists = first.select(F.explode("first").alias("token"), "id", "n").withColumn("alone", F.min("id").over(self.same) == F.max("id").over(self.same))
+        self.lists = written(lists.filter(~F.col("alone")).drop("alone"), "join-lists")
+
+    def several_classes(self) -> DataFrame | None:
+        """Edges (a, b) from a class's node to each id with rows in other classes, or without shingles, too; None if no id has."""
+        key = F.struct("h1", "h2", "n")
+        ids = self.thin.filter("doc_id is not null").groupBy("doc_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).filter("lo <> hi").select("doc_id")
+        ids = written(ids, "join-repeated")
+        if ids.isEmpty():
+            return None
+        return written(self.linked.join(small(ids), "doc_id").join(self.classes, ["h1", "h2", "n"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b")), "join-repeats")
+
+    def near(self, a: str, b: str):
+        return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
+
+    def shares(self, queries: DataFrame) -> DataFrame:
+        """(g, salts): in how many places a group of so many queries meets them."""
+        return written(queries.groupBy("g").agg(F.ceil(F.count("*") / QUERIES_A_GROUP).cast("int").alias("salts")), "join-salts")
+
+    def compared(self, members: DataFrame, queries: DataFrame) -> DataFrame:
+        """Links of the queries (g, id) with the members (g, id) of their groups. Texts move, as they are smaller than their sets."""
+        split = small(self.shares(queries))
         ask = queries.join(split, "g").select("g", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.lit(True).alias("asks"), "id")
         told = members.join(split, "g").select("g", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"), "id")
         rows = small(written(ask.union(told), "join-rows"))
-        texts = docs.join(rows, F.col("doc_id") == F.col("id")).select("g", "salt", "asks", "id", "text")
+        texts = self.docs.join(rows, F.col("doc_id") == F.col("id")).select("g", "salt", "asks", "id", "text")
         texts = texts.repartition("g", "salt").sortWithinPartitions("g", "salt", "asks")
-        return written(texts.mapInArrow(_opened(k, num, den), "a long, b long").distinct(), "join-links")
+        return written(texts.mapInArrow(_opened(self.k, self.num, self.den), "a long, b long").distinct(), "join-links")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that link; the end with more pairs is the group that the other asks."""
         degree = pairs.select(F.col("a").alias("e")).union(pairs.select("b")).groupBy("e").agg(F.count("*").alias("pairs"))
+        degree = small(written(degree, "join-degrees"))
         both = pairs.join(degree.toDF("a", "pa"), "a").join(degree.toDF("b", "pb"), "b")
         hub = F.col("pa") >= F.col("pb")
         both = written(both.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("id")), "join-stars")
-        return compared(both.select("g", F.col("g").alias("id")).distinct(), both)
+        return self.compared(both.select("g", F.col("g").alias("id")).distinct(), both)
 
-    def led(rows: DataFrame, rank: str) -> DataFrame:
+    def led(self, rows: DataFrame, rank: str) -> DataFrame:
         """Pairs of each set with the highest ranked of its lists, smaller id first."""
-        top = F.max(F.struct(rank, "id", "n", "c")).over(same)
+        top = F.max(F.struct(rank, "id", "n", "c")).over(self.same)
         pairs = rows.withColumn("top", top).select("id", "n", "c", F.col("top.id").alias("lead"), F.col("top.n").alias("lead_n"), F.col("top.c").alias("lead_c"))
-        pairs = pairs.filter((F.col("c") != F.col("lead_c")) & near("n", "lead_n"))
+        pairs = pairs.filter((F.col("c") != F.col("lead_c")) & self.near("n", "lead_n"))
         return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
+    def reachable(self, sets: DataFrame, meets: DataFrame) -> DataFrame:
+        """The (g, id) of meets whose set may link with a member of g, by the stored unions of the groups (id, g) asked."""
+        asked = small(written(meets.select("g").distinct(), "join-asked"))
+        members = small(written(sets.select("g", "id").join(asked, "g", "left_semi"), "join-members"))
+        texts = self.docs.join(members, F.col("doc_id") == F.col("id")).select("g", "text").repartition("g").sortWithinPartitions("g")
+        k = self.k
+        unions = written(texts.mapInArrow(lambda batches: _unions(batches, k), "g long, least long, union binary"), "join-unions")
+        split = small(self.shares(meets))
+        stored = unions.join(split, "g").select("g", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("asks"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"), "least", "union")
+        ask = small(written(meets.join(split, "g").select("g", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), "id"), "join-asking"))
+        ask = self.docs.join(ask, F.col("doc_id") == F.col("id")).select("g", "salt", F.lit(True).alias("asks"), "id", "text", F.lit(None).cast("long").alias("least"), F.lit(None).cast("binary").alias("union"))
+        rows = stored.union(ask).repartition("g", "salt").sortWithinPartitions("g", "salt", "asks")
+        return written(rows.mapInArrow(_bounded(k, self.num, self.den), "g long, id long").distinct(), "join-reachable")
+
+    def matrix(self, comps: DataFrame | None) -> DataFrame | None:
+        """Links (a, b) between sets of different components (id, component), or, without them, of any two sets.
+
+        A set without component stands in a group of such sets, those that share the most
+        frequent of its first shingles. Sets of a group are alike in size, which keeps the
+        bound close.
+        """
+        num, den = self.num, self.den
+        if comps is None:
+            rows = self.lists.withColumn("component", F.lit(None).cast("long")).withColumn("size", F.lit(1).cast("long"))
+            rows = rows.withColumn("met", F.count("*").over(self.same))
+        else:
+            sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
+            of = comps.join(sizes, "component").select(F.col("id").alias("mid"), "component", "size")
+            rows = self.lists.join(of, F.col("id") == F.col("mid"), "left").withColumn("c", F.coalesce("component", "id"))
+            rows = rows.withColumn("met", F.count("*").over(self.same)).withColumn("more", F.min("c").over(self.same) != F.max("c").over(self.same)).filter("more")
+        rows = written(rows.select("token", "id", "n", "component", F.coalesce("size", F.lit(1)).alias("size"), "met"), "join-matrix")
+        sets = rows.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.max(F.struct("met", "token")).alias("top"))
+        sets = sets.withColumn("kin", F.coalesce("component", "top.token")).withColumn("band", F.floor(F.log(F.col("n").cast("double")) * 20))
+        sets = sets.withColumn("single", F.col("component").isNull()).drop("top")
+        sets = written(sets, "join-sets")
+        alike = sets.groupBy("single", "kin", "band").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_SHINGLES)).alias("chunks"))
+        # A group of one chunk, as nearly all are, needs no number; the others are few.
+        split = small(written(alike.filter("chunks > 1"), "join-chunks"))
+        sets = sets.join(split, ["single", "kin", "band"], "left")
+        sets = sets.withColumn("g", F.xxhash64("single", "kin", "band", F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1)))))
+        sets = written(sets.select("id", F.coalesce("component", "g").alias("c"), "g"), "join-groups")
+
+        asks = rows.select("token", F.col("id").alias("a"), "n", "size").join(sets.withColumnRenamed("id", "a"), "a")
+        cells = asks.groupBy("token", F.col("g").alias("cg"), F.col("c").alias("gc"), F.col("size").alias("gsize")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("held"))
+        # The smaller component asks, so a large one is met by groups and not by rows. Groups
+        # of single sets ask in order and also within themselves.
+        turn = F.struct("size", "c") < F.struct(F.col("gsize").alias("size"), F.col("gc").alias("c"))
+        meets = asks.join(cells, "token").filter(turn | ((F.col("size") == 1) & (F.col("g") == F.col("cg")) & (F.col("held") > 1)))
+        meets = meets.filter((F.col("n") * den >= F.col("least") * num) & (F.col("most") * den >= F.col("n") * num))
+        meets = written(meets.select(F.col("cg").alias("g"), F.col("a").alias("id")).distinct(), "join-meets")
+        if meets.isEmpty():
+            return None
+        reach = self.reachable(sets, meets)
+        if reach.isEmpty():
+            return None
+        opened = small(written(reach.select("g").distinct(), "join-opened"))
+        return self.compared(sets.select("g", "id").join(opened, "g", "left_semi"), reach)
+
+
+def jaccard_links(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """All links (a, b), a < b, between the representatives of different sets, which are the smallest ids that hold them.
+
+    Which documents hold which set follows from `set_members`. The terms, and what counts
+    for null, empty and repeated rows, are those of `jaccard_components`. Their number may
+    be quadratic in a group of near copies, as every pair of it is a link.
+    """
+    links = _Join(docs, k, num, den).matrix(None)
+    return docs.sparkSession.createDataFrame([], "a long, b long") if links is None else links
+
+
+def set_members(docs: DataFrame, k: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, rep): rep is the smallest id with an equal, non-empty set; null where the set or id is null or empty."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    thin = docs.mapInArrow(_profile(k), "doc_id long, n long, h1 long, h2 long, chunk int, salt int, counts binary").filter("chunk is null")
+    thin = written(thin.select("doc_id", "n", "h1", "h2"), "join-thin")
+    reps = thin.filter("n > 0 and doc_id is not null").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
+    out = thin.join(reps, ["h1", "h2", "n"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
+
+    Two documents link when den * |both| >= num * |either| over their distinct shingles of
+    k words; a text of fewer words, but not none, is one shingle. component_id is the
+    smallest doc_id reachable by links, itself included. Null, empty and blank texts have
+    no shingles and link with nothing. Rows with a null id link with nothing and get a null
+    component; rows that share an id are one node, which links by any of its texts. Equal
+    texts link. An empty table gives an empty one. Other columns play no part. Shingles are
+    compared by 64-bit hashes.
+    """
+    join = _Join(docs, k, num, den)
+    lists, same = join.lists, join.same
     # Groups form around leads: first the set of each list whose first shingles are shared
     # the most, as those of an original are by its copies; then others, drawn by hash, for
     # the sets that linked with no lead so far.
     share = lists.groupBy(F.col("id").alias("i")).agg((F.count("*") / (F.first("n") - F.ceil(F.first("n") * num / den) + 1)).alias("share"))
-    done = written(led(lists.join(share, F.col("id") == F.col("i")).withColumn("c", F.col("id")), "share"), "join-stars")
-    links = verified(done)
+    done = written(join.led(lists.join(share, F.col("id") == F.col("i")).withColumn("c", F.col("id")), "share"), "join-stars")
+    links, repeats = join.verified(done), join.several_classes()
+    if repeats is not None:
+        links = links.union(repeats)
     comps = connected(links)
     for turn in range(1, TURNS):
         size = comps.groupBy("component").agg(F.count("*").alias("size"))
@@ -255,46 +396,24 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         rows = lists.join(of, F.col("id") == F.col("mid"), "left").select("token", "id", "n", F.coalesce("mc", "id").alias("c"), "size")
         rows = rows.withColumn("open", (F.min("c").over(same) != F.max("c").over(same)) & (F.count("size").over(same) > 0)).filter("open")
         rows = rows.withColumn("rank", F.struct(F.col("size").isNotNull().alias("grown"), F.xxhash64("id", F.lit(turn)).alias("draw")))
-        pairs = written(led(rows, "rank").join(done, ["a", "b"], "left_anti"), "join-stars")
+        pairs = written(join.led(rows, "rank").join(done, ["a", "b"], "left_anti"), "join-stars")
         if pairs.isEmpty():
             break
         done = done.union(pairs)
-        found = verified(pairs)
+        found = join.verified(pairs)
         if found.isEmpty():
             break
         links = links.union(found)
         comps = connected(links)
-    # The matrix: first shingles by set and by group, where more than one component meets.
-    # A set that linked with none so far stands in a group of such sets, those that share
-    # the most frequent of its first shingles. Sets of a group are alike in size, which
-    # keeps the bound close.
-    sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
-    of = comps.join(sizes, "component").select(F.col("id").alias("mid"), "component", "size")
-    rows = lists.join(of, F.col("id") == F.col("mid"), "left").withColumn("c", F.coalesce("component", "id"))
-    rows = rows.withColumn("met", F.count("*").over(same)).withColumn("more", F.min("c").over(same) != F.max("c").over(same)).filter("more")
-    rows = written(rows.select("token", "id", "n", "component", F.coalesce("size", F.lit(1)).alias("size"), "met"), "join-matrix")
-    sets = rows.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.first("size").alias("size"), F.max(F.struct("met", "token")).alias("top"))
-    sets = sets.withColumn("kin", F.coalesce("component", "top.token")).withColumn("band", F.floor(F.log(F.col("n").cast("double")) * 20))
-    sets = sets.withColumn("single", F.col("component").isNull()).drop("top")
-    alike = sets.groupBy("single", "kin", "band").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_SHINGLES)).alias("chunks"))
-    sets = sets.join(alike, ["single", "kin", "band"]).withColumn("g", F.xxhash64("single", "kin", "band", F.pmod(F.xxhash64("id"), "chunks")))
-    sets = written(sets.select("id", F.coalesce("component", "g").alias("c"), "g"), "join-groups")
-
-    asks = rows.select("token", F.col("id").alias("a"), "n", "size").join(sets.withColumnRenamed("id", "a"), "a")
-    cells = asks.groupBy("token", F.col("g").alias("cg"), F.col("c").alias("gc"), F.col("size").alias("gsize")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("held"))
-    # The smaller component asks, so a large one is met by groups and not by rows. Groups
-    # of single sets ask in order and also within themselves.
-    turn = F.struct("size", "c") < F.struct(F.col("gsize").alias("size"), F.col("gc").alias("c"))
-    meets = asks.join(cells, "token").filter(turn | ((F.col("size") == 1) & (F.col("g") == F.col("cg")) & (F.col("held") > 1)))
-    meets = meets.filter((F.col("n") * den >= F.col("least") * num) & (F.col("most") * den >= F.col("n") * num))
-    meets = written(meets.select(F.col("cg").alias("g"), F.col("a").alias("id")).distinct(), "join-meets")
-    if not meets.isEmpty():
-        opened = small(meets.select("g").distinct())
-        links = links.union(compared(sets.select("g", "id").join(opened, "g", "left_semi"), meets))
-        comps = connected(links)
-
-    named = classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
-    out = thin.join(named, ["h1", "h2", "n"], "left")
+    more = join.matrix(comps)
+    if more is not None:
+        comps = connected(links.union(more))
+
+    named = join.classes.join(comps.withColumnRenamed("id", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
+    out = join.thin.join(named, ["h1", "h2", "n"], "left")
+    if repeats is not None:  # rows without shingles belong to their id's node
+        of = comps.join(small(written(repeats.select(F.col("b").alias("id")).distinct(), "join-repeated")), "id", "left_semi").toDF("_id", "_component")
+        out = out.join(of, (F.col("n") == 0) & (F.col("doc_id") == F.col("_id")), "left").withColumn("component_id", F.coalesce("component_id", "_component"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
@@ -327,16 +446,22 @@ WITH RECURSIVE words AS (
 ), sets AS (
   SELECT doc_id, {slices} AS s FROM words
 ), reps AS (
-  SELECT list_sort(s) AS s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY 1
+  SELECT s, rep, row_number() OVER () AS c
+  FROM (SELECT list_sort(s) AS s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 AND doc_id IS NOT NULL GROUP BY 1)
 ), tokens AS (
-  SELECT rep, len(s) AS n, unnest(s) AS t FROM reps
+  SELECT rep, c, len(s) AS n, unnest(s) AS t FROM reps
 ), links AS (
   SELECT a.rep AS a, b.rep AS b
-  FROM tokens a JOIN tokens b ON a.t = b.t AND a.rep < b.rep AND {den} * a.n >= {num} * b.n AND {den} * b.n >= {num} * a.n
-  GROUP BY a.rep, b.rep, a.n, b.n
+  FROM tokens a JOIN tokens b ON a.t = b.t AND a.c < b.c AND a.rep <> b.rep AND {den} * a.n >= {num} * b.n AND {den} * b.n >= {num} * a.n
+  GROUP BY a.rep, b.rep, a.c, b.c, a.n, b.n
   HAVING {den} * count(*) >= {num} * (a.n + b.n - count(*))
+), repeats AS (
+  SELECT DISTINCT r.rep AS a, d.doc_id AS b FROM sets d JOIN reps r ON list_sort(d.s) = r.s
+  WHERE d.doc_id IN (SELECT doc_id FROM sets GROUP BY doc_id HAVING count(*) > 1) AND r.rep <> d.doc_id
+), pairs AS (
+  SELECT * FROM links UNION ALL SELECT * FROM repeats
 ), edges AS (
-  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
 ), reach(v, u) AS (
   SELECT a, a FROM (SELECT DISTINCT a FROM edges)
   UNION
@@ -346,7 +471,7 @@ WITH RECURSIVE words AS (
 )
 SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles,
        CASE WHEN d.doc_id IS NOT NULL THEN coalesce(c.c, r.rep, d.doc_id) END AS component_id
-FROM sets d LEFT JOIN reps r ON len(d.s) > 0 AND list_sort(d.s) = r.s LEFT JOIN comps c ON c.v = r.rep"""
+FROM sets d LEFT JOIN reps r ON len(d.s) > 0 AND list_sort(d.s) = r.s LEFT JOIN comps c ON c.v = coalesce(r.rep, d.doc_id)"""
 
 
 QUERIES = {"op1_jaccard_components": op1_jaccard_components}

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a few numbers each that may be broadcast; more are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Bytes of rows, by the sizes of their types, that may be broadcast; more are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
+_WIDTHS = {"string": 64, "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset."""
+    """The folder in spark.checkpoint.dir; one of our own only where that is unset and all tasks run on this machine."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="loomline-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -36,8 +40,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df marked for broadcast if it has at most so many rows; else as it is, to be shuffled."""
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if its rows, of numbers and short names, fit in so many bytes; else as it is, to be shuffled.
+
+    df should be a written table, as it is read once to be counted. A shuffled join of
+    texts with ids may still prune the texts first, by Spark's own runtime filters.
+    """
+    width = sum(_WIDTHS.get(f.dataType.simpleString(), 8) for f in df.schema.fields)
+    rows = limit // max(1, width)
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 

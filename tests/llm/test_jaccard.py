@@ -88,3 +88,59 @@ def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(1, 40)] + [(100, 101), (5, 5)], "a long, b long")
     out = {r.id: r.component for r in connected(edges).collect()}
     assert {v for k, v in out.items() if k <= 40} == {1} and out[101] == 100
+
+
+def test_rows_of_one_id_are_one_node(spark):
+    c, a = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(3, c), (5, c), (4, a), (5, a), (9, c), (9, None), (8, ""), (7, a), (8, " "), (6, "other"), (6, "")]
+    out = got(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert out == brute(rows)
+    assert {x for d, _, x in out if d in (3, 4, 5, 7, 9)} == {3}
+
+
+def test_repeated_ids_match_all_pairs_and_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(11)
+    rows = [(rng.randrange(60) if d is not None else None, t) for d, t in corpus(5)]
+    want = brute(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(jaccard.jaccard_components(df)) == want
+    df.coalesce(1).write.parquet(f"{tmp_path}/d")
+    sql = duckdb.sql(jaccard.components_sql(f"'{tmp_path}/d/*.parquet'")).fetchall()
+    assert sorted(sql, key=str) == want
+
+
+def test_links_are_all_pairs_of_different_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "GROUP", 3)
+    rows = corpus(2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {}
+    for d, t in rows:
+        if d is not None and shingles(t):
+            sets.setdefault(frozenset(shingles(t)), []).append(d)
+    reps = {min(ids): s for s, ids in sets.items()}
+    want = sorted((a, b) for a, x in reps.items() for b, y in reps.items() if a < b and 100 * len(x & y) >= 80 * len(x | y))
+    assert sorted((r.a, r.b) for r in jaccard.jaccard_links(df).collect()) == want and len(want) > 50
+    members = {(r.doc_id, r.rep) for r in jaccard.set_members(df).collect() if r.rep is not None}
+    assert members == {(d, min(ids)) for ids in sets.values() for d in ids}
+    assert jaccard.jaccard_links(df.limit(0)).count() == 0
+
+
+def test_unions_never_hide_a_link():
+    """The bitmap of a union holds each of its tokens, so the bound can only be too high."""
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(rng.randint(5, 200))) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i // 20 for i in range(60)], pa.int64()), pa.array(texts)], ["g", "text"])
+    stored = [r for b in jaccard._unions(iter([batch]), 5) for r in b.to_pylist()]
+    assert [r["g"] for r in stored] == [0, 1, 2]
+    schema = pa.schema([("g", pa.int64()), ("salt", pa.int32()), ("asks", pa.bool_()), ("id", pa.int64()), ("text", pa.string()), ("least", pa.int64()), ("union", pa.binary())])
+    for r in stored:
+        inside = [t for i, t in enumerate(texts) if i // 20 == r["g"]]
+        assert r["least"] == min(len(shingles(t)) for t in inside)
+        rows = [{"g": r["g"], "salt": 0, "asks": False, "id": None, "text": None, "least": r["least"], "union": r["union"]}]
+        rows += [{"g": r["g"], "salt": 0, "asks": True, "id": i, "text": t, "least": None, "union": None} for i, t in enumerate(inside)]
+        out = [x for b in jaccard._bounded(5, 80, 100)(iter([pa.RecordBatch.from_pylist(rows, schema)])) for x in b.to_pylist()]
+        assert [x["id"] for x in out] == list(range(20))
