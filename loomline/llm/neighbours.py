@@ -3,12 +3,17 @@
 The neighbour graph of a bounded sample is cut into balanced parts with few edges between
 them, and a small classifier learns the part of a vector. It places every vector in its
 most probable part and routes a query to several parts, whose vectors are then compared
-exactly. Equal vectors are one entry with its smallest ids, so a group of copies, however
-large, is one row of one part.
+exactly. How many parts are probed is learned on vectors of the sample that neither graph
+cut nor classifier has seen. Parts grow in number with the square root of the vectors; where
+the sample is too small for so many, each part is cut again, in a task of its own, by a
+graph and a classifier fitted on a bounded sample of that part. Equal vectors are one entry
+with its smallest ids, so a group of copies, however large, is one row of one part.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -21,17 +26,23 @@ from pyspark.sql import functions as F
 
 from loomline.llm.shared import small, written
 
-#: Vectors that the graph and the classifier are fitted on, about; chosen by hash.
+#: Vectors that a graph and a classifier are fitted on, about; chosen by hash.
 SAMPLE = 6_000
-#: Neighbours of a vector in the graph; distinct vectors in a part, about, and parts at most.
+#: Neighbours of a vector in the graph, and vectors of the sample in a part at least.
 DEGREE = 10
-PART = 1_500
-PARTS = 256
-#: Share of the sample's graph edges that the probed parts must hold.
-COVER = 0.985
+ROOM = 24
+#: Parts are as many as this times the square root of the distinct vectors.
+DENSITY = 0.5
+#: Share of the sample held out from the fit, and share of its nearest that probed parts must hold.
+HELD = 0.15
+COVER = 0.95
+#: Neighbours of a held-out vector that count for COVER.
+SOUGHT = 5
 #: Candidates and queries that one task compares at a time.
 BLOCK = 2_048
 ASKED = 512
+#: Places in which one common query vector is answered.
+SPREAD = 8
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -109,14 +120,25 @@ class Router:
         return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
 
 
-def fit_router(x: np.ndarray, parts: int, epochs: int = 60, hidden: int = 128, seed: int = 0) -> Router:
-    """Learns the parts of the sample's neighbour graph; x are unit vectors."""
+def single(dim: int) -> Router:
+    return Router(np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
+
+
+def fit_router(x: np.ndarray, parts: int, epochs: int = 60, hidden: int = 96, seed: int = 0) -> Router:
+    """Learns the parts of the sample's neighbour graph; x are unit vectors, in any fixed order.
+
+    A share HELD of them takes no part in the fit: their nearest in the whole sample say how
+    many parts a query has to probe.
+    """
     dim = x.shape[1]
     if parts <= 1:
-        return Router(np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
+        return single(dim)
+    rng = np.random.default_rng(seed)
+    order = rng.permutation(len(x))
+    held, everyone = x[order[: int(len(x) * HELD)]], x
+    x = x[order[int(len(x) * HELD) :]]
     graph = neighbour_graph(x)
     part = balanced_parts(x, graph, parts, seed=seed)
-    rng = np.random.default_rng(seed)
     net = [rng.normal(0, np.sqrt(2 / dim), (dim, hidden)) * np.sqrt(dim), np.zeros(hidden), rng.normal(0, np.sqrt(1 / hidden), (hidden, parts)), np.zeros(parts)]
     first, second = [np.zeros_like(p) for p in net], [np.zeros_like(p) for p in net]
     # The target of a row mixes its own part with those of its neighbours.
@@ -139,17 +161,32 @@ def fit_router(x: np.ndarray, parts: int, epochs: int = 60, hidden: int = 128, s
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
                 net[k] -= 0.003 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    router = Router(*net, probes=1)
-    logits = router.logits(x)
-    home = np.argmax(logits, axis=1)
-    rank = np.empty_like(logits, dtype=np.int64)
-    np.put_along_axis(rank, np.argsort(-logits, axis=1), np.arange(parts)[None, :], axis=1)
-    # The place, in each row's list of parts, of the parts that hold its neighbours.
-    places = np.sort(np.take_along_axis(rank, home[graph], axis=1).ravel())
-    router.probes = int(places[min(len(places) - 1, int(COVER * len(places)))]) + 1
+    router = Router(*(w.astype(np.float32) for w in net), probes=parts)
+    if len(held):
+        # The place, in each held-out row's list of parts, of the parts that hold its nearest.
+        home = np.argmax(router.logits(everyone), axis=1)
+        near = held @ everyone.T
+        near[near > 1 - 1e-12] = -np.inf  # itself
+        sought = np.argpartition(-near, min(SOUGHT, near.shape[1] - 1) - 1, axis=1)[:, : min(SOUGHT, near.shape[1] - 1)]
+        logits = router.logits(held)
+        rank = np.empty_like(logits, dtype=np.int64)
+        np.put_along_axis(rank, np.argsort(-logits, axis=1), np.arange(parts)[None, :], axis=1)
+        places = np.sort(np.take_along_axis(rank, home[sought], axis=1).ravel())
+        router.probes = int(places[min(len(places) - 1, int(COVER * len(places)))]) + 1
     return router
 
 
+def _refined(parts: int) -> Callable:
+    """(part, model): a router within each part, from the sampled vectors (part, vec) of it."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = unit(_matrix(pdf["vec"].sort_values()))
+        model = pickle.dumps(fit_router(x, max(1, min(parts, len(x) // ROOM))))
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "model": [model]})
+
+    return run
+
+
 def _vectors(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """(rows that take part, their vectors as doubles)."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -189,16 +226,31 @@ def _matrix(column) -> np.ndarray:
     return np.stack([np.frombuffer(v) for v in column])
 
 
-def _route(router, several: bool) -> Callable:
+def _route(routers, several: bool) -> Callable:
+    """Adds `parts`, the numbers of the parts of a vector: one, or all those that a query probes."""
+
+    def best(r: Router, x: np.ndarray) -> np.ndarray:
+        logits = r.logits(x)
+        n = min(r.probes, logits.shape[1]) if several else 1
+        return np.argpartition(-logits, n - 1, axis=1)[:, :n]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = router.value
+        top, within = routers.value
         for batch in batches:
             if not batch.num_rows:
                 continue
-            logits = r.logits(unit(_matrix(batch.column(0).to_pylist())))
-            n = min(r.probes, logits.shape[1]) if several else 1
-            best = np.argpartition(-logits, n - 1, axis=1)[:, :n]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.tolist(), pa.list_(pa.int32()))], [*batch.schema.names, "parts"])
+            x = unit(_matrix(batch.column(0).to_pylist()))
+            first = best(top, x)
+            parts = first.tolist()
+            if within:
+                wide = max(r.w2.shape[1] for r in within.values())
+                parts = [[] for _ in range(len(x))]
+                for p in np.unique(first).tolist():
+                    rows = np.flatnonzero((first == p).any(axis=1))
+                    inner = best(within[p], x[rows]) if p in within else np.zeros((len(rows), 1), dtype=np.int64)
+                    for i, some in zip(rows.tolist(), (p * wide + inner).tolist(), strict=True):
+                        parts[i] += some
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(parts, pa.list_(pa.int32()))], [*batch.schema.names, "parts"])
 
     return run
 
@@ -212,18 +264,23 @@ def _nearest(keep: int) -> Callable:
         a, b = _matrix(asked["vec"]), _matrix(block["vec"])
         score = (a @ b.T) / (np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1)[None, :])
         out = []
-        for q, row in zip(asked["q"].tolist(), score, strict=True):
-            # Of equal scores the entry with the smaller id comes first; all at the edge are looked at.
+        for n, (q, row) in enumerate(zip(asked["q"].tolist(), score, strict=True)):
+            # All that may stand at the edge are looked at; a pair's own score is summed up in
+            # one fixed order, whatever the shape of the blocks.
             edge = -np.partition(-row, min(keep, len(row)) - 1)[min(keep, len(row)) - 1]
-            near = np.flatnonzero(row >= edge)
-            near = near[np.argsort(-row[near], kind="stable")][:keep]
-            rows = sorted((-row[j], i) for j in near for i in ids[j])[:keep]
+            near = np.flatnonzero(row >= edge - 1e-9)
+            own = [cosine(a[n], b[j]) for j in near]
+            rows = sorted((-s, i) for s, j in zip(own, near, strict=True) for i in ids[j])[:keep]
             out += [(q, i, -s) for s, i in rows]
         return pd.DataFrame(out, columns=["q", "vec_id", "score"])
 
     return run
 
 
+def cosine(a: np.ndarray, b: np.ndarray) -> float:
+    return float(np.sum(a * b) / (np.sqrt(np.sum(a * a)) * np.sqrt(np.sum(b * b))))
+
+
 def search(vectors: DataFrame, every: int = 50, nearest: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found of each vec_id divisible by `every`.
 
@@ -249,11 +306,22 @@ def search(vectors: DataFrame, every: int = 50, nearest: int = 5) -> DataFrame:
 
     place = F.pmod(F.xxhash64("vec"), F.lit(1 << 30))
     sample = entries.filter(place < int((1 << 30) * min(1.0, SAMPLE / max(total, 1)))).select("vec").toPandas()["vec"].sort_values()
-    parts = int(min(PARTS, max(1, total // PART)))
-    router = fit_router(unit(_matrix(sample)), parts) if len(sample) > 4 * parts else Router(np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
-    shared = spark.sparkContext.broadcast(router)
-
-    index = entries.mapInArrow(_route(shared, False), "vec binary, ids array<long>, parts array<int>")
+    wanted = max(1, round(DENSITY * math.sqrt(total)))
+    parts = max(1, min(wanted, len(sample) // ROOM))
+    routers: tuple[Router, dict[int, Router]] = (fit_router(unit(_matrix(sample)), parts) if parts > 1 else single(dim), {})
+    shared = spark.sparkContext.broadcast(routers)
+
+    kind = "vec binary, ids array<long>, parts array<int>"
+    index = entries.mapInArrow(_route(shared, False), kind)
+    if wanted > parts > 1:
+        # More parts than one sample can teach: each is cut again by a sample of its own.
+        ranked = written(index.select("vec", F.col("parts")[0].alias("part")), "near-parts")
+        share = ranked.groupBy("part").agg((F.lit(float(SAMPLE)) / F.count("*")).alias("share"))
+        some = ranked.join(F.broadcast(share), "part").filter(F.pmod(F.xxhash64("vec", F.lit(1)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+        inner = some.select("part", "vec").groupBy("part").applyInPandas(_refined(-(-wanted // parts)), "part int, model binary").collect()
+        routers = (routers[0], {r.part: pickle.loads(r.model) for r in inner})
+        shared = spark.sparkContext.broadcast(routers)
+        index = entries.mapInArrow(_route(shared, False), kind)
     index = written(index.select("vec", "ids", F.col("ids")[0].alias("u"), F.col("parts")[0].alias("part")), "near-index")
     asking = written(vectors.filter(F.col("vec_id") % every == 0).mapInArrow(_rows(dim), "query_id long, vec binary").distinct(), "near-asking")
     # Equal query vectors are asked once.
@@ -281,15 +349,15 @@ def search(vectors: DataFrame, every: int = 50, nearest: int = 5) -> DataFrame:
     full = found.groupBy("q").count().filter(F.col("count") >= min(keep, rows_in))
     poor = written(routed.join(full, "q", "left_anti").select("vec", "q"), "near-poor")
     if not poor.isEmpty():
-        every_part = [r.part for r in index.select("part").distinct().collect()]  # at most PARTS numbers
+        every_part = [r.part for r in index.select("part").distinct().collect()]  # one number per part
         again = compared(poor.withColumn("part", F.explode(F.array(*map(F.lit, every_part)))))
         found = found.join(poor, "q", "left_anti").unionByName(again)
-    of = routed.select("vec", "q")
-    mine = asking.join(of, "vec").select("query_id", "q")
-    out = found.join(mine, "q").filter("query_id <> vec_id")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= nearest)
-    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # Queries with equal vectors share one answer; a very common one is met in several places.
+    answer = found.groupBy("q").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id", "score"))).alias("near"))
+    answer = answer.join(routed.select("q", "vec"), "q").select("vec", "near", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    asking = asking.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(SPREAD)).cast("int"))
+    out = asking.join(answer, ["vec", "salt"]).select("query_id", F.posexplode(F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, nearest)).alias("pos", "x"))
+    return out.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

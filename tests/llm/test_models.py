@@ -91,7 +91,6 @@ def exact(ids, x, every, k):
 
 
 def test_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "PART", 150)
     monkeypatch.setattr(neighbours, "BLOCK", 64)
     monkeypatch.setattr(neighbours, "ASKED", 16)
     rng = np.random.default_rng(0)
@@ -116,6 +115,28 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.search(df.limit(0)).count() == 0 and neighbours.search(df.filter("embedding is null")).count() == 0
 
 
+@pytest.mark.parametrize("sample", [6000, 500])
+def test_recall_at_default_constants(spark, monkeypatch, sample):
+    """Vectors without clusters; with a small sample the parts are cut twice."""
+    monkeypatch.setattr(neighbours, "SAMPLE", sample)
+    probed = {}
+    fit = neighbours.fit_router
+    monkeypatch.setattr(neighbours, "fit_router", lambda x, parts: probed.setdefault("top", fit(x, parts, epochs=30)))
+    if sample == 500:
+        monkeypatch.setattr(neighbours, "DENSITY", 1.0)
+    x = np.random.default_rng(5).normal(size=(2500, 24)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist(), None) for i, v in enumerate(x)], "vec_id long, embedding array<float>, query_id int")
+    out = neighbours.search(df).toPandas()
+    want = exact(np.arange(2500), x, 50, 5)
+    hits = sum(len(set(part["vec_id"]) & set(want[q])) for q, part in out.groupby("query_id"))
+    assert hits / (5 * len(want)) >= 0.9
+    parts = probed["top"].w2.shape[1]
+    assert parts == (25 if sample == 6000 else 500 // 24) or parts >= 15
+    assert 1 < probed["top"].probes < parts
+    for q, i, s in zip(out["query_id"], out["vec_id"], out["score"]):
+        assert s == neighbours.cosine(x[q], x[i])
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(1)
     x = neighbours.unit(rng.normal(size=(600, 8)))
