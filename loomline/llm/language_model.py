@@ -1,17 +1,23 @@
 """Hashed maximum-entropy language model with class-factored softmax.
 
-A token's probability is that of its class after the two classes before it, times its own
-within the class. Frequent words have classes of their own; the others share classes by
-their last bytes. The class model is log-linear: a bias, the class before (bigram), the one
-before that (skip), and both (trigram, hashed). Its statistics come from all training
-tokens; each update adds up expected feature counts over partitions of them. Within a class
-a word has its smoothed share of the class's count.
+A token's probability is that of its class after the words before it, times that of its
+place in the class after the same words. Both factors are log-linear: a bias, the word
+before (bigram), the ones two and three before (skips), and the last two together (trigram,
+hashed); within a class the features are hashed along with the class. The most frequent
+words have places of their own. All others share a last place in each class by the bytes
+they end with, and have their smoothed share of its count. Words that stand next to alike
+words are put into one class.
+
+Counts, neighbours and gradients come from all training tokens. Each round of updates is
+spread over trainers, which go through their own texts once; the weights of a feature are
+then averaged over them by how often each saw it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,20 +28,32 @@ from pyspark.sql import functions as F
 from loomline.llm.shared import written
 from loomline.llm.words import SPACED, Words, mix, word_slices
 
-OWN = 31  # words with classes of their own, besides the end
-SUFFIXES = 32
-CLASSES = OWN + 1 + SUFFIXES
-END_CLASS, START = OWN, CLASSES
-HASHED = 4096
+#: Classes, and places in a class, the last one of which all rarer words share.
+SIDE = 64
+SUFFIXES = 512
+#: Hashed neighbours, on either side, by which words are put into classes.
+NEIGHBOURS = 64
+#: Rows of the hashed features of classes and of places.
+TRIGRAMS = 1 << 14
+WITHIN = 1 << 15
 #: Words whose counts every task holds; the counts of the others are joined.
 FREQUENT = 1 << 18
-ROUNDS = 12
-TRAINERS = 8
+#: Rounds of updates; each training text takes part in one of them.
+ROUNDS = 2
+RATE = 0.12
+BATCH = 4096
+#: Bytes of input that one trainer goes through at least, where all cores have work.
+TRAINER_BYTES = 256 << 20
 END = np.int64(-1)
+_ABSENT = np.float32(-1e9)
+_U = np.uint64
 
 
 def tokens_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, suffix, row, bound) of all tokens of a slice: the words of each row, then its end."""
+    """(hash, suffix, row, bound) of all tokens of a slice: the words of each row, then its end.
+
+    The suffix is a hash of the last three bytes.
+    """
     words = len(w.hash)
     count = np.diff(w.bound)
     bound = w.bound + np.arange(w.rows + 1)
@@ -46,9 +64,12 @@ def tokens_of(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     own = w.hash.astype(np.int64)
     own[own == END] = 0
     hashes[at] = own
-    last = w.data[w.end - 1].astype(np.uint64) if words else np.empty(0, np.uint64)
-    before = np.where(w.end - w.start > 1, w.data[np.maximum(w.end - 2, 0)], 0).astype(np.uint64) if words else last
-    suffix[at] = (mix(last * np.uint64(256) + before) % np.uint64(SUFFIXES)).astype(np.int64)
+    if words:
+        length = w.end - w.start
+        last = w.data[w.end - 1].astype(np.int64)
+        for k, base in ((2, 257), (3, 65_537)):
+            last += np.where(length >= k, w.data[np.maximum(w.end - k, 0)].astype(np.int64) + 1, 0) * base
+        suffix[at] = (mix(last.astype(np.uint64)) % _U(SUFFIXES)).astype(np.int64)
     row = np.repeat(np.arange(w.rows), count + 1)
     return hashes, suffix, row, bound
 
@@ -90,111 +111,205 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class LanguageModel:
-    own: np.ndarray  # sorted hashes of the words with classes of their own
-    own_class: np.ndarray
+    """Units are the own words by falling count, then the suffixes of all other words."""
+
+    own: np.ndarray  # sorted hashes of the words with places of their own
+    own_unit: np.ndarray  # their units
+    own_log: np.ndarray  # log10(count + 1) by unit
+    unit_class: np.ndarray
+    unit_place: np.ndarray
+    rest: np.ndarray  # log10 of each class's smoothed count of words without own places
     frequent: np.ndarray  # sorted hashes
     frequent_log: np.ndarray  # log10(count + 1)
-    mass: np.ndarray  # log10 of each class's smoothed count
-    weights: np.ndarray  # features x classes
-    tokens: int
-    types: int
-
-    def classes(self, hashes: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-        out = np.where(suffix < 0, END_CLASS, OWN + 1 + suffix)
-        if len(self.own):
-            at = np.minimum(np.searchsorted(self.own, hashes), len(self.own) - 1)
-            same = self.own[at] == hashes
-            out[same] = self.own_class[at[same]]
-        return out
-
-
-def contexts(classes: np.ndarray, bound: np.ndarray) -> np.ndarray:
-    """A number for the two classes before each token; texts start with START."""
-    one = np.empty_like(classes)
-    one[1:] = classes[:-1]
-    two = np.empty_like(classes)
-    two[2:] = classes[:-2]
-    first = bound[:-1]
-    one[first] = START
-    two[first] = START
-    second = first + 1
-    two[second[second < bound[1:]]] = START
-    return one * (CLASSES + 1) + two
-
-
-def features(context: np.ndarray) -> np.ndarray:
-    """Rows of the weights that are active after each context."""
-    one, two = context // (CLASSES + 1), context % (CLASSES + 1)
-    both = (mix(context.astype(np.uint64) + np.uint64(1)) % np.uint64(HASHED)).astype(np.int64)
-    return np.stack((np.zeros_like(one), 1 + one, 2 + CLASSES + two, 3 + 2 * CLASSES + both), axis=1)
-
-
-FEATURES = 3 + 2 * CLASSES + HASHED
-
-
-def class_log_probabilities(weights: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Natural log of the softmax over classes, one row per context."""
-    z = weights[features(context)].sum(axis=1)
+    by_class: np.ndarray  # weights: features x classes
+    by_place: np.ndarray  # weights: hashed features x places; the first rows are the classes' biases
+
+    def units(self, hashes: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.own, hashes), len(self.own) - 1)
+        return np.where(self.own[at] == hashes, self.own_unit[at], len(self.own) + np.maximum(suffix, 0))
+
+
+def contexts(units: np.ndarray, bound: np.ndarray, start: int) -> list[np.ndarray]:
+    """The units one, two and three before each token; `start` before a text."""
+    out = []
+    place = np.arange(len(units)) - np.repeat(bound[:-1], np.diff(bound))
+    for k in (1, 2, 3):
+        before = np.full(len(units), start, dtype=np.int64)
+        before[k:] = units[:-k]
+        before[place < k] = start
+        out.append(before)
+    return out
+
+
+def features(before: list[np.ndarray], units: int) -> list[np.ndarray]:
+    """Rows of the class weights that are active, besides the bias in row 0."""
+    one, two, three = before
+    pair = mix((one * (units + 1) + two).astype(np.uint64)) % _U(TRIGRAMS)
+    return [1 + one, 2 + units + two, 3 + 2 * units + three, 4 + 3 * units + pair.astype(np.int64)]
+
+
+def place_features(before: list[np.ndarray], classes: np.ndarray, units: int) -> list[np.ndarray]:
+    """Rows of the place weights that are active in these classes, the bias of the class first."""
+    one, two, _ = before
+    kinds = (one, two, one * (units + 1) + two)
+    keys = [mix((x * SIDE + classes).astype(np.uint64) * _U(4) + _U(k)) % _U(WITHIN) for k, x in enumerate(kinds)]
+    return [classes, *(SIDE + k.astype(np.int64) for k in keys)]
+
+
+def n_features(units: int) -> int:
+    return 4 + 3 * units + TRIGRAMS
+
+
+def exponents(weights: np.ndarray, rows: list[np.ndarray], bias: bool) -> np.ndarray:
+    z = weights.take(rows[0], axis=0)
+    for r in rows[1:]:
+        z += weights.take(r, axis=0)
+    if bias:
+        z += weights[0]
+    return z
+
+
+def log_softmax(z: np.ndarray) -> np.ndarray:
+    """Natural logs of the probabilities, a row each, in place."""
     z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
 
 
-def _transitions(model) -> Callable:
+def _neighbours(model) -> Callable:
+    """(row, values): how often hashed words stand before and after each unit."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        counts = np.zeros((CLASSES + 1) ** 2 * CLASSES, dtype=np.int64)
+        width = 2 * NEIGHBOURS
+        total = np.zeros(len(m.unit_class) * width)
         for batch in batches:
             for w in word_slices(batch.column(0), SPACED):
-                h, s, _, bound = tokens_of(w)
-                c = m.classes(h, s)
-                np.add(counts, np.bincount(contexts(c, bound) * CLASSES + c, minlength=len(counts)), out=counts)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some // CLASSES), pa.array((some % CLASSES).astype(np.int32)), pa.array(counts[some])], ["context", "class", "n"])
+                h, s, row, _ = tokens_of(w)
+                u = m.units(h, s) * width
+                g = (mix(h.astype(np.uint64)) % _U(NEIGHBOURS)).astype(np.int64)
+                same = row[1:] == row[:-1]
+                keys = np.concatenate(((u[1:] + g[:-1])[same], (u[:-1] + NEIGHBOURS + g[1:])[same]))
+                total += np.bincount(keys, minlength=len(total))
+        yield _vectors(total.reshape(-1, width))
 
     return run
 
 
-def _expected(weights) -> Callable:
-    """Expected counts of each feature with each class, of the partition's contexts."""
+def _vectors(rows: np.ndarray) -> pa.RecordBatch:
+    some = np.flatnonzero(rows.any(axis=1))
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([x.tobytes() for x in rows[some]], pa.binary())], ["row", "values"])
+
+
+def _add_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            v = np.frombuffer(x.as_buffer())
+            sums[r] = sums[r] + v if r in sums else v
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["row", "values"])
+
+
+def _summed(vectors: DataFrame, rows: int, width: int) -> np.ndarray:
+    """The sum of all tasks' vectors by row, a table of the model's size."""
+    out = np.zeros((rows, width))
+    for r in vectors.repartition("row").mapInArrow(_add_vectors, "row int, values binary").collect():
+        out[r.row] = np.frombuffer(r.values)
+    return out
+
+
+def word_classes(near: np.ndarray, own: int, side: int = SIDE, rounds: int = 10, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(class, place) of each unit: own words, by falling count, in classes of side - 1 at most, suffixes at their last places.
+
+    Units with like neighbours stand together; the centres are found by a few rounds of means.
+    """
+    count = near.sum(axis=1)
+    x = np.sqrt(near / np.maximum(count, 1)[:, None]) - np.sqrt(near.sum(axis=0) / max(near.sum(), 1))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    centres = x[np.random.default_rng(seed).choice(own, side, replace=own < side)]
+    weight = np.sqrt(count)[:, None]
+    for _ in range(rounds):
+        closest = np.argmax(x @ centres.T, axis=1)
+        for c in range(side):
+            if (closest == c).any():
+                centres[c] = (x * weight)[closest == c].sum(axis=0)
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
+    liking = x @ centres.T
+    classes, places = np.argmax(liking, axis=1), np.full(len(x), side - 1)
+    taken = np.zeros(side, dtype=np.int64)
+    for i in range(own):
+        c = int(np.argmax(np.where(taken < side - 1, liking[i], -np.inf)))
+        classes[i], places[i] = c, taken[c]
+        taken[c] += 1
+    return classes, places
+
+
+def steps(weights: np.ndarray, scale: np.ndarray, seen: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray, rate: float) -> None:
+    """One update of the rows active in a batch; a row's steps shrink with the gradients it has had."""
+    f = np.concatenate(rows)
+    order = np.argsort(f, kind="stable")
+    f = f[order]
+    first = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+    total = np.add.reduceat(gradient.take(order % len(gradient), axis=0), first, axis=0)
+    f = f[first]
+    seen[f] += np.diff(np.append(first, len(order)))
+    scale[f] += np.mean(total * total, axis=1)
+    weights[f] -= rate * total / np.sqrt(scale[f])[:, None]
+
+
+def train_on(m: LanguageModel, slices: Iterator[Words], rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Goes through the slices once and changes the weights of m; how often each feature was active."""
+    units = len(m.unit_class)
+    tables = (m.by_class, m.by_place)
+    scale = [np.full(len(t), 1e-6, dtype=np.float32) for t in tables]
+    seen = [np.zeros(len(t)) for t in tables]
+    for w in slices:
+        h, s, _, bound = tokens_of(w)
+        u = m.units(h, s)
+        before = contexts(u, bound, units)
+        c, p = m.unit_class[u], m.unit_place[u]
+        for k, (rows, aim) in enumerate(((features(before, units), c), (place_features(before, c, units), p))):
+            for a in range(0, len(u), BATCH):
+                some = [r[a : a + BATCH] for r in rows]
+                z = np.exp(log_softmax(exponents(tables[k], some, k == 0)))
+                z[np.arange(len(z)), aim[a : a + BATCH]] -= 1
+                steps(tables[k], scale[k], seen[k], some, z, rate)
+    return seen[0], seen[1]
+
+
+def _trained(model, rate: float) -> Callable:
+    """(row, values): the change of each feature's weights times how often it was active, and that number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = weights.value
-        total = np.zeros((FEATURES, CLASSES))
-        for batch in batches:
-            context = batch.column(0).to_numpy()
-            n = batch.column(1).to_numpy()
-            p = np.exp(class_log_probabilities(w, context)) * n[:, None]
-            f = features(context)
-            for k in range(f.shape[1]):
-                np.add.at(total, f[:, k], p)
-        some = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([x.tobytes() for x in total[some]], pa.binary())], ["feature", "expected"])
+        m = model.value
+        old = m.by_class, m.by_place
+        mine = replace(m, by_class=old[0].copy(), by_place=old[1].copy())
+        seen = train_on(mine, (w for batch in batches for w in word_slices(batch.column(0), SPACED)), rate)
+        base = 0
+        for before, after, n in zip(old, (mine.by_class, mine.by_place), seen, strict=True):
+            some = np.flatnonzero(n)
+            for a in range(0, len(some), 4096):
+                rows = some[a : a + 4096]
+                values = np.concatenate(((after[rows] - before[rows]).astype(np.float64) * n[rows, None], n[rows, None]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(rows + base, pa.int32()), pa.array([x.tobytes() for x in values], pa.binary())], ["row", "values"])
+            base += len(before)
 
     return run
 
 
-def _train(stats: DataFrame, rounds: int) -> np.ndarray:
-    """Weights after so many updates; stats are (context, class, n) and bounded by the classes' number."""
-    spark = stats.sparkSession
-    seen = stats.toPandas()
-    observed = np.zeros((FEATURES, CLASSES))
-    f = features(seen["context"].to_numpy())
-    for k in range(f.shape[1]):
-        np.add.at(observed, (f[:, k], seen["class"].to_numpy()), seen["n"].to_numpy())
-    weights = np.zeros((FEATURES, CLASSES))
-    weights[0] = np.log((observed[0] + 0.5) / (observed[0].sum() + 0.5 * CLASSES))
-    contexts_in = written(stats.groupBy("context").agg(F.sum("n").alias("n")).repartition(TRAINERS, "context"), "lm-contexts")
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(weights.astype(np.float32).astype(np.float64))
-        parts = contexts_in.mapInArrow(_expected(shared), "feature int, expected binary").collect()
-        expected = np.zeros_like(weights)
-        for r in parts:
-            expected[r.feature] += np.frombuffer(r.expected)
-        # The gradient, each entry over its expected count, which makes steps of even size.
-        step = (observed - expected - 0.02 * weights) / (expected + 2.0)
-        weights += 0.5 * np.clip(step, -1.0, 2.0)
-        shared.unpersist()
-    return weights
+def log10_probabilities(m: LanguageModel, units: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """log10 of each token's probability; of a word without a place of its own, times its count + 1, still unknown."""
+    n = len(m.unit_class)
+    before = contexts(units, bound, n)
+    c, p = m.unit_class[units], m.unit_place[units]
+    out = np.empty(len(units))
+    for a in range(0, len(units), BATCH):
+        e = slice(a, a + BATCH)
+        some = [b[e] for b in before]
+        at = np.arange(len(c[e]))
+        out[e] = log_softmax(exponents(m.by_class, features(some, n), True))[at, c[e]]
+        out[e] += log_softmax(exponents(m.by_place, place_features(some, c[e], n), False))[at, p[e]]
+    return out / np.log(10) - np.where(units >= len(m.own), m.rest[c], 0.0)
 
 
 def _score(model) -> Callable:
@@ -204,10 +319,10 @@ def _score(model) -> Callable:
         for batch in batches:
             for w in word_slices(batch.column(2), SPACED):
                 h, s, row, bound = tokens_of(w)
-                c = m.classes(h, s)
-                context, place = np.unique(contexts(c, bound), return_inverse=True)
-                logs = class_log_probabilities(m.weights, context) / np.log(10)
-                own = logs[place, c] - m.mass[c]
+                u = m.units(h, s)
+                placed = u < len(m.own)
+                own = log10_probabilities(m, u, bound)
+                own[placed] -= m.own_log[u[placed]]
                 rows = w.rows
                 hit = np.zeros(len(h), dtype=bool)
                 value = np.zeros(len(h))
@@ -242,18 +357,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 == 2, F.lit(False))
 
 
-def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
-
-    Tokens are the words of the whole text, A-Z lower-cased, and one end. The model learns
-    from the rows whose crc32(doc_id as text) mod 7 is not 2; a null id is one of them. Null
-    and empty texts hold the end alone. Both scores are log10 probabilities of the text.
-    With nothing to learn from, every class and word is equally unseen. Repeated rows count
-    and are scored each. An empty table gives an empty one; other columns play no part.
-    """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    training = docs.filter(~F.col("held_out")).select("text")
+def fit(training: DataFrame, rounds: int = ROUNDS) -> tuple[LanguageModel, DataFrame, int, int, int]:
+    """A model of the rows (text), the words' counts (word, suffix, n), the least count of a frequent word, tokens and types."""
+    spark = training.sparkSession
     counts = training.mapInArrow(_word_counts, "word long, suffix int, n long").groupBy("word").agg(F.first("suffix").alias("suffix"), F.sum("n").alias("n"))
     counts = written(counts, "lm-counts")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -262,22 +368,66 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     fits = by_count[by_count["words"].cumsum() <= FREQUENT]
     least = int(fits["n"].min()) if len(fits) else 1 << 62
     frequent = counts.filter(F.col("n") >= least).select("word", "n").toPandas().sort_values("word")
-    top = counts.filter((F.col("n") >= 2) & (F.col("word") != int(END))).orderBy(F.desc("n"), "word").select("word", "n", "suffix").limit(OWN).toPandas()
-    mass = np.ones(CLASSES)
-    for r in counts.filter(F.col("word") != int(END)).groupBy("suffix").agg(F.sum(F.col("n") + 1).alias("n")).collect():
-        mass[OWN + 1 + r.suffix] += r.n
-    own_class = np.arange(len(top))
-    for i, r in enumerate(top.itertuples(index=False)):
-        mass[OWN + 1 + r.suffix] -= r.n + 1
-        mass[i] = r.n + 1
+    words = counts.filter(F.col("word") != int(END))
+    top = words.orderBy(F.desc("n"), "word").select("word", "n", "suffix").limit(SIDE * (SIDE - 1) - 1).toPandas()
     ends = counts.filter(F.col("word") == int(END)).select("n").first()
-    mass[END_CLASS] = (ends.n if ends else 0) + 1
-    order = np.argsort(top["word"].to_numpy(dtype=np.int64))
-    model = LanguageModel(top["word"].to_numpy(dtype=np.int64)[order], own_class[order], frequent["word"].to_numpy(dtype=np.int64), np.log10(frequent["n"].to_numpy(dtype=np.float64) + 1), np.log10(mass), np.zeros((FEATURES, CLASSES)), int(totals[0]), int(totals[1]))
+    own = np.concatenate(([END], top["word"].to_numpy(dtype=np.int64)))
+    own_count = np.concatenate(([ends.n if ends else 0], top["n"].to_numpy(dtype=np.int64)))
+    order = np.argsort(own)
+    left = np.zeros(SUFFIXES)  # counts + 1 of the words without places, by suffix
+    for r in words.groupBy("suffix").agg(F.sum(F.col("n") + 1).alias("n")).collect():
+        left[r.suffix] = r.n
+    np.subtract.at(left, top["suffix"].to_numpy(dtype=np.int64), top["n"].to_numpy(dtype=np.int64) + 1)
+
+    units = len(own) + SUFFIXES
+    none = np.zeros(0)
+    model = LanguageModel(own[order], order, np.log10(own_count + 1.0), np.zeros(units, np.int64), np.zeros(units, np.int64), none, frequent["word"].to_numpy(dtype=np.int64), np.log10(frequent["n"].to_numpy(dtype=np.float64) + 1), none, none)
+    near = training.mapInArrow(_neighbours(spark.sparkContext.broadcast(model)), "row int, values binary")
+    model.unit_class, model.unit_place = word_classes(_summed(near, units, 2 * NEIGHBOURS), len(own))
+    classes, places = model.unit_class, model.unit_place
+    count = np.concatenate((own_count + 1.0, left))
+    rest = np.bincount(classes[len(own) :], weights=left, minlength=SIDE) + 1
+    model.rest = np.log10(rest)
+    share = np.zeros((SIDE, SIDE))
+    np.add.at(share, (classes, places), count)
+    share[np.unique(classes[len(own) :]), SIDE - 1] += 1  # the words never seen
+    with np.errstate(divide="ignore", invalid="ignore"):
+        model.by_place = np.full((SIDE + WITHIN, SIDE), 0, dtype=np.float32)
+        model.by_place[:SIDE] = np.where(share > 0, np.log(share / share.sum(axis=1, keepdims=True)), _ABSENT)
+        model.by_class = np.zeros((n_features(units), SIDE), dtype=np.float32)
+        model.by_class[0] = np.where(share.sum(axis=1) > 0, np.log(share.sum(axis=1) / share.sum()), _ABSENT)
+
+    # A trainer reads a few of the input's partitions.
+    parts = training.rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    number, unit = re.match(r"(\d+)\s*([kmg]?)", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    each = max(1, TRAINER_BYTES // (int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit]))
+    trainers = max(1, min(parts, max(cores, parts // each)))
+    for r in range(rounds):
+        shared = spark.sparkContext.broadcast(model)
+        part = training.filter(F.pmod(F.coalesce(F.xxhash64("text"), F.lit(0)), F.lit(rounds)) == r)
+        change = part.coalesce(trainers).mapInArrow(_trained(shared, RATE / (1 + r)), "row int, values binary")
+        total = _summed(change, len(model.by_class) + len(model.by_place), SIDE + 1)
+        step = (total[:, :SIDE] / np.maximum(total[:, SIDE:], 1)).astype(np.float32)
+        model = replace(model, by_class=model.by_class + step[: len(model.by_class)], by_place=model.by_place + step[len(model.by_class) :])
+        shared.unpersist()
+    return model, counts, least, int(totals[0]), int(totals[1])
+
+
+def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    stats = training.mapInArrow(_transitions(spark.sparkContext.broadcast(model)), "context long, class int, n long")
-    stats = written(stats.groupBy("context", "class").agg(F.sum("n").alias("n")), "lm-stats")
-    model.weights = _train(stats, rounds)
+    Tokens are the words of the whole text, A-Z lower-cased, and one end. The model learns
+    from the rows whose crc32(doc_id as text) mod 7 is not 2; a null id is one of them. Null
+    and empty texts hold the end alone. Both scores are log10 probabilities of the text; over
+    all words with places, all other known words, and one word never seen in each class that
+    takes such words, a token's probabilities add up to 1. With nothing to learn from, the
+    end and the words never seen are left. Repeated rows count and are scored each. An empty
+    table gives an empty one; other columns play no part.
+    """
+    spark = docs.sparkSession
+    docs = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
+    model, counts, least, tokens, types = fit(docs.filter(~F.col("held_out")).select("text"), rounds)
     shared = spark.sparkContext.broadcast(model)
 
     kind = f"rid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, known long, logs double, own double, words array<long>, counts array<long>"
@@ -288,8 +438,8 @@ def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     more = joined.groupBy("rid").agg(F.sum(F.col("tf") * F.log10(F.col("n") + 1)).alias("l"), F.sum("tf").alias("k")).withColumnRenamed("rid", "r")
     out = scored.drop("words", "counts").join(more, F.col("rid") == F.col("r"), "left")
     logs = F.col("logs") + F.coalesce("l", F.lit(0.0))
-    base = logs - F.col("n_tokens") * F.lit(float(np.log10(totals[0] + totals[1] + 1)))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(int(totals[0])).cast("long").alias("train_tokens"), base.alias("base_score"), (logs + F.col("own")).alias("score"))
+    base = logs - F.col("n_tokens") * F.lit(float(np.log10(tokens + types + 1)))
+    return out.select("doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (logs + F.col("own")).alias("score"))
 
 
 def op6_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

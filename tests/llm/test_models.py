@@ -7,7 +7,9 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from loomline.llm import language_model, neighbours, quality
 
@@ -60,7 +62,7 @@ def test_language_model(spark, monkeypatch):
         rows.append((i, " ".join(rng.choice(words) if k % 2 else ("The", "of")[words is one] for k in range(rng.randint(1, 60))) + f" rare{i}"))
     rows += [(500, None), (501, ""), (None, "the of"), (3, rows[3][1]), (502, "the " * 50_000)]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, score string")
-    out = language_model.lm_scores(df, rounds=8).collect()
+    out = language_model.lm_scores(df).collect()
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     token = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(low)) + [None] for _, t in rows]
     held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows]
@@ -72,12 +74,63 @@ def test_language_model(spark, monkeypatch):
     tested = [r for r in out if r.held_out and r.doc_id < 400]
     assert sum(r.score for r in tested) > 0.8 * sum(r.base_score for r in tested)
     assert language_model.lm_scores(df.limit(0)).count() == 0
-
-
-def test_class_probabilities_add_up():
-    w = np.random.default_rng(0).normal(size=(language_model.FEATURES, language_model.CLASSES))
-    p = np.exp(language_model.class_log_probabilities(w, np.arange(0, 65 * 65, 7)))
-    assert p.sum(axis=1) == pytest.approx(np.ones(len(p)))
+    nothing = language_model.lm_scores(df.filter("doc_id = 502 or doc_id = 501").withColumn("doc_id", F.lit(2))).collect()
+    assert len(nothing) == 2 and all(math.isfinite(r.score) for r in nothing)
+
+
+def plain_probability(m, counts, before, word):
+    """P(word | the three words before it), term by term, from the weights; a word is (hash, suffix)."""
+    n = len(m.unit_class)
+    own = dict(zip(m.own.tolist(), m.own_unit.tolist(), strict=True))
+    unit = lambda x: n if x is None else own.get(x[0], len(own) + max(x[1], 0))
+    hashed = lambda x, size: int(language_model.mix(np.array([x % 2**64], dtype=np.uint64))[0]) % size
+    one, two, three = map(unit, before)
+    u = unit(word)
+    c, p = int(m.unit_class[u]), int(m.unit_place[u])
+    pair = one * (n + 1) + two
+    rows = [0, 1 + one, 2 + n + two, 3 + 2 * n + three, 4 + 3 * n + hashed(pair, language_model.TRIGRAMS)]
+    z = sum(m.by_class[r].astype(float) for r in rows)
+    rows = [c] + [language_model.SIDE + hashed((x * language_model.SIDE + c) * 4 + k, language_model.WITHIN) for k, x in enumerate((one, two, pair))]
+    y = sum(m.by_place[r].astype(float) for r in rows)
+    out = np.exp(z[c] - z.max()) / np.exp(z - z.max()).sum() * np.exp(y[p] - y.max()) / np.exp(y - y.max()).sum()
+    return out if u < len(own) else out * (counts.get(word[0], 0) + 1) / 10 ** m.rest[c]
+
+
+@pytest.fixture(scope="module")
+def language(spark):
+    """A model of the small documents, their counts and the documents."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    training = docs.filter(~language_model.held_out(F.col("doc_id")))
+    model, counts, *_ = language_model.fit(training.select("text"))
+    return model, {r.word: (r.suffix, r.n) for r in counts.collect()}, docs
+
+
+def test_word_probabilities_add_up(language):
+    m, counts, _ = language
+    frequent = sorted((w for w in counts if w != -1), key=lambda w: -counts[w][1])
+    some = [(w, counts[w][0]) for w in (*frequent[:3], *frequent[5000:5003])]
+    n = {w: k for w, (_, k) in counts.items()}
+    rest = sorted(set(m.unit_class[len(m.own) :].tolist()))
+    suffix_in = {int(m.unit_class[len(m.own) + s]): s for s in range(language_model.SUFFIXES)}
+    for before in ((None, None, None), (some[0], None, None), (some[3], some[1], some[0]), (some[2], some[4], some[5]), (some[0], some[0], some[1])):
+        total = math.fsum(plain_probability(m, n, before, (w, s)) for w, (s, _) in counts.items())
+        total += math.fsum(plain_probability(m, n, before, (12345, suffix_in[c])) for c in rest)  # a word never seen, in each class that takes such
+        assert total == pytest.approx(1.0, abs=1e-4)
+
+
+def test_score_is_the_sum_of_plain_terms(spark, language):
+    m, counts, docs = language
+    n = {w: k for w, (_, k) in counts.items()}
+    rows = {r.doc_id: r for r in language_model.lm_scores(docs).collect()}
+    texts = [r for r in docs.collect() if r.text and len(r.text) < 900][:25]
+    for r in texts:
+        (w,) = language_model.word_slices(pa.array([r.text]))
+        h, s, _, _ = language_model.tokens_of(w)
+        token = list(zip(h.tolist(), s.tolist(), strict=True))
+        want = sum(math.log10(plain_probability(m, n, [token[i - k] if i >= k else None for k in (1, 2, 3)], t)) for i, t in enumerate(token))
+        assert rows[r.doc_id].score == pytest.approx(want, rel=2e-3)
+    held = [r for r in rows.values() if r.held_out]
+    assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
 
 
 def exact(ids, x, every, k):
