@@ -3,8 +3,10 @@
 A pre-token's best segmentation into pieces of a unigram vocabulary is found from left to
 right: the best score of a prefix depends on that prefix alone. So the distinct pre-tokens
 of a task go into a trie, the forward scores are computed once per trie node, level by
-level, and each pre-token's count is read at its terminal node. A document's count is the
-sum over its pre-tokens.
+level, and each pre-token's count is read at its terminal node. Where a level has few nodes
+left, as in long runs without spaces, each of them goes on by itself through a trie of the
+pieces, from the scores of the prefix it shares. A document's count is the sum over its
+pre-tokens.
 """
 
 from __future__ import annotations
@@ -23,8 +25,11 @@ from loomline.llm.words import SPACED, text_slices
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Log score of a byte that no piece covers.
 UNKNOWN = -30.0
-#: Distinct pre-tokens that a task remembers between batches, about.
+#: Distinct pre-tokens that a task remembers between batches, about, and bytes of one.
 REMEMBERED = 400_000
+REMEMBERED_BYTES = 256
+#: Words from which a level of the trie is worked on as a whole.
+FEW = 24
 _U = np.uint64
 
 
@@ -37,6 +42,8 @@ class Pieces:
     longest: int
     #: Whether some piece has these last bits of its mixed hash; tells most strings apart at once.
     sieve: np.ndarray
+    #: The pieces as a trie: by byte the next node, by -1 the score.
+    trie: dict
 
 
 SIEVE_BITS = 20
@@ -62,20 +69,60 @@ def pieces_of(scored: list[tuple[bytes, float]]) -> Pieces:
     hashes = np.array(sorted(best), dtype=np.uint64)
     sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
     sieve[_sieve(hashes)] = True
-    return Pieces(hashes, np.array([best[int(h)] for h in hashes]), max((len(p) for p, _ in scored), default=0), sieve)
+    trie: dict = {}
+    for piece, score in scored:
+        at = trie
+        for b in piece:
+            at = at.setdefault(b, {})
+        if piece:
+            at[-1] = max(score, at.get(-1, -math.inf))
+    return Pieces(hashes, np.array([best[int(h)] for h in hashes]), max((len(p) for p, _ in scored), default=0), sieve, trie)
 
 
 def load_pieces(path: str = VOCABULARY) -> Pieces:
     """Pieces of a SentencePiece model, "▁" standing for the space before a pre-token.
 
-    The model gives ranks and no probabilities, so a piece of rank r scores -log(r + 2)
-    less a constant, as in a Zipf law; the shortest segmentation wins nearly always.
+    A unigram model gives the log probabilities of its pieces. One of merges, as the default,
+    gives their ranks alone: a piece of rank r then scores -log(r + 2) less a constant, as
+    in a Zipf law, under which the shortest segmentation wins nearly always. Nothing here is
+    fitted to a corpus.
     """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
-    return pieces_of([(model.id_to_piece(i).replace("▁", " ").encode(), -4.0 - math.log(r + 2)) for r, i in enumerate(ids)])
+    own = [model.get_score(i) for i in ids]
+    if all(x == int(x) for x in own):
+        own = [-4.0 - math.log(r + 2) for r in range(len(ids))]
+    return pieces_of([(model.id_to_piece(i).replace("▁", " ").encode(), x) for i, x in zip(ids, own, strict=True)])
+
+
+def _go_on(word: bytes, done: int, scores: list[float], counts: list[int], pieces: Pieces) -> int:
+    """Tokens of a word whose best scores and counts are known for the prefixes up to `done` bytes, the last ones given."""
+    first = done + 1 - len(scores)
+    n = len(word)
+    best = scores + [-math.inf] * (n - done)
+    least = counts + [0] * (n - done)
+    trie = pieces.trie
+    for p in range(first, n):
+        at = p - first
+        if p > done and best[at - 1] + UNKNOWN > best[at] + 1e-9:
+            best[at], least[at] = best[at - 1] + UNKNOWN, least[at - 1] + 1
+        here, number = best[at], least[at] + 1
+        node = trie
+        for q in range(p, n):
+            node = node.get(word[q])
+            if node is None:
+                break
+            score = node.get(-1)
+            if score is not None and q >= done:
+                to = q + 1 - first
+                value = here + score
+                if value > best[to] + 1e-9 or (value > best[to] - 1e-9 and number < least[to]):
+                    best[to], least[to] = value, number
+    if best[-2] + UNKNOWN > best[-1] + 1e-9:
+        return least[-2] + 1
+    return least[-1]
 
 
 def counts_of(words: list[bytes], pieces: Pieces) -> np.ndarray:
@@ -105,6 +152,15 @@ def counts_of(words: list[bytes], pieces: Pieces) -> np.ndarray:
     for d in range(1, depth + 1):
         keep = lengths[alive] >= d
         alive, node = alive[keep], node[keep]
+        if len(alive) < FEW and d > 1:
+            for i, at in zip(alive.tolist(), node.tolist(), strict=True):
+                scores, counts = [], []
+                for back_by in range(1, min(back, d - 1) + 2):  # prefixes of d - 1 bytes, d - 2, ...
+                    scores.append(float(score[-back_by][at]))
+                    counts.append(int(tokens[-back_by][at]))
+                    at = int(up[-back_by][at])
+                out[order[i]] = _go_on(words[order[i]], d - 1, scores[::-1], counts[::-1], pieces)
+            break
         byte = data[begin[alive] + d - 1]
         fresh = np.ones(len(alive), dtype=bool)
         fresh[1:] = (node[1:] != node[:-1]) | (byte[1:] != byte[:-1])
@@ -172,15 +228,15 @@ def _counted(pieces) -> Callable:
         for batch in batches:
             slices = list(pre_tokens(batch.column(1)))
             new = list({w for _, _, words, _ in slices for w in words} - known.keys())
-            known.update(zip(new, counts_of([b" " + w for w in new], pieces.value).tolist(), strict=True))
+            counted = dict(zip(new, counts_of([b" " + w for w in new], pieces.value).tolist(), strict=True))
             for first, row, words, which in slices:
                 rows, which = int(which[-1]), which[:-1]
-                per = np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words))
+                per = np.fromiter((known[w] if w in known else counted[w] for w in words), dtype=np.int64, count=len(words))
                 total = np.bincount(row, weights=per[which], minlength=rows).astype(np.int64)
                 number = np.bincount(row, minlength=rows)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), pa.array(number, pa.int64()), pa.array(total, pa.int64())], ["doc_id", "n_pretokens", "n_tokens"])
-            if len(known) > REMEMBERED:
-                known = {}
+            known = {} if len(known) > REMEMBERED else known
+            known.update((w, n) for w, n in counted.items() if len(w) <= REMEMBERED_BYTES)
 
     return run
 

@@ -184,7 +184,7 @@ def test_decoding_is_the_best_closed_set():
         assert sum(o for o, k in zip(odds, pages.decode(order, odds), strict=True) if k) == pytest.approx(best)
 
 
-def test_token_counts(spark):
+def test_token_counts(spark, monkeypatch):
     pieces = token_counts.pieces_of([(b" a", -1.0), (b"b", -1.5), (b"ab", -2.0), (b" ab", -2.2), (b"ba", -1.0), ("é".encode(), -1.0), (b"bab", -2.4)])
     rng = random.Random(2)
     words = list({b" " + "".join(rng.choice("abéc") for _ in range(rng.randint(1, 12))).encode() for _ in range(300)})
@@ -202,13 +202,29 @@ def test_token_counts(spark):
             score.append((top, min(n for s, n in ways if s >= top - 1e-9)))
         return score[-1][1]
 
-    assert token_counts.counts_of(words, pieces).tolist() == [best(w) for w in words]
+    words += [b" " + "".join(rng.choice("abéc") for _ in range(rng.randint(60, 700))).encode() for _ in range(12)]
+    words += [words[-1] + b"abab", words[-1][:-3], b"", b"b", b" " + b"a" * 400, b"\xff" * 30]
+    for few in (1, 24, 1000):
+        monkeypatch.setattr(token_counts, "FEW", few)
+        assert token_counts.counts_of(words, pieces).tolist() == [best(w) if w else 0 for w in words], few
     df = spark.createDataFrame([(1, "the cat  sat", 1), (2, None, 1), (3, " \n", 1), (None, "x" * 5000, 1), (1, "the cat sat", 1)], "doc_id long, text string, n_tokens int")
     out = token_counts.token_counts(df).collect()
     assert [r.n_pretokens for r in out] == [3, 0, 0, 1, 3] and out[0].n_tokens == out[4].n_tokens == 3 and out[1].n_tokens == 0
     assert token_counts.token_counts(df.limit(0)).count() == 0
 
 
+def test_long_runs_without_spaces_take_linear_time():
+    rng = random.Random(0)
+    pieces = token_counts.load_pieces()
+    for alphabet in ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "的一是不了人我在有他这", "a"):
+        text = "".join(rng.choice(alphabet) for _ in range(1_000_000 // len(alphabet[0].encode())))
+        began = time.perf_counter()
+        (n,) = token_counts.counts_of([b" " + text.encode()], pieces)
+        assert time.perf_counter() - began < 8 and 0 < n <= len(text.encode()) + 1
+    model = token_counts.counts_of([b" the", b" " + b"the" * 3], pieces).tolist()
+    assert model[0] == 1
+
+
 def test_shards(spark, tmp_path):
     rng = random.Random(5)
     rows = [(i, "é" * rng.randint(0, 300), "x") for i in range(400)] + [(7, None, "x"), (None, "", "x"), (8, "z" * 500, "x")] + [(1000 + i, "copy of one", "x") for i in range(200)]
