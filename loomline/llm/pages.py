@@ -15,6 +15,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,7 +25,10 @@ from pyspark.sql import functions as F
 
 from loomline.llm.shared import written
 
-_TAG = re.compile(r"""<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<[!?/][^>]*>|<[a-zA-Z][^>]*>""", re.DOTALL)
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"<>]*"[^>"']*|'[^'<>]*'[^>"']*)*)>""")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_QUOTE = re.compile("[>\"']")
+_NUMBER = re.compile(r"&#(?:([0-9]+)|[xX]([0-9a-fA-F]+));?")
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _LABEL = re.compile(r"""data-main\s*=\s*"(\d)\"""")
 _WORD = re.compile(r"[A-Za-z]+")
@@ -79,7 +83,7 @@ N_FEATURES = 2 * (len(GROUPS) + 1) + 2 * len(TOKENS) + 14
 
 
 class Node:
-    __slots__ = ("chars", "children", "depth", "hits", "label", "links", "parent", "parts", "paragraphs", "tag", "tags", "text", "words")
+    __slots__ = ("chars", "children", "depth", "hits", "label", "links", "parent", "parts", "paragraphs", "tag", "tags", "text", "ways", "words")
 
     def __init__(self, tag: str, parent: Node | None, hits: tuple[int, ...] = (0,) * len(TOKENS), label: int | None = None):
         self.tag, self.parent, self.hits, self.children = tag, parent, hits, []
@@ -87,6 +91,7 @@ class Node:
         self.label = label if label is not None else (parent.label if parent else 0)
         self.parts: list[str] = []
         self.links, self.text = 0, ""
+        self.ways: dict[str, Node] | None = None  # where the way up from here ended, by start tag
         if parent:
             parent.children.append(self)
 
@@ -104,71 +109,127 @@ def _hits(attributes: str) -> tuple[int, ...]:
     return tuple(int(not tokens.isdisjoint(s)) for s in TOKENS)
 
 
+class Tags:
+    """Finds the tags of a page, each by a scan that goes on where the last one ended.
+
+    A ">" within quotes ends no tag, unless one of the quotes after it is never closed.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last, self.open_quote = page, page.rfind(">"), 0
+
+    def after(self, pos: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" or "", name, attributes) of the next one; a comment or declaration has no name."""
+        page = self.page
+        while 0 <= (start := page.find("<", pos)) < len(page) - 1:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(page), "", "", ""
+            if start > self.last:
+                return None
+            if start >= self.open_quote and (m := _TAG.match(page, start)):
+                return start, m.end(), m[1], m[2].lower(), m[3]
+            if m := _NAME.match(page, start):
+                end = self.close(m.end()) if start >= self.open_quote else 0
+                end = end or page.find(">", m.end()) + 1
+                return start, end, m[1], m[2].lower(), page[m.end() : end - 1]
+            if page[start + 1] in "!?/":
+                return start, page.find(">", start) + 1, "", "", ""
+            pos = start + 1
+        return None
+
+    def close(self, at: int) -> int:
+        """The place after the first ">" outside of quotes; 0 if a quote is never closed."""
+        while q := _QUOTE.search(self.page, at):
+            if q[0] == ">":
+                return q.end()
+            at = self.page.find(q[0], q.end()) + 1
+            if not at:
+                self.open_quote = q.end()
+                break
+        return 0
+
+
 def parse(page: str) -> Node:
     """The tree of block elements and text runs ("#text") of a page, however ill-formed.
 
     Of a head ("#head") and of elements in DROP nothing is kept; one of the latter that is
-    never closed is an element like any other.
+    never closed is an element like any other. Time follows the page's length.
     """
     root = Node("#root", None)
     at, run, linked = root, None, 0
     drops: list[tuple[Node, Node | None, int]] = []  # opened, with the run and link around them
+    opened: Counter[str] = Counter()  # elements that are open, by tag
+
+    def enter(node: Node) -> None:
+        nonlocal at
+        at = node
+        opened[node.tag] += 1
+
+    def leave(up: Node) -> None:
+        """Closes all that is open inside up."""
+        nonlocal at
+        while at is not up:
+            opened[at.tag] -= 1
+            at = at.parent
+
+    def inner(tag: str) -> Node:
+        """The innermost open element of this tag."""
+        up = at
+        while up.tag != tag:
+            up = up.parent
+        return up
 
     def text(s: str) -> None:
-        nonlocal at, run
+        nonlocal run
         if not s:
             return
         if run is None:
             if s.isspace():
                 return
             while at.tag == "#head":
-                at = at.parent
+                leave(at.parent)
             run = Node("#text", at)
         run.parts.append(s)
         if linked:
             run.links += len(s.strip())
 
-    pos, n = 0, len(page)
+    tags, pos, n = Tags(page), 0, len(page)
     while pos < n:
-        m = _TAG.search(page, pos)
-        if m is None:
+        found = tags.after(pos)
+        if found is None:
             text(page[pos:])
             break
-        if m.start() > pos:
-            text(page[pos : m.start()])
-        pos = m.end()
-        tag = (m[2] or "").lower()
+        start, end, closing, tag, attributes = found
+        if start > pos:
+            text(page[pos:start])
+        pos = end
         if not tag:
             continue
-        closing, attributes = m[1], m[3] or ""
         if not closing:
-            if tag == "body":  # ends a head around open elements too
-                up = at
-                while up is not root and up.tag != "#head":
-                    up = up.parent
-                at = up if up is not root else at
+            if tag == "body" and opened["#head"]:  # ends a head around open elements too
+                leave(inner("#head"))
             while at.tag == "#head" and tag not in HEAD:
-                at = at.parent
+                leave(at.parent)
         if tag in RAW:
             if not closing and not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, pos)
-                pos = end.end() if end else n
+                stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, pos, tags.last + 1)
+                pos = stop.end() if stop else n
             continue
         if tag in DROP:
             if closing:
-                up = at
-                while up is not root and up.tag != tag:
-                    up = up.parent
-                if up is not root:
+                if opened[tag]:
+                    up = inner(tag)
                     while drops[-1][0] is not up:
                         drops.pop()
                     _, run, linked = drops.pop()
-                    at = up.parent
+                    leave(up.parent)
                     at.children.pop()
             elif not attributes.endswith("/"):
                 node = Node(tag, at)
                 drops.append((node, run, linked))
-                at, run, linked = node, None, 0
+                enter(node)
+                run, linked = None, 0
             continue
         if tag in INLINE:
             if tag == "a":
@@ -182,24 +243,24 @@ def parse(page: str) -> Node:
         if tag == "head":
             tag = "#head"
         if closing:
-            up = at
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                at = up.parent
+            if opened[tag]:
+                leave(inner(tag).parent)
             linked = 0
             continue
         if tag in CLOSES:
             shut, stop = CLOSES[tag]
-            up = at
-            while up is not root and up.tag not in shut and up.tag not in stop and up.tag not in DROP:
-                up = up.parent
-            if up.tag in shut:
-                at = up.parent
-        label = _LABEL.search(attributes)
+            if any(opened[t] for t in shut):
+                up = at
+                while up is not root and up.tag not in shut and up.tag not in stop and up.tag not in DROP:
+                    # The way up from a node never changes, so it is gone once.
+                    up = up.ways[tag] if up.ways and tag in up.ways else up.parent
+                at.ways = (at.ways or {}) | {tag: up}
+                if up.tag in shut:
+                    leave(up.parent)
+        label = _LABEL.search(attributes) if "data-main" in attributes else None
         node = Node(tag, at, _hits(attributes), int(label[1]) if label else None)
         if not attributes.endswith("/"):
-            at = node
+            enter(node)
     while at is not root:  # a head that reaches to the end of the page was no head
         if at.tag == "#head":
             at.tag = "head"
@@ -207,6 +268,17 @@ def parse(page: str) -> Node:
     return root
 
 
+def _reference(m: re.Match) -> str:
+    """A numeric reference without leading zeros; one beyond all characters stands for a character that is none."""
+    digits = (m[1] or m[2]).lstrip("0")
+    return "&#xFFFD;" if len(digits) > 7 else f"&#{'' if m[1] else 'x'}{digits or 0};"
+
+
+def decoded(s: str) -> str:
+    """s with its character references decoded."""
+    return entities.unescape(_NUMBER.sub(_reference, s) if "&#" in s else s)
+
+
 def measure(root: Node) -> list[Node]:
     """All nodes, parents first, with sums over their subtrees."""
     order, stack = [], [root]
@@ -217,7 +289,7 @@ def measure(root: Node) -> list[Node]:
     for node in order:
         node.chars = node.words = node.tags = node.paragraphs = 0
         if node.tag == "#text":
-            node.text = " ".join(entities.unescape("".join(node.parts)).split())
+            node.text = " ".join(decoded("".join(node.parts)).split())
             node.chars = len(node.text)
             node.words = node.text.count(" ") + 1 if node.text else 0
             node.paragraphs = int(node.chars > 80)

@@ -167,6 +167,45 @@ def test_dropped_elements(tag):
     assert texts(f"<p>one</{tag}> two <{tag}/>three</p>") == ["one two three"]
 
 
+def texts_of(page):
+    return [n.text for n in pages.measure(pages.parse(page)) if n.text]
+
+
+def test_tags_and_quotes():
+    assert texts_of("<p title='a > b'>one<p title=\"x>y\" class=z>two") == ["one", "two"]
+    assert texts_of("<p title='never closed>one<p>two") == ["one", "two"]
+    assert texts_of("a < b <3 c<p>x</><?y?>z<!doctype html>") == ["a < b <3 c", "xz"]
+    assert texts_of("one<!-- <p>two") == ["one"] and texts_of("x<") == ["x<"] and texts_of("x<a") == ["x<a"]
+    assert texts_of("<p>a<script>if (x < 1) '</p>'</script foo>b<style>c</STYLE\n>d") == ["abd"]
+    assert texts_of("<p>&#00065;&#x000042;&#999999999999;&#x110000;&#" + "9" * 6000 + ";&#0;|&amp;lt;") == ["AB\ufffd\ufffd\ufffd\ufffd|&lt;"]
+    assert texts_of("<p>before</p><button>go<p>after one</p><p>after two</p>") == ["before", "go", "after one", "after two"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<a '" * 250_000, "<p \">\" '" * 100_000 + "'", "<div>" * 60_000 + "</section>" * 60_000, "<!-" * 300_000, "</" * 400_000, "<ul><li><section>" + "<section>" * 50_000 + "<li></li>" * 50_000, "<li><ul>" + "<section><li></li>" * 40_000, "<script>" + "</scrip " * 100_000, "<select>" * 50_000 + "</button>" * 50_000, "<center>" * 50_000 + "<body>" * 50_000, "&#" * 300_000, "<p>" * 200_000, "<" * 500_000],
+    ids=range(14),
+)
+def test_time_follows_the_length_of_ill_formed_pages(page):
+    began = time.perf_counter()
+    pages.parse(page)
+    assert time.perf_counter() - began < 4
+
+
+def test_trees_agree_with_spark(spark):
+    """The odds read off the trees are those of Spark's own model."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    y, x = zip(*(pages.training_rows(i) for i in range(40)), strict=True)
+    y, x = sum(y, []), np.concatenate(x)
+    df = spark.createDataFrame([(float(a), b.tolist()) for a, b in zip(y, x, strict=True)], "label double, x array<double>").select("label", "x", array_to_vector("x").alias("features"))
+    model = GBTClassifier(maxIter=6, maxDepth=4, stepSize=0.3, seed=1).fit(df)
+    rows = model.transform(df).select("x", vector_to_array("probability")[1].alias("p")).collect()
+    odds = pages.Trees.of(model).log_odds(np.array([r.x for r in rows]))
+    assert 1 / (1 + np.exp(-odds)) == pytest.approx(np.array([r.p for r in rows]), abs=1e-9)
+
+
 def test_decoding_is_the_best_closed_set():
     rng = random.Random(4)
     for _ in range(40):
