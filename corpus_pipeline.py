@@ -9,32 +9,42 @@ from loomline.llm.jaccard import keep_one
 from loomline.llm.mixing import apply_mix
 from loomline.llm.quality import keep_good
 from loomline.llm.shared import written
-from loomline.llm.sharding import shard
+from loomline.llm.sharding import shard_documents
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the classifier rejects."""
+    """Drops the documents that the classifier rejects.
+
+    Null and empty texts have a score too. Without labels of both classes all scores are
+    alike, so that all documents stay or go together; an empty table stays empty.
+    """
     return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of the n-gram Jaccard join."""
+    """Keeps one document of each component of the n-gram Jaccard join, the one with the smallest id.
+
+    Texts without words, and rows without an id, link with nothing and stay.
+    """
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that hold a window of a benchmark item."""
+    """Drops the documents that hold a window of a benchmark item. Texts without words, and all if there are no items, stay."""
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or drops documents so that their sources meet the target weights."""
+    """Repeats or drops documents so that their sources, null among them, meet the target weights. Texts without words go."""
     return apply_mix(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Gives each document a shard and a place in it."""
-    return shard(docs, 24)
+    """Every document with its shard, 0 to 23, and its place in it.
+
+    Null and empty texts count 8 bytes; repeated rows have places of their own.
+    """
+    return shard_documents(docs, 24)
 
 
 STAGES = [

@@ -1,12 +1,17 @@
 """Balanced contiguous shards from global byte-size prefix sums.
 
-Documents stand in one global order. Each range partition gives its total, the totals'
-prefix sums give every partition's offset, and a document's place is its offset plus the
-running sum inside its partition. The total is cut at equal targets.
+Documents stand in one global order. Each range partition is sorted and sums up its sizes as
+it is written; the partitions' totals give every partition's offset, and a document's place
+is its offset plus the running sum inside its partition. The total is cut at equal targets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,24 +21,35 @@ from loomline.llm.shared import written
 OVERHEAD = 8
 
 
-def shard(docs: DataFrame, shards: int = 24) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard.
+def _running(kind: pa.Schema, at: int) -> Callable:
+    """Adds the number of the partition and the sums of sizes and of rows up to each row of it."""
 
-    The order is (text_crc32, doc_id), null ids first, so equal texts stand together and
-    at most shards - 1 groups of them are cut. A document belongs to the shard that holds
-    the middle of its bytes, so a shard's bytes miss the equal target by at most the
-    larger of the documents at its two ends. Null texts count as empty: size 8, crc 0.
-    Rows with the same id and text are alike in everything returned but the slot. An empty
-    table gives an empty one; other columns play no part.
-    """
-    spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    thin = written(docs.select("doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32")), "shard-sizes")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        bytes_before, rows_before = 0, 0
+        for batch in batches:
+            upto = bytes_before + np.cumsum(batch.column(at).to_numpy())
+            nth = rows_before + np.arange(1, batch.num_rows + 1)
+            if batch.num_rows:
+                bytes_before, rows_before = int(upto[-1]), int(nth[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, part), pa.int32()), pa.array(upto, pa.int64()), pa.array(nth, pa.int64())], schema=kind)
+
+    return run
+
+
+def _placed(rows: DataFrame, shards: int) -> DataFrame:
+    """rows (doc_id, size, text_crc32, and any others) with their shard and slot."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ("text_crc32", "doc_id")
-    # Written, so that the partitions are the same ones however often they are read.
-    ranged = written(thin.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "shard-ranges")
-    totals = ranged.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    kind = StructType([*rows.schema.fields, *StructType.fromDDL("part int, upto long, nth long").fields])
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Written, so that places are the same ones however often they are read.
+    ranged = written(ranged.mapInArrow(_running(to_arrow_schema(kind), rows.columns.index("size")), kind), "shard-ranges")
+    totals = ranged.groupBy("part").agg(F.max("upto").alias("bytes"), F.max("nth").alias("rows"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select(
@@ -42,29 +58,50 @@ def shard(docs: DataFrame, shards: int = 24) -> DataFrame:
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("row0"),
         F.sum("bytes").over(whole).alias("all"),
     )
-    run = Window.partitionBy("part").orderBy(*order)
-    rows = ranged.select("*", F.sum("size").over(run.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.row_number().over(run).alias("nth"))
+    offsets = written(offsets, "shard-offsets")
     # One row per range partition, whose number is a setting.
-    placed = rows.join(F.broadcast(offsets), F.col("part") == F.col("p"))
+    placed = ranged.join(F.broadcast(offsets), F.col("part") == F.col("p"))
     middle = (F.col("byte0") + F.col("upto")) * 2 - F.col("size")
-    placed = placed.withColumn("shard", F.least(F.floor(middle.cast("double") * shards / (F.col("all") * 2)), F.lit(shards - 1)).cast("int"))
-    placed = written(placed.select("doc_id", "size", "text_crc32", "shard", (F.col("row0") + F.col("nth") - 1).alias("place")), "shard-places")
-    first = placed.groupBy("shard").agg(F.min("place").alias("first")).withColumnRenamed("shard", "s")
+    placed = placed.withColumn("shard", F.least(F.floor(middle.cast("double") * shards / (F.col("all") * 2)), F.lit(shards - 1)).cast("int")).withColumn("place", F.col("row0") + F.col("nth") - 1)
+    first = written(placed.groupBy("shard").agg(F.min("place").alias("first")).withColumnRenamed("shard", "s"), "shard-firsts")
     out = placed.join(F.broadcast(first), F.col("shard") == F.col("s"))
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("place") - F.col("first")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return out.select(*rows.columns, "shard", (F.col("place") - F.col("first")).cast("long").alias("slot"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 24) -> None:
-    """Writes whole documents under path/shard=NN, each shard in slot order.
+def _measured(docs: DataFrame, *more) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select("doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), *more)
+
 
-    Documents are joined to their places by id and text checksum, once per distinct pair;
-    equal rows take the place of the first of them. A shard is written by several tasks.
+def shard(docs: DataFrame, shards: int = 24) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard.
+
+    The order is (text_crc32, doc_id), null ids first, so equal texts stand together and
+    at most shards - 1 groups of them are cut. A document belongs to the shard that holds
+    the middle of its bytes, so a shard's bytes miss the equal target by at most the
+    larger of the documents at its two ends. Null texts count as empty: size 8, crc 0.
+    Rows with the same id and text are alike in everything returned but the slot. An empty
+    table gives an empty one; other columns play no part.
+    """
+    out = _placed(_measured(docs), shards)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
+    """Every row of docs with all its columns, and `shard` and `slot` as `shard` deals them.
+
+    Texts are shuffled once, into the global order. A column of docs that is called shard or
+    slot gives way. What holds for nulls, repeated rows and empty tables is said at `shard`.
     """
-    at = shard(docs, shards).groupBy("doc_id", "text_crc32").agg(F.min("shard").alias("shard"), F.min("slot").alias("slot"))
-    at = at.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard", "slot")
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")))
-    whole = docs.join(at, F.col("doc_id").eqNullSafe(F.col("_id")) & (crc == F.col("_crc"))).drop("_id", "_crc")
+    columns = [c for c in docs.columns if c not in ("shard", "slot")]
+    out = _placed(_measured(docs, F.struct(*(docs[f"`{c}`"] for c in columns)).alias("row")), shards)
+    return out.select("row.*", "shard", "slot")
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 24) -> None:
+    """Writes whole documents under path/shard=NN, each shard in slot order, by several tasks."""
     parts = max(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    whole = shard_documents(docs, shards)
     whole.repartitionByRange(parts, "shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
 
 

@@ -217,5 +217,7 @@ def test_pipeline(spark):
         if name == "decontamination":
             report = decontamination_report(before, spark.read.parquet(f"{SF}/benchmark.parquet"))
             assert {r.doc_id for r in step.collect()} == {r.doc_id for r in report.filter("not contaminated").collect()}
-    assert step.count() == seen["sharding"].count() > 0
+    assert step.columns == [*docs.columns, "shard", "slot"]
+    kept = [c for c in docs.columns]
+    assert sorted(map(str, step.select(kept).collect())) == sorted(map(str, seen["sharding"].collect())) and step.count() > 0
     assert sorted(map(str, pipeline.run(spark, SF).collect())) == sorted(map(str, step.collect()))

@@ -279,6 +279,21 @@ def test_shards(spark, tmp_path):
     again = sharding.shard(df.orderBy("text"), 6).toPandas()
     key = ["doc_id", "text_crc32", "shard", "slot"]
     assert out[key].sort_values(key).reset_index(drop=True).equals(again[key].sort_values(key).reset_index(drop=True))
+    # The plain prefix sums, all in one list.
+    order = sorted(((zlib.crc32((t or "").encode()), -1 if d is None else d, len((t or "").encode()) + 8) for d, t, _ in rows))
+    upto, placed, slots = 0, [], {}
+    for crc, d, size in order:
+        upto += size
+        s = min(5, int((2 * upto - size) * 6 / (2 * int(total))))
+        placed.append((crc, d, size, s, slots.setdefault(s, 0)))
+        slots[s] += 1
+    got = [(r.text_crc32, -1 if r.doc_id is None else r.doc_id, r.size, r.shard, r.slot) for r in sharding.shard(df, 6).collect()]
+    assert sorted(got) == sorted(placed)
+    assert [x[3] for x in placed] == sorted(x[3] for x in placed)  # one run of the order each
+    whole = sharding.shard_documents(df, 6)
+    assert whole.columns == ["doc_id", "text", "shard", "slot"]
+    assert sorted((zlib.crc32((r.text or "").encode()), -1 if r.doc_id is None else r.doc_id, r.shard, r.slot) for r in whole.collect()) == sorted((a, b, d, e) for a, b, _, d, e in placed)
     sharding.write_shards(df.drop("shard"), f"{tmp_path}/out", 6)
-    assert spark.read.parquet(f"{tmp_path}/out").count() == len(rows)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted((str(r.doc_id), str(r.text)) for r in out.collect()) == sorted((str(d), str(t)) for d, t, _ in rows)
     assert sharding.shard(df.limit(0), 6).count() == 0
