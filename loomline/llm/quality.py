@@ -4,7 +4,7 @@ A text is the set of its n-grams of bytes, hashed to a fixed number of features.
 indicator is scaled by the log ratio of its frequencies in the two classes, counted over
 all labelled rows. A linear hinge loss is minimised by dual coordinate descent, on a
 bounded sample of labelled rows, in shards whose weights are averaged; a logistic curve on
-the margins gives scores from 0 to 1.
+the margins that each shard's rows get from the other shards gives scores from 0 to 1.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomline.llm.shared import packed, small
+from loomline.llm.shared import packed, small, written
 from loomline.llm.words import mix, text_slices
 
 BITS = 17
@@ -99,7 +99,7 @@ def _train(ratio) -> Callable:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = [np.asarray(x, dtype=np.int32) for x in pdf["features"]]
         w = dual_descent(rows, pdf["label"].to_numpy() * 2.0 - 1.0, ratio.value)
-        return pd.DataFrame({"rows": [len(rows)], "w": [w.tobytes()]})
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "rows": [len(rows)], "w": [w.tobytes()]})
 
     return run
 
@@ -159,7 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     total = known.count()
     place = F.pmod(F.xxhash64("_id"), F.lit(1 << 30))
     known = known.select("_id", "_label", (place < int((1 << 30) * min(1.0, sample / max(total, 1)))).alias("_in"), F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(SHARDS)).cast("int").alias("_shard"))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(small(known), F.col("doc_id") == F.col("_id")).select("text", "_label", "_shard", "_in")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(small(written(known, "quality-labels")), F.col("doc_id") == F.col("_id"))
+    rows = written(rows.select("text", "_label", "_shard", "_in"), "quality-rows")
     counts = rows.select("text", "_label").mapInArrow(_class_counts, "feature int, no long, yes long").groupBy("feature").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes")).toPandas()
     per = rows.groupBy("_label").count().collect()
     of = {r[0]: r[1] for r in per}
@@ -173,17 +174,28 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     ratio = np.log((yes / yes.sum()) / (no / no.sum()))
     shared = spark.sparkContext.broadcast(ratio)
     chosen = rows.filter("_in").select("text", "_label", "_shard").mapInArrow(_labelled_features, "label int, shard int, features array<int>")
-    fitted = chosen.groupBy("shard").applyInPandas(_train(shared), "rows long, w binary").collect()
-    w = np.average([np.frombuffer(r.w) for r in fitted], axis=0, weights=[r.rows for r in fitted])
+    fitted = chosen.groupBy("shard").applyInPandas(_train(shared), "shard int, rows long, w binary").collect()
+    weights = {r.shard: np.frombuffer(r.w) for r in fitted}
+    rows_of = {r.shard: r.rows for r in fitted}
+    w = np.average([weights[k] for k in rows_of], axis=0, weights=[*rows_of.values()])
     model = QualityModel(ratio, w[:-1] * ratio, float(w[-1]), 1.0, 0.0)
-    held = spark.sparkContext.broadcast(model)
+    # The curve is fitted on the margins that the other shards' weights give a row, as those
+    # of its own would look better than they are.
+    others = {}
+    for k in rows_of:
+        rest = {j: n for j, n in rows_of.items() if j != k} or rows_of
+        v = np.average([weights[j] for j in rest], axis=0, weights=[*rest.values()])
+        others[k] = QualityModel(ratio, v[:-1] * ratio, float(v[-1]), 1.0, 0.0)
+    held = spark.sparkContext.broadcast(others)
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, sets in feature_sets(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, len(sets)), pa.array(held.value.margins(sets))], ["label", "margin"])
+                shard = batch.column(2).slice(first, len(sets)).to_pylist()
+                margin = [float(held.value[k].margins([x])[0]) for k, x in zip(shard, sets, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, len(sets)), pa.array(margin, pa.float64())], ["label", "margin"])
 
-    seen = rows.filter("_in").select("text", "_label").mapInArrow(margins, "label int, margin double").toPandas()
+    seen = rows.filter("_in").select("text", "_label", "_shard").mapInArrow(margins, "label int, margin double").toPandas()
     model.a, model.b = fit_logistic(seen["margin"].to_numpy(), seen["label"].to_numpy())
     return model
 

@@ -38,6 +38,42 @@ def test_quality(spark):
     assert quality.quality_scores(docs.limit(0), labels).count() == 0
 
 
+def test_quality_against_plain_formulas(spark):
+    """Ratios from counted texts, margins and scores term by term, over n-grams taken one at a time."""
+    rng = random.Random(4)
+    label = [int(rng.random() < 0.6) for _ in range(160)]
+    rows = [(i, noisy(rng, not y) if i % 9 else None) for i, y in enumerate(label)] + [(300, "short"), (301, "é"), (302, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(label)), "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+
+    def grams(text):
+        out = set()
+        data = (text or "").encode()
+        for n in quality.GRAMS:
+            for i in range(len(data) - n + 1):
+                acc = n
+                for b in data[i : i + n]:
+                    acc = (acc * 257 + b + 1) % 2**64
+                out.add(int(quality.mix(np.array([acc], dtype=np.uint64))[0] >> np.uint64(64 - quality.BITS)))
+        return out
+
+    used = [(grams(t), label[i]) for i, t in rows if i < 160 and zlib.crc32(str(i).encode()) % 5]
+    counts = np.ones((2, 1 << quality.BITS))
+    for found, y in used:
+        for g in found:
+            counts[y, g] += 1
+    ratio = np.log((counts[1] / counts[1].sum()) / (counts[0] / counts[0].sum()))
+    assert model.ratio == pytest.approx(ratio)
+    scores = {r.doc_id: r.score for r in quality.scored(docs, model).collect()}
+    weight = np.where(ratio != 0, model.weight / np.where(ratio != 0, ratio, 1), 0)
+    for i, t in rows:
+        found = sorted(grams(t))
+        norm = math.sqrt(math.fsum(ratio[g] ** 2 for g in found)) or 1.0
+        margin = math.fsum(weight[g] * ratio[g] / norm for g in found) + model.bias
+        assert scores[i] == pytest.approx(1 / (1 + math.exp(-(model.a * margin + model.b))), rel=1e-6)
+
+
 def test_dual_descent_meets_its_conditions():
     rng = np.random.default_rng(0)
     rows = [np.unique(rng.integers(0, 40, 8)).astype(np.int32) for _ in range(120)]
