@@ -29,7 +29,7 @@ from loomline.llm.shared import written
 from loomline.llm.words import SPACED, Words, mix, word_slices
 
 #: Classes, and places in a class, the last one of which all rarer words share.
-SIDE = 64
+SIDE = 48
 SUFFIXES = 512
 #: Hashed neighbours, on either side, by which words are put into classes.
 NEIGHBOURS = 64
@@ -39,9 +39,9 @@ WITHIN = 1 << 15
 #: Words whose counts every task holds; the counts of the others are joined.
 FREQUENT = 1 << 18
 #: Rounds of updates; each training text takes part in one of them.
-ROUNDS = 2
+ROUNDS = 1
 RATE = 0.12
-BATCH = 4096
+BATCH = 8192
 #: Bytes of input that one trainer goes through at least, where all cores have work.
 TRAINER_BYTES = 256 << 20
 END = np.int64(-1)
@@ -198,14 +198,14 @@ def _neighbours(model) -> Callable:
 
 def _vectors(rows: np.ndarray) -> pa.RecordBatch:
     some = np.flatnonzero(rows.any(axis=1))
-    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([x.tobytes() for x in rows[some]], pa.binary())], ["row", "values"])
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([x.tobytes() for x in rows[some].astype(np.float32)], pa.binary())], ["row", "values"])
 
 
 def _add_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for r, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            v = np.frombuffer(x.as_buffer())
+            v = np.frombuffer(x.as_buffer(), dtype=np.float32).astype(np.float64)
             sums[r] = sums[r] + v if r in sums else v
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["row", "values"])
 
@@ -244,17 +244,40 @@ def word_classes(near: np.ndarray, own: int, side: int = SIDE, rounds: int = 10,
     return classes, places
 
 
+def row_sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, number of each, sum of its values); key i stands for row i of values, which repeat.
+
+    Most keys stand once or a few times, so sums are built up by the keys' second rows, third
+    ones and so on; the few with many rows are summed up one by one.
+    """
+    order = np.argsort(keys)
+    keys, at = keys[order], order % len(values)
+    new = np.concatenate(([True], keys[1:] != keys[:-1]))
+    first = np.flatnonzero(new)
+    number = np.diff(np.append(first, len(keys)))
+    out = values.take(at[first], axis=0)
+    many = np.flatnonzero(number > 32)
+    segment = np.cumsum(new) - 1
+    nth = np.arange(len(keys)) - first[segment]
+    left = np.flatnonzero((nth > 0) & (number[segment] <= 32))
+    n = 1
+    while len(left):
+        now = nth[left] == n
+        rows, left = left[now], left[~now]
+        out[segment[rows]] += values.take(at[rows], axis=0)
+        n += 1
+    for i in many:
+        out[i] = values.take(at[first[i] : first[i] + number[i]], axis=0).sum(axis=0)
+    return keys[first], number, out
+
+
 def steps(weights: np.ndarray, scale: np.ndarray, seen: np.ndarray, rows: list[np.ndarray], gradient: np.ndarray, rate: float) -> None:
     """One update of the rows active in a batch; a row's steps shrink with the gradients it has had."""
-    f = np.concatenate(rows)
-    order = np.argsort(f, kind="stable")
-    f = f[order]
-    first = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
-    total = np.add.reduceat(gradient.take(order % len(gradient), axis=0), first, axis=0)
-    f = f[first]
-    seen[f] += np.diff(np.append(first, len(order)))
-    scale[f] += np.mean(total * total, axis=1)
-    weights[f] -= rate * total / np.sqrt(scale[f])[:, None]
+    f, number, total = row_sums(np.concatenate(rows), gradient)
+    seen[f] += number
+    scale[f] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+    total *= (rate / np.sqrt(scale[f]))[:, None]
+    weights[f] -= total
 
 
 def train_on(m: LanguageModel, slices: Iterator[Words], rate: float) -> tuple[np.ndarray, np.ndarray]:
@@ -290,7 +313,7 @@ def _trained(model, rate: float) -> Callable:
             some = np.flatnonzero(n)
             for a in range(0, len(some), 4096):
                 rows = some[a : a + 4096]
-                values = np.concatenate(((after[rows] - before[rows]).astype(np.float64) * n[rows, None], n[rows, None]), axis=1)
+                values = np.concatenate(((after[rows] - before[rows]) * n[rows, None], n[rows, None]), axis=1).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([pa.array(rows + base, pa.int32()), pa.array([x.tobytes() for x in values], pa.binary())], ["row", "values"])
             base += len(before)
 
