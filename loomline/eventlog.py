@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,16 +95,20 @@ class EventLog:
             F.row_number().over(self.within_case()).alias("activity_num"),
         )
 
+    def with_fields(self, **expressions: str) -> EventLog:
+        """The log with more columns, each given by a SQL expression over the others."""
+        return replace(self, df=self.df.withColumns({name: F.expr(e) for name, e in expressions.items()}))
+
     def enriched(self) -> DataFrame:
         """The log with derived fields of events, cases and transitions.
 
         activity_num, is_first, is_last, rework_num (occurrences of the activity in the case
         so far, from 0), is_rework, next_activity, duration_us, activity_end; case_start,
         case_end, case_duration_us, activity_cnt, activity_cnt_unique, transition_cnt,
-        transition_cnt_unique and variant (activities joined by ">").
+        transition_cnt_unique and variant (activities joined by ">"). What belongs to a case
+        is computed once a case and joined; rows without a case have none of it.
         """
         w = self.within_case()
-        whole = Window.partitionBy(self.case)
         same = Window.partitionBy(self.case, self.activity).orderBy(*self.order)
         time = F.col(self.time) if self.time else F.lit(None).cast("timestamp")
         out = self.df.select(
@@ -114,29 +118,52 @@ class EventLog:
             self.duration().alias("duration_us"),
             (F.lead(self.time).over(w) if self.time else time).alias("activity_end"),
             (F.row_number().over(same) - 1).alias("rework_num"),
-            F.min(time).over(whole).alias("case_start"),
-            F.max(F.col(self.end) if self.end else time).over(whole).alias("case_end"),
-            F.count(self.activity).over(whole).alias("activity_cnt"),
-            F.size(F.collect_set(self.activity).over(whole)).alias("activity_cnt_unique"),
         )
-        steps = F.when(F.col("next_activity").isNotNull(), F.struct(F.col(self.activity), F.col("next_activity")))
-        ordered = F.array_sort(F.collect_list(F.struct("activity_num", F.col(self.activity).alias("a"))).over(whole))
-        return out.select(
-            "*",
-            (F.col("activity_num") == 1).alias("is_first"),
-            F.col("next_activity").isNull().alias("is_last"),
-            (F.col("rework_num") > 0).alias("is_rework"),
+        ordered = F.array_sort(F.collect_list(F.struct(*self.order, F.col(self.activity).alias("_a"))))
+        per = self.df.filter(F.col(self.case).isNotNull()).groupBy(F.col(self.case).alias("_case")).agg(
+            F.min(time).alias("case_start"),
+            F.max(F.col(self.end) if self.end else time).alias("case_end"),
+            F.transform(ordered, lambda x: x["_a"]).alias("_trace"),
+        )
+        rest = F.size("_trace") - 1
+        steps = F.zip_with(F.slice("_trace", 1, rest), F.slice("_trace", 2, rest), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        per = per.withColumn("_steps", F.filter(steps, lambda x: x["b"].isNotNull())).withColumn("_known", F.filter("_trace", lambda x: x.isNotNull()))
+        per = per.select(
+            "_case",
+            "case_start",
+            "case_end",
+            F.size("_known").cast("long").alias("activity_cnt"),
+            F.size(F.array_distinct("_known")).alias("activity_cnt_unique"),
             micros(F.col("case_start"), F.col("case_end")).alias("case_duration_us"),
-            F.count(steps).over(whole).alias("transition_cnt"),
-            F.size(F.collect_set(steps).over(whole)).alias("transition_cnt_unique"),
-            F.array_join(F.transform(ordered, lambda x: x["a"]), ">").alias("variant"),
+            F.size("_steps").cast("long").alias("transition_cnt"),
+            F.size(F.array_distinct("_steps")).alias("transition_cnt_unique"),
+            F.array_join("_trace", ">").alias("variant"),
         )
+        out = out.withColumns({"is_first": F.col("activity_num") == 1, "is_last": F.col("next_activity").isNull(), "is_rework": F.col("rework_num") > 0})
+        return out.join(per, F.col(self.case) == F.col("_case"), "left").drop("_case")
 
 
 def with_sentinels(log: EventLog) -> DataFrame:
-    """(case_id, activity, duration_us, pos): the log with a start and an end event per case."""
-    base = log.base().select("case_id", "activity", F.coalesce("duration_us", F.lit(0)).alias("duration_us"), F.col("activity_num").cast("long").alias("pos"))
-    ends = base.groupBy("case_id").agg(F.max("pos").alias("last"))
-    first = ends.select("case_id", F.lit("start").alias("activity"), F.lit(0).cast("long").alias("duration_us"), F.lit(0).cast("long").alias("pos"))
-    last = ends.select("case_id", F.lit("end").alias("activity"), F.lit(0).cast("long").alias("duration_us"), (F.col("last") + 1).alias("pos"))
-    return base.unionByName(first).unionByName(last)
+    """(case_id, activity, duration_us, pos): the log with a start and an end event per case.
+
+    The first and the last event of a case bring them along, so the log is read once.
+    """
+    w = log.within_case()
+    base = log.df.select(
+        F.col(log.case).alias("case_id"),
+        F.col(log.activity).alias("activity"),
+        F.coalesce(log.duration(), F.lit(0)).cast("long").alias("duration_us"),
+        F.row_number().over(w).cast("long").alias("pos"),
+        F.lead(F.lit(True)).over(w).isNull().alias("last"),
+    )
+
+    def event(name, duration, pos):
+        return F.struct(name.alias("activity"), duration.alias("duration_us"), pos.alias("pos"))
+
+    none, zero = F.array().cast("array<struct<activity:string,duration_us:bigint,pos:bigint>>"), F.lit(0).cast("long")
+    rows = F.concat(
+        F.when(F.col("pos") == 1, F.array(event(F.lit("start"), zero, zero))).otherwise(none),
+        F.array(event(F.col("activity").cast("string"), F.col("duration_us"), F.col("pos"))),
+        F.when(F.col("last"), F.array(event(F.lit("end"), zero, F.col("pos") + 1))).otherwise(none),
+    )
+    return base.select("case_id", F.explode(rows).alias("e")).select("case_id", "e.activity", "e.duration_us", "e.pos")

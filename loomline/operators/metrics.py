@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, unit_us
+from loomline.operators.quantiles import exact_quantiles
 
 TIME = ("total_duration", "mean_duration", "median_duration", "max_duration", "min_duration", "variance_duration", "std_duration")
 
@@ -60,10 +61,23 @@ class Metrics:
         unknown = [n for n in names if n not in known]
         if unknown and strict:
             raise ValueError(f"unknown metrics: {', '.join(unknown)}; known are {', '.join(known)}")
-        chosen = [self._rounded(known[n]).alias(n) if n in self._fractions() else known[n].alias(n) for n in names if n in known]
-        if not chosen:
-            return self.rows().select(*self.key).distinct()
-        return self.rows().groupBy(*self.key).agg(*chosen)
+        chosen = [n for n in names if n in known]
+        apart = self._apart(chosen)
+        plain = [self._rounded(known[n]).alias(n) if n in self._fractions() else known[n].alias(n) for n in chosen if n not in apart]
+        out = self.rows().groupBy(*self.key).agg(*plain) if plain else self.rows().select(*self.key).distinct()
+        for part in {id(x): x for x in apart.values()}.values():
+            out = out.join(part, list(self.key), "left")
+        return out.select(*self.key, *dict.fromkeys(chosen))
+
+    def _apart(self, names: list[str]) -> dict[str, DataFrame]:
+        """Metrics that no aggregation by the key alone should give, in tables (key, metrics).
+
+        A median would hold the distinct durations of a whole group in one task.
+        """
+        if "median_duration" not in names:
+            return {}
+        median = exact_quantiles(self.rows().select(*self.key, "duration_us"), list(self.key), "duration_us", {"_median": 0.5})
+        return {"median_duration": median.select(*self.key, self._rounded(F.col("_median") / float(unit_us(self.unit))).alias("median_duration"))}
 
     def _fractions(self) -> set[str]:
         return {*TIME, "aver_count_in_trace", "loop_percent", "throughput"}
@@ -146,6 +160,9 @@ class CaseMetrics(Metrics):
             **time_metrics(self.unit),
         }
 
+    def _apart(self, names):
+        return {}  # a case is one group of its trace anyway
+
     @property
     def default(self):
         return ("trace", "trace_length", "unique_activities_num", "loop_percent", *(("unique_users_num",) if self.log.user else ()), *TIME)
@@ -174,8 +191,8 @@ class UserMetrics(Metrics):
     default = ("count", "unique_activities_num", "unique_ids_num", "throughput", *TIME)
 
     def apply(self, std: bool = True) -> DataFrame:
-        """With workload, the user's share of all events; the window runs over one row per user."""
-        share = F.col("count") / F.sum("count").over(Window.partitionBy())
+        """With workload, the user's share of all events with a user."""
+        share = F.col("count") / self.rows().agg(F.count("user")).scalar()
         return super().apply(std).withColumn("workload", self._rounded(share))
 
 
@@ -202,11 +219,20 @@ class VariantMetrics(Metrics):
             "unique_activities": F.sort_array(F.array_distinct(trace)),
             "unique_activities_num": F.size(F.array_distinct(trace)),
             "loop_percent": (1 - F.size(F.array_distinct(trace)) / F.size(trace)) * 100,
-            "unique_users": F.sort_array(F.array_distinct(F.flatten(F.collect_list("users")))),
-            "unique_users_num": F.size(F.array_distinct(F.flatten(F.collect_list("users")))),
+            "unique_users": F.sort_array(F.collect_set("user")),
+            "unique_users_num": F.count_distinct("user"),
             **time_metrics(self.unit),
         }
 
+    def _apart(self, names):
+        """Besides the median the users, counted from one row per case and user."""
+        out = super()._apart(names)
+        some = [n for n in ("unique_users", "unique_users_num") if n in names]
+        if some:
+            users = self.rows().select("trace", F.explode_outer("users").alias("user")).groupBy("trace").agg(*(self.columns()[n].alias(n) for n in some))
+            out |= dict.fromkeys(some, users)
+        return out
+
     @property
     def default(self):
         return ("count", "trace_length", "unique_activities_num", "loop_percent", *(("unique_users_num",) if self.log.user else ()), *TIME)
@@ -221,14 +247,21 @@ FAMILIES = {"activity": ActivityMetrics, "transition": TransitionMetrics, "case"
 
 
 def virtual_metrics(log: EventLog) -> DataFrame:
-    """One row: cases, activities, transitions, variants, and shares of repeats in the log."""
+    """One row: cases, activities, transitions, variants, and shares of repeats in the log.
+
+    transition_percent is the share of transitions in all events, transition_cycle_percent
+    that of transitions which their case has had before; shares of nothing are null.
+    """
     base = log.base()
-    per_case = base.groupBy("case_id").agg(F.count("activity").alias("n"), F.count_distinct("activity").alias("kinds"), F.count("next_activity").alias("steps"), F.array_sort(F.collect_list(F.struct("activity_num", "activity"))).alias("t"))
+    step = F.when(F.col("next_activity").isNotNull(), F.struct("activity", "next_activity"))
+    per_case = base.groupBy("case_id").agg(F.count("activity").alias("n"), F.count_distinct("activity").alias("kinds"), F.count("next_activity").alias("steps"), F.count_distinct(step).alias("step_kinds"), F.array_sort(F.collect_list(F.struct("activity_num", "activity"))).alias("t"))
     return per_case.agg(
         F.count("*").alias("case_count"),
         F.sum("n").alias("activity_count"),
         F.sum("steps").alias("transition_count"),
         F.count_distinct(F.transform("t", lambda x: x["activity"])).alias("variant_count"),
         F.sum(F.col("n") - F.col("kinds")).alias("rework_count"),
-        (F.sum(F.col("n") - F.col("kinds")) / F.sum("n") * 100).alias("activity_cycle_percent"),
+        (F.sum(F.col("n") - F.col("kinds")) / F.nullif(F.sum("n"), F.lit(0)) * 100).alias("activity_cycle_percent"),
+        (F.sum("steps") / F.nullif(F.sum("n"), F.lit(0)) * 100).alias("transition_percent"),
+        (F.sum(F.col("steps") - F.col("step_kinds")) / F.nullif(F.sum("steps"), F.lit(0)) * 100).alias("transition_cycle_percent"),
     )

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.operators.quantiles import exact_quantiles
+
 
 @dataclass(frozen=True)
 class Detector:
@@ -28,22 +30,8 @@ class Detector:
 
 
 def element_at_share(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """By keys, for each name the element at index floor(share * n) of the sorted non-null values.
-
-    The values of a group are not gathered: equal ones are counted, running counts tell which
-    one holds the index, and only these are aggregated. With a window per group over distinct
-    values, memory follows the sort and not the group.
-    """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_k"))
-    run = Window.partitionBy(*keys).orderBy(value)
-    whole = Window.partitionBy(*keys)
-    placed = counted.withColumn("_to", F.sum("_k").over(run)).withColumn("_n", F.sum("_k").over(whole))
-
-    def at(share: float) -> Column:
-        index = F.least(F.floor(F.lit(share) * F.col("_n")), F.col("_n") - 1)
-        return F.min(F.when(F.col("_to") > index, F.col(value)))
-
-    return placed.groupBy(*keys).agg(*(at(s).alias(n) for n, s in shares.items()))
+    """By keys, for each name the element at index floor(share * n) of the sorted non-null values."""
+    return exact_quantiles(df, keys, value, shares, interpolated=False)
 
 
 def _flagged(df: DataFrame, bounds: DataFrame, keys: list[str], value: str, low: Column, high: Column, min_rows: int) -> DataFrame:
@@ -58,9 +46,8 @@ def _flagged(df: DataFrame, bounds: DataFrame, keys: list[str], value: str, low:
 
 
 def _one_row(df: DataFrame) -> dict[str, Column]:
-    """The columns of a global aggregate, which has one row, as literals."""
-    row = df.first()
-    return {f.name: F.lit(row[f.name] if row else None).cast(f.dataType) for f in df.schema.fields}
+    """The columns of a table of one row at most, each as a scalar subquery."""
+    return {f.name: df.select(f.name).scalar() for f in df.schema.fields}
 
 
 def _result(rows: DataFrame, case: str, number: str | None) -> DataFrame:
@@ -114,7 +101,8 @@ def iqr_case(df: DataFrame, case: str, metric: str, sections: list[str] = (), mi
 def quantile_interpolated(df: DataFrame, case: str, number: str, activity: str, metric: str, sections: list[str] = (), detector: Detector = Detector()) -> DataFrame:
     """As quantile_activity with interpolated quantiles, and groups sized by distinct cases."""
     keys = [activity, *sections]
-    bounds = df.groupBy(*keys).agg(F.count_distinct(case).alias("_rows"), F.percentile(metric, F.lit(detector.lower)).alias("low"), F.percentile(metric, F.lit(detector.upper)).alias("high"))
+    sizes = df.groupBy(*keys).agg(F.count_distinct(case).alias("_rows"))
+    bounds = sizes.join(exact_quantiles(df, keys, metric, {"low": detector.lower, "high": detector.upper}), keys, "left")
     return _result(_flagged(df, bounds, keys, metric, F.col("low"), F.col("high"), detector.min_rows), case, number)
 
 

@@ -137,9 +137,9 @@ _VARIANT = "c AS (SELECT case_id, string_agg(activity, '>' ORDER BY activity_num
 _VARIANT_SQL = f"trace, count(*) AS count, max(trace_length) AS trace_length, max(kinds) AS unique_activities_num, round((1 - max(kinds) / max(trace_length)) * 100, {DIGITS}) AS loop_percent, {_TIME_LONG}"
 
 
-@query("variant_metrics", f"WITH {LINES}, {_VARIANT} SELECT {_VARIANT_SQL} FROM c GROUP BY trace")
+@query("variant_metrics", f"WITH {LINES}, {_VARIANT}, u AS (SELECT trace, count(DISTINCT usr) AS unique_users_num FROM log JOIN c USING (case_id) GROUP BY trace), v AS (SELECT {_VARIANT_SQL} FROM c GROUP BY trace) SELECT v.*, unique_users_num FROM v JOIN u USING (trace)")
 def _(spark, d):
-    out = _long(metrics.VariantMetrics(lines(spark, d), digits=DIGITS).apply()).drop("unique_users_num")
+    out = _long(metrics.VariantMetrics(lines(spark, d), digits=DIGITS).apply())
     return out.withColumn("trace", F.array_join("trace", ">"))
 
 
@@ -172,9 +172,10 @@ def _(spark, d):
     return metrics.VariantMetrics(talks(spark, d)).inclusion_rate(["system"]).withColumn("trace", F.array_join("trace", ">"))
 
 
-@query("virtual_metrics", f"WITH {LINES}, c AS (SELECT case_id, count(activity) AS n, count(DISTINCT activity) AS k, count(next_activity) AS s, string_agg(activity, '>' ORDER BY activity_num) AS t FROM log GROUP BY 1) SELECT count(*) AS case_count, sum(n)::BIGINT AS activity_count, sum(s)::BIGINT AS transition_count, count(DISTINCT t) AS variant_count, sum(n - k)::BIGINT AS rework_count, round(sum(n - k) / sum(n) * 100, 4) AS activity_cycle_percent FROM c")
+@query("virtual_metrics", f"WITH {LINES}, c AS (SELECT case_id, count(activity) AS n, count(DISTINCT activity) AS k, count(next_activity) AS s, count(DISTINCT activity || '>' || next_activity) AS sk, string_agg(activity, '>' ORDER BY activity_num) AS t FROM log GROUP BY 1) SELECT count(*) AS case_count, sum(n)::BIGINT AS activity_count, sum(s)::BIGINT AS transition_count, count(DISTINCT t) AS variant_count, sum(n - k)::BIGINT AS rework_count, round(sum(n - k) / sum(n) * 100, 4) AS activity_cycle_percent, round(sum(s) / sum(n) * 100, 4) AS transition_percent, round(sum(s - sk) / sum(s) * 100, 4) AS transition_cycle_percent FROM c")
 def _(spark, d):
-    return metrics.virtual_metrics(lines(spark, d)).withColumn("activity_cycle_percent", F.round("activity_cycle_percent", 4))
+    out = metrics.virtual_metrics(lines(spark, d))
+    return out.withColumns({c: F.round(c, 4) for c in out.columns if c.endswith("percent")})
 
 
 # Derived fields.

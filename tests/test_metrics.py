@@ -94,3 +94,41 @@ def test_enriched(log):
     out = rows(log.enriched().filter("case = 'c2'"), "activity_num")
     assert [out[i]["rework_num"] for i in (1, 2, 3, 4)] == [0, 0, 1, 0]
     assert out[1]["variant"] == "A>B>B>C" and out[4]["is_last"] and out[1]["transition_cnt"] == 3 and out[1]["case_duration_us"] == 19_800_000_000
+
+
+def test_exact_quantiles_match_sorting(spark):
+    import math
+    import random
+
+    from loomline.operators.quantiles import exact_quantiles
+
+    rng = random.Random(3)
+    rows = [(rng.choice("abc"), None if rng.random() < 0.05 else rng.choice((rng.uniform(-5, 5), rng.lognormvariate(0, 8), -1e12, 0.0, 3.0))) for _ in range(3000)]
+    rows += [("one", 7.5), ("none", None), (None, 1.0), (None, 2.0), ("same", 4.0), ("same", 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    shares = {"a": 0.0, "b": 0.05, "c": 0.5, "d": 0.95, "e": 1.0}
+    groups = {}
+    for k, v in rows:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    between = {r.k: r for r in exact_quantiles(df, ["k"], "v", shares).collect()}
+    at = {r.k: r for r in exact_quantiles(df, ["k"], "v", shares, interpolated=False).collect()}
+    assert set(between) == set(at) == set(groups)
+    for k, values in groups.items():
+        values.sort()
+        n = len(values)
+        for name, p in shares.items():
+            x = p * (n - 1)
+            low, high = values[math.floor(x)], values[math.ceil(x)]
+            assert between[k][name] == pytest.approx(low + (high - low) * (x - math.floor(x)))
+            assert at[k][name] == values[min(math.floor(p * n), n - 1)]
+    whole = exact_quantiles(df, [], "v", {"m": 0.5}).first().m
+    assert whole == pytest.approx(sorted(v for _, v in rows if v is not None)[(sum(v is not None for _, v in rows) - 1) // 2], rel=0.2)
+    assert exact_quantiles(df.limit(0), ["k"], "v", shares).count() == 0
+
+
+def test_variant_users_and_fields(log):
+    out = {tuple(r.trace): r for r in metrics.VariantMetrics(log).calc("unique_users", "median_duration", "count", "unique_users_num").collect()}
+    assert out["A", "B", "C"].unique_users == ["u1", "u2", "u3"] and out["A", "B", "C"].unique_users_num == 3 and out["A", "B", "C"]["count"] == 2
+    late = log.with_fields(late="case when hour(ts) >= 2 then 'yes' else 'no' end")
+    assert {r.late for r in late.df.filter("act = 'C'").collect()} == {"yes"} and late.case == log.case
