@@ -1,22 +1,28 @@
 """Decision process learnt from a log: transition probabilities, rewards, and best paths.
 
-The tables are plans over the log. States are activities, so the solvers work on an edge
-list bounded by their number squared.
+The tables are plans over the log. States are activities, so an edge list has their number
+squared at most; it is solved on the driver up to a checked size and by joins beyond it.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, with_sentinels
+from loomline.sources.scratch import written
+
+#: Edges that the driver solves; more are solved by joins.
+EDGES = 200_000
 
 
 def start_distribution(log: EventLog, floor: float = 0.05) -> DataFrame:
     """(activity, probability) of first events above the floor, not scaled up again."""
     first = log.base().filter(F.col("activity_num") == 1).filter(F.col("activity").isNotNull())
-    share = first.groupBy("activity").agg(F.count("*").alias("n")).withColumn("probability", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    share = first.groupBy("activity").agg(F.count("*").alias("n")).withColumn("probability", F.col("n") / first.agg(F.count("*")).scalar())
     return share.filter(F.col("probability") > floor).select("activity", "probability")
 
 
@@ -44,7 +50,8 @@ def rewards(log: EventLog, floor: float = 0.0, key_node: str | None = None, key_
     edges = conditional_probabilities(log, floor)
     nodes = with_sentinels(log).groupBy(F.col("activity").alias("next_activity")).agg((F.avg("duration_us") / 6e7).alias("minutes"))
     timed = edges.join(nodes, "next_activity")
-    scaled = timed.withColumn("norm", F.coalesce(F.col("minutes") / F.nullif(F.avg("minutes").over(Window.partitionBy()), F.lit(0.0)), F.lit(0.0)))
+    mean = F.nullif(timed.agg(F.avg("minutes")).scalar(), F.lit(0.0))
+    scaled = timed.withColumn("norm", F.coalesce(F.col("minutes") / mean, F.lit(0.0)))
     reward = F.when(F.col("next_activity") == "end", F.lit(end_reward))
     if key_node is not None:
         reward = reward.when(F.col("next_activity") == key_node, F.lit(key_reward))
@@ -69,146 +76,104 @@ def layers(log: EventLog, key_node: str) -> DataFrame:
     return log.base().groupBy("case_id").agg(F.count(F.when(F.col("activity") == key_node, 1)).alias("layer"))
 
 
-def value_iteration(edges: DataFrame, gamma: float = 0.9, increase: float = 0.3, tolerance: float = 1e-3, most: int = 1000) -> DataFrame:
-    """(activity, value, action): V(s) = max over actions of the expected reward plus gamma V.
+def states(edges: DataFrame) -> DataFrame:
+    """(activity, state, actions): states numbered from 1 by name, "end" last, with their legal actions in order."""
+    names = edges.select("activity").union(edges.select("next_activity")).distinct()
+    order = Window.orderBy(F.col("activity") == "end", "activity")
+    legal = edges.groupBy(F.col("activity").alias("_a")).agg(F.sort_array(F.collect_list("next_activity")).alias("actions"))
+    numbered = names.withColumn("state", F.row_number().over(order))  # one row per activity
+    out = numbered.join(legal, F.col("activity") == F.col("_a"), "left")
+    return out.select("activity", "state", F.coalesce("actions", F.array().cast("array<string>")).alias("actions"))
+
+
+def layered_rewards(log: EventLog, key_node: str, floor: float = 0.0, short_path: int | None = None, key_reward: float = 1.0, end_reward: float = 0.0) -> DataFrame:
+    """(layer, activity, next_activity, probability, reward): a decision process by visits of the key node.
 
-    The state space is the set of activities; its table of actions is solved with numpy.
+    Layers -2 and 0 are learnt from all cases with shares above the floor, -1 from all without
+    a floor, and layer k from 1 on from the cases that visit the key node k times. With
+    short_path, the key node's reward turns into a penalty in layer -2 and in the layers
+    beyond short_path. Layers without cases are not there.
     """
-    spark = edges.sparkSession
-    table = actions(edges, increase).toPandas().sort_values(["activity", "action", "next_activity"])
-    states = sorted({*table["activity"], *table["next_activity"]})
-    at = {s: i for i, s in enumerate(states)}
-    pairs = table[["activity", "action"]].drop_duplicates().reset_index(drop=True)
-    row = {(a, b): i for i, (a, b) in enumerate(pairs.itertuples(index=False))}
-    p, r = np.zeros((len(pairs), len(states))), np.zeros(len(pairs))
-    for a, b, c, q, w in table[["activity", "action", "next_activity", "probability", "reward"]].itertuples(index=False):
-        p[row[a, b], at[c]] += q
-        r[row[a, b]] += q * w
-    own = np.array([at[a] for a in pairs["activity"]], dtype=int)
-    value = np.zeros(len(states))
+    visits = layers(log, key_node).select(F.col("case_id").alias("_case"), F.col("layer").cast("int").alias("layer")).filter("layer > 0")
+    kept = log.df.join(visits, F.col(log.case) == F.col("_case")).drop("_case")
+    steps = {"rest": _steps(log).select(F.explode(F.array(F.lit(-2), F.lit(-1), F.lit(0))).alias("layer"), "activity", "next_activity", "duration_us")}
+    by_case = _steps(replace(log, df=kept)).join(visits, F.col("case_id") == F.col("_case")).select("layer", "activity", "next_activity", "duration_us")
+    rows = steps["rest"].union(by_case)
+    n = rows.dropna(subset=["activity", "next_activity"]).groupBy("layer", "activity", "next_activity").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("layer", "activity")
+    least = F.when(F.col("layer") == -1, 0.0).otherwise(float(floor))
+    edges = n.withColumn("p", F.col("n") / F.sum("n").over(w)).filter(F.col("p") > least).withColumn("probability", F.col("p") / F.sum("p").over(w))
+    nodes = rows.groupBy("layer", F.col("activity").alias("next_activity")).agg((F.avg("duration_us") / 6e7).alias("minutes"))
+    # A layer's edges are few: they are the activities squared at most.
+    timed = edges.join(nodes, ["layer", "next_activity"])
+    norm = F.coalesce(F.col("minutes") / F.nullif(F.avg("minutes").over(Window.partitionBy("layer")), F.lit(0.0)), F.lit(0.0))
+    penalised = F.lit(False) if short_path is None else (F.col("layer") == -2) | (F.col("layer") > short_path)
+    key = F.when(penalised, -abs(float(key_reward))).otherwise(float(key_reward))
+    reward = F.when(F.col("next_activity") == "end", F.lit(float(end_reward))).when(F.col("next_activity") == key_node, key).otherwise(-norm)
+    return timed.select("layer", "activity", "next_activity", "probability", reward.alias("reward"))
+
+
+def _gains(value: Column, gamma: float) -> Column:
+    return F.col("reward") + gamma * value
+
+
+def _solved_by_joins(edges: DataFrame, gamma: float, increase: float, tolerance: float, most: int) -> DataFrame:
+    edges = written(edges.select("activity", "next_activity", "probability", "reward"), "mdp-edges")
+    values = edges.select("activity").union(edges.select("next_activity")).distinct().select("activity", F.lit(0.0).alias("value"))
     for _ in range(most):
-        gain = r + gamma * (p @ value)
-        new = np.full(len(states), -np.inf)
-        np.maximum.at(new, own, gain)
-        new[np.isneginf(new)] = 0.0
-        done = np.abs(new - value).max(initial=0.0) < tolerance
+        ahead = values.toDF("next_activity", "value")
+        gain = _gains(F.col("value"), gamma)
+        new = edges.join(ahead, "next_activity").groupBy(F.col("activity").alias("_a")).agg(((F.sum(F.col("probability") * gain) + increase * F.max(gain)) / (1 + increase)).alias("_new"))
+        both = written(values.join(new, F.col("activity") == F.col("_a"), "left").select("activity", F.coalesce("_new", F.lit(0.0)).alias("value"), F.abs(F.coalesce("_new", F.lit(0.0)) - F.col("value")).alias("_moved")), "mdp-values")
+        values = both.select("activity", "value")
+        if (both.agg(F.max("_moved")).first()[0] or 0.0) < tolerance:
+            break
+    gain = _gains(F.col("value"), gamma)
+    best = edges.join(values.toDF("next_activity", "value"), "next_activity").groupBy(F.col("activity").alias("_a")).agg(F.min_by("next_activity", F.struct(-gain, "next_activity")).alias("action"))
+    return values.join(best, F.col("activity") == F.col("_a"), "left").select("activity", "value", "action")
+
+
+def value_iteration(edges: DataFrame, gamma: float = 0.9, increase: float = 0.3, tolerance: float = 1e-3, most: int = 1000, on_driver: int = EDGES) -> DataFrame:
+    """(activity, value, action): V(s) = max over actions of the expected reward plus gamma V, and the best action.
+
+    An action adds `increase` to the way to its target before probabilities are scaled, so
+    its worth is (sum of p * gain + increase * gain of the target) / (1 + increase), and a
+    round needs one pass over the edges. Rounds start from 0 and end when no value moves by
+    the tolerance; of equal actions the first by name wins. States without edges are worth 0.
+    """
+    edges = edges.select("activity", "next_activity", "probability", "reward")
+    table = edges.limit(on_driver + 1).toPandas()
+    if len(table) > on_driver:
+        return _solved_by_joins(edges, gamma, increase, tolerance, most)
+    table = table.sort_values(["activity", "next_activity"])
+    names = sorted({*table["activity"], *table["next_activity"]})
+    at = {s: i for i, s in enumerate(names)}
+    own, to = (np.array([at[a] for a in table[c]], dtype=np.int64) for c in ("activity", "next_activity"))
+    p, r = table["probability"].to_numpy(dtype=float), table["reward"].to_numpy(dtype=float)
+    first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.empty(0, np.int64)
+    value = np.zeros(len(names))
+    for _ in range(most if len(own) else 0):
+        gain = r + gamma * value[to]
+        new = np.zeros(len(names))
+        new[own[first]] = (np.add.reduceat(p * gain, first) + increase * np.maximum.reduceat(gain, first)) / (1 + increase)
+        done = np.abs(new - value).max() < tolerance
         value = new
         if done:
             break
-    gain = r + gamma * (p @ value)
-    best: dict[str, tuple[float, str]] = {}
-    for i, (a, b) in enumerate(pairs.itertuples(index=False)):
-        if a not in best or gain[i] > best[a][0]:
-            best[a] = (float(gain[i]), b)
-    return spark.createDataFrame([(s, float(value[at[s]]), best[s][1] if s in best else None) for s in states], "activity string, value double, action string")
-
-
-def best_path(edges: DataFrame, most: int = 100, **how) -> DataFrame:
-    """(step, activity): from start, each time the target of the best action, until end or a repeat."""
-    policy = {r.activity: r.action for r in value_iteration(edges, **how).collect()}
-    path, at = ["start"], "start"
+    gain = r + gamma * value[to]
+    best = {}
+    for i in np.lexsort((to, -gain)).tolist():
+        best.setdefault(names[own[i]], names[to[i]])
+    return edges.sparkSession.createDataFrame([(s, float(value[at[s]]), best.get(s)) for s in names], "activity string, value double, action string")
+
+
+def best_path(edges: DataFrame, most: int = 100, start: str = "start", **how) -> DataFrame:
+    """(step, activity): from a start, each time the target of the best action, until end or a repeat."""
+    policy = {r.activity: r.action for r in value_iteration(edges, **how).collect()}  # one row per activity
+    path, at = [start], start
     while at in policy and policy[at] is not None and len(path) <= most:
         at = policy[at]
         if at in path:
             break
         path.append(at)
     return edges.sparkSession.createDataFrame(list(enumerate(path)), "step int, activity string")
-
-
-def _arrays(edges: DataFrame) -> dict[str, list[tuple[str, float, float]]]:
-    """(next activity, probability, reward) of the edges of each activity, by target.
-
-    Their targets are its actions; an action's own probabilities are raised as it is taken,
-    so no table of actions is held.
-    """
-    out: dict[str, list[tuple[str, float, float]]] = {}
-    table = edges.select("activity", "next_activity", "probability", "reward").toPandas()
-    for a, b, p, w in table.sort_values(["activity", "next_activity"]).itertuples(index=False):
-        out.setdefault(a, []).append((b, p, w))
-    return out
-
-
-def _step(rng, ways: list, action: str, increase: float) -> tuple[str, float]:
-    raised = np.array([(p + (increase if b == action else 0.0)) / (1 + increase) for b, p, _ in ways])
-    i = rng.choice(len(ways), p=raised / sum(raised.tolist()))
-    return ways[i][0], ways[i][2]
-
-
-def q_learning(edges: DataFrame, episodes: int = 2000, alpha: float = 0.09, gamma: float = 0.9, epsilon: float = 0.5, decay: float = 0.9992, most: int = 200, increase: float = 0.3, seed: int = 0) -> DataFrame:
-    """(activity, action, value) after so many seeded episodes of an epsilon-greedy learner."""
-    ways, rng = _arrays(edges), np.random.default_rng(seed)
-    q = {s: {b: 0.0 for b, _, _ in w} for s, w in ways.items()}
-    for t in range(episodes):
-        s = "start"
-        for _ in range(most):
-            if s not in q:
-                break
-            names = list(q[s])
-            a = names[rng.integers(len(names))] if rng.random() < epsilon * decay**t else max(names, key=q[s].get)
-            n, r = _step(rng, ways[s], a, increase)
-            q[s][a] += alpha * (r + gamma * max(q[n].values(), default=0.0) - q[s][a] if n in q else r - q[s][a])
-            s = n
-    return edges.sparkSession.createDataFrame([(s, a, float(v)) for s in q for a, v in q[s].items()], "activity string, action string, value double")
-
-
-def cross_entropy(edges: DataFrame, events: int = 30, sessions: int = 100, elite: float = 80.0, rate: float = 0.2, most: int = 200, increase: float = 0.3, seed: int = 0) -> DataFrame:
-    """(activity, action, probability): a policy moved towards its sessions of highest reward."""
-    ways, rng = _arrays(edges), np.random.default_rng(seed)
-    policy = {s: np.full(len(a), 1 / len(a)) for s, a in ways.items()}
-    names = {s: [b for b, _, _ in w] for s, w in ways.items()}
-    for _ in range(events):
-        runs = []
-        for _ in range(sessions):
-            s, total, seen = "start", 0.0, []
-            for _ in range(most):
-                if s not in ways:
-                    break
-                i = rng.choice(len(policy[s]), p=policy[s])
-                seen.append((s, i))
-                s, r = _step(rng, ways[s], names[s][i], increase)
-                total += r
-            runs.append((total, seen))
-        edge = np.percentile([t for t, _ in runs], elite)
-        counts = {s: np.zeros(len(p)) for s, p in policy.items()}
-        for t, seen in runs:
-            if t >= edge:
-                for s, i in seen:
-                    counts[s][i] += 1
-        for s, c in counts.items():
-            if c.sum():
-                policy[s] = (1 - rate) * policy[s] + rate * c / c.sum()
-    return edges.sparkSession.createDataFrame([(s, a, float(p)) for s in policy for a, p in zip(names[s], policy[s], strict=True)], "activity string, action string, probability double")
-
-
-def genetic(edges: DataFrame, population: int = 60, generations: int = 30, most: int = 50, seed: int = 0) -> DataFrame:
-    """(step, activity): the path from start to end of highest reward found by crossover and mutation."""
-    table = edges.select("activity", "next_activity", "reward").toPandas()
-    next_of: dict[str, list] = {}
-    gain = {}
-    for a, b, r in table.sort_values(["activity", "next_activity"]).itertuples(index=False):
-        next_of.setdefault(a, []).append(b)
-        gain[a, b] = r
-    rng = np.random.default_rng(seed)
-
-    def grow(path: list[str]) -> list[str]:
-        while path[-1] in next_of and path[-1] != "end" and len(path) < most:
-            path.append(next_of[path[-1]][rng.integers(len(next_of[path[-1]]))])
-        return path
-
-    def fitness(path: list[str]) -> float:
-        return sum(gain[x] for x in zip(path, path[1:], strict=False)) - (0 if path[-1] == "end" else 1e6)
-
-    pool = [grow(["start"]) for _ in range(population)]
-    for _ in range(generations):
-        pool.sort(key=fitness, reverse=True)
-        pool = pool[: max(2, population * 2 // 3)]
-        while len(pool) < population:
-            a, b = pool[rng.integers(len(pool))], pool[rng.integers(len(pool))]
-            shared = [x for x in a[1:-1] if x in b[1:-1]]
-            if shared and rng.random() < 0.6:
-                x = shared[rng.integers(len(shared))]
-                pool.append((a[: a.index(x)] + b[b.index(x) :])[:most])
-            else:
-                pool.append(grow(list(a[: rng.integers(1, max(2, len(a)))])))
-    best = max(pool, key=fitness)
-    return edges.sparkSession.createDataFrame(list(enumerate(best)), "step int, activity string")

@@ -459,9 +459,12 @@ def _(spark, d):
     return happypath.actions(happypath.rewards(orders(spark, d), 0.02)).select("activity", "action", "next_activity", F.round("probability", 6).alias("probability"))
 
 
-@query("mdp_consistency", "SELECT NULL::VARCHAR AS activity, NULL::VARCHAR AS action, NULL::DOUBLE AS total WHERE false")
+@query("mdp_consistency", f"WITH {_STEPS}, m AS (SELECT a.activity, b.next_activity AS action, a.next_activity, (a.probability + CASE WHEN a.next_activity = b.next_activity THEN 0.3 ELSE 0 END) / 1.3 AS probability FROM rw a JOIN rw b ON a.activity = b.activity) SELECT activity, action, round(sum(probability) FILTER (next_activity <> 'O'), 6) AS total FROM m GROUP BY ALL HAVING abs(sum(probability) FILTER (next_activity <> 'O') - 1) > 1e-10")
 def _(spark, d):
-    return happypath.inconsistent(happypath.actions(happypath.rewards(orders(spark, d), 0.02)))
+    """Of a table that lacks the ways to one activity; the whole one is consistent."""
+    table = happypath.actions(happypath.rewards(orders(spark, d), 0.02))
+    assert happypath.inconsistent(table).isEmpty()
+    return happypath.inconsistent(table.filter("next_activity <> 'O'")).withColumn("total", F.round("total", 6))
 
 
 @query("case_layers", f"WITH {ORDERS} SELECT case_id, count(*) FILTER (activity = 'F') AS layer FROM log GROUP BY case_id")
@@ -473,29 +476,55 @@ def _edges(spark, d) -> DataFrame:
     return happypath.rewards(orders(spark, d), 0.02)
 
 
-@query("value_iteration")
+_SOLVED = f"""WITH RECURSIVE {_STEPS.replace(ORDERS, ORDERS, 1)}, st_ AS (SELECT activity FROM rw UNION SELECT next_activity FROM rw), v(i, activity, value) AS (
+  SELECT 0, activity, 0.0::DOUBLE FROM st_ UNION ALL
+  SELECT n.i, n.activity, coalesce(q.q, 0.0) FROM (SELECT i + 1 AS i, activity FROM v WHERE i < 200) n LEFT JOIN
+    (SELECT rw.activity, (sum(probability * (reward + 0.9 * v.value)) + 0.3 * max(reward + 0.9 * v.value)) / 1.3 AS q FROM rw JOIN v ON v.activity = rw.next_activity GROUP BY rw.activity) q USING (activity)
+), moved AS (SELECT b.i, max(abs(b.value - a.value)) AS m FROM v a JOIN v b ON b.i = a.i + 1 AND a.activity = b.activity GROUP BY b.i),
+f AS (SELECT activity, value FROM v WHERE i = (SELECT min(i) FROM moved WHERE m < 1e-3)),
+pol AS (SELECT rw.activity, min_by(rw.next_activity, (-(reward + 0.9 * f.value), rw.next_activity)) AS action FROM rw JOIN f ON f.activity = rw.next_activity GROUP BY rw.activity)"""
+
+
+@query("value_iteration", f"{_SOLVED} SELECT activity, round(value, 6) AS value, action FROM f LEFT JOIN pol USING (activity)")
 def _(spark, d):
-    return happypath.value_iteration(_edges(spark, d))
+    return happypath.value_iteration(_edges(spark, d)).withColumn("value", F.round("value", 6))
 
 
-@query("happy_path")
+@query("value_iteration_joins", f"{_SOLVED} SELECT activity, round(value, 6) AS value, action FROM f LEFT JOIN pol USING (activity)")
+def _(spark, d):
+    """The way for edge lists beyond the driver's bound, here with a bound of none."""
+    return happypath.value_iteration(_edges(spark, d), on_driver=0).withColumn("value", F.round("value", 6))
+
+
+@query("happy_path", f"{_SOLVED}, path(step, activity, seen) AS (SELECT 0, 'start'::VARCHAR, ['start'::VARCHAR] UNION ALL SELECT step + 1, pol.action, list_append(seen, pol.action) FROM path JOIN pol USING (activity) WHERE pol.action IS NOT NULL AND NOT list_contains(seen, pol.action)) SELECT step::INT AS step, activity FROM path")
 def _(spark, d):
     return happypath.best_path(_edges(spark, d))
 
 
-@query("happy_path_q_learning")
+@query("mdp_states", f"WITH {_STEPS}, n_ AS (SELECT activity FROM rw UNION SELECT next_activity FROM rw) SELECT n_.activity, row_number() OVER (ORDER BY n_.activity = 'end', n_.activity)::INT AS state, coalesce(string_agg(rw.next_activity, ',' ORDER BY rw.next_activity), '') AS actions FROM n_ LEFT JOIN rw USING (activity) GROUP BY n_.activity")
 def _(spark, d):
-    return happypath.q_learning(_edges(spark, d), episodes=10_000)
+    return happypath.states(_edges(spark, d)).withColumn("actions", F.array_join("actions", ","))
+
+
+_LAYERED = f"""WITH {ORDERS}, ly AS (SELECT case_id, count(*) FILTER (activity = 'F')::INT AS layer FROM log GROUP BY case_id),
+s AS (SELECT case_id, activity, coalesce(duration_us, 0) AS duration_us, activity_num AS pos FROM log UNION ALL SELECT case_id, 'start', 0, 0 FROM log GROUP BY case_id UNION ALL SELECT case_id, 'end', 0, max(activity_num) + 1 FROM log GROUP BY case_id),
+st AS (SELECT case_id, activity, duration_us, lead(activity) OVER (PARTITION BY case_id ORDER BY pos) AS next_activity FROM s),
+r AS (SELECT unnest([-2, -1, 0]) AS layer, * FROM st UNION ALL SELECT layer, st.* FROM st JOIN ly USING (case_id) WHERE layer > 0),
+n AS (SELECT layer, activity, next_activity, count(*) AS n FROM r WHERE next_activity IS NOT NULL GROUP BY ALL), p AS (SELECT *, n / sum(n) OVER (PARTITION BY layer, activity) AS p FROM n),
+e AS (SELECT layer, activity, next_activity, p / sum(p) OVER (PARTITION BY layer, activity) AS probability FROM p WHERE p > CASE WHEN layer = -1 THEN 0 ELSE 0.02 END),
+d AS (SELECT layer, activity AS next_activity, avg(duration_us) / 6e7 AS minutes FROM r GROUP BY ALL)
+SELECT layer, activity, next_activity, round(probability, 6) AS probability, round(CASE WHEN next_activity = 'end' THEN 0 WHEN next_activity = 'F' THEN CASE WHEN layer = -2 OR layer > 2 THEN -1 ELSE 1 END ELSE -coalesce(minutes / nullif(avg(minutes) OVER (PARTITION BY layer), 0), 0) END, 6) AS reward FROM e JOIN d USING (layer, next_activity)"""
 
 
-@query("happy_path_cross_entropy")
+@query("mdp_layers", _LAYERED)
 def _(spark, d):
-    return happypath.cross_entropy(_edges(spark, d), events=50, sessions=100)
+    out = happypath.layered_rewards(orders(spark, d), "F", floor=0.02, short_path=2)
+    return out.withColumns({c: F.round(c, 6) for c in ("probability", "reward")})
 
 
-@query("happy_path_genetic")
+@query("mdp_key_rewards", f"WITH {_STEPS} SELECT activity, next_activity, round(CASE WHEN next_activity = 'O' THEN -2 WHEN next_activity = 'end' THEN 5 ELSE reward END, 6) AS reward FROM rw")
 def _(spark, d):
-    return happypath.genetic(_edges(spark, d))
+    return happypath.rewards(orders(spark, d), 0.02, key_node="O", key_reward=-2.0, end_reward=5.0).select("activity", "next_activity", F.round("reward", 6).alias("reward"))
 
 
 # Factors.
