@@ -77,3 +77,8 @@ def occurrences(trace: Column, activity: str) -> Column:
 def summary_pairs(text: Column) -> Column:
     """Blocks between blank lines as an array."""
     return F.split(text, r"\n\s*\n")
+
+
+def json_fields(c: Column, schema: str) -> Column:
+    """A struct of the named fields of a JSON text; null where it is none."""
+    return F.from_json(c, schema)

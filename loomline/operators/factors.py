@@ -6,7 +6,10 @@ solves systems whose size is the number of encoded columns.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
@@ -40,14 +43,17 @@ def numeric(df: DataFrame, c: str) -> Column:
     return F.coalesce(F.col(c).cast("double"), F.lit(0.0))
 
 
-def encode(df: DataFrame, target: str, features: list[str], keep: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, list[str]]]:
+def encode(df: DataFrame, target: str, features: list[str], keep: tuple[str, ...] = (), drop_null: bool = False) -> tuple[DataFrame, dict[str, list[str]]]:
     """(table, encoded columns by feature): numbers as they are, text one-hot or by frequency.
 
+    Null numbers count as 0; with drop_null, rows with a null feature or target go instead.
+
     Constant features go. Text of 2 to 99 distinct values becomes a column per value, more
     become the value's number of rows, null being a value of its own. Frequencies are joined,
     so a frequent value is not gathered in a window.
     """
     check_arguments(df, target, features)
+    df = df.dropna(subset=[target, *features]) if drop_null else df
     counts = distinct_counts(df, features)
     groups: dict[str, list[str]] = {}
     columns = [F.col(c) for c in keep] + [numeric(df, target).alias(target)]
@@ -71,13 +77,14 @@ def encode(df: DataFrame, target: str, features: list[str], keep: tuple[str, ...
 
 
 def min_max(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with the columns scaled to 0..1; constant ones become 0. The ends are one row."""
-    ends = df.agg(*(x for i, c in enumerate(columns) for x in (F.min(F.col(f"`{c}`")).alias(f"a{i}"), F.max(F.col(f"`{c}`")).alias(f"b{i}")))).first()
+    """df with the columns scaled to 0..1; constant ones become 0. The ends are one row of an aggregate."""
+    ends = df.agg(F.struct(*(x for i, c in enumerate(columns) for x in (F.min(F.col(f"`{c}`")).cast("double").alias(f"a{i}"), F.max(F.col(f"`{c}`")).cast("double").alias(f"b{i}"))))).scalar()
+    table = df.withColumn("_ends", ends)
     out = {}
     for i, c in enumerate(columns):
-        a, b = ends[f"a{i}"], ends[f"b{i}"]
-        out[c] = (F.col(f"`{c}`") - F.lit(a)) / F.lit(float(b - a)) if a is not None and b > a else F.lit(0.0)
-    return df.select(*(F.col(f"`{c}`") for c in df.columns if c not in out), *(v.alias(c) for c, v in out.items()))
+        a, b = F.col(f"_ends.a{i}"), F.col(f"_ends.b{i}")
+        out[c] = F.when(b > a, (F.col(f"`{c}`") - a) / (b - a)).otherwise(0.0)
+    return table.select(*(F.col(f"`{c}`") for c in df.columns if c not in out), *(v.alias(c) for c, v in out.items()))
 
 
 def hash_split(key: Column, test: float = 0.25) -> Column:
@@ -86,21 +93,34 @@ def hash_split(key: Column, test: float = 0.25) -> Column:
 
 
 def moments(df: DataFrame, columns: list[str], target: str, fold: Column | None = None) -> dict:
-    """By fold: (n, sums, products) of the columns and the target, in one aggregation."""
+    """By fold: (n, sums, products) of the columns and the target, in one pass.
+
+    Each task adds up outer products of its rows in blocks; what it sends on has as many
+    values as there are pairs of columns, and they are added up by pair.
+    """
     names = [*columns, target]
-    col = lambda i: F.col(f"`{names[i]}`").cast("double")
     k = len(names)
-    aggs = [F.count("*").alias("n"), *(F.sum(col(i)).alias(f"s{i}") for i in range(k)), *(F.sum(col(i) * col(j)).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k))]
-    rows = df.groupBy((fold if fold is not None else F.lit(0)).alias("fold")).agg(*aggs).collect()
-    out = {}
-    for r in rows:
-        s = np.array([r[f"s{i}"] for i in range(k)], dtype=float)
-        p = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                p[i, j] = p[j, i] = r[f"p{i}_{j}"]
-        out[r.fold] = (r.n, s, p)
-    return out
+    rows = df.select((fold if fold is not None else F.lit(0)).cast("long").alias("fold"), F.array(*(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in names)).alias("x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            folds = batch.column(0).to_numpy(zero_copy_only=False)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+            x = np.concatenate((np.ones((len(x), 1)), x), axis=1)
+            for f in np.unique(folds).tolist():
+                part = x[folds == f]
+                total[f] = total.get(f, 0) + part.T @ part
+        i, j = np.triu_indices(k + 1)
+        for f, sums in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), f)), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(sums[i, j])], ["fold", "i", "j", "v"])
+
+    sums = rows.mapInArrow(run, "fold long, i int, j int, v double").groupBy("fold", "i", "j").agg(F.sum("v").alias("v")).collect()
+    out: dict[int, np.ndarray] = {}
+    for r in sums:
+        both = out.setdefault(r.fold, np.zeros((k + 1, k + 1)))
+        both[r.i, r.j] = both[r.j, r.i] = r.v
+    return {f: (int(round(m[0, 0])), m[0, 1:], m[1:, 1:]) for f, m in out.items()}
 
 
 def _add(parts) -> tuple:
@@ -126,18 +146,21 @@ def r2(m: tuple, chosen: list[int], w: np.ndarray, b: float) -> float:
     return float(1 - sse / yy) if yy > 1e-12 else 0.0
 
 
-def importances(df: DataFrame, target: str, features: list[str], key: str, folds: int = 5) -> DataFrame:
-    """(feature, r2_drop, ridge, shap, score): four views of each feature's weight, in percent.
+def importances(df: DataFrame, target: str, features: list[str], key: str, folds: int = 5, extended: bool = False, fold: Column | None = None) -> DataFrame:
+    """(feature, r2_drop, ridge, shap, permutation, score): views of each feature's weight, in percent.
 
     r2_drop is the loss of the best fold's r2 without the feature, ridge the norm of its
-    coefficients over their number, shap its share of linear attributions, and score blends
-    them as (5 * r2_drop + ridge + 4 * shap) / 10, without r2_drop if any is not positive.
-    Folds follow the key's hash. "other" is 100 * (1 - r2) of the full model.
+    coefficients over their number, shap its share of linear attributions, permutation the
+    rise of the squared error that shuffling it brings on average, which is twice the
+    variance of its part of the prediction. score blends them as (c * r2_drop + ridge + 4 *
+    shap) / (c + 5), where c is 5, and 0 if any r2_drop is not positive; extended, c is 9 and
+    4 * permutation joins, over c + 9. Folds follow the key's hash, or `fold`. "other" is
+    100 * (1 - r2) of the full model.
     """
     table, groups = encode(df, target, features, keep=(key,))
     columns = [c for g in groups.values() for c in g]
     table = min_max(table, [*columns, target])
-    parts = moments(table, columns, target, F.pmod(F.xxhash64(key), F.lit(folds)))
+    parts = moments(table, columns, target, fold if fold is not None else F.pmod(F.xxhash64(key), F.lit(folds)))
     whole = _add(parts.values())
     at = {c: i for i, c in enumerate(columns)}
 
@@ -150,17 +173,33 @@ def importances(df: DataFrame, target: str, features: list[str], key: str, folds
     full = best(everything)
     w, b = solve(whole, everything)
     n, s, p = whole
-    spread = np.sqrt(np.maximum(np.diag(p)[:-1] / n - (s[:-1] / n) ** 2, 0))
+    cov = p / n - np.outer(s / n, s / n)
+    spread = np.sqrt(np.maximum(np.diag(cov)[:-1], 0))
     rows = []
     for f, names in groups.items():
         own = [at[c] for c in names]
-        rows.append([f, full - best([i for i in everything if i not in own]), float(np.sqrt((w[own] ** 2).sum()) / len(own)), float(np.abs(w[own] * spread[own]).sum())])
+        shuffled = float(2 * w[own] @ cov[np.ix_(own, own)] @ w[own])
+        rows.append([f, full - best([i for i in everything if i not in own]), float(np.sqrt((w[own] ** 2).sum()) / len(own)), float(np.abs(w[own] * spread[own]).sum()), shuffled])
     share = lambda k: [100 * r[k] / (sum(abs(x[k]) for x in rows) or 1.0) for r in rows]
-    drop, ridge, shap = share(1), share(2), share(3)
-    c = 0 if any(r[1] <= 0 for r in rows) else 5
-    out = [(r[0], d, a, h, (c * d + a + 4 * h) / (c + 5)) for r, d, a, h in zip(rows, drop, ridge, shap, strict=True)]
+    drop, ridge, shap, perm = share(1), share(2), share(3), share(4)
+    c = 0 if any(r[1] <= 0 for r in rows) else 9 if extended else 5
+    score = [(c * d + a + 4 * h + (4 * q if extended else 0)) / (c + (9 if extended else 5)) for d, a, h, q in zip(drop, ridge, shap, perm, strict=True)]
+    out = list(zip((r[0] for r in rows), drop, ridge, shap, perm, score, strict=True))
     other = 100 * (1 - r2(whole, everything, w, b))
-    return df.sparkSession.createDataFrame([*out, ("other", None, None, None, other)], "feature string, r2_drop double, ridge double, shap double, score double")
+    return df.sparkSession.createDataFrame([*out, ("other", None, None, None, None, other)], "feature string, r2_drop double, ridge double, shap double, permutation double, score double")
+
+
+def k_best(rows: DataFrame, target: str, features: list[str], share: float = 0.3) -> DataFrame:
+    """(feature, r2, rank) of the features that explain the target best alone, a share of them and one at least.
+
+    They are ranked by squared correlation, in which the F statistic of a regression grows.
+    """
+    n, s, p = moments(rows, features, target)[0]
+    cov = p / n - np.outer(s / n, s / n)
+    spread = np.diag(cov)
+    score = [float(cov[i, -1] ** 2 / (spread[i] * spread[-1])) if spread[i] * spread[-1] > 1e-18 else 0.0 for i in range(len(features))]
+    order = sorted(range(len(features)), key=lambda i: (-score[i], features[i]))[: max(1, int(len(features) * share))]
+    return rows.sparkSession.createDataFrame([(features[i], score[i], r + 1) for r, i in enumerate(order)], "feature string, r2 double, rank int")
 
 
 def feature_influence(pivoted: DataFrame, key: str, most: int = 3) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -27,24 +29,19 @@ def trim_months(rows: DataFrame, ts: str = "ts") -> DataFrame:
     The first month is partial if its first day is not the 1st; the last one if its last day
     is before the length of the *first* month, as the source of these rules has it.
     """
-    span = rows.agg(F.min(ts).alias("a"), F.max(ts).alias("b"), F.dayofmonth(F.min(ts)).alias("da"), F.dayofmonth(F.max(ts)).alias("db"), F.dayofmonth(F.last_day(F.min(ts))).alias("days")).first()
-    if span is None or span.a is None:
-        return rows
+    first, last = rows.agg(F.min(ts)).scalar(), rows.agg(F.max(ts)).scalar()
     month = F.date_trunc("MONTH", F.col(ts))
-    if span.da != 1:
-        rows = rows.filter(month > F.date_trunc("MONTH", F.lit(span.a)))
-    if span.db < span.days:
-        rows = rows.filter(month < F.date_trunc("MONTH", F.lit(span.b)))
-    return rows
+    early = (F.dayofmonth(first) == 1) | (month > F.date_trunc("MONTH", first))
+    late = (F.dayofmonth(last) >= F.dayofmonth(F.last_day(first))) | (month < F.date_trunc("MONTH", last))
+    return rows.filter(early & late)
 
 
 def _dense(rows: DataFrame, keys: list[str], period: str) -> DataFrame:
     """(period, keys, n, probability, mean_duration_s) with a row for every period of the span."""
     counted = rows.groupBy("period", *keys).agg(F.count("*").alias("n"), (F.avg("duration_us") / 1e6).alias("mean_duration_s"))
-    span = rows.agg(F.min("period").alias("a"), F.max("period").alias("b"))
     # Every object carries the span and explodes it: objects x periods rows, the result's size.
-    one = span.first()
-    days = F.explode(F.sequence(F.lit(one.a).cast("date"), F.lit(one.b).cast("date"), F.expr(_STEP[period]))).alias("period")
+    first, last = rows.agg(F.min("period")).scalar(), rows.agg(F.max("period")).scalar()
+    days = F.explode(F.sequence(first, last, F.expr(_STEP[period]))).alias("period")
     spine = rows.select(*keys).distinct().select(*keys, days)
     full = spine.join(counted, ["period", *keys], "left")
     total = F.sum("n").over(Window.partitionBy("period"))
@@ -66,11 +63,12 @@ def edge_series(log: EventLog, period: str = "D", floor: bool = False) -> DataFr
     return _dense(rows.withColumn("period", bucket(F.col("ts"), period, floor)), ["activity", "next_activity"], period)
 
 
-def lag_features(series: DataFrame, keys: list[str], value: str = "probability", period: str = "D", calendar: DataFrame | None = None) -> DataFrame:
+def lag_features(series: DataFrame, keys: list[str], value: str = "probability", period: str = "D", calendar: DataFrame | None = None, one_hot: bool = False) -> DataFrame:
     """The series with lag_1..lag_k, diff_2..diff_k (lag_1 - lag_k), month and linear trend.
 
     k is 7 for days, 12 for months and 5 for years; the first k periods of each object have
-    no full history and are left out. A calendar (period, ...) is joined from the left.
+    no full history and are left out. A calendar (period, ...) is joined from the left. With
+    one_hot, M1 to M12 say the month, but not for years.
     """
     k = LAGS[period]
     w = Window.partitionBy(*keys).orderBy("period")
@@ -78,6 +76,8 @@ def lag_features(series: DataFrame, keys: list[str], value: str = "probability",
     out = out.filter(F.col("_nth") > k)
     diffs = [(F.col("lag_1") - F.col(f"lag_{i}")).alias(f"diff_{i}") for i in range(2, k + 1)]
     out = out.select("*", *diffs, F.month("period").alias("month"), (F.col("_nth") - k).alias("linear")).drop("_nth")
+    if one_hot and period != "Y":
+        out = out.select("*", *((F.col("month") == m).cast("int").alias(f"M{m}") for m in range(1, 13)))
     return out.join(F.broadcast(calendar), "period", "left") if calendar is not None else out
 
 
@@ -121,10 +121,12 @@ def _holt(y: np.ndarray, a: float, b: float, steps: int) -> tuple[np.ndarray, fl
     return level + trend * np.arange(1, steps + 1), error / max(len(y) - 1, 1)
 
 
-def _forecast_one(y: np.ndarray, lags: int, steps: int) -> tuple[np.ndarray, str]:
-    """The best of ridge on lags, Holt's trend and the last value, by error on the last tenth."""
+def _forecast_one(y: np.ndarray, lags: int, steps: int, kinds: tuple[str, ...], folds: int) -> tuple[np.ndarray, str]:
+    """The best of ridge on lags, Holt's trend and the last value, by mean error over chronological folds.
+
+    Each fold holds out a tenth of the series, the last one its end.
+    """
     keep = max(1, len(y) // 10)
-    head, tail = y[:-keep], y[-keep:]
 
     def ridge(series: np.ndarray, n: int, alpha: float) -> np.ndarray:
         k = min(lags, len(series) // 2)
@@ -139,36 +141,73 @@ def _forecast_one(y: np.ndarray, lags: int, steps: int) -> tuple[np.ndarray, str
     for a in (0.2, 0.5, 0.8):
         for b in (0.1, 0.3):
             models[f"holt {a} {b}"] = lambda s, n, a=a, b=b: np.maximum(_holt(s, a, b, n)[0], 0.0)
-    if len(head) >= 6:
-        for alpha in (0.01, 1.0, 10.0):
-            models[f"ridge {alpha}"] = lambda s, n, alpha=alpha: ridge(s, n, alpha)
-    best = min(models, key=lambda m: float(np.mean((models[m](head, keep) - tail) ** 2)) if len(head) else 0.0)
+    for alpha in (0.01, 1.0, 10.0):
+        models[f"ridge {alpha}"] = lambda s, n, alpha=alpha: ridge(s, n, alpha)
+    cuts = [len(y) - keep * f for f in range(1, folds + 1) if len(y) - keep * f >= 6]
+    models = {m: f for m, f in models.items() if m.split()[0] in kinds and (cuts or m == "last")} or {"last": models["last"]}
+    error = lambda m: float(np.mean([np.mean((models[m](y[:c], keep) - y[c : c + keep]) ** 2) for c in cuts])) if cuts else 0.0
+    best = min(models, key=error)
     return models[best](y, steps), best
 
 
-def forecast(series: DataFrame, keys: list[str], value: str = "probability", period: str = "D", steps: int = 5, normalise: bool = True) -> DataFrame:
+@dataclass(frozen=True)
+class Plan:
+    """How to forecast: the period and number of steps, the kinds of models tried, folds, and whether shares add up to 1."""
+
+    period: str = "D"
+    steps: int = 5
+    kinds: tuple[str, ...] = ("last", "holt", "ridge")
+    folds: int = 3
+    normalise: bool = True
+
+
+def forecast(series: DataFrame, keys: list[str], value: str = "probability", period: str = "D", steps: int = 5, normalise: bool = True, plan: Plan | None = None) -> DataFrame:
     """(keys, period, forecast, model) of the next periods, never below 0.
 
     Each object's series is one group, bounded by the number of periods. With normalise,
     the shares of a period are scaled to add up to 1.
     """
-    lags = LAGS[period]
-    rule = {"D": "D", "M": "MS", "Y": "YS"}[period]
+    plan = plan or Plan(period, steps, normalise=normalise)
+    lags = LAGS[plan.period]
+    rule = {"D": "D", "M": "MS", "Y": "YS"}[plan.period]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("period")
-        y, model = _forecast_one(pdf[value].to_numpy(dtype=float), lags, steps)
-        ahead = pd.date_range(pdf["period"].iloc[-1], periods=steps + 1, freq=rule)[1:]
+        y, model = _forecast_one(pdf[value].to_numpy(dtype=float), lags, plan.steps, plan.kinds, plan.folds)
+        ahead = pd.date_range(pdf["period"].iloc[-1], periods=plan.steps + 1, freq=rule)[1:]
         return pd.DataFrame({**{k: pdf[k].iloc[0] for k in keys}, "period": ahead.date, "forecast": y, "model": model})
 
     kinds = ", ".join(f"{k} {series.schema[k].dataType.simpleString()}" for k in keys)
     out = series.select(*keys, "period", value).groupBy(*keys).applyInPandas(run, f"{kinds}, period date, forecast double, model string")
-    if normalise:
+    if plan.normalise:
         total = F.sum("forecast").over(Window.partitionBy("period"))
         out = out.withColumn("forecast", F.coalesce(F.col("forecast") / F.nullif(total, F.lit(0.0)), F.lit(0.0)))
     return out
 
 
+def blend_forecasts(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, period, forecast): two forecasts as one; where only b has a row, b's."""
+    other = a.select(*keys, "period", F.col("forecast").alias("_a"))
+    both = other.join(b.select(*keys, "period", F.col("forecast").alias("_b")), [*keys, "period"], "right")
+    return both.select(*keys, "period", F.coalesce(blended(F.col("_a"), F.col("_b")), F.col("_b")).alias("forecast"))
+
+
+def forecast_table(series: DataFrame, plan: Plan | None = None, comma: bool = False) -> DataFrame:
+    """One row per coming period with <activity>_prob and <activity>_duration_s for each activity of a node series.
+
+    With comma, numbers are texts of six digits with a decimal comma.
+    """
+    plan = plan or Plan()
+    prob = forecast(series, ["activity"], "probability", plan=plan).select("period", F.concat("activity", F.lit("_prob")).alias("name"), "forecast")
+    last = forecast(series, ["activity"], "mean_duration_s", plan=replace(plan, normalise=False)).select("period", F.concat("activity", F.lit("_duration_s")).alias("name"), "forecast")
+    names = sorted(r.activity for r in series.select("activity").distinct().limit(1001).collect())
+    if len(names) > 1000:
+        raise ValueError("more than 1000 activities; choose some first")
+    wanted = [f"{n}{end}" for n in names for end in ("_prob", "_duration_s")]
+    wide = prob.union(last).groupBy("period").pivot("name", wanted).agg(F.round(F.first("forecast"), 6))
+    return wide.select("period", *(F.replace(F.col(f"`{c}`").cast("string"), F.lit("."), F.lit(",")).alias(c) for c in wanted)) if comma else wide
+
+
 def blended(a: Column, b: Column) -> Column:
     """Two models' forecasts as one: the geometric mean."""
     return F.sqrt(a * b)

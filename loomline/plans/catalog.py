@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, with_sentinels
 from loomline.functions import scalar
 from loomline.operators import cluster, factors, happypath, insights, metrics, outliers, quality, series
-from loomline.sources import io
+from loomline.plans import runner
+from loomline.sources import io, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -327,12 +331,12 @@ def _(spark, d):
     return insights.duration_warnings(events(spark, d))
 
 
-_INSIGHT = f"{_BISECT}, i AS (SELECT activity, avg(duration_us) / 1e6 AS mean_time, count(*) / count(DISTINCT case_id) AS frequency, (1 - count(DISTINCT case_id) / count(*)) * 100 AS cycles, (count(*) - count(DISTINCT case_id)) / count(*) AS duplicates_rate, count(*) AS activities_num, coalesce(avg(duration_us) / nullif(median(duration_us), 0), 1) AS mean_median FROM log GROUP BY activity)"
+_INSIGHT = f"{_BISECT}, i AS (SELECT activity, avg(duration_us) / 1e6 AS mean_time, count(*) / count(DISTINCT case_id) AS frequency, (1 - count(DISTINCT case_id) / count(*)) * 100 AS cycles, (count(*) - count(DISTINCT case_id)) / count(*) AS duplicates_rate, count(*) AS activities_num, coalesce(avg(duration_us) / nullif(median(duration_us), 0), 1) AS mean_median FROM log GROUP BY activity), qs AS (SELECT activity, quantile_cont(duration_us, 0.25) AS q1, quantile_cont(duration_us, 0.75) AS q3 FROM log GROUP BY activity), al AS (SELECT activity, coalesce(avg(CASE WHEN duration_us > q3 + (q3 - q1) * 1.5 THEN 1.0 ELSE 0.0 END) FILTER (duration_us IS NOT NULL), 0)::DOUBLE AS anomaly_level FROM log JOIN qs USING (activity) GROUP BY activity)"
 
 
-@query("insight_table", f"WITH {EVENTS}, {_INSIGHT} SELECT activity, round(mean_time, 3) AS mean_time, round(frequency, 4) AS frequency, round(cycles, 4) AS cycles, round(duplicates_rate, 4) AS duplicates_rate, activities_num, round(mean_median, 4) AS mean_median, bisect_ratio AS diff_time FROM i JOIN r USING (activity)")
+@query("insight_table", f"WITH {EVENTS}, {_INSIGHT} SELECT activity, round(mean_time, 3) AS mean_time, round(frequency, 4) AS frequency, round(cycles, 4) AS cycles, round(duplicates_rate, 4) AS duplicates_rate, activities_num, round(mean_median, 4) AS mean_median, round(anomaly_level, 6) AS anomaly_level, bisect_ratio AS diff_time FROM i JOIN r USING (activity) JOIN al USING (activity)")
 def _(spark, d):
-    digits = {"mean_time": 3, "frequency": 4, "cycles": 4, "duplicates_rate": 4, "mean_median": 4, "diff_time": 4}
+    digits = {"mean_time": 3, "anomaly_level": 6, "frequency": 4, "cycles": 4, "duplicates_rate": 4, "mean_median": 4, "diff_time": 4}
     return insights.insight_table(events(spark, d)).withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
@@ -346,6 +350,76 @@ def _(spark, d):
     return factors.feature_influence(insights.pivot(events(spark, d), "appearance"), "case_id")
 
 
+_STATUS = "pv AS (SELECT l_orderkey, count(*) FILTER (l_linestatus = 'F')::DOUBLE AS f, count(*) FILTER (l_linestatus = 'O')::DOUBLE AS o FROM lineitem GROUP BY 1)"
+
+
+def _status(spark, d) -> DataFrame:
+    log = EventLog(table(spark, d, "lineitem"), "l_orderkey", "l_linestatus", "l_shipdate", tiebreak=("l_linenumber",))
+    return insights.pivot(log, "appearance")
+
+
+@query("feature_influence_two", f"WITH {_STATUS} SELECT unnest(['F', 'O']) AS activity, unnest([CASE WHEN regr_r2(f, o) >= 0.01 THEN 1 ELSE 0 END, CASE WHEN regr_r2(f, o) >= 0.01 THEN 1 ELSE 0 END])::INT AS selected FROM pv")
+def _(spark, d):
+    return factors.feature_influence(_status(spark, d), "case_id")
+
+
+@query(
+    "problem_scores",
+    f"""WITH {_STATUS}, x AS (SELECT f AS xf, o AS xo FROM pv ORDER BY l_orderkey LIMIT 1),
+    m AS (SELECT avg(f) AS mf, avg(o) AS mo, regr_slope(f, o) AS fo, regr_slope(o, f) AS of_, regr_r2(f, o) AS r2, sum(f) / sum(f + o) AS wf, sum(o) / sum(f + o) AS wo FROM pv),
+    s AS (SELECT *, mf * wf + of_ * (xf - mf) * wo AS sf, fo * (xo - mo) * wf + mo * wo AS so FROM m, x)
+    SELECT 'F' AS activity, round(sf / greatest(abs(sf), abs(so)), 5) AS problem_score, round(wf, 6) AS weight, round(r2, 6) AS r2 FROM s
+    UNION ALL SELECT 'O', round(so / greatest(abs(sf), abs(so)), 5), round(wo, 6), round(r2, 6) FROM s""",
+)
+def _(spark, d):
+    return insights.problem_scores(_status(spark, d), "case_id").withColumns({"problem_score": F.round("problem_score", 5), "weight": F.round("weight", 6), "r2": F.round("r2", 6)})
+
+
+_LABELLED = f"""{_INSIGHT}, cs AS (SELECT case_id, date_diff('microsecond', min(ts), max(ts)) AS us FROM log GROUP BY 1), sh AS (SELECT activity, count(*) / (SELECT count(*) FROM cs) AS share, avg(us) / (SELECT avg(us) FROM cs) AS case_ratio FROM (SELECT DISTINCT activity, case_id FROM log) JOIN cs USING (case_id) GROUP BY 1),
+t AS (SELECT i.*, bisect_ratio AS diff_time, anomaly_level, share, case_ratio, (SELECT quantile_cont(mean_time, 0.75) FROM i) AS slow FROM i JOIN r USING (activity) JOIN al USING (activity) JOIN sh USING (activity)),
+lb AS ({' UNION ALL '.join(f"SELECT activity, '{n}' AS label FROM t WHERE {rule}" for n, rule in insights.STAGE_LABELS.items())})"""
+
+
+@query("stage_labels", f"WITH {EVENTS}, {_LABELLED} SELECT * FROM lb")
+def _(spark, d):
+    return insights.stage_labels(events(spark, d))
+
+
+@query("insights_clustered", f"WITH {EVENTS}, {_LABELLED} SELECT activity, string_agg(label, '; ' ORDER BY label) AS labels FROM lb GROUP BY activity")
+def _(spark, d):
+    return insights.insight_output(events(spark, d), "clustered")
+
+
+@query("insights_binary", f"WITH {EVENTS}, {_LABELLED} SELECT activity, {', '.join(f"max((label = '{n}')::INT) AS {chr(34)}{n.replace(' ', '_')}{chr(34)}" for n in insights.STAGE_LABELS)} FROM lb GROUP BY activity")
+def _(spark, d):
+    return insights.insight_output(events(spark, d), "clustered_binary")
+
+
+@query("insights_effect", f"WITH {EVENTS}, {_LABELLED}, md AS (SELECT activity, median(duration_us) AS m FROM log GROUP BY 1) SELECT activity, round(sum(greatest(duration_us - m, 0)) / 3.6e9, 4) AS hours, round(sum(greatest(duration_us - m, 0)) / 3.6e9 * 2, 4) AS effect FROM log JOIN md USING (activity) WHERE activity IN (SELECT activity FROM lb) GROUP BY activity")
+def _(spark, d):
+    return insights.insight_output(events(spark, d), "financial_only_effect", 2.0).withColumns({"hours": F.round("hours", 4), "effect": F.round("effect", 4)})
+
+
+@query("insights_transitions", f"WITH {EVENTS}, {_LABELLED} SELECT activity, next_activity, count(*) AS n FROM log WHERE next_activity IS NOT NULL AND activity IN (SELECT activity FROM lb) GROUP BY ALL")
+def _(spark, d):
+    return insights.insight_output(events(spark, d), "transitions")
+
+
+_WORD = "coalesce(regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}_])({})([^\\p{{L}}\\p{{N}}_]|$)'), false)"
+_TEXTS = f"""tx AS (SELECT conv_id, role, {_WORD.format('error|the')} AS e, {_WORD.format('and')} AS v, max((role = 'system')::INT) OVER (PARTITION BY conv_id) = 1 AS won FROM conversations),
+tt AS (SELECT role AS activity, count(*) FILTER (e) AS errors, count(*) FILTER (e AND won) AS errors_won, count(*) FILTER (e AND NOT won) AS errors_lost, count(*) FILTER (v AND won) AS reversals_won, count(*) FILTER (v AND NOT won) AS reversals_lost FROM tx GROUP BY 1)"""
+
+
+@query("text_labels", f"WITH {_TEXTS} " + " UNION ALL ".join(f"SELECT activity, '{n}' AS label FROM tt WHERE {rule}" for n, rule in insights.TEXT_LABELS.items()))
+def _(spark, d):
+    return insights.text_labels(talks(spark, d), "system", ["error", "the"], ["and"])
+
+
+@query("activity_durations", f"WITH {EVENTS} SELECT activity, duration_us FROM log WHERE duration_us IS NOT NULL AND activity IS NOT NULL")
+def _(spark, d):
+    return insights.durations_by_activity(events(spark, d))
+
+
 @query("text_flags", "SELECT conv_id, turn, coalesce(regexp_matches(lower(text), '(^|[^\\p{L}\\p{N}_])(error|the)([^\\p{L}\\p{N}_]|$)'), false) AS has_word FROM conversations")
 def _(spark, d):
     out = insights.text_flags(talks(spark, d), ["error", "the"])
@@ -369,9 +443,15 @@ def _(spark, d):
     return io.without_negative(e, "user_id", "_shift").select("event_id", "user_id")
 
 
-@query("sampled_rows", "SELECT event_id, event_type FROM events")
+@query("sampled_rows", "SELECT event_type, true AS near FROM events GROUP BY event_type")
 def _(spark, d):
-    return io.sample_rows(table(spark, d, "events").select("event_id", "event_type"))
+    """Whether a sample of a third of the rows holds each type about that often; below the budget all rows stay."""
+    e = table(spark, d, "events").select("event_id", "event_type")
+    n = e.count()
+    assert io.sample_rows(e, n).count() == n
+    share = io.sample_rows(e, n // 3).groupBy("event_type").agg(F.count("*").alias("k"))
+    whole = e.groupBy("event_type").agg(F.count("*").alias("n"))
+    return whole.join(share, "event_type").select("event_type", F.col("k").between(F.col("n") * 0.2, F.col("n") * 0.47).alias("near"))
 
 
 @query("jsonl_export", """SELECT '{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS value FROM orders""")
@@ -379,6 +459,179 @@ def _(spark, d):
     return io.json_lines(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
 
 
+@query("csv_times", "SELECT o_orderkey, o_orderdate::TIMESTAMP AS placed, o_orderstatus FROM orders")
+def _(spark, d):
+    path = scratch.scratch_path(spark, "orders-csv")
+    o = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "dd.MM.yyyy HH:mm:ss").alias("placed"), "o_orderstatus")
+    io.export_rows(o, path, "csv")
+    out = io.read_files(spark, path, "csv", "o_orderkey long, placed string, o_orderstatus string", "dd.MM.yyyy HH:mm:ss", ("placed",))
+    return out.withColumn("placed", F.col("placed").cast("timestamp_ntz"))
+
+
+@query("export_summary", "SELECT 'csv' AS kind, count(*) AS rows, count(*) FILTER (o_orderstatus = 'F') AS nulls FROM orders UNION ALL SELECT 'json', count(*), count(*) FILTER (o_orderstatus = 'F') FROM orders UNION ALL SELECT 'parquet', count(*), count(*) FILTER (o_orderstatus = 'F') FROM orders")
+def _(spark, d):
+    """Exports with nulls, without one column, split and compressed, and what is read back."""
+    o = table(spark, d, "orders").select("o_orderkey", F.expr("nullif(o_orderstatus, 'F')").alias("s"), "o_totalprice")
+    out = []
+    for kind in ("csv", "json", "parquet"):
+        path = scratch.scratch_path(spark, f"export-{kind}")
+        told = io.export_rows(o, path, kind, exclude=("o_totalprice",), rows_per_file=1000, null_marker="-" if kind == "csv" else None, gzip=True)
+        back = io.read_files(spark, path, kind, "o_orderkey long, s string", **({"nullValue": "-"} if kind == "csv" else {}))
+        assert [f["name"] for f in told["schema"]["fields"]] == ["o_orderkey", "s"]
+        out.append((kind, told["rows"], back.filter("s is null").count()))
+    return spark.createDataFrame(out, "kind string, rows long, nulls long")
+
+
+@query("stored_outliers", f"WITH {_NUM}, b AS (SELECT l_returnflag, {_exact(0.05)} AS lo, {_exact(0.95)} AS hi, count(*) AS n FROM x GROUP BY 1) SELECT DISTINCT l_orderkey AS case_id, num AS activity_num, 2 AS copies FROM x JOIN b USING (l_returnflag) WHERE CASE WHEN l_extendedprice BETWEEN lo AND hi OR n < 30 THEN 0 ELSE 1 END = 1")
+def _(spark, d):
+    """Created, appended to, and refused when it is to be created again."""
+    name = f"found_{uuid.uuid4().hex}"
+    found = outliers.detect("default", _numbered(spark, d), "l_orderkey", "num", "l_returnflag", "l_extendedprice")
+    io.save_outliers(spark, found, name, "errorifexists")
+    io.save_outliers(spark, found, name)
+    try:
+        io.save_outliers(spark, found, name, "errorifexists")
+        raise AssertionError("an existing table was created again")
+    except AnalysisException:
+        pass
+    out = scratch.written(spark.table(name).groupBy("case_id", "activity_num").agg(F.count("*").cast("int").alias("copies")), "stored")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query("case_partitions", "SELECT user_id, 1 AS partitions FROM events GROUP BY user_id")
+def _(spark, d):
+    rows = io.by_case(table(spark, d, "events"), "user_id", 7).withColumn("p", F.spark_partition_id())
+    return rows.groupBy("user_id").agg(F.count_distinct("p").cast("int").alias("partitions"))
+
+
+@query("fetched_chunks", "SELECT (row_number() OVER (ORDER BY n_nationkey) - 1) // 7 AS chunk, n_nationkey FROM nation")
+def _(spark, d):
+    rows = table(spark, d, "nation").select("n_nationkey").orderBy("n_nationkey")  # one row per nation
+    return spark.createDataFrame([(i, r.n_nationkey) for i, part in enumerate(io.chunks(rows, 7)) for r in part], "chunk long, n_nationkey int")
+
+
+@query("statements", "SELECT 'a;b' AS text, count(*) AS n FROM orders WHERE o_totalprice > 1000")
+def _(spark, d):
+    table(spark, d, "orders").createOrReplaceTempView("statement_orders")
+    return io.run_sql(spark, "select 1; -- a comment; here\n select 'a;b' as text, count(*) as n from statement_orders where o_totalprice > :least;", {"least": 1000}, split=True)
+
+
+@query("virtual_fields", "SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN 'yes' ELSE 'no' END AS large FROM orders")
+def _(spark, d):
+    log = orders(spark, d).with_fields(large="case when o_totalprice > 100000 then 'yes' else 'no' end")
+    return log.df.select("o_orderkey", "large")
+
+
+@query("partition_checks", "SELECT 'path' AS what, true AS there UNION ALL SELECT 'missing path', false UNION ALL SELECT 'partition', true UNION ALL SELECT 'missing partition', false UNION ALL SELECT 'missing table', false UNION ALL SELECT 'some rows', true UNION ALL SELECT 'no rows', false UNION ALL SELECT 'states', true")
+def _(spark, d):
+    name = f"parts_{uuid.uuid4().hex}"
+    o = table(spark, d, "orders")
+    io.to_table(spark, o.select("o_orderkey", "o_orderstatus"), name, ("o_orderstatus",))
+    out = [
+        ("path", io.exists(spark, f"{d}/orders.*")), ("missing path", io.exists(spark, f"{d}/nothing*")),
+        ("partition", io.has_partition(spark, name, {"o_orderstatus": "F"})), ("missing partition", io.has_partition(spark, name, {"o_orderstatus": "Z"})),
+        ("missing table", io.has_partition(spark, f"{name}_", {"o_orderstatus": "F"})),
+        ("some rows", quality.sql_sensor(o.select(F.lit(1)))), ("no rows", quality.sql_sensor(o.limit(0))),
+        ("states", quality.states_complete(spark.createDataFrame([("done", "2024-01-01"), ("done", "2024-01-02"), ("failed", "2024-01-02")], "s string, t string"), "s", ["done"], "t", ["2024-01-01", "2024-01-02"])),
+    ]
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(out, "what string, there boolean")
+
+
+@query("saved_stats", "SELECT '2024-01-01' AS ds, 'supplier' AS table_name, count(*)::DOUBLE AS value FROM supplier UNION ALL SELECT '2024-01-02', 'supplier', count(*)::DOUBLE FROM supplier")
+def _(spark, d):
+    """Two days, the first one saved twice."""
+    path = scratch.scratch_path(spark, "stats")
+    stats = quality.table_stats(table(spark, d, "supplier"))
+    for ds in ("2024-01-01", "2024-01-02", "2024-01-01"):
+        quality.save_stats(stats, path, ds, "supplier", "all")
+    saved = spark.read.parquet(path).filter("col = '' and metric = 'count'")
+    return saved.select(F.col("ds").cast("string").alias("ds"), "table_name", "value")
+
+
+@query("column_stats_by_callable", "SELECT 's_acctbal' AS col, 'spread' AS metric, round(max(s_acctbal) - min(s_acctbal), 4) AS value FROM supplier UNION ALL SELECT '', 'count', count(*) FROM supplier")
+def _(spark, d):
+    own = lambda c, kind: {"spread": F.max(c) - F.min(c)}
+    return quality.table_stats(table(spark, d, "supplier").select("s_acctbal"), per_column=own).withColumn("value", F.round("value", 4))
+
+
+@query("row_and_value_checks", "SELECT 'row' AS what, true AS ok UNION ALL SELECT 'zero', false UNION ALL SELECT 'value', true UNION ALL SELECT 'far value', false")
+def _(spark, d):
+    o = table(spark, d, "orders")
+    n = o.count()
+    out = [("row", quality.row_check(o.agg(F.count("*"), F.max("o_orderkey")))), ("zero", quality.row_check(o.agg(F.count("*"), F.count_if(F.col("o_orderkey") < 0)))), ("value", quality.value_check(n, n * 1.04, 0.05)), ("far value", quality.value_check(n, n * 2.0, 0.05))]
+    return spark.createDataFrame(out, "what string, ok boolean")
+
+
+@query("text_functions", "SELECT o_orderkey, o_orderstatus AS bare, o_orderstatus || 'x' AS none, o_orderpriority AS ended, len(string_split(o_orderstatus || '--' || o_orderpriority || '--z', '--'))::INT AS blocks, strftime(o_orderdate, '%d/%m/%Y') AS day FROM orders")
+def _(spark, d):
+    o = table(spark, d, "orders")
+    s, p, quote = F.col("o_orderstatus"), F.col("o_orderpriority"), F.lit('"')
+    pairs = scalar.summary_pairs(F.concat_ws("\n \n", s, p, F.lit("z")))
+    return o.select("o_orderkey", scalar.unquote(F.concat(quote, s, quote)).alias("bare"), scalar.without_quotes(F.concat(quote, s, quote, F.lit("x"))).alias("none"), scalar.without_returns(F.concat(p, F.lit("\r\r"))).alias("ended"), F.size(pairs).alias("blocks"), scalar.reformat_date(F.date_format("o_orderdate", "yyyy-MM-dd"), "yyyy-MM-dd", "dd/MM/yyyy").alias("day"))
+
+
+@query("trace_counts", f"WITH {EVENTS} SELECT case_id, count(*) FILTER (activity = 'click')::INT AS clicks, round((1 - count(DISTINCT activity) / count(*)) * 100, 4) AS loops FROM log GROUP BY case_id")
+def _(spark, d):
+    traces = metrics.CaseMetrics(events(spark, d)).calc("trace")
+    kinds = F.size(F.array_distinct("trace"))
+    return traces.select("case_id", scalar.occurrences(F.col("trace"), "click").alias("clicks"), F.round(scalar.loop_percent(kinds, F.size("trace")), 4).alias("loops"))
+
+
+@query("json_fields", "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events")
+def _(spark, d):
+    return table(spark, d, "events").select("event_id", scalar.json_fields(F.col("props"), "k int")["k"].alias("k"))
+
+
+@query("epoch_features", "SELECT o_orderkey, epoch(o_orderdate)::DOUBLE AS placed FROM orders")
+def _(spark, d):
+    o = table(spark, d, "orders")
+    return o.select("o_orderkey", factors.numeric(o, "o_orderdate").alias("placed"))
+
+
+@query("typed_transfer", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_totalprice AS BIGINT) AS o_totalprice FROM orders WHERE o_totalprice - floor(o_totalprice) < 0.4 UNION ALL SELECT '-1', 7")
+def _(spark, d):
+    """Rows moved into a table with types of its own, and one appended."""
+    name = f"typed_{uuid.uuid4().hex}"
+    o = table(spark, d, "orders").filter("o_totalprice - floor(o_totalprice) < 0.4")
+    io.transfer(o, lambda df: io.to_table(spark, df, name, recreate=True), columns={"o_orderkey": "string", "o_totalprice": "bigint"})
+    io.insert_rows(spark, [("-1", 7)], name, "o_orderkey string, o_totalprice bigint")
+    out = scratch.written(spark.table(name), "typed")
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+@query("source_checks", "SELECT 'header' AS what, true AS ok UNION ALL SELECT 'other header', false UNION ALL SELECT 'source', true UNION ALL SELECT 'missing source', false")
+def _(spark, d):
+    path = scratch.scratch_path(spark, "header-csv")
+    io.export_rows(table(spark, d, "region").select("r_regionkey", "r_name"), path, "csv")
+
+    def fits(columns):
+        try:
+            io.check_header(spark, path, columns)
+        except ValueError:
+            return False
+        return True
+
+    out = [("header", fits(["R_REGIONKEY", "r_name"])), ("other header", fits(["r_name"])), ("source", io.connected(spark)[0]), ("missing source", io.connected(spark, lambda: spark.read.parquet(f"{d}/nothing.parquet"))[0])]
+    return spark.createDataFrame(out, "what string, ok boolean")
+
+
+@query("distinct_unions", "SELECT o_custkey AS case_id, array_to_string(list_sort(list_distinct(list(DISTINCT o_orderstatus) || ['X'])), ',') AS kinds FROM orders GROUP BY 1")
+def _(spark, d):
+    kinds = metrics.CaseMetrics(orders(spark, d)).calc("unique_activities")
+    return kinds.select("case_id", F.array_join(F.sort_array(F.array_union("unique_activities", F.array(F.lit("X")))), ",").alias("kinds"))
+
+
+@query("bulk_round_trip", "SELECT r_regionkey, r_name FROM region")
+def _(spark, d):
+    path = scratch.scratch_path(spark, "region-tab")
+    r = table(spark, d, "region").select("r_regionkey", "r_name")
+    io.transfer(r, lambda df: df.write.option("sep", "\t").csv(path))
+    return io.read_files(spark, path, "csv", r.schema.simpleString()[7:-1].replace(":", " "), sep="\t", header="false")
+
+
 @query("scalar_functions", "SELECT o_orderkey, replace(round(o_totalprice / 7, 2)::VARCHAR, '.', ',') AS comma, strftime(o_orderdate::DATE + INTERVAL 3 DAY, '%Y-%m-%d') AS later, regexp_replace(o_orderpriority, '[-0-9]', '', 'g') AS letters, o_orderstatus || '-' || o_orderpriority AS edge, date_trunc('day', o_orderdate + INTERVAL 12 HOUR)::DATE AS nearest FROM orders")
 def _(spark, d):
     o = table(spark, d, "orders")
@@ -424,6 +677,78 @@ def _(spark, d):
     return series.chrono_split(series.node_series(events(spark, d)).select("activity", "period"), ["activity"])
 
 
+_PERIOD = """rows AS (SELECT date_trunc('{unit}', ts)::DATE AS p, * FROM log{where}), span AS (SELECT min(p) AS a, max(p) AS b FROM rows), days AS (SELECT unnest(generate_series(a, b, INTERVAL 1 {unit}))::DATE AS p FROM span),
+c AS (SELECT p, activity, count(*) AS n, avg(duration_us) / 1e6 AS m FROM rows GROUP BY ALL), spine AS (SELECT p, k.* FROM days, (SELECT DISTINCT activity FROM rows) k),
+dense AS (SELECT p, activity, coalesce(n, 0) AS n, coalesce(n / nullif(sum(n) OVER (PARTITION BY p), 0), 0) AS probability, coalesce(m, 0) AS m FROM spine LEFT JOIN c USING (p, activity))"""
+_WHOLE = ", ed AS (SELECT min(ts) AS a, max(ts) AS b FROM log), lg AS (SELECT log.* FROM log, ed WHERE (day(a) = 1 OR date_trunc('month', ts) > date_trunc('month', a)) AND (day(b) >= day(last_day(a)) OR date_trunc('month', ts) < date_trunc('month', b)))"
+_MONTHS = ORDERS + _WHOLE + ", " + _PERIOD.format(unit="month", where="").replace("* FROM log", "* FROM lg")
+
+
+@query("node_series_month", f"WITH {_MONTHS} SELECT p AS period, activity, n, round(probability, 6) AS probability, round(m, 0) AS mean_duration_s FROM dense")
+def _(spark, d):
+    return _series(series.node_series(orders(spark, d), "M")).withColumn("mean_duration_s", F.round("mean_duration_s", 0))
+
+
+@query("node_series_year", f"WITH {ORDERS}, {_PERIOD.format(unit='year', where='')} SELECT p AS period, activity, n, round(probability, 6) AS probability, round(m, 0) AS mean_duration_s FROM dense")
+def _(spark, d):
+    return _series(series.node_series(orders(spark, d), "Y")).withColumn("mean_duration_s", F.round("mean_duration_s", 0))
+
+
+@query("trim_months", f"WITH {ORDERS}{_WHOLE} SELECT date_trunc('month', ts)::DATE AS month, count(*) AS n FROM lg GROUP BY 1")
+def _(spark, d):
+    return series.trim_months(orders(spark, d).base()).groupBy(F.date_trunc("MONTH", "ts").cast("date").alias("month")).agg(F.count("*").alias("n"))
+
+
+_LAGS_M = ", ".join(f"lag(probability, {i}) OVER w AS lag_{i}" for i in range(1, 13))
+
+
+@query("lag_features_month", f"WITH {_MONTHS}, l AS (SELECT activity, p AS period, probability AS y, row_number() OVER w AS nth, {_LAGS_M} FROM dense WINDOW w AS (PARTITION BY activity ORDER BY p)), wd AS (SELECT date_trunc('month', d)::DATE AS period, count(*) AS month_days FROM (SELECT unnest(generate_series(DATE '1990-01-01', DATE '2025-12-31', INTERVAL 1 DAY))::DATE AS d) WHERE isodow(d) < 6 GROUP BY 1) SELECT activity, period, round(lag_1 - lag_12, 6) AS diff_12, month_days, (nth - 12)::INT AS linear, {', '.join(f'(month(period) = {m})::INT AS M{m}' for m in range(1, 13))} FROM l LEFT JOIN wd USING (period) WHERE nth > 12")
+def _(spark, d):
+    calendar = series.working_days(spark, "1990-01-01", "2025-12-31").select("period", "month_days")
+    out = series.lag_features(series.node_series(orders(spark, d), "M"), ["activity"], period="M", calendar=calendar, one_hot=True)
+    return out.select("activity", "period", F.round("diff_12", 6).alias("diff_12"), "month_days", "linear", *(f"M{m}" for m in range(1, 13)))
+
+
+_SELECT = f"{_NODES}, l AS (SELECT y, nth, {', '.join(f'lag_{i}' for i in range(1, 8))} FROM (SELECT activity, p, probability AS y, row_number() OVER w AS nth, {', '.join(f'lag(probability, {i}) OVER w AS lag_{i}' for i in range(1, 8))} FROM dense WINDOW w AS (PARTITION BY activity ORDER BY p)) WHERE nth > 7)"
+
+
+@query("feature_selection", f"WITH {_SELECT}, f AS ({' UNION ALL '.join(f"SELECT 'lag_{i}' AS feature, corr(y, lag_{i}) ** 2 AS r2 FROM l" for i in range(1, 8))}), o AS (SELECT *, row_number() OVER (ORDER BY r2 DESC, feature)::INT AS rank FROM f) SELECT feature, round(r2, 6) AS r2, rank FROM o WHERE rank <= 3")
+def _(spark, d):
+    lags = series.lag_features(series.node_series(events(spark, d)), ["activity"])
+    return factors.k_best(lags, "y", [f"lag_{i}" for i in range(1, 8)], 0.5).withColumn("r2", F.round("r2", 6))
+
+
+_AHEAD = "la AS (SELECT activity, arg_max(probability, p) AS prob, arg_max(m, p) AS dur, max(p) AS p FROM dense GROUP BY 1), ah AS (SELECT activity, (p + k)::DATE AS period, prob / sum(prob) OVER (PARTITION BY k) AS prob, dur FROM la, (SELECT unnest([1, 2, 3])::INT AS k))"
+_LAST = series.Plan(steps=3, kinds=("last",))
+
+
+@query("forecast_last", f"WITH {_NODES}, {_AHEAD} SELECT activity, period, round(prob, 6) AS forecast, 'last' AS model FROM ah")
+def _(spark, d):
+    return series.forecast(series.node_series(events(spark, d)), ["activity"], plan=_LAST).withColumn("forecast", F.round("forecast", 6))
+
+
+@query("forecast_blend", f"WITH {_NODES}, {_AHEAD} SELECT activity, period, round(CASE WHEN activity = 'view' THEN dur ELSE sqrt(prob * dur) END, 4) AS forecast FROM ah")
+def _(spark, d):
+    nodes = series.node_series(events(spark, d))
+    a = series.forecast(nodes, ["activity"], plan=_LAST).filter("activity <> 'view'")
+    b = series.forecast(nodes, ["activity"], "mean_duration_s", plan=replace(_LAST, normalise=False))
+    return series.blend_forecasts(a, b, ["activity"]).withColumn("forecast", F.round("forecast", 4))
+
+
+_KIND_COLUMNS = ", ".join(f"max(round(prob, 6)) FILTER (activity = '{k}') AS {k}_prob, max(round(dur, 6)) FILTER (activity = '{k}') AS {k}_duration_s" for k in ("click", "error", "purchase", "signup", "view"))
+
+
+@query("forecast_table", f"WITH {_NODES}, {_AHEAD} SELECT period, {_KIND_COLUMNS} FROM ah GROUP BY period")
+def _(spark, d):
+    return series.forecast_table(series.node_series(events(spark, d)), _LAST)
+
+
+@query("forecast_errors", f"WITH {_NODES}, l AS (SELECT probability AS y, lag(probability) OVER (PARTITION BY activity ORDER BY p) AS f FROM dense) SELECT round(avg(abs(y - f) / nullif(abs(y), 0)), 6) AS mape, round(avg((y - f) ** 2), 8) AS mse FROM l WHERE f IS NOT NULL")
+def _(spark, d):
+    lags = series.node_series(events(spark, d)).withColumn("f", F.lag("probability").over(Window.partitionBy("activity").orderBy("period"))).filter("f is not null")
+    return lags.agg(F.round(scalar.mape(F.col("probability"), F.col("f")), 6).alias("mape"), F.round(scalar.mse(F.col("probability"), F.col("f")), 8).alias("mse"))
+
+
 @query("forecast_nodes")
 def _(spark, d):
     return series.forecast(series.node_series(events(spark, d)), ["activity"])
@@ -557,6 +882,40 @@ def _(spark, d):
     return spark.createDataFrame([(round(float(w[0]), 4), round(b, 2), round(factors.r2(m, [0], w, b), 6))], "slope double, offset_ double, r2 double")
 
 
+@query("factor_dropped_rows", "SELECT c_custkey, c_acctbal, c_nationkey::DOUBLE AS c_nationkey FROM customer WHERE c_nationkey <> 3")
+def _(spark, d):
+    c = table(spark, d, "customer").withColumn("c_nationkey", F.expr("nullif(c_nationkey, 3)")).withColumn("same", F.lit("x"))
+    return factors.encode(c, "c_acctbal", ["c_nationkey", "same"], keep=("c_custkey",), drop_null=True)[0]
+
+
+@query("factor_counts", "SELECT count(DISTINCT p_brand) AS p_brand, count(DISTINCT p_size) AS p_size, count(DISTINCT p_type) AS p_type FROM part")
+def _(spark, d):
+    n = factors.distinct_counts(table(spark, d, "part"), ["p_brand", "p_size", "p_type"])
+    return spark.createDataFrame([tuple(n.values())], ", ".join(f"{c} long" for c in n))
+
+
+@query("factor_importance_one", "WITH s AS (SELECT (p_size - min(p_size) OVER ()) / (max(p_size) OVER () - min(p_size) OVER ()) AS x, (p_retailprice - min(p_retailprice) OVER ()) / (max(p_retailprice) OVER () - min(p_retailprice) OVER ()) AS y FROM part), m AS (SELECT avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) / (var_pop(x) * count(*) + 1) AS w FROM s) SELECT 'p_size' AS feature, 100.0::DOUBLE AS ridge, 100.0::DOUBLE AS shap, 100.0::DOUBLE AS permutation, NULL::DOUBLE AS other UNION ALL SELECT 'other', NULL, NULL, NULL, (SELECT round(100 * sum((y - (my + w * (x - mx))) ** 2) / sum((y - my) ** 2), 5) FROM s, m)")
+def _(spark, d):
+    out = factors.importances(table(spark, d, "part"), "p_retailprice", ["p_size"], "p_partkey")
+    return out.select("feature", "ridge", "shap", "permutation", F.when(F.col("feature") == "other", F.round("score", 5)).alias("other"))
+
+
+@query("happy_path_by_name", f"{_SOLVED}, path(step, activity, seen) AS (SELECT 0, 'start'::VARCHAR, ['start'::VARCHAR] UNION ALL SELECT step + 1, pol.action, list_append(seen, pol.action) FROM path JOIN pol USING (activity) WHERE pol.action IS NOT NULL AND NOT list_contains(seen, pol.action)) SELECT step::INT AS step, activity FROM path")
+def _(spark, d):
+    return runner.run_model("happy_path", orders(spark, d), {"floor": "0.02"})
+
+
+@query("metrics_by_name", f"WITH {EVENTS} SELECT activity, count(activity) AS count, array_to_string(list_sort(list(DISTINCT case_id)), ', ') AS unique_ids FROM log GROUP BY activity")
+def _(spark, d):
+    return runner.run_model("metrics", events(spark, d), {"family": "'activity'", "names": "['count', 'unique_ids']"})
+
+
+@query("plain_types", "SELECT o_orderkey, CASE WHEN o_totalprice > 1000 THEN 'True' ELSE 'False' END AS large, o_orderstatus || ', ' || o_orderpriority AS parts, '{{\"a\":' || o_custkey || '}}' AS record FROM orders".replace("{{", "{").replace("}}", "}"))
+def _(spark, d):
+    o = table(spark, d, "orders")
+    return runner.plain(o.select("o_orderkey", (F.col("o_totalprice") > 1000).alias("large"), F.array("o_orderstatus", "o_orderpriority").alias("parts"), F.struct(F.col("o_custkey").alias("a")).alias("record")))
+
+
 @query("factor_importances")
 def _(spark, d):
     return factors.importances(table(spark, d, "part"), "p_retailprice", ["p_brand", "p_size", "p_type"], "p_partkey")
@@ -565,11 +924,46 @@ def _(spark, d):
 # Clusters.
 
 
-@query("stage_clusters")
+def _grams(column: str) -> str:
+    return f"""w AS (SELECT DISTINCT {column} AS stage FROM part WHERE {column} IS NOT NULL AND {column} NOT IN (' ', '.', '..', '...', '')),
+c AS (SELECT stage, ' ' || trim(regexp_replace(lower(regexp_replace(stage, '[^\\p{{L}}\\s]+', ' ', 'g')), '\\s+', ' ', 'g')) || ' ' AS p FROM w),
+g AS (SELECT DISTINCT stage, substr(p, i, 3) AS gram FROM (SELECT stage, p, unnest(range(1, greatest(length(p) - 2, 1)::BIGINT + 1)) AS i FROM c)), z AS (SELECT stage, count(*) AS n FROM g GROUP BY 1),
+pr AS (SELECT a.stage AS a, b.stage AS b, count(*) AS k FROM g a JOIN g b ON a.gram = b.gram AND a.stage < b.stage GROUP BY ALL),
+ds AS (SELECT pr.a, pr.b, 1 - k / (x.n + y.n - k) AS distance FROM pr JOIN z x ON x.stage = pr.a JOIN z y ON y.stage = pr.b)"""
+
+
+def _clusters(column: str, distance: float) -> str:
+    links = f"SELECT a, b FROM ds WHERE distance <= {distance}"
+    return f"WITH RECURSIVE {_grams(column)}, e AS ({links} UNION ALL SELECT b, a FROM ({links})), rc(v, u) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.v, e.b FROM rc r JOIN e ON r.u = e.a), cl AS (SELECT v AS stage, min(u) AS cluster FROM rc GROUP BY v)"
+
+
+@query("stage_clusters", _clusters("p_type", 0.425) + " SELECT w.stage, cluster FROM w LEFT JOIN cl USING (stage)")
 def _(spark, d):
     return cluster.stage_clusters(table(spark, d, "part"), "p_type")
 
 
+@query("similar_stages", f"WITH {_grams('p_name')} SELECT a, b, round(distance, 6) AS distance FROM ds WHERE distance <= 0.4")
+def _(spark, d):
+    return cluster.similar_stages(table(spark, d, "part"), "p_name", 0.4).withColumn("distance", F.round("distance", 6))
+
+
+@query("stage_name_clusters", _clusters("p_name", 0.2625) + " SELECT w.stage, cluster FROM w LEFT JOIN cl USING (stage)")
+def _(spark, d):
+    return cluster.stage_clusters(table(spark, d, "part"), "p_name", 0.25)
+
+
+@query("stage_cluster_rows", _clusters("p_name", 0.2625) + " SELECT p_partkey, cluster FROM part LEFT JOIN cl ON p_name = stage")
+def _(spark, d):
+    p = table(spark, d, "part")
+    return cluster.with_clusters(p, "p_name", cluster.stage_clusters(p, "p_name", 0.25)).select("p_partkey", "cluster")
+
+
+@query("clean_stages", "SELECT DISTINCT o_orderpriority AS stage, trim(regexp_replace(lower(regexp_replace(o_orderpriority, '[^\\p{L}\\s]+', ' ', 'g')), '\\s+', ' ', 'g')) AS cleaned FROM orders WHERE o_orderpriority NOT IN (' ', '.', '..', '...', '')")
+def _(spark, d):
+    o = table(spark, d, "orders").select("o_orderpriority")
+    return cluster.clean_stages(o.union(spark.createDataFrame([(None,), ("...",), (" ",), ("",)], o.schema)), "o_orderpriority")
+
+
 @query("text_clusters")
 def _(spark, d):
     return cluster.text_clusters(table(spark, d, "conversations").select("conv_id", "turn", "text"), "text", k=4).select("conv_id", "turn", "text_cluster")
@@ -594,10 +988,10 @@ def _(spark, d):
     return out.withColumn("ratio", F.round("ratio", 6))
 
 
-@query("table_stats", "SELECT '' AS col, 'count' AS metric, count(*)::DOUBLE AS value FROM supplier UNION ALL SELECT 's_suppkey', 'non_null', count(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'sum', sum(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'min', min(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'max', max(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'avg', avg(s_suppkey) FROM supplier UNION ALL SELECT 's_name', 'non_null', count(s_name) FROM supplier UNION ALL SELECT 's_name', 'len', sum(length(s_name)) FROM supplier UNION ALL SELECT '', 'debtors', count(*) FILTER (s_acctbal < 0) FROM supplier")
+@query("table_stats", "SELECT '' AS col, 'count' AS metric, count(*)::DOUBLE AS value FROM supplier UNION ALL SELECT 's_suppkey', 'non_null', count(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'sum', sum(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'min', min(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'max', max(s_suppkey) FROM supplier UNION ALL SELECT 's_suppkey', 'avg', avg(s_suppkey) FROM supplier UNION ALL SELECT 's_name', 'non_null', count(s_name) FROM supplier UNION ALL SELECT 's_name', 'len', sum(length(s_name)) FROM supplier UNION ALL SELECT 's_name', 'approx_distinct', 1 UNION ALL SELECT '', 'debtors', count(*) FILTER (s_acctbal < 0) FROM supplier")
 def _(spark, d):
     s = table(spark, d, "supplier")
-    return quality.table_stats(s, exclude=("s_nationkey", "s_acctbal"), extra={"debtors": "count_if(s_acctbal < 0)"}).filter("metric <> 'approx_distinct'")
+    return quality.table_stats(s, exclude=("s_nationkey", "s_acctbal"), extra={"debtors": "count_if(s_acctbal < 0)"}).withColumn("value", F.when(F.col("metric") != "approx_distinct", F.col("value")).otherwise(F.col("value").between(s.select("s_name").distinct().count() * 0.85, s.select("s_name").distinct().count() * 1.15).cast("double")))
 
 
 @query("closest_partition", "SELECT min_by(ts::DATE, (abs(date_diff('day', ts::DATE, DATE '2024-01-10')), ts::DATE)) AS closest FROM events WHERE ts::DATE <= DATE '2024-01-10'")
@@ -605,6 +999,14 @@ def _(spark, d):
     return quality.closest_partition(table(spark, d, "events"), "ts", "2024-01-10", before=True)
 
 
+@query("case_sessions", "WITH o AS (SELECT user_id, ts, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 12 HOUR AS new FROM events), g AS (SELECT *, count(*) FILTER (new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM o) SELECT user_id AS case_id, min(ts) AS session_start, max(ts) + INTERVAL 12 HOUR AS session_end, count(*) AS n FROM g GROUP BY user_id, k")
+def _(spark, d):
+    from loomline.streaming.activity import case_progress
+
+    out = case_progress(table(spark, d, "events"), "user_id", "event_type", "ts", "12 hours")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+
+
 @query("date_windows", "SELECT date_trunc('day', ts) AS window_start, event_type AS activity, count(*) AS n FROM events GROUP BY ALL")
 def _(spark, d):
     from loomline.streaming.activity import activity_counts

@@ -91,7 +91,7 @@ def export_rows(df: DataFrame, path: str, kind: str = "json", exclude: tuple[str
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.mode(mode).format(target).save(path)
-    return {"schema": json.loads(df.drop(*exclude).schema.json()), "rows": df.sparkSession.read.format(target).load(path).count()}
+    return {"schema": json.loads(df.drop(*exclude).schema.json()), "rows": df.sparkSession.read.format(target).option("header", "true").load(path).count()}
 
 
 def json_lines(df: DataFrame) -> DataFrame:
@@ -138,9 +138,34 @@ def chunks(df: DataFrame, rows: int) -> Iterator[list]:
         yield batch
 
 
-def transfer(source: DataFrame, write: Callable[[DataFrame], None], exclude: tuple[str, ...] = ()) -> None:
-    """Moves a table from any source to any sink, in parallel and never through the driver."""
-    write(source.drop(*exclude))
+def transfer(source: DataFrame, write: Callable[[DataFrame], None], exclude: tuple[str, ...] = (), columns: dict[str, str] | None = None) -> None:
+    """Moves a table from any source to any sink, in parallel and never through the driver.
+
+    columns maps target names to their types, in the target's order; others are left out.
+    """
+    out = source.drop(*exclude)
+    write(out.select(*(F.col(f"`{c}`").cast(t).alias(c) for c, t in columns.items())) if columns else out)
+
+
+def check_header(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> None:
+    """Raises ValueError unless the first line of a csv file names these columns, in any case."""
+    found = spark.read.option("sep", sep).option("header", "true").csv(path).columns
+    if [c.lower() for c in found] != [c.lower() for c in columns]:
+        raise ValueError(f"columns in the file are {', '.join(found)}")
+
+
+def insert_rows(spark: SparkSession, rows: list[tuple], table: str, schema: str, replace: bool = False) -> None:
+    """Appends a few rows to a table, or replaces what it holds."""
+    spark.createDataFrame(rows, schema).write.mode("overwrite" if replace else "append").saveAsTable(table)
+
+
+def connected(spark: SparkSession, read: Callable[[], DataFrame] | None = None) -> tuple[bool, str]:
+    """Whether a source answers, and what it said: the first row of read(), or of `select 1`."""
+    try:
+        (read() if read else spark.sql("select 1")).first()
+    except Exception as e:  # any source has failures of its own
+        return False, str(e)
+    return True, "connected"
 
 
 def to_table(spark: SparkSession, df: DataFrame, table: str, partition: tuple[str, ...] = (), recreate: bool = False) -> None:

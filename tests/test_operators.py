@@ -133,3 +133,91 @@ def test_quality(spark):
         quality.sql_sensor(df.limit(0), fail_on_empty=True)
     with pytest.raises(ValueError):
         quality.column_checks(df, {"id": {"nonsense": {"equal_to": 0}}})
+
+
+def test_models_by_name(log):
+    from loomline.plans import runner
+
+    assert [runner.truth(x) for x in ("Yes", "off", True, "1")] == [True, False, True, True]
+    for bad in ("maybe", None):
+        with pytest.raises(ValueError):
+            runner.truth(bad)
+    assert runner.coerced("['a', \"b\"]", list) == ["a", "b"] and runner.coerced("3", int) == 3 and runner.coerced("'x'", str) == "x"
+    out = {r.activity: r for r in runner.run_model("metrics", log, {"names": "count, unique_users"}).collect()}
+    assert out["B"]["count"] == 4 and out["B"].unique_users == "u2"
+    with pytest.raises(ValueError):
+        runner.run_model("nonsense", log)
+    with pytest.raises(ValueError):
+        runner.run_model("metrics", log, {"nonsense": 1})
+
+
+def test_moments_and_scores_match_numpy(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4)) + 2
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "k long, a double, b double, c double, d double").repartition(5)
+    parts = factors.moments(df, ["a", "b", "c"], "d", F.pmod("k", F.lit(3)))
+    for f, (n, s, p) in parts.items():
+        own = x[np.arange(300) % 3 == f]
+        assert n == len(own) and s == pytest.approx(own.sum(axis=0)) and p == pytest.approx(own.T @ own)
+    got = {r.activity: r for r in insights.problem_scores(df, "k").collect()}
+    given = np.diag(x.mean(axis=0))
+    for t in range(4):
+        rest = [i for i in range(4) if i != t]
+        a = np.concatenate((x[:, rest], np.ones((300, 1))), axis=1)
+        w = np.linalg.lstsq(a, x[:, t], rcond=None)[0]
+        given[rest, t] = w[:3] * (x[0, rest] - x[:, rest].mean(axis=0))
+    score = given @ (x.sum(axis=0) / x.sum())
+    assert [got[c].problem_score for c in "abcd"] == pytest.approx(score / np.abs(score).max(), abs=1e-6)
+    assert insights.problem_scores(df.limit(0), "k").count() == 0
+    best = [r.feature for r in factors.k_best(df, "d", ["a", "b", "c"], 0.7).orderBy("rank").collect()]
+    assert best == sorted("abc", key=lambda c: -np.corrcoef(x[:, "abc".index(c)], x[:, 3])[0, 1] ** 2)[:2]
+
+
+def test_extended_blend(spark):
+    rows = [(i, "ab"[i % 2], i * 7 % 13, float(i % 2 * 5 + (i * 7 % 13) * 0.01)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, kind string, noise int, y double")
+    out = {r.feature: r for r in factors.importances(df, "y", ["kind", "noise"], "id", extended=True).collect()}
+    k = out["kind"]
+    c = 0 if min(r.r2_drop for f, r in out.items() if f != "other") <= 0 else 9
+    assert k.score == pytest.approx((c * k.r2_drop + k.ridge + 4 * k.shap + 4 * k.permutation) / (c + 9)) and k.permutation > 99
+    dropped, _ = factors.encode(df.union(df.limit(1).withColumn("y", F.lit(None).cast("double"))), "y", ["kind", "noise"], drop_null=True)
+    assert dropped.count() == 300
+    share = df.select(factors.hash_split(F.col("id")).cast("int").alias("t")).agg(F.avg("t")).first()[0]
+    assert 0.15 < share < 0.35
+
+
+def test_similar_stages_match_all_pairs(spark):
+    import itertools
+    import random
+
+    rng = random.Random(6)
+    names = sorted({" ".join("".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 4))) for _ in range(120)})
+    grams = {}
+    for n in names:
+        p = f" {n} "
+        grams[n] = {p[i : i + 3] for i in range(max(1, len(p) - 2))}
+    df = spark.createDataFrame([(n,) for n in names], "s string")
+    for limit in (0.1, 0.45, 0.75):
+        want = {(a, b) for a, b in itertools.combinations(names, 2) if 1 - len(grams[a] & grams[b]) / len(grams[a] | grams[b]) <= limit}
+        assert {(r.a, r.b) for r in cluster.similar_stages(df, "s", limit).collect()} == want
+    edges = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(60)] + [("x", "y")], "a string, b string")
+    out = {r.stage: r.cluster for r in cluster.components(edges).collect()}
+    assert {v for k, v in out.items() if k.startswith("n")} == {"n000"} and out["y"] == "x"
+
+
+def test_text_cluster_options(spark):
+    df = spark.createDataFrame([(w,) for w in ["red apple fruit", "green apple fruit", "fast car engine", "slow car engine"] * 5] + [(None,)], "t string")
+    out = cluster.text_clusters(df, "t", k=2, dimension=2, kind="bisecting", only_unique=True).collect()
+    assert len(out) == 21 and len({r.text_cluster for r in out if r.t == "red apple fruit"}) == 1
+    with pytest.raises(ValueError):
+        cluster.text_clusters(df, "t", kind="nonsense")
+
+
+def test_outputs_and_plans(log):
+    with pytest.raises(ValueError):
+        insights.insight_output(log, "nonsense")
+    plan = series.Plan(steps=2, kinds=("last",))
+    nodes = series.node_series(log, floor=True)
+    wide = series.forecast_table(nodes, plan, comma=True).collect()
+    assert len(wide) == 2 and wide[0].A_prob == "0,333333"
+    assert insights.pivot(log, "appearance", ["A"]).columns == ["case_id", "A"]
