@@ -6,7 +6,9 @@ joining the fingerprints of documents and of benchmark items misses no such span
 then extended along its diagonal to all runs of equal words; runs of at least that many
 words count. Items that are shorter than one span are looked up whole, by length.
 
-Benchmarks are joined in blocks of bounded size, each sent to all tasks once.
+A benchmark of bounded size is sent to all tasks once, as a sorted table of fingerprints. The
+fingerprints of a larger one are joined by shuffle, on their hashes, and texts move only for
+the pairs of a document and an item that share one.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from loomline.llm.shared import packed, written
 from loomline.llm.words import ALNUM, Words, shingle_hashes, word_slices
 
 K = 5
-#: Bytes of benchmark text in a block, about; a longer item is a block of its own.
+#: Bytes of benchmark text that are sent to all tasks; more is joined by shuffle.
 BLOCK_BYTES = 16 << 20
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -128,30 +130,109 @@ def find_hits(w: Words, block: Block, k: int = K) -> tuple[np.ndarray, dict[int,
     return np.cumsum(hit)[:-1] > 0, found
 
 
-def _merge(spans: list[int], more: np.ndarray) -> list[int]:
-    """Starts and ends, in turn, of the words hit in either."""
-    mask = np.concatenate(([False], more, [False]))
-    for a, b in zip(spans[::2], spans[1::2], strict=True):
-        mask[a + 1 : b + 1] = True
-    return np.flatnonzero(mask[1:] != mask[:-1]).tolist()
-
-
-def _scan(block, carried: bool, kind: pa.Schema) -> Callable:
+def _scan(block, kind: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("_text")
             for w in word_slices(batch.column(at), ALNUM):
                 part = batch.slice(w.first, w.rows)
-                before = [c.to_pylist() for c in part.columns[at + 1 :]] if carried else [None, [[]] * w.rows, [[]] * w.rows]
                 hit, found = find_hits(w, block.value)
-                counts = np.diff(w.bound)
-                spans = [_merge(before[1][r], hit[w.bound[r] : w.bound[r + 1]]) for r in range(w.rows)]
-                items = [sorted(found.get(r, set()) | set(before[2][r])) for r in range(w.rows)]
-                yield pa.RecordBatch.from_arrays([*part.columns[: at + 1], pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], schema=kind)
+                spans = [_spans(hit[w.bound[r] : w.bound[r + 1]]) for r in range(w.rows)]
+                items = [sorted(found.get(r, ())) for r in range(w.rows)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.diff(w.bound), pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], schema=kind)
 
     return run
 
 
+def _spans(mask: np.ndarray) -> list[int]:
+    """Starts and ends, in turn, of the runs that are set."""
+    mask = np.concatenate(([False], mask, [False]))
+    return np.flatnonzero(mask[1:] != mask[:-1]).tolist()
+
+
+def _prints(span: int, short: tuple[int, ...] | None, k: int = K) -> Callable:
+    """(m, hash, id, place) from rows (id, text): winnowed fingerprints as m = 0, and runs of m words.
+
+    Of items (short None) a text of fewer than `span` words gives itself as its only run; of
+    documents, all runs of the lengths in `short` are given.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for w in word_slices(batch.column(1), ALNUM):
+                count = np.diff(w.bound)
+                hashes, at = fingerprints(w, span, k)
+                parts = [(np.zeros(len(at), np.int32), hashes, at)]
+                for m in sorted({int(x) for x in count if 0 < x < span}) if short is None else short:
+                    hashes, at = shingle_hashes(w, m)
+                    fits = count[w.row[at]] == m if short is None else count[w.row[at]] >= m
+                    parts.append((np.full(int(fits.sum()), m, np.int32), hashes[fits], at[fits]))
+                m, hashes, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
+                row = w.row[at]
+                yield pa.RecordBatch.from_arrays([pa.array(m, pa.int32()), pa.array(hashes.astype(np.int64)), pa.array(ids[w.first + row]), pa.array((at - w.bound[row]).astype(np.int32))], ["m", "hash", "id", "place"])
+
+    return run
+
+
+def _extended(span: int) -> Callable:
+    """(rid, item, spans) from rows (rid, item, m, diagonals, text, item_text): runs of equal words along the diagonals."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths, diagonals = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            mine = [(w, r) for w in word_slices(batch.column(4), ALNUM) for r in range(w.rows)]
+            theirs = [(w, r) for w in word_slices(batch.column(5), ALNUM) for r in range(w.rows)]
+            keep, spans = [], []
+            for i, ((v, r), (w, q)) in enumerate(zip(mine, theirs, strict=True)):
+                x, y = v.hash[v.bound[r] : v.bound[r + 1]], w.hash[w.bound[q] : w.bound[q + 1]]
+                least, hit = lengths[i] or span, np.zeros(len(x), dtype=bool)
+                for d in diagonals[i]:
+                    a, b = max(0, d), min(len(x), d + len(y))
+                    found = _spans(x[a:b] == y[a - d : b - d])
+                    for s, e in zip(found[::2], found[1::2], strict=True):
+                        if e - s >= least:
+                            hit[a + s : a + e] = True
+                if hit.any():
+                    keep.append(i)
+                    spans.append(_spans(hit))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64())), pa.array(spans, pa.list_(pa.int32()))], ["rid", "item", "spans"])
+
+    return run
+
+
+def _joined(docs: DataFrame, items: DataFrame, span: int) -> DataFrame:
+    """docs (with _text) and _words, _spans, _items, by joining fingerprints."""
+    spark = docs.sparkSession
+    docs = written(docs.withColumn("_rid", F.monotonically_increasing_id()), "leak-docs")
+    items = written(items.withColumn("iid", F.monotonically_increasing_id()), "leak-items")
+    schema = "m int, hash long, id long, place int"
+    theirs = written(items.select("iid", "text").mapInArrow(_prints(span, None), schema), "leak-prints")
+    short = tuple(sorted(r.m for r in theirs.filter("m > 0").select("m").distinct().collect()))  # below span
+    mine = docs.select("_rid", "_text").mapInArrow(_prints(span, short), schema)
+    met = mine.toDF("m", "hash", "rid", "p").join(theirs.toDF("m", "hash", "iid", "q"), ["m", "hash"])
+    met = met.select("rid", "iid", "m", (F.col("p") - F.col("q")).alias("d")).distinct().groupBy("rid", "iid", "m").agg(F.collect_list("d").alias("diagonals"))
+    pairs = written(met, "leak-pairs")
+    texts = pairs.join(docs.select(F.col("_rid").alias("rid"), F.col("_text").alias("text")), "rid").join(items.select("iid", "item_id", F.col("text").alias("item_text")), "iid")
+    hits = written(texts.select("rid", F.col("item_id").alias("item"), "m", "diagonals", "text", "item_text").mapInArrow(_extended(span), "rid long, item string, spans array<int>"), "leak-hits")
+    ends = F.transform(F.sequence(F.lit(0), (F.size("spans") / 2 - 1).cast("int")), lambda i: F.struct(F.element_at("spans", i * 2 + 1).alias("a"), F.element_at("spans", i * 2 + 2).alias("b")))
+    hits = hits.select("rid", "item", ends.alias("ends"))
+    of = hits.groupBy("rid").agg(F.array_sort(F.flatten(F.collect_list("ends"))).alias("ends"), F.array_sort(F.collect_set("item")).alias("items"))
+    # Overlapping and touching spans, in order, become one: (spans so far, the last one's end).
+    start = F.struct(F.array().cast("array<int>").alias("done"), F.lit(-1).alias("a"), F.lit(-1).alias("b"))
+
+    def step(s, x):
+        apart = F.struct(F.when(s["b"] >= 0, F.concat(s["done"], F.array(s["a"], s["b"]))).otherwise(s["done"]).alias("done"), x["a"].alias("a"), x["b"].alias("b"))
+        return F.when((s["b"] >= 0) & (x["a"] <= s["b"]), F.struct(s["done"].alias("done"), s["a"].alias("a"), F.greatest(s["b"], x["b"]).alias("b"))).otherwise(apart)
+
+    merged = F.aggregate("ends", start, step, lambda s: F.concat(s["done"], F.array(s["a"], s["b"])))
+    of = of.select(F.col("rid").alias("_r"), merged.alias("_spans"), F.col("items").alias("_items"))
+    none = F.array().cast("array<int>"), F.array().cast("array<string>")
+    out = docs.join(of, F.col("_rid") == F.col("_r"), "left")
+    words = F.size(F.regexp_extract_all(F.coalesce("_text", F.lit("")), F.lit("([^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+)"), F.lit(1)))
+    return out.select(*(c for c in docs.columns if c != "_rid"), words.cast("long").alias("_words"), F.coalesce("_spans", none[0]).alias("_spans"), F.coalesce("_items", none[1]).alias("_items"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per row of docs: the columns `keep`, then _text, _words, _spans and _items.
 
@@ -166,17 +247,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = 10, keep: t
     spark = docs.sparkSession
     items = benchmark.filter("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // BLOCK_BYTES))
     out = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    names = ("_words long", "_spans array<int>", "_items array<string>")
-    kind = StructType([*out.schema.fields, *StructType.fromDDL(", ".join(names)).fields])
-    for i in range(blocks):
-        rows = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i)
-        block = spark.sparkContext.broadcast(block_of([(r.item_id, r.text) for r in rows.collect()], span))
-        if i:
-            out = written(out, "leak-hits")
-        out = out.mapInArrow(_scan(block, i > 0, to_arrow_schema(kind)), kind)
-    return out
+    if size > BLOCK_BYTES:
+        return _joined(out, items, span)
+    kind = StructType([*out.schema.fields, *StructType.fromDDL("_words long, _spans array<int>, _items array<string>").fields])
+    block = spark.sparkContext.broadcast(block_of([(r.item_id, r.text) for r in items.collect()], span))
+    return out.mapInArrow(_scan(block, to_arrow_schema(kind)), kind)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

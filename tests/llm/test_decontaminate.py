@@ -58,11 +58,21 @@ def test_matches_brute_force(spark):
     assert sorted(map(tuple, decontaminate.decontamination_report(d, b).collect()), key=str) == brute(docs, items)
 
 
-def test_blocks_of_the_benchmark_add_up(spark, monkeypatch):
+def test_large_benchmarks_are_joined(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
-    docs, items = tables(2)
-    d, b = run(spark, docs, items)
-    assert sorted(map(tuple, decontaminate.decontamination_report(d, b).collect()), key=str) == brute(docs, items)
+    for seed in (2, 5):
+        docs, items = tables(seed)
+        d, b = run(spark, docs, items)
+        joined = decontaminate.contamination(d, b, keep=("doc_id", "item_id"))
+        assert sorted(map(tuple, decontaminate.decontamination_report(d, b).collect()), key=str) == brute(docs, items)
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1 << 30)
+        sent = decontaminate.contamination(d, b, keep=("doc_id", "item_id"))
+        assert joined.columns == sent.columns and sorted(map(str, joined.collect())) == sorted(map(str, sent.collect()))
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    out = decontaminate.drop_contaminated(d, b)
+    assert out.columns == d.columns
+    assert sorted((r.doc_id for r in out.collect()), key=str) == sorted((r[0] for r in brute(docs, items) if not r[5]), key=str)
+    assert decontaminate.drop_contaminated(d.limit(0), b).count() == 0
 
 
 def test_drop(spark):
