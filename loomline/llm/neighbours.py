@@ -35,7 +35,7 @@ ROOM = 24
 DENSITY = 0.5
 #: Share of the sample held out from the fit, and share of its nearest that probed parts must hold.
 HELD = 0.15
-COVER = 0.95
+COVER = 0.92
 #: Neighbours of a held-out vector that count for COVER.
 SOUGHT = 5
 #: Candidates and queries that one task compares at a time.
