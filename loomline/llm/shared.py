@@ -2,44 +2,18 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomline.sources.scratch import written
+
+__all__ = ["packed", "small", "written"]
+
 #: Bytes of rows, by the sizes of their types, that may be broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
 _WIDTHS = {"string": 64, "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset and all tasks run on this machine."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="loomline-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again, which cuts its lineage.
-
-    A lost executor costs no recomputation of what stands before. The files go when
-    the application ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """df marked for broadcast if its rows, of numbers and short names, fit in so many bytes; else as it is, to be shuffled.
 
