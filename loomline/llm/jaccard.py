@@ -37,6 +37,9 @@ GROUP = 64
 GROUP_SHINGLES = 1 << 21
 #: Queries that meet one copy of a group, about.
 QUERIES_A_GROUP = 256
+#: A shingle whose cell of the sketch counts this many times the mean is hot, and so many places hold its list.
+HOT = 64
+HOT_PLACES = 1024
 #: Times that groups are extended by other leads, at most; what is left is the matrix's.
 TURNS = 4
 _U = np.uint64
@@ -240,11 +243,18 @@ class _Join:
         # Equal sets are one node, the smallest id.
         self.classes = written(self.linked.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "join-classes")
         reps = small(self.classes.select(F.col("rep").alias("doc_id")).distinct())
-        shingles = _first_shingles(k, num, den, spark.sparkContext.broadcast(_sketch(profile)))
+        sketch = _sketch(profile)
+        shingles = _first_shingles(k, num, den, spark.sparkContext.broadcast(sketch))
         first = docs.join(reps, "doc_id", "left_semi").mapInArrow(shingles, "id long, n long, first array<long>")
-        self.same = Window.partitionBy("token")
-        lists = first.select(F.explode("first").alias("token"), "id", "n").withColumn("alone", F.min("id").over(self.same) == F.max("id").over(self.same))
-        self.lists = written(lists.filter(~F.col("alone")).drop("alone"), "join-lists")
+        # Shingles that only one set has go. A hot one, which the sketch tells by its first
+        # byte, is taken to be shared, so that its list need not lie in one place.
+        mean = float(np.mean(2.0 ** (sketch / 6.0)) - 1)
+        hot = F.shiftrightunsigned(F.col("token"), 56) >= int(min(255, np.log2(1 + HOT * max(mean, 1.0)) * 6))
+        place = F.when(hot, F.pmod(F.xxhash64("id"), F.lit(HOT_PLACES))).otherwise(F.lit(0))
+        same = Window.partitionBy("token", "place")
+        lists = first.select(F.explode("first").alias("token"), "id", "n").withColumn("place", place)
+        lists = lists.withColumn("alone", ~hot & (F.min("id").over(same) == F.max("id").over(same)))
+        self.lists = written(lists.filter(~F.col("alone")).select("token", "id", "n"), "join-lists")
 
     def several_classes(self) -> DataFrame | None:
         """Edges (a, b) from a class's node to each id with rows in other classes, or without shingles, too; None if no id has."""
@@ -281,10 +291,16 @@ class _Join:
         both = written(both.select(F.when(hub, F.col("a")).otherwise(F.col("b")).alias("g"), F.when(hub, F.col("b")).otherwise(F.col("a")).alias("id")), "join-stars")
         return self.compared(both.select("g", F.col("g").alias("id")).distinct(), both)
 
-    def led(self, rows: DataFrame, rank: str) -> DataFrame:
-        """Pairs of each set with the highest ranked of its lists, smaller id first."""
-        top = F.max(F.struct(rank, "id", "n", "c")).over(self.same)
-        pairs = rows.withColumn("top", top).select("id", "n", "c", F.col("top.id").alias("lead"), F.col("top.n").alias("lead_n"), F.col("top.c").alias("lead_c"))
+    def led(self, rows: DataFrame, rank: str, grown: bool) -> DataFrame:
+        """Pairs of each set with the highest ranked of its lists, smaller id first.
+
+        Lists within one component are left out and, with grown, those without a component.
+        The best of each list is joined to it, and a join can split a long list.
+        """
+        size = F.count("size") if grown else F.lit(1)
+        tops = rows.groupBy("token").agg(F.max(F.struct(rank, "id", "n", "c")).alias("top"), F.min("c").alias("lo"), F.max("c").alias("hi"), size.alias("some"))
+        tops = tops.filter("lo <> hi and some > 0").select("token", F.col("top.id").alias("lead"), F.col("top.n").alias("lead_n"), F.col("top.c").alias("lead_c"))
+        pairs = rows.select("token", "id", "n", "c").join(tops, "token")
         pairs = pairs.filter((F.col("c") != F.col("lead_c")) & self.near("n", "lead_n"))
         return pairs.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
 
@@ -311,13 +327,13 @@ class _Join:
         """
         num, den = self.num, self.den
         if comps is None:
-            rows = self.lists.withColumn("component", F.lit(None).cast("long")).withColumn("size", F.lit(1).cast("long"))
-            rows = rows.withColumn("met", F.count("*").over(self.same))
+            rows = self.lists.withColumn("component", F.lit(None).cast("long")).withColumn("size", F.lit(1).cast("long")).withColumn("c", F.col("id"))
         else:
             sizes = comps.groupBy("component").agg(F.count("*").alias("size"))
             of = comps.join(sizes, "component").select(F.col("id").alias("mid"), "component", "size")
             rows = self.lists.join(of, F.col("id") == F.col("mid"), "left").withColumn("c", F.coalesce("component", "id"))
-            rows = rows.withColumn("met", F.count("*").over(self.same)).withColumn("more", F.min("c").over(self.same) != F.max("c").over(self.same)).filter("more")
+        met = rows.groupBy("token").agg(F.count("*").alias("met"), F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("token", "met")
+        rows = rows.join(met, "token")
         rows = written(rows.select("token", "id", "n", "component", F.coalesce("size", F.lit(1)).alias("size"), "met"), "join-matrix")
         sets = rows.groupBy("id").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.max(F.struct("met", "token")).alias("top"))
         sets = sets.withColumn("kin", F.coalesce("component", "top.token")).withColumn("band", F.floor(F.log(F.col("n").cast("double")) * 20))
@@ -380,12 +396,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     compared by 64-bit hashes.
     """
     join = _Join(docs, k, num, den)
-    lists, same = join.lists, join.same
+    lists = join.lists
     # Groups form around leads: first the set of each list whose first shingles are shared
     # the most, as those of an original are by its copies; then others, drawn by hash, for
     # the sets that linked with no lead so far.
     share = lists.groupBy(F.col("id").alias("i")).agg((F.count("*") / (F.first("n") - F.ceil(F.first("n") * num / den) + 1)).alias("share"))
-    done = written(join.led(lists.join(share, F.col("id") == F.col("i")).withColumn("c", F.col("id")), "share"), "join-stars")
+    done = written(join.led(lists.join(share, F.col("id") == F.col("i")).withColumn("c", F.col("id")), "share", False), "join-stars")
     links, repeats = join.verified(done), join.several_classes()
     if repeats is not None:
         links = links.union(repeats)
@@ -394,9 +410,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         size = comps.groupBy("component").agg(F.count("*").alias("size"))
         of = comps.join(size, "component").select(F.col("id").alias("mid"), F.col("component").alias("mc"), "size")
         rows = lists.join(of, F.col("id") == F.col("mid"), "left").select("token", "id", "n", F.coalesce("mc", "id").alias("c"), "size")
-        rows = rows.withColumn("open", (F.min("c").over(same) != F.max("c").over(same)) & (F.count("size").over(same) > 0)).filter("open")
         rows = rows.withColumn("rank", F.struct(F.col("size").isNotNull().alias("grown"), F.xxhash64("id", F.lit(turn)).alias("draw")))
-        pairs = written(join.led(rows, "rank").join(done, ["a", "b"], "left_anti"), "join-stars")
+        pairs = written(join.led(rows, "rank", True).join(done, ["a", "b"], "left_anti"), "join-stars")
         if pairs.isEmpty():
             break
         done = done.union(pairs)
