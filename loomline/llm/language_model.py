@@ -124,6 +124,24 @@ class LanguageModel:
     by_class: np.ndarray  # weights: features x classes
     by_place: np.ndarray  # weights: hashed features x places; the first rows are the classes' biases
 
+    def frequent_at(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where a frequent word would stand, whether it does), by the hashes' first bits and a few steps from there."""
+        at = self.starts[(hashes >> np.int64(64 - self.bits)) + (1 << (self.bits - 1))]
+        last = max(len(self.frequent) - 1, 0)
+        for _ in range(self.reach):
+            behind = np.flatnonzero((self.frequent[np.minimum(at, last)] < hashes) & (at < last))
+            if not len(behind):
+                break
+            at[behind] += 1
+        at = np.minimum(at, last)
+        return at, self.frequent[at] == hashes
+
+    def __post_init__(self):
+        self.bits = max(1, len(self.frequent).bit_length())
+        edges = (np.arange(1 << self.bits, dtype=np.int64) - (1 << (self.bits - 1))) << np.int64(64 - self.bits)
+        self.starts = np.searchsorted(self.frequent, edges)
+        self.reach = int(np.diff(np.append(self.starts, len(self.frequent))).max(initial=0)) + 1
+
     def units(self, hashes: np.ndarray, suffix: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.own, hashes), len(self.own) - 1)
         return np.where(self.own[at] == hashes, self.own_unit[at], len(self.own) + np.maximum(suffix, 0))
@@ -160,20 +178,40 @@ def n_features(units: int) -> int:
     return 4 + 3 * units + TRIGRAMS
 
 
-def exponents(weights: np.ndarray, rows: list[np.ndarray], bias: bool) -> np.ndarray:
-    z = weights.take(rows[0], axis=0)
-    for r in rows[1:]:
-        z += weights.take(r, axis=0)
-    if bias:
-        z += weights[0]
-    return z
-
-
-def log_softmax(z: np.ndarray) -> np.ndarray:
-    """Natural logs of the probabilities, a row each, in place."""
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+class Room:
+    """Two blocks of a batch's size that are used again and again."""
+
+    def __init__(self, width: int):
+        self.z, self.more = (np.empty((BATCH, width), dtype=np.float32) for _ in range(2))
+        self.ones = np.ones(width, dtype=np.float32)
+
+    def exponents(self, weights: np.ndarray, rows: list[np.ndarray], bias: bool) -> np.ndarray:
+        """The sums of the weights' rows, less their largest entries; valid until the next call."""
+        n = len(rows[0])
+        z, more = self.z[:n], self.more[:n]
+        np.take(weights, rows[0], axis=0, out=z, mode="clip")
+        for r in rows[1:]:
+            np.take(weights, r, axis=0, out=more, mode="clip")
+            z += more
+        if bias:
+            z += weights[0]
+        z -= z.max(axis=1, keepdims=True)
+        return z
+
+    def log_probability(self, weights: np.ndarray, rows: list[np.ndarray], bias: bool, aim: np.ndarray) -> np.ndarray:
+        """Natural log of the softmax at one entry of each row."""
+        z = self.exponents(weights, rows, bias)
+        chosen = z[np.arange(len(z)), aim]
+        np.exp(z, out=z)
+        return chosen - np.log(z @ self.ones)
+
+    def gradient(self, weights: np.ndarray, rows: list[np.ndarray], bias: bool, aim: np.ndarray) -> np.ndarray:
+        """The softmax, less 1 at the entry aimed at."""
+        z = self.exponents(weights, rows, bias)
+        np.exp(z, out=z)
+        z /= (z @ self.ones)[:, None]
+        z[np.arange(len(z)), aim] -= 1
+        return z
 
 
 def _neighbours(model) -> Callable:
@@ -286,6 +324,7 @@ def train_on(m: LanguageModel, slices: Iterator[Words], rate: float) -> tuple[np
     tables = (m.by_class, m.by_place)
     scale = [np.full(len(t), 1e-6, dtype=np.float32) for t in tables]
     seen = [np.zeros(len(t)) for t in tables]
+    room = Room(m.by_class.shape[1])
     for w in slices:
         h, s, _, bound = tokens_of(w)
         u = m.units(h, s)
@@ -294,8 +333,7 @@ def train_on(m: LanguageModel, slices: Iterator[Words], rate: float) -> tuple[np
         for k, (rows, aim) in enumerate(((features(before, units), c), (place_features(before, c, units), p))):
             for a in range(0, len(u), BATCH):
                 some = [r[a : a + BATCH] for r in rows]
-                z = np.exp(log_softmax(exponents(tables[k], some, k == 0)))
-                z[np.arange(len(z)), aim[a : a + BATCH]] -= 1
+                z = room.gradient(tables[k], some, k == 0, aim[a : a + BATCH])
                 steps(tables[k], scale[k], seen[k], some, z, rate)
     return seen[0], seen[1]
 
@@ -320,7 +358,7 @@ def _trained(model, rate: float) -> Callable:
     return run
 
 
-def log10_probabilities(m: LanguageModel, units: np.ndarray, bound: np.ndarray) -> np.ndarray:
+def log10_probabilities(m: LanguageModel, units: np.ndarray, bound: np.ndarray, room: Room) -> np.ndarray:
     """log10 of each token's probability; of a word without a place of its own, times its count + 1, still unknown."""
     n = len(m.unit_class)
     before = contexts(units, bound, n)
@@ -329,29 +367,28 @@ def log10_probabilities(m: LanguageModel, units: np.ndarray, bound: np.ndarray)
     for a in range(0, len(units), BATCH):
         e = slice(a, a + BATCH)
         some = [b[e] for b in before]
-        at = np.arange(len(c[e]))
-        out[e] = log_softmax(exponents(m.by_class, features(some, n), True))[at, c[e]]
-        out[e] += log_softmax(exponents(m.by_place, place_features(some, c[e], n), False))[at, p[e]]
+        out[e] = room.log_probability(m.by_class, features(some, n), True, c[e])
+        out[e] += room.log_probability(m.by_place, place_features(some, c[e], n), False, p[e])
     return out / np.log(10) - np.where(units >= len(m.own), m.rest[c], 0.0)
 
 
 def _score(model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
+        room = Room(m.by_class.shape[1])
         rid = TaskContext.get().partitionId() << 33
         for batch in batches:
             for w in word_slices(batch.column(2), SPACED):
                 h, s, row, bound = tokens_of(w)
                 u = m.units(h, s)
                 placed = u < len(m.own)
-                own = log10_probabilities(m, u, bound)
+                own = log10_probabilities(m, u, bound, room)
                 own[placed] -= m.own_log[u[placed]]
                 rows = w.rows
                 hit = np.zeros(len(h), dtype=bool)
                 value = np.zeros(len(h))
                 if len(m.frequent):
-                    at = np.minimum(np.searchsorted(m.frequent, h), len(m.frequent) - 1)
-                    hit = m.frequent[at] == h
+                    at, hit = m.frequent_at(h)
                     value[hit] = m.frequent_log[at[hit]]
                 words, counts = [], []
                 rare = np.flatnonzero(~hit)
