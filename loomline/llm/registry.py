@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("jaccard", "decontaminate", "mixing", "pages", "quality", "language_model", "secrets", "token_counts", "sharding", "neighbours")
+MODULES = ("jaccard", "decontaminate", "mixing", "pages", "quality", "language_model", "secrets", "token_counts", "sharding", "neighbours", "lloyd", "suffixes", "filter_audit")
 
 
 def queries() -> dict:
