@@ -122,7 +122,7 @@ f AS (
           regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false)] AS fails
   FROM w LEFT JOIN l ON w.doc_id = l.doc_id
 ),
-c AS (SELECT part, good, toxic, fails, count(*) AS n, list_sum(list_transform(fails, x -> CAST(x AS INT))) AS many FROM f GROUP BY ALL),
+c AS (SELECT part, good, toxic, fails, count(*) AS n, list_sum([CAST(x AS INT) FOR x IN fails]) AS many FROM f GROUP BY ALL),
 letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
 orders AS (
   SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
