@@ -109,6 +109,10 @@ def _hits(attributes: str) -> tuple[int, ...]:
     return tuple(int(not tokens.isdisjoint(s)) for s in TOKENS)
 
 
+#: At once after "<!--" one or two dashes less end it.
+_COMMENT_END = re.compile(r"(?<=<!--)-?>|--!?>")
+
+
 class Tags:
     """Finds the tags of a page, each by a scan that goes on where the last one ended.
 
@@ -123,8 +127,8 @@ class Tags:
         page = self.page
         while 0 <= (start := page.find("<", pos)) < len(page) - 1:
             if page.startswith("<!--", start):
-                end = page.find("-->", start + 4)
-                return start, end + 3 if end >= 0 else len(page), "", "", ""
+                end = _COMMENT_END.search(page, start + 4)
+                return start, end.end() if end else len(page), "", "", ""
             if start > self.last:
                 return None
             if start >= self.open_quote and (m := _TAG.match(page, start)):
@@ -212,7 +216,9 @@ def parse(page: str) -> Node:
             while at.tag == "#head" and tag not in HEAD:
                 leave(at.parent)
         if tag in RAW:
-            if not closing and not attributes.endswith("/"):
+            # A slash makes the element empty unless its own end tag is the next one of its name.
+            own = not attributes.endswith("/") or (m := re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(page, pos)) and m[1]
+            if not closing and own:
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, pos, tags.last + 1)
                 pos = stop.end() if stop else n
             continue

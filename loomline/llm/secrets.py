@@ -67,16 +67,16 @@ def entropy_spans(s: str, window: int = WINDOW, thresholds: dict[str, float] = T
     of = [(c.isdigit(), c.isupper(), c.islower(), c not in "0123456789abcdefABCDEF") for c in s]
     spans: list[tuple[int, int]] = []
     for i, c in enumerate(s):
-        k = counts.get(c, 0)
-        total += _LOG[k + 1] - _LOG[k]
-        counts[c] = k + 1
-        kinds = [a + b for a, b in zip(kinds, of[i], strict=True)]
         if i >= window:
             old = s[i - window]
             k = counts[old]
             total += _LOG[k - 1] - _LOG[k]
             counts[old] = k - 1
             kinds = [a - b for a, b in zip(kinds, of[i - window], strict=True)]
+        k = counts.get(c, 0)
+        total += _LOG[k + 1] - _LOG[k]
+        counts[c] = k + 1
+        kinds = [a + b for a, b in zip(kinds, of[i], strict=True)]
         if i >= window - 1:
             name = char_class(*kinds)
             if name and math.log2(window) - total / window >= thresholds[name] * scale - 1e-9:
