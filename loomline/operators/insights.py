@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loomline.eventlog import EventLog
 from loomline.operators.factors import moments, r2, solve
 from loomline.operators.quantiles import exact_quantiles
+from loomline.sources.scratch import written
 
 #: Activities that a matrix may have as columns.
 PIVOT_COLUMNS = 1000
@@ -23,7 +24,7 @@ def ratio_or_one(a: Column, b: Column) -> Column:
 
 def mean_median_ratio(log: EventLog) -> DataFrame:
     """By activity: mean duration over median duration, 1 where the median is null or 0."""
-    base = log.base().filter(F.col("activity").isNotNull())
+    base = written(log.base().filter(F.col("activity").isNotNull()).select("activity", "duration_us"), "durations")
     mean = base.groupBy("activity").agg(F.avg("duration_us").alias("mean"))
     middle = exact_quantiles(base, ["activity"], "duration_us", {"median": 0.5})
     return mean.join(middle, "activity", "left").select("activity", ratio_or_one(F.col("mean"), F.col("median")).alias("mean_median_ratio"))
@@ -34,7 +35,10 @@ def bisect_ratio(log: EventLog) -> DataFrame:
 
     Events up to the midpoint are in the first half. The span is a scalar subquery.
     """
-    base = log.base().filter(F.col("activity").isNotNull())
+    return _bisect_ratio(log.base().filter(F.col("activity").isNotNull()))
+
+
+def _bisect_ratio(base: DataFrame) -> DataFrame:
     first_ts = base.agg(F.min("ts")).scalar()
     span = base.agg(F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts"))).scalar()
     half = F.timestamp_diff("MICROSECOND", first_ts, F.col("ts")) * 2 <= span
@@ -102,7 +106,7 @@ def insight_table(log: EventLog) -> DataFrame:
     anomaly_level is the share of known durations beyond the upper quartile by more than 1.5
     interquartile ranges; 0 without durations.
     """
-    base = log.base().filter(F.col("activity").isNotNull())
+    base = written(log.base().filter(F.col("activity").isNotNull()), "insight-rows")
     n, cases = F.count("*"), F.count_distinct("case_id")
     per = base.groupBy("activity").agg(
         (F.avg("duration_us") / 1e6).alias("mean_time"),
@@ -116,7 +120,7 @@ def insight_table(log: EventLog) -> DataFrame:
     known = base.select("activity", "duration_us").join(parts, "activity")
     far = F.col("duration_us") > F.col("_q3") + (F.col("_q3") - F.col("_q1")) * 1.5
     level = known.groupBy("activity").agg(F.avg(F.when(F.col("duration_us").isNotNull(), far.cast("double"))).alias("_level"), F.first("_q2").alias("_q2"))
-    out = per.join(level, "activity", "left").join(bisect_ratio(log).withColumnRenamed("bisect_ratio", "diff_time"), "activity")
+    out = per.join(level, "activity", "left").join(_bisect_ratio(base).withColumnRenamed("bisect_ratio", "diff_time"), "activity")
     return out.select("activity", "mean_time", "frequency", "cycles", "duplicates_rate", "activities_num", ratio_or_one(F.col("_mean"), F.col("_q2")).alias("mean_median"), F.coalesce("_level", F.lit(0.0)).alias("anomaly_level"), "diff_time")
 
 

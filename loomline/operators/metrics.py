@@ -7,11 +7,14 @@ only when asked for by name.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, unit_us
-from loomline.operators.quantiles import exact_quantiles
+from loomline.operators.quantiles import exact_quantiles, fits_one_task
+from loomline.sources.scratch import written
 
 TIME = ("total_duration", "mean_duration", "median_duration", "max_duration", "min_duration", "variance_duration", "std_duration")
 
@@ -52,6 +55,11 @@ class Metrics:
     def rows(self) -> DataFrame:
         return self.log.base().dropna(subset=list(self.key))
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        """The rows, written once: what needs several passes reads them from here."""
+        return written(self.rows(), "metric-rows")
+
     def columns(self) -> dict[str, Column]:
         raise NotImplementedError
 
@@ -64,7 +72,8 @@ class Metrics:
         chosen = [n for n in names if n in known]
         apart = self._apart(chosen)
         plain = [self._rounded(known[n]).alias(n) if n in self._fractions() else known[n].alias(n) for n in chosen if n not in apart]
-        out = self.rows().groupBy(*self.key).agg(*plain) if plain else self.rows().select(*self.key).distinct()
+        rows = self.stored if apart else self.rows()
+        out = rows.groupBy(*self.key).agg(*plain) if plain else rows.select(*self.key).distinct()
         for part in {id(x): x for x in apart.values()}.values():
             out = out.join(part, list(self.key), "left")
         return out.select(*self.key, *dict.fromkeys(chosen))
@@ -72,11 +81,12 @@ class Metrics:
     def _apart(self, names: list[str]) -> dict[str, DataFrame]:
         """Metrics that no aggregation by the key alone should give, in tables (key, metrics).
 
-        A median would hold the distinct durations of a whole group in one task.
+        A median holds the distinct durations of a whole group in one task, so only that of a
+        small log is one of the aggregates.
         """
-        if "median_duration" not in names:
+        if "median_duration" not in names or fits_one_task(self.log.df):
             return {}
-        median = exact_quantiles(self.rows().select(*self.key, "duration_us"), list(self.key), "duration_us", {"_median": 0.5})
+        median = exact_quantiles(self.stored, list(self.key), "duration_us", {"_median": 0.5})
         return {"median_duration": median.select(*self.key, self._rounded(F.col("_median") / float(unit_us(self.unit))).alias("median_duration"))}
 
     def _fractions(self) -> set[str]:
@@ -192,8 +202,8 @@ class UserMetrics(Metrics):
 
     def apply(self, std: bool = True) -> DataFrame:
         """With workload, the user's share of all events with a user."""
-        share = F.col("count") / self.rows().agg(F.count("user")).scalar()
-        return super().apply(std).withColumn("workload", self._rounded(share))
+        out = super().apply(std)
+        return out.withColumn("workload", self._rounded(F.col("count") / out.agg(F.sum("count")).scalar()))
 
 
 class VariantMetrics(Metrics):
@@ -206,7 +216,7 @@ class VariantMetrics(Metrics):
         per = case.rows().groupBy("case_id").agg(
             case.columns()["trace"].alias("trace"),
             F.coalesce(F.sum("duration_us"), F.lit(0)).alias("duration_us"),
-            F.collect_set("user").alias("users"),
+            *((F.collect_set("user").alias("users"),) if self.log.user else (F.array().cast("array<string>").alias("users"),)),
         )
         return per
 
@@ -229,7 +239,7 @@ class VariantMetrics(Metrics):
         out = super()._apart(names)
         some = [n for n in ("unique_users", "unique_users_num") if n in names]
         if some:
-            users = self.rows().select("trace", F.explode_outer("users").alias("user")).groupBy("trace").agg(*(self.columns()[n].alias(n) for n in some))
+            users = self.stored.select("trace", F.explode_outer("users").alias("user")).groupBy("trace").agg(*(self.columns()[n].alias(n) for n in some))
             out |= dict.fromkeys(some, users)
         return out
 

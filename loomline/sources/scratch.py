@@ -1,4 +1,4 @@
-"""Tables of one run in the folder that the driver and all executors share."""
+"""Tables of one run in the folder that the driver and all executors share, and size-checked broadcasts."""
 
 from __future__ import annotations
 
@@ -7,6 +7,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Bytes of rows, by the sizes of their types, that may be broadcast; more are joined by shuffle.
+BROADCAST_BYTES = 16 << 20
+_WIDTHS = {"string": 64, "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4}
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -33,3 +38,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if its rows fit in so many bytes; else as it is, to be shuffled.
+
+    df should be a written table of numbers, names and short arrays, as it is read once to be counted.
+    """
+    width = sum(_WIDTHS.get(kind := f.dataType.simpleString(), 256 if kind.startswith(("array", "map", "struct")) else 8) for f in df.schema.fields)
+    rows = limit // max(1, width)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of df, from its files; no job runs. Very large where nothing is known."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
