@@ -167,13 +167,74 @@ def value_iteration(edges: DataFrame, gamma: float = 0.9, increase: float = 0.3,
     return edges.sparkSession.createDataFrame([(s, float(value[at[s]]), best.get(s)) for s in names], "activity string, value double, action string")
 
 
-def best_path(edges: DataFrame, most: int = 100, start: str = "start", **how) -> DataFrame:
+#: Between the activity and the layer in the name of a state of the layered process.
+_LAYER = "\x1f"
+
+
+def layered_edges(log: EventLog, key_node: str, mode: str = "final", floor: float = 0.0, short_path: int | None = None, key_reward: float = 1.0, end_reward: float = 0.0, penalty: float | None = None) -> DataFrame:
+    """(layer, activity, next_layer, next_activity, probability, reward): moves of the layered process.
+
+    A case begins in layer 0. In the final mode a step to the key node goes on to the next
+    larger layer that has cases, whose probabilities and rewards hold from there; in the
+    last one it stays. In the initial mode all is layer 0. Beyond short_path the key node
+    costs the penalty, or its own reward if none is given.
+    """
+    if mode not in ("initial", "final"):
+        raise ValueError(f"unknown mode {mode!r}; known are initial and final")
+    edges = layered_rewards(log, key_node, floor, short_path, key_reward, end_reward).filter("layer >= 0")
+    if mode == "initial":
+        edges = edges.filter("layer = 0")
+    edges = written(edges, "mdp-layers")
+    if penalty is not None and short_path is not None:
+        edges = edges.withColumn("reward", F.when((F.col("next_activity") == key_node) & (F.col("layer") > short_path), -abs(float(penalty))).otherwise(F.col("reward")))
+    # One row for each layer.
+    order = edges.select(F.col("layer").alias("_layer")).distinct().withColumn("_next", F.lead("_layer", 1).over(Window.orderBy("_layer")))
+    moved = edges.join(order, F.col("layer") == F.col("_layer"))
+    goes_on = F.when(F.col("next_activity") == key_node, F.col("_next"))
+    return moved.select("layer", "activity", F.coalesce(goes_on, F.col("layer")).alias("next_layer"), "next_activity", "probability", "reward")
+
+
+def solve_layers(edges: DataFrame, **how) -> DataFrame:
+    """(layer, activity, value, action, next_layer): the layered process of layered_edges solved as by value_iteration.
+
+    A state is an activity in a layer. Of equal actions the first by name wins.
+    """
+    state = lambda layer, activity: F.concat_ws(_LAYER, activity, F.col(layer).cast("string"))
+    plain = edges.select(state("layer", "activity").alias("activity"), state("next_layer", "next_activity").alias("next_activity"), "probability", "reward")
+    part = lambda c, i: F.split_part(c, F.lit(_LAYER), F.lit(i))
+    solved = value_iteration(plain, **how)
+    return solved.select(part("activity", 2).cast("int").alias("layer"), part("activity", 1).alias("activity"), "value", part("action", 1).alias("action"), part("action", 2).cast("int").alias("next_layer"))
+
+
+def _followed(policy: DataFrame, state: list[str], target: list[str], start: tuple, most: int, on_driver: int) -> list[tuple]:
+    """States from a start to one without action or seen before, by at most so many steps; a large policy is asked step by step."""
+    rows = policy.select(*state, *target).limit(on_driver + 1).collect()
+    known = {tuple(r[: len(state)]): tuple(r[len(state) :]) for r in rows} if len(rows) <= on_driver else None
+
+    def action(at: tuple) -> tuple | None:
+        if known is not None:
+            return known.get(at)
+        where = F.lit(True)
+        for c, x in zip(state, at, strict=True):
+            where = where & (F.col(c) == x)
+        row = policy.filter(where).select(*target).first()
+        return row and tuple(row)
+
+    path = [start]
+    while (found := action(path[-1])) and None not in found and found not in path and len(path) <= most:
+        path.append(found)
+    return path
+
+
+def best_path(edges: DataFrame, most: int = 100, start: str = "start", on_driver: int = EDGES, **how) -> DataFrame:
     """(step, activity): from a start, each time the target of the best action, until end or a repeat."""
-    policy = {r.activity: r.action for r in value_iteration(edges, **how).collect()}  # one row per activity
-    path, at = [start], start
-    while at in policy and policy[at] is not None and len(path) <= most:
-        at = policy[at]
-        if at in path:
-            break
-        path.append(at)
-    return edges.sparkSession.createDataFrame(list(enumerate(path)), "step int, activity string")
+    policy = value_iteration(edges, on_driver=on_driver, **how)
+    path = _followed(policy, ["activity"], ["action"], (start,), most, on_driver)
+    return edges.sparkSession.createDataFrame([(i, a) for i, (a,) in enumerate(path)], "step int, activity string")
+
+
+def best_layered_path(edges: DataFrame, most: int = 100, start: str = "start", on_driver: int = EDGES, **how) -> DataFrame:
+    """(step, layer, activity): the best path of the layered process from a start in layer 0, until end or a repeat of a state."""
+    policy = solve_layers(edges, on_driver=on_driver, **how)
+    path = _followed(policy, ["layer", "activity"], ["next_layer", "action"], (0, start), most, on_driver)
+    return edges.sparkSession.createDataFrame([(i, *x) for i, x in enumerate(path)], "step int, layer int, activity string")

@@ -847,6 +847,34 @@ def _(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("probability", "reward")})
 
 
+_LAYERS_SOLVED = f"""WITH RECURSIVE{_LAYERED.split("WITH", 1)[1].rsplit("SELECT layer, activity, next_activity, round(probability", 1)[0].rstrip()},
+rw AS (SELECT layer, activity, next_activity, probability, CASE WHEN next_activity = 'end' THEN 0 WHEN next_activity = 'F' THEN CASE WHEN layer = -2 THEN -1 WHEN layer > 2 THEN -0.5 ELSE 1 END ELSE -coalesce(minutes / nullif(avg(minutes) OVER (PARTITION BY layer), 0), 0) END AS reward FROM e JOIN d USING (layer, next_activity)),
+lx AS (SELECT layer, lead(layer) OVER (ORDER BY layer) AS up FROM (SELECT DISTINCT layer FROM rw WHERE layer >= 0)),
+le AS MATERIALIZED (SELECT layer, activity, CASE WHEN next_activity = 'F' THEN coalesce(up, layer) ELSE layer END AS next_layer, next_activity, probability, reward FROM rw JOIN lx USING (layer)),
+ls AS MATERIALIZED (SELECT layer, activity FROM le UNION SELECT next_layer, next_activity FROM le),
+v(i, layer, activity, value) AS (
+  SELECT 0, layer, activity, 0.0::DOUBLE FROM ls UNION ALL
+  SELECT n.i, n.layer, n.activity, coalesce(q.q, 0.0) FROM (SELECT i + 1 AS i, layer, activity FROM v WHERE i < 120) n LEFT JOIN
+    (SELECT le.layer, le.activity, (sum(probability * (reward + 0.9 * v.value)) + 0.3 * max(reward + 0.9 * v.value)) / 1.3 AS q FROM le JOIN v ON v.layer = le.next_layer AND v.activity = le.next_activity GROUP BY ALL) q USING (layer, activity)
+), moved AS (SELECT b.i, max(abs(b.value - a.value)) AS m FROM v a JOIN v b ON b.i = a.i + 1 AND a.layer = b.layer AND a.activity = b.activity GROUP BY b.i),
+f AS (SELECT layer, activity, value FROM v WHERE i = (SELECT min(i) FROM moved WHERE m < 1e-3)),
+pol AS (SELECT le.layer, le.activity, min_by({{'a': le.next_activity, 'l': le.next_layer}}, (-(reward + 0.9 * f.value), le.next_activity)) AS go FROM le JOIN f ON f.layer = le.next_layer AND f.activity = le.next_activity GROUP BY ALL)"""
+
+
+def _layered_edges(spark, d) -> DataFrame:
+    return happypath.layered_edges(orders(spark, d), "F", floor=0.02, short_path=2, penalty=0.5)
+
+
+@query("mdp_layers_solved", f"{_LAYERS_SOLVED} SELECT layer, activity, round(value, 6) AS value, go.a AS action, go.l AS next_layer FROM f LEFT JOIN pol USING (layer, activity)")
+def _(spark, d):
+    return happypath.solve_layers(_layered_edges(spark, d)).withColumn("value", F.round("value", 6))
+
+
+@query("happy_path_layers", f"{_LAYERS_SOLVED}, path(step, layer, activity, seen) AS (SELECT 0, 0, 'start'::VARCHAR, ['start 0'] UNION ALL SELECT step + 1, go.l, go.a, list_append(seen, go.a || ' ' || go.l) FROM path JOIN pol USING (layer, activity) WHERE NOT list_contains(seen, go.a || ' ' || go.l)) SELECT step::INT AS step, layer, activity FROM path")
+def _(spark, d):
+    return runner.run_model("happy_path", orders(spark, d), {"mode": "'final'", "key_node": "'F'", "floor": "0.02", "short_path": "2", "penalty": "0.5"})
+
+
 @query("mdp_key_rewards", f"WITH {_STEPS} SELECT activity, next_activity, round(CASE WHEN next_activity = 'O' THEN -2 WHEN next_activity = 'end' THEN 5 ELSE reward END, 6) AS reward FROM rw")
 def _(spark, d):
     return happypath.rewards(orders(spark, d), 0.02, key_node="O", key_reward=-2.0, end_reward=5.0).select("activity", "next_activity", F.round("reward", 6).alias("reward"))

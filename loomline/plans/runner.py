@@ -72,9 +72,15 @@ def _insights(log: EventLog, output_type: str = "clustered", hour_cost: float =
     return insights.insight_output(log, output_type, hour_cost)
 
 
-def _happy_path(log: EventLog, floor: float = 0.05, key_node: str = None, key_reward: float = 1.0, end_reward: float = 0.0, gamma: float = 0.9, increase: float = 0.3) -> DataFrame:  # noqa: RUF013
-    edges = happypath.rewards(log, floor, key_node, key_reward, end_reward)
-    return happypath.best_path(edges, gamma=gamma, increase=increase)
+def _happy_path(log: EventLog, floor: float = 0.05, key_node: str = None, key_reward: float = 1.0, end_reward: float = 0.0, gamma: float = 0.9, increase: float = 0.3, mode: str = "plain", initial_state: str = "start", short_path: int = None, penalty: float = None) -> DataFrame:  # noqa: RUF013
+    """The mode plain knows no layers; initial and final are those of layered_edges."""
+    how = {"start": initial_state, "gamma": gamma, "increase": increase}
+    if mode == "plain":
+        return happypath.best_path(happypath.rewards(log, floor, key_node, key_reward, end_reward), **how)
+    if key_node is None:
+        raise ValueError("layers need a key node")
+    edges = happypath.layered_edges(log, key_node, mode, floor, short_path, key_reward, end_reward, penalty)
+    return happypath.best_layered_path(edges, **how)
 
 
 def _forecast(log: EventLog, period: str = "D", steps: int = 5, kinds: tuple = ("last", "holt", "ridge"), comma: bool = True) -> DataFrame:

@@ -92,6 +92,28 @@ def test_value_iteration_is_a_fixed_point(log):
     assert happypath.value_iteration(edges.limit(0)).count() == 0
 
 
+def test_layers_go_on_at_the_key_node(spark):
+    """Cases with one, two and four visits of B; layer 3 has none."""
+    cases = ["ABC", "ABC", "ABBC", "ABABABABC", "AC"]
+    rows = [(c, x, i) for c, trace in enumerate(cases) for i, x in enumerate(trace)]
+    log = EventLog(spark.createDataFrame(rows, "c long, a string, n long").withColumn("t", F.timestamp_seconds(F.col("n") * 60)), "c", "a", "t", tiebreak=("n",))
+    edges = happypath.layered_edges(log, "B", short_path=1, penalty=0.25)
+    moves = {(r.layer, r.activity, r.next_activity): (r.next_layer, r.reward) for r in edges.collect()}
+    assert moves[0, "A", "B"][0] == 1 and moves[1, "A", "B"][0] == 2 and moves[2, "B", "B"][0] == 4 and moves[4, "A", "B"][0] == 4
+    assert moves[0, "A", "C"][0] == 0 and moves[0, "A", "B"][1] == 1 and moves[2, "B", "B"][1] == -0.25
+    solved = {(r.layer, r.activity): r for r in happypath.solve_layers(edges, tolerance=1e-10).collect()}
+    worth = lambda k: sum(r.probability * (r.reward + 0.9 * solved[r.next_layer, r.next_activity].value) for r in edges.collect() if (r.layer, r.activity) == k)
+    best = lambda k: max(r.reward + 0.9 * solved[r.next_layer, r.next_activity].value for r in edges.collect() if (r.layer, r.activity) == k)
+    for k, r in solved.items():
+        assert r.value == pytest.approx((worth(k) + 0.3 * best(k)) / 1.3 if r.action else 0, abs=1e-8)
+    path = [tuple(r) for r in happypath.best_layered_path(edges).orderBy("step").collect()]
+    assert path[0] == (0, 0, "start") and path[2] == (2, 1, "B") and path == [tuple(r) for r in happypath.best_layered_path(edges, on_driver=0, tolerance=1e-2).orderBy("step").collect()]
+    whole = happypath.layered_edges(log, "B", "initial")
+    assert {(r.layer, r.next_layer) for r in whole.collect()} == {(0, 0)}
+    with pytest.raises(ValueError, match="mode"):
+        happypath.layered_edges(log, "B", "other")
+
+
 def test_normal_equations_match_numpy(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 3))
