@@ -202,37 +202,6 @@ def k_best(rows: DataFrame, target: str, features: list[str], share: float = 0.3
     return rows.sparkSession.createDataFrame([(features[i], score[i], r + 1) for r, i in enumerate(order)], "feature string, r2 double, rank int")
 
 
-def feature_influence(pivoted: DataFrame, key: str, most: int = 3) -> DataFrame:
-    """(activity, selected): how often a column is picked to predict another one.
-
-    For each column, forward selection adds the column that lifts a linear fit's r2 the most,
-    up to `most` times and while it lifts it by 0.01. Everything follows from one table of
-    moments, so the log is read once.
-    """
-    columns = [c for c in pivoted.columns if c != key]
-    if len(columns) < 2:
-        return pivoted.sparkSession.createDataFrame([(c, 0) for c in columns], "activity string, selected int")
-    n, s, p = moments(pivoted.select(key, *(F.col(f"`{c}`") for c in columns)), columns[:-1], columns[-1])[0]
-    counts = dict.fromkeys(columns, 0)
-    for t in range(len(columns)):
-        order = [i for i in range(len(columns)) if i != t]
-        m = (n, s[[*order, t]], p[np.ix_([*order, t], [*order, t])])
-        chosen: list[int] = []
-        score = 0.0
-        while len(chosen) < most:
-            trial = {i: r2(m, [*chosen, i], *solve(m, [*chosen, i], 1e-6)) for i in range(len(order)) if i not in chosen}
-            if not trial:
-                break
-            i = max(trial, key=trial.get)
-            if trial[i] - score < 0.01:
-                break
-            chosen.append(i)
-            score = trial[i]
-        for i in chosen:
-            counts[columns[order[i]]] += 1
-    return pivoted.sparkSession.createDataFrame(list(counts.items()), "activity string, selected int")
-
-
 def frequency_encoded(df: DataFrame, c: str) -> DataFrame:
     """df with the number of rows that share the value of c, null being a value."""
     per = df.groupBy(F.col(c).alias("_k")).agg(F.count("*").alias(f"{c}_freq"))

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog
-from loomline.operators.factors import moments, r2, solve
+from loomline.operators.factors import moments
 from loomline.operators.quantiles import exact_quantiles
+from loomline.operators.selection import all_regressions
 from loomline.sources.scratch import written
 
 #: Activities that a matrix may have as columns.
@@ -224,7 +225,7 @@ def problem_scores(pivoted: DataFrame, key: str, alpha: float = 0.0) -> DataFram
     of the smallest key is coefficient * (value - mean); a column's attribution to itself is
     its mean. Attributions to all columns are weighted by the columns' shares of the total
     and scaled so that the largest score is 1 or -1. One pass over the matrix serves all
-    models; the driver solves systems of as many unknowns as there are columns.
+    models; the driver inverts one matrix of as many columns.
     """
     columns = [c for c in pivoted.columns if c != key]
     spark = pivoted.sparkSession
@@ -234,15 +235,8 @@ def problem_scores(pivoted: DataFrame, key: str, alpha: float = 0.0) -> DataFram
         return spark.createDataFrame([], schema)
     n, s, p = moments(pivoted.select(*(F.col(f"`{c}`") for c in columns)), columns[:-1], columns[-1])[0]
     mean, x = s / n, np.array(first, dtype=float)
-    k = len(columns)
-    given = np.diag(mean)
-    fit = []
-    for t in range(k):
-        others = [i for i in range(k) if i != t]
-        m = (n, s[[*others, t]], p[np.ix_([*others, t], [*others, t])])
-        w, b = solve(m, list(range(k - 1)), alpha)
-        given[others, t] = w * (x[others] - mean[others])
-        fit.append(r2(m, list(range(k - 1)), w, b) if others else 0.0)
+    w, fit = all_regressions((n, s, p), alpha)
+    given = w * (x - mean)[:, None] + np.diag(mean)
     weight = s / s.sum() if s.sum() else np.zeros(k)
     score = given @ weight
     score = score / (np.abs(score).max() or 1.0)

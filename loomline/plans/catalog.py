@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, with_sentinels
 from loomline.functions import scalar
-from loomline.operators import cluster, factors, happypath, insights, metrics, outliers, quality, series
+from loomline.operators import cluster, factors, happypath, insights, metrics, outliers, quality, selection, series
 from loomline.plans import runner
 from loomline.sources import io, scratch
 
@@ -347,7 +347,24 @@ def _(spark, d):
 
 @query("feature_influence")
 def _(spark, d):
-    return factors.feature_influence(insights.pivot(events(spark, d), "appearance"), "case_id")
+    return selection.feature_influence(insights.pivot(events(spark, d), "appearance"), "case_id")
+
+
+def _held_out_picks(wide: str, key: str, columns: list[str]) -> str:
+    """For each column the other one with the best held-out r2 over five folds of the key, and how often each is picked."""
+    names, values = ", ".join(f"'{c}'" for c in columns), ", ".join(columns)
+    return f"""WITH {wide}, u AS (SELECT {key} AS k, unnest([{names}]) AS c, unnest([{values}])::DOUBLE AS v FROM pv),
+    pr AS (SELECT a.k, a.c AS target, a.v AS y, b.c AS c, b.v AS x FROM u a JOIN u b ON a.k = b.k AND a.c <> b.c),
+    fits AS (SELECT target, c, f, regr_slope(y, x) AS w, regr_intercept(y, x) AS b FROM pr, (SELECT unnest([0, 1, 2, 3, 4]) AS f) WHERE k % 5 <> f GROUP BY ALL),
+    sc AS (SELECT target, c, f, 1 - sum((y - b - w * x) ** 2) / (var_pop(y) * count(*)) AS r2 FROM pr JOIN fits USING (target, c) WHERE k % 5 = f GROUP BY ALL),
+    m AS (SELECT target, c, avg(r2) AS r2 FROM sc GROUP BY ALL), best AS (SELECT target, arg_max(c, r2) AS c FROM m GROUP BY target HAVING max(r2) >= 0.01)
+    SELECT activity, count(best.c)::INT AS selected FROM (SELECT unnest([{names}]) AS activity) n LEFT JOIN best ON best.c = activity GROUP BY activity"""
+
+
+@query("feature_influence_one", _held_out_picks("pv AS (SELECT l_orderkey, sum(l_quantity) AS quantity, sum(l_extendedprice) AS price, count(*) AS parts, sum(l_tax) AS tax, sum(l_discount * l_extendedprice) AS off FROM lineitem GROUP BY 1)", "l_orderkey", ["quantity", "price", "parts", "tax", "off"]))
+def _(spark, d):
+    wide = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"), F.sum("l_extendedprice").alias("price"), F.count("*").alias("parts"), F.sum("l_tax").alias("tax"), F.sum(F.col("l_discount") * F.col("l_extendedprice")).alias("off"))
+    return selection.feature_influence(wide, "l_orderkey", most=1, fold=F.col("l_orderkey") % 5)
 
 
 _STATUS = "pv AS (SELECT l_orderkey, count(*) FILTER (l_linestatus = 'F')::DOUBLE AS f, count(*) FILTER (l_linestatus = 'O')::DOUBLE AS o FROM lineitem GROUP BY 1)"
@@ -358,9 +375,9 @@ def _status(spark, d) -> DataFrame:
     return insights.pivot(log, "appearance")
 
 
-@query("feature_influence_two", f"WITH {_STATUS} SELECT unnest(['F', 'O']) AS activity, unnest([CASE WHEN regr_r2(f, o) >= 0.01 THEN 1 ELSE 0 END, CASE WHEN regr_r2(f, o) >= 0.01 THEN 1 ELSE 0 END])::INT AS selected FROM pv")
+@query("feature_influence_two", _held_out_picks(_STATUS, "l_orderkey", ["F", "O"]).replace("[F, O]", "[f, o]"))
 def _(spark, d):
-    return factors.feature_influence(_status(spark, d), "case_id")
+    return selection.feature_influence(_status(spark, d), "case_id", fold=F.col("case_id") % 5)
 
 
 @query(
@@ -718,6 +735,14 @@ def _(spark, d):
     return factors.k_best(lags, "y", [f"lag_{i}" for i in range(1, 8)], 0.5).withColumn("r2", F.round("r2", 6))
 
 
+@query("feature_selectors")
+def _(spark, d):
+    """The last fifth of the periods is held out."""
+    lags = series.lag_features(series.node_series(events(spark, d)), ["activity"]).dropna()
+    ranked = lags.withColumn("part", F.percent_rank().over(Window.partitionBy("activity").orderBy("period")))
+    return selection.select_features(ranked, "y", [f"lag_{i}" for i in range(1, 8)], F.col("part") > 0.8)
+
+
 _AHEAD = "la AS (SELECT activity, arg_max(probability, p) AS prob, arg_max(m, p) AS dur, max(p) AS p FROM dense GROUP BY 1), ah AS (SELECT activity, (p + k)::DATE AS period, prob / sum(prob) OVER (PARTITION BY k) AS prob, dur FROM la, (SELECT unnest([1, 2, 3])::INT AS k))"
 _LAST = series.Plan(steps=3, kinds=("last",))
 
