@@ -6,13 +6,14 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, with_sentinels
 from loomline.functions import scalar
-from loomline.operators import cluster, factors, happypath, insights, metrics, outliers, quality, selection, series
+from loomline.operators import cluster, factors, happypath, insights, metrics, outliers, quality, ranking, selection, series, trees
 from loomline.plans import runner
 from loomline.sources import io, scratch
 
@@ -974,6 +975,40 @@ def _(spark, d):
     return factors.importances(table(spark, d, "part"), "p_retailprice", ["p_brand", "p_size", "p_type"], "p_partkey")
 
 
+@query("permuted_column", "WITH s AS (SELECT unnest([1, 2]) AS seed), a AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS i FROM part), b AS (SELECT seed, p_size, row_number() OVER (PARTITION BY seed ORDER BY md5(p_partkey || ':' || seed), p_partkey) AS i FROM part, s) SELECT p_partkey, seed, p_size AS p_p_size FROM a JOIN b USING (i)")
+def _(spark, d):
+    return ranking.permuted(table(spark, d, "part").select("p_partkey", "p_size"), "p_partkey", ["p_size"], [1, 2]).drop("p_size")
+
+
+@query("permutation_importances")
+def _(spark, d):
+    """Of boosted trees for the order's price."""
+    wide = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("price"), F.sum("l_quantity").alias("quantity"), F.count("*").alias("parts"), F.avg("l_discount").alias("discount"))
+    columns = ["quantity", "parts", "discount"]
+    forest = trees.fit(wide.drop("l_orderkey"), [*columns, "price"], ["price"], trees=10, depth=2)["price", -1]
+    return trees.permutation_importance(wide, "l_orderkey", columns, "price", lambda x: forest.predict(np.column_stack((x, np.zeros(len(x))))))
+
+
+@query("activity_models")
+def _(spark, d):
+    return trees.held_out_errors(insights.pivot(events(spark, d), "appearance"), "case_id")
+
+
+@query(
+    "activity_models_of_two",
+    """WITH pv AS (SELECT l_orderkey AS k, max((l_linestatus = 'F')::INT) AS f, max((l_returnflag = 'R')::INT) AS r FROM lineitem GROUP BY 1),
+    u AS (SELECT k, 'f' AS activity, f AS y, r AS x FROM pv UNION ALL SELECT k, 'r', r, f FROM pv),
+    g AS (SELECT activity, z, x, avg(y) AS m FROM u, (SELECT unnest([0, 1, 2, 3, 4]) AS z) WHERE k % 5 <> z GROUP BY ALL),
+    e AS (SELECT u.activity, y, y - m AS e FROM u JOIN g ON u.activity = g.activity AND u.k % 5 = g.z AND u.x = g.x)
+    SELECT activity, count(*) AS n, round(avg(abs(e)), 6) AS mae, round(1 - sum(e * e) / (var_pop(y) * count(*)), 6) AS r2 FROM e GROUP BY activity""",
+)
+def _(spark, d):
+    """Two flags of an order: one split with full steps gives the means of the other folds."""
+    wide = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.max((F.col("l_linestatus") == "F").cast("int")).alias("f"), F.max((F.col("l_returnflag") == "R").cast("int")).alias("r"))
+    out = trees.held_out_errors(wide, "l_orderkey", fold=F.col("l_orderkey") % 5, trees=1, depth=1, rate=1.0)
+    return out.withColumns({c: F.round(c, 6) for c in ("mae", "r2")})
+
+
 # Clusters.
 
 
