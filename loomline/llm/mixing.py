@@ -22,9 +22,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def doc_hash(doc_id: Column) -> Column:
-    """60 bits of the MD5 of the id's digits; null as empty text."""
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+def doc_hash(doc_id: Column, text: Column) -> Column:
+    """60 bits of the MD5 of the id's digits and the text; null as empty text."""
+    both = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(both), 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
@@ -89,7 +90,7 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 def _planned(docs: DataFrame, weights: tuple[int, ...], share: float, most: int) -> tuple[DataFrame, DataFrame]:
     """(sizes of docs, a row per source: _source, source_size, target, _passes, _last)."""
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), doc_hash(F.col("doc_id")).alias("h"))
+    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), doc_hash(F.col("doc_id"), F.col("text")).alias("h"))
     sizes = written(sizes, "mix-sizes")
     targets = written(source_targets(sizes, weights, share, most), "mix-targets")
     last = thresholds(sizes, targets)
@@ -104,7 +105,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
     `taken` counts the words of all repeats and is at most `most` times `size`. Null and
     empty texts have size 0 and take 0. A null source is a source. Rows with the same id
-    are taken or left together. An empty table gives an empty one. Other columns of docs
+    and text are taken or left together. An empty table gives an empty one. Other columns of docs
     play no part. It runs on DataFrame functions alone.
     """
     sizes, per = _planned(docs, weights, share, most)
@@ -116,12 +117,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2) -> DataFrame:
     """docs with each row as often as the mix takes it, 0 to `most` times; rows without words go.
 
-    The columns stay as they are. A row's number follows from its id and source, so texts
-    are not shuffled.
+    The columns stay as they are. A row's number follows from its id, text and source, so
+    texts are not shuffled.
     """
     columns = [F.col(f"d.`{c}`") for c in docs.columns]
     _, per = _planned(docs, weights, share, most)
-    more = F.when(doc_hash(F.col("d.doc_id")) <= F.col("p._last"), 1).otherwise(0)
+    more = F.when(doc_hash(F.col("d.doc_id"), F.col("d.text")) <= F.col("p._last"), 1).otherwise(0)
     times = F.when(word_count(F.col("d.text")) > 0, F.least(F.col("p._passes") + more, F.lit(most))).otherwise(0)
     hit = docs.alias("d").join(small(per).alias("p"), F.col("d.source").eqNullSafe(F.col("p._source")))
     row = hit.select(F.struct(*columns).alias("row"), times.cast("int").alias("times"))
@@ -138,7 +139,7 @@ def _mix_sql(table: str = "documents", weights: tuple[int, ...] = (3, 1, 2), sha
 WITH sizes AS (
   SELECT doc_id, source,
          CAST(coalesce(length(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
   FROM {table}
 ), total AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source

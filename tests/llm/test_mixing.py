@@ -30,7 +30,7 @@ def brute(rows):
         total[s] = total.get(s, 0) + n
     target = fill(total)
     out = []
-    h = [int(hashlib.md5(("" if d is None else str(d)).encode()).hexdigest()[:15], 16) for d, _, _ in rows]
+    h = [int(hashlib.md5(f"{'' if d is None else d}:{t or ''}".encode()).hexdigest()[:15], 16) for d, t, _ in rows]
     for i, (d, _, s) in enumerate(rows):
         passes = int(target[s] // total[s]) if total[s] else 0
         rest = target[s] - passes * total[s]
@@ -58,6 +58,13 @@ def test_targets_add_up_and_are_near(spark):
         assert abs(part["taken"].sum() - target) <= part["size"].max()
 
 
+def test_rows_without_ids_meet_their_target(spark):
+    rows = [(None, f"w{i} x y z", "a") for i in range(500)] + [(i, "w " * 9, "b") for i in range(300)]
+    out = mixing.mix(spark.createDataFrame(rows, SCHEMA)).toPandas()
+    for (_, target), part in out.groupby(["source_size", "target"]):
+        assert abs(part["taken"].sum() - target) <= part["size"].max()
+
+
 def test_applied_mix_repeats_rows(spark):
     docs = spark.createDataFrame([r + ("x", 7) for r in ROWS], SCHEMA + ", target string, _passes int")
     out = mixing.apply_mix(docs)
