@@ -124,11 +124,11 @@ def single(dim: int) -> Router:
     return Router(np.zeros((dim, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1), 1)
 
 
-def fit_router(x: np.ndarray, parts: int, epochs: int = 60, hidden: int = 96, seed: int = 0) -> Router:
+def fit_router(x: np.ndarray, parts: int, epochs: int = 60, hidden: int = 96, seed: int = 0, cover: float = COVER) -> Router:
     """Learns the parts of the sample's neighbour graph; x are unit vectors, in any fixed order.
 
     A share HELD of them takes no part in the fit: their nearest in the whole sample say how
-    many parts a query has to probe.
+    many parts a query has to probe, so that these hold a share `cover` of them.
     """
     dim = x.shape[1]
     if parts <= 1:
@@ -172,16 +172,16 @@ def fit_router(x: np.ndarray, parts: int, epochs: int = 60, hidden: int = 96, se
         rank = np.empty_like(logits, dtype=np.int64)
         np.put_along_axis(rank, np.argsort(-logits, axis=1), np.arange(parts)[None, :], axis=1)
         places = np.sort(np.take_along_axis(rank, home[sought], axis=1).ravel())
-        router.probes = int(places[min(len(places) - 1, int(COVER * len(places)))]) + 1
+        router.probes = int(places[min(len(places) - 1, int(cover * len(places)))]) + 1
     return router
 
 
-def _refined(parts: int) -> Callable:
+def _refined(parts: int, cover: float) -> Callable:
     """(part, model): a router within each part, from the sampled vectors (part, vec) of it."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = unit(_matrix(pdf["vec"].sort_values()))
-        model = pickle.dumps(fit_router(x, max(1, min(parts, len(x) // ROOM))))
+        model = pickle.dumps(fit_router(x, max(1, min(parts, len(x) // ROOM)), cover=cover))
         return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "model": [model]})
 
     return run
@@ -308,7 +308,9 @@ def search(vectors: DataFrame, every: int = 50, nearest: int = 5) -> DataFrame:
     sample = entries.filter(place < int((1 << 30) * min(1.0, SAMPLE / max(total, 1)))).select("vec").toPandas()["vec"].sort_values()
     wanted = max(1, round(DENSITY * math.sqrt(total)))
     parts = max(1, min(wanted, len(sample) // ROOM))
-    routers: tuple[Router, dict[int, Router]] = (fit_router(unit(_matrix(sample)), parts) if parts > 1 else single(dim), {})
+    # What a query looks for must be in probed parts of both levels.
+    cover = math.sqrt(COVER) if wanted > parts > 1 else COVER
+    routers: tuple[Router, dict[int, Router]] = (fit_router(unit(_matrix(sample)), parts, cover=cover) if parts > 1 else single(dim), {})
     shared = spark.sparkContext.broadcast(routers)
 
     kind = "vec binary, ids array<long>, parts array<int>"
@@ -318,7 +320,7 @@ def search(vectors: DataFrame, every: int = 50, nearest: int = 5) -> DataFrame:
         ranked = written(index.select("vec", F.col("parts")[0].alias("part")), "near-parts")
         share = ranked.groupBy("part").agg((F.lit(float(SAMPLE)) / F.count("*")).alias("share"))
         some = ranked.join(F.broadcast(share), "part").filter(F.pmod(F.xxhash64("vec", F.lit(1)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
-        inner = some.select("part", "vec").groupBy("part").applyInPandas(_refined(-(-wanted // parts)), "part int, model binary").collect()
+        inner = some.select("part", "vec").groupBy("part").applyInPandas(_refined(-(-wanted // parts), cover), "part int, model binary").collect()
         routers = (routers[0], {r.part: pickle.loads(r.model) for r in inner})
         shared = spark.sparkContext.broadcast(routers)
         index = entries.mapInArrow(_route(shared, False), kind)

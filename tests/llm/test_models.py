@@ -210,7 +210,7 @@ def test_recall_at_default_constants(spark, monkeypatch, sample):
     monkeypatch.setattr(neighbours, "SAMPLE", sample)
     probed = {}
     fit = neighbours.fit_router
-    monkeypatch.setattr(neighbours, "fit_router", lambda x, parts: probed.setdefault("top", fit(x, parts, epochs=30)))
+    monkeypatch.setattr(neighbours, "fit_router", lambda x, parts, **how: probed.setdefault("top", fit(x, parts, epochs=30, **how)))
     if sample == 500:
         monkeypatch.setattr(neighbours, "DENSITY", 1.0)
     x = np.random.default_rng(5).normal(size=(2500, 24)).astype(np.float32).astype(float)
