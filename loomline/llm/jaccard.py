@@ -37,6 +37,9 @@ GROUP = 64
 GROUP_SHINGLES = 1 << 21
 #: Queries that meet one copy of a group, about.
 QUERIES_A_GROUP = 256
+#: Cells and asking sets of one shingle that meet in one place.
+CELLS_A_PLACE = 64
+ASKS_A_PLACE = 8192
 #: A shingle whose cell of the sketch counts this many times the mean is hot, and so many places hold its list.
 HOT = 64
 HOT_PLACES = 1024
@@ -318,6 +321,17 @@ class _Join:
         rows = stored.union(ask).repartition("g", "salt").sortWithinPartitions("g", "salt", "asks")
         return written(rows.mapInArrow(_bounded(k, self.num, self.den), "g long, id long").distinct(), "join-reachable")
 
+    def met(self, asks: DataFrame, cells: DataFrame) -> DataFrame:
+        """asks and cells by token. A hot token's are dealt over a grid: each block of its cells meets each block of its asks in a place of its own."""
+        cells = written(cells, "join-cells")
+        shape = cells.groupBy("token").agg(F.ceil(F.count("*") / CELLS_A_PLACE).cast("int").alias("across"), F.ceil(F.sum("held") / ASKS_A_PLACE).cast("int").alias("down"))
+        shape = small(written(shape.filter("across > 1 or down > 1"), "join-hot-tokens"))
+        across, down = (F.coalesce(c, F.lit(1)) for c in ("across", "down"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        asks = asks.join(shape, "token", "left").withColumn("y", F.pmod(F.xxhash64("a"), down).cast("int")).withColumn("x", every(across)).drop("across", "down")
+        cells = cells.join(shape, "token", "left").withColumn("x", F.pmod(F.xxhash64("cg"), across).cast("int")).withColumn("y", every(down)).drop("across", "down")
+        return asks.join(cells, ["token", "x", "y"])
+
     def matrix(self, comps: DataFrame | None) -> DataFrame | None:
         """Links (a, b) between sets of different components (id, component), or, without them, of any two sets.
 
@@ -351,7 +365,7 @@ class _Join:
         # The smaller component asks, so a large one is met by groups and not by rows. Groups
         # of single sets ask in order and also within themselves.
         turn = F.struct("size", "c") < F.struct(F.col("gsize").alias("size"), F.col("gc").alias("c"))
-        meets = asks.join(cells, "token").filter(turn | ((F.col("size") == 1) & (F.col("g") == F.col("cg")) & (F.col("held") > 1)))
+        meets = self.met(asks, cells).filter(turn | ((F.col("size") == 1) & (F.col("g") == F.col("cg")) & (F.col("held") > 1)))
         meets = meets.filter((F.col("n") * den >= F.col("least") * num) & (F.col("most") * den >= F.col("n") * num))
         meets = written(meets.select(F.col("cg").alias("g"), F.col("a").alias("id")).distinct(), "join-meets")
         if meets.isEmpty():
