@@ -28,6 +28,9 @@ from loomline.llm.words import ALNUM, Words, shingle_hashes, word_slices
 K = 5
 #: Bytes of benchmark text that are sent to all tasks; more is joined by shuffle.
 BLOCK_BYTES = 16 << 20
+#: Bits of an item hash that the filter of the shuffled join tells apart, and places in which a hash of documents is met.
+FILTER_BITS = 24
+SALTS = 16
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
@@ -150,11 +153,12 @@ def _spans(mask: np.ndarray) -> list[int]:
     return np.flatnonzero(mask[1:] != mask[:-1]).tolist()
 
 
-def _prints(span: int, short: tuple[int, ...] | None, k: int = K) -> Callable:
+def _prints(span: int, short: tuple[int, ...] | None, known=None, k: int = K) -> Callable:
     """(m, hash, id, place) from rows (id, text): winnowed fingerprints as m = 0, and runs of m words.
 
     Of items (short None) a text of fewer than `span` words gives itself as its only run; of
-    documents, all runs of the lengths in `short` are given.
+    documents, all runs of the lengths in `short` are given, and of all of these only those
+    that may be in the filter `known`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,6 +173,9 @@ def _prints(span: int, short: tuple[int, ...] | None, k: int = K) -> Callable:
                     fits = count[w.row[at]] == m if short is None else count[w.row[at]] >= m
                     parts.append((np.full(int(fits.sum()), m, np.int32), hashes[fits], at[fits]))
                 m, hashes, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
+                if known is not None:
+                    some = _maybe(known.value, hashes)
+                    m, hashes, at = m[some], hashes[some], at[some]
                 row = w.row[at]
                 yield pa.RecordBatch.from_arrays([pa.array(m, pa.int32()), pa.array(hashes.astype(np.int64)), pa.array(ids[w.first + row]), pa.array((at - w.bound[row]).astype(np.int32))], ["m", "hash", "id", "place"])
 
@@ -201,6 +208,21 @@ def _extended(span: int) -> Callable:
     return run
 
 
+def _known(prints: DataFrame) -> np.ndarray:
+    """A filter of 2 MB: bits of the hashes of items; a document's hash without its bit is none of theirs."""
+    bit = F.col("hash").bitwiseAND((1 << FILTER_BITS) - 1)
+    words = prints.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 AS INT))")).alias("bits")).toPandas()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
+def _maybe(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    h = hashes.astype(np.int64).view(np.uint64)
+    at = h & np.uint64((1 << FILTER_BITS) - 1)
+    return (known[(at >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & np.uint64(1) == 1
+
+
 def _joined(docs: DataFrame, items: DataFrame, span: int) -> DataFrame:
     """docs (with _text) and _words, _spans, _items, by joining fingerprints."""
     spark = docs.sparkSession
@@ -209,8 +231,10 @@ def _joined(docs: DataFrame, items: DataFrame, span: int) -> DataFrame:
     schema = "m int, hash long, id long, place int"
     theirs = written(items.select("iid", "text").mapInArrow(_prints(span, None), schema), "leak-prints")
     short = tuple(sorted(r.m for r in theirs.filter("m > 0").select("m").distinct().collect()))  # below span
-    mine = docs.select("_rid", "_text").mapInArrow(_prints(span, short), schema)
-    met = mine.toDF("m", "hash", "rid", "p").join(theirs.toDF("m", "hash", "iid", "q"), ["m", "hash"])
+    mine = docs.select("_rid", "_text").mapInArrow(_prints(span, short, spark.sparkContext.broadcast(_known(theirs))), schema)
+    # A hash of common words has many places in documents: they meet its items in several tasks.
+    salted = theirs.toDF("m", "hash", "iid", "q").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = mine.toDF("m", "hash", "rid", "p").withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int")).join(salted, ["m", "hash", "salt"])
     met = met.select("rid", "iid", "m", (F.col("p") - F.col("q")).alias("d")).distinct().groupBy("rid", "iid", "m").agg(F.collect_list("d").alias("diagonals"))
     pairs = written(met, "leak-pairs")
     texts = pairs.join(docs.select(F.col("_rid").alias("rid"), F.col("_text").alias("text")), "rid").join(items.select("iid", "item_id", F.col("text").alias("item_text")), "iid")
