@@ -88,21 +88,29 @@ def text_clusters(df: DataFrame, text: str, k: int = 8, features: int = 1 << 12,
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import BisectingKMeans, KMeans
-    from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
 
     kinds = {"kmeans": KMeans, "bisecting": BisectingKMeans}
     if kind not in kinds:
         raise ValueError(f"unknown kind {kind!r}; known are {', '.join(kinds)}")
     filled = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    steps = [*word_steps(features, language, dimension), kinds[kind](featuresCol="_pca" if dimension else "_unit", predictionCol="text_cluster", k=k, seed=seed, maxIter=10)]
+    learnt = filled.select("_text").distinct() if only_unique else filled
+    return Pipeline(stages=steps).fit(learnt).transform(filled).drop("_text", *STEP_COLUMNS)
+
+
+STEP_COLUMNS = ("_words", "_kept", "_tf", "_idf", "_unit", "_pca")
+
+
+def word_steps(features: int, language: str, dimension: int | None) -> list:
+    """Stages from _text to _unit, hashed words weighted by rarity, and with a dimension to _pca."""
+    from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer, StopWordsRemover
+
     size = features if dimension is None else min(features, 1 << 10)
-    steps = [
+    return [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+"),
         StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=StopWordsRemover.loadDefaultStopWords(language)),
         HashingTF(inputCol="_kept", outputCol="_tf", numFeatures=size),
         IDF(inputCol="_tf", outputCol="_idf"),
         Normalizer(inputCol="_idf", outputCol="_unit"),
         *([PCA(inputCol="_unit", outputCol="_pca", k=dimension)] if dimension else []),
-        kinds[kind](featuresCol="_pca" if dimension else "_unit", predictionCol="text_cluster", k=k, seed=seed, maxIter=10),
     ]
-    learnt = filled.select("_text").distinct() if only_unique else filled
-    return Pipeline(stages=steps).fit(learnt).transform(filled).drop("_text", "_words", "_kept", "_tf", "_idf", "_unit", "_pca")

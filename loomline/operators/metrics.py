@@ -275,3 +275,15 @@ def virtual_metrics(log: EventLog) -> DataFrame:
         (F.sum("steps") / F.nullif(F.sum("n"), F.lit(0)) * 100).alias("transition_percent"),
         (F.sum(F.col("steps") - F.col("step_kinds")) / F.nullif(F.sum("steps"), F.lit(0)) * 100).alias("transition_cycle_percent"),
     )
+
+
+def duration_from_start(log: EventLog) -> DataFrame:
+    """By activity: events with a time, mean and longest hours since their case's first event.
+
+    Case starts come from one aggregation and are joined, so that a long case is not sorted.
+    """
+    rows = log.base().filter(F.col("ts").isNotNull() & F.col("activity").isNotNull())
+    starts = log.base().groupBy(F.col("case_id").alias("_case")).agg(F.min("ts").alias("_start"))
+    hours = F.timestamp_diff("MICROSECOND", F.col("_start"), F.col("ts")) / 3.6e9
+    joined = rows.join(starts, F.col("case_id") == F.col("_case"))
+    return joined.groupBy("activity").agg(F.count("*").alias("n"), F.avg(hours).alias("mean_from_start"), F.max(hours).alias("max_from_start"))

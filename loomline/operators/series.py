@@ -110,7 +110,7 @@ def _ridge(x: np.ndarray, y: np.ndarray, alpha: float) -> tuple[np.ndarray, floa
     return w, float(level - mean @ w)
 
 
-def _holt(y: np.ndarray, a: float, b: float, steps: int) -> tuple[np.ndarray, float]:
+def holt(y: np.ndarray, a: float, b: float, steps: int) -> tuple[np.ndarray, float]:
     """(forecast, mean squared one-step error) of Holt's linear trend."""
     level, trend, error = y[0], y[1] - y[0] if len(y) > 1 else 0.0, 0.0
     for v in y[1:]:
@@ -121,28 +121,29 @@ def _holt(y: np.ndarray, a: float, b: float, steps: int) -> tuple[np.ndarray, fl
     return level + trend * np.arange(1, steps + 1), error / max(len(y) - 1, 1)
 
 
+def recursive_ridge(series: np.ndarray, lags: int, n: int, alpha: float) -> np.ndarray:
+    """n values ahead by ridge on the last values, each forecast being the next one's past; never below 0."""
+    k = min(lags, len(series) // 2)
+    x = np.stack([series[k - i - 1 : len(series) - i - 1] for i in range(k)], axis=1)
+    w, b = _ridge(x, series[k:], alpha)
+    past = list(series)
+    for _ in range(n):
+        past.append(max(0.0, float(np.array(past[: -k - 1 : -1]) @ w + b)))
+    return np.array(past[-n:])
+
+
 def _forecast_one(y: np.ndarray, lags: int, steps: int, kinds: tuple[str, ...], folds: int) -> tuple[np.ndarray, str]:
     """The best of ridge on lags, Holt's trend and the last value, by mean error over chronological folds.
 
     Each fold holds out a tenth of the series, the last one its end.
     """
     keep = max(1, len(y) // 10)
-
-    def ridge(series: np.ndarray, n: int, alpha: float) -> np.ndarray:
-        k = min(lags, len(series) // 2)
-        x = np.stack([series[k - i - 1 : len(series) - i - 1] for i in range(k)], axis=1)
-        w, b = _ridge(x, series[k:], alpha)
-        past = list(series)
-        for _ in range(n):
-            past.append(max(0.0, float(np.array(past[: -k - 1 : -1]) @ w + b)))
-        return np.array(past[-n:])
-
     models = {"last": lambda s, n: np.repeat(s[-1], n)}
     for a in (0.2, 0.5, 0.8):
         for b in (0.1, 0.3):
-            models[f"holt {a} {b}"] = lambda s, n, a=a, b=b: np.maximum(_holt(s, a, b, n)[0], 0.0)
+            models[f"holt {a} {b}"] = lambda s, n, a=a, b=b: np.maximum(holt(s, a, b, n)[0], 0.0)
     for alpha in (0.01, 1.0, 10.0):
-        models[f"ridge {alpha}"] = lambda s, n, alpha=alpha: ridge(s, n, alpha)
+        models[f"ridge {alpha}"] = lambda s, n, alpha=alpha: recursive_ridge(s, lags, n, alpha)
     cuts = [len(y) - keep * f for f in range(1, folds + 1) if len(y) - keep * f >= 6]
     models = {m: f for m, f in models.items() if m.split()[0] in kinds and (cuts or m == "last")} or {"last": models["last"]}
     error = lambda m: float(np.mean([np.mean((models[m](y[:c], keep) - y[c : c + keep]) ** 2) for c in cuts])) if cuts else 0.0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, with_sentinels
 from loomline.functions import scalar
-from loomline.operators import cluster, factors, happypath, insights, metrics, outliers, quality, ranking, selection, series, trees
+from loomline.operators import cluster, density, factors, forecasting, happypath, insights, metrics, outliers, quality, ranking, selection, series, trees
 from loomline.plans import runner
 from loomline.sources import io, scratch
 
@@ -780,6 +780,39 @@ def _(spark, d):
     return series.forecast(series.node_series(events(spark, d)), ["activity"])
 
 
+_CUTS = "s AS (SELECT activity, p, probability AS y, row_number() OVER (PARTITION BY activity ORDER BY p) AS r, count(*) OVER (PARTITION BY activity) AS n, min(probability) OVER (PARTITION BY activity) AS least FROM dense), f AS (SELECT s.*, fold, n - greatest(1, floor(n * 0.1)) * fold AS cut, greatest(1, floor(n * 0.1)) AS keep FROM s, (SELECT unnest([1, 2, 3])::INT AS fold))"
+_KNOWN = "k AS (SELECT activity, fold, avg(y) AS mean, arg_max(y, r) AS last, arg_min(y, r) AS first, any_value(cut) AS cut FROM f WHERE r <= cut AND cut >= 6 GROUP BY ALL), g AS (SELECT f.activity, f.fold, f.y, f.r, f.least, f.keep, k.cut, k.mean, k.last, k.first FROM f JOIN k ON f.activity = k.activity AND f.fold = k.fold WHERE f.r > k.cut AND f.r <= k.cut + f.keep)"
+_GUESS = "h AS (SELECT activity, fold, least, y, 'last' AS model, greatest(last, 0) AS fc FROM g UNION ALL SELECT activity, fold, least, y, 'mean', greatest(mean, 0) FROM g UNION ALL SELECT activity, fold, least, y, 'drift', greatest(last + (last - first) / (cut - 1) * (r - cut), 0) FROM g)"
+_SCORED = "sc AS (SELECT activity, model, fold, CASE WHEN least > 1e-9 THEN 'mape' ELSE 'mse' END AS metric, avg(CASE WHEN least > 1e-9 THEN abs((y - fc) / y) ELSE (y - fc) ** 2 END) AS score FROM h GROUP BY ALL)"
+_SEARCH = f"{_NODES}, {_CUTS}, {_KNOWN}, {_GUESS}, {_SCORED}"
+_THREE = forecasting.Search(names=("last", "mean", "drift"))
+
+
+@query("forecast_scores", f"WITH {_SEARCH} SELECT activity, model, fold, metric, round(score, 6) AS score FROM sc")
+def _(spark, d):
+    return forecasting.forecast_scores(series.node_series(events(spark, d)), ["activity"], search=_THREE).withColumn("score", F.round("score", 6))
+
+
+_PAIRED = "hp AS (SELECT activity, fold, r, least, y, model, fc FROM (SELECT activity, fold, r, least, y, unnest(['last', 'mean', 'drift']) AS model, unnest([greatest(last, 0), greatest(mean, 0), greatest(last + (last - first) / (cut - 1) * (r - cut), 0)]) AS fc FROM g)), pr AS (SELECT a.activity, a.fold, a.least, a.y, a.model || ' & ' || b.model AS model, sqrt(a.fc * b.fc) AS fc FROM hp a JOIN hp b ON a.activity = b.activity AND a.fold = b.fold AND a.r = b.r AND a.model < b.model)"
+
+
+@query("forecast_pair_scores", f"WITH {_NODES}, {_CUTS}, {_KNOWN}, {_PAIRED}, {_SCORED.replace('FROM h ', 'FROM (SELECT activity, fold, least, y, model, fc FROM hp UNION ALL SELECT * FROM pr) ')} SELECT activity, model, round(avg(score), 6) AS score FROM sc GROUP BY ALL")
+def _(spark, d):
+    scores = forecasting.forecast_scores(series.node_series(events(spark, d)), ["activity"], search=replace(_THREE, pairs=True))
+    return scores.groupBy("activity", "model").agg(F.round(F.avg("score"), 6).alias("score"))
+
+
+@query("forecast_best_of_three", f"WITH {_SEARCH}, m AS (SELECT activity, model, avg(score) AS score FROM sc GROUP BY ALL), b AS (SELECT activity, arg_min(model, (score, model)) AS model FROM m GROUP BY 1), w AS (SELECT activity, avg(y) AS mean, arg_max(y, r) AS last, arg_min(y, r) AS first, max(n) AS n, max(p) AS p FROM s GROUP BY 1), o AS (SELECT activity, (p + k)::DATE AS period, model, greatest(CASE model WHEN 'last' THEN last WHEN 'mean' THEN mean ELSE last + (last - first) / (n - 1) * k END, 0) AS fc FROM w JOIN b USING (activity), (SELECT unnest([1, 2, 3, 4, 5])::INT AS k)) SELECT activity, period, round(fc / sum(fc) OVER (PARTITION BY period), 6) AS forecast, model FROM o")
+def _(spark, d):
+    return forecasting.searched_forecast(series.node_series(events(spark, d)), ["activity"], search=_THREE).withColumn("forecast", F.round("forecast", 6))
+
+
+@query("forecast_searched")
+def _(spark, d):
+    """All models of days and their pairs, state-space ones among them."""
+    return forecasting.searched_forecast(series.node_series(events(spark, d)), ["activity"], search=forecasting.Search(pairs=True))
+
+
 @query("working_days", "WITH d AS (SELECT unnest(generate_series(DATE '2015-01-01', DATE '2025-12-31', INTERVAL 1 DAY))::DATE AS d), m AS (SELECT date_trunc('month', d)::DATE AS period, count(*) AS month_days FROM d WHERE isodow(d) < 6 GROUP BY 1) SELECT period, month_days, sum(month_days) OVER (PARTITION BY year(period), quarter(period))::BIGINT AS quarter_days, sum(month_days) OVER (PARTITION BY year(period), quarter(period) > 2)::BIGINT AS half_days FROM m")
 def _(spark, d):
     return series.working_days(spark, "2015-01-01", "2025-12-31")
@@ -1057,6 +1090,25 @@ def _(spark, d):
     return cluster.text_clusters(table(spark, d, "conversations").select("conv_id", "turn", "text"), "text", k=4).select("conv_id", "turn", "text_cluster")
 
 
+@query("text_density")
+def _(spark, d):
+    return density.text_density_clusters(table(spark, d, "conversations").select(F.struct("conv_id", "turn").alias("id"), "text"), "id", "text").select("id.conv_id", "id.turn", F.struct("cluster.conv_id", "cluster.turn").alias("c"), "core").select("conv_id", "turn", F.col("c.conv_id").alias("cluster_conv"), F.col("c.turn").alias("cluster_turn"), "core")
+
+
+_DENSITY = """WITH RECURSIVE p AS (SELECT c_custkey AS id, round(c_acctbal)::BIGINT AS x, c_nationkey * 400 AS y FROM customer),
+n AS (SELECT a.id AS a, b.id AS b, (a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS d FROM p a JOIN p b ON abs(a.x - b.x) <= 450 AND abs(a.y - b.y) <= 450 AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 450 ** 2),
+c AS (SELECT a AS id FROM n GROUP BY 1 HAVING count(*) >= 12), e AS (SELECT n.a, n.b FROM n JOIN c ca ON ca.id = n.a JOIN c cb ON cb.id = n.b),
+r AS (SELECT id, id AS root FROM c UNION SELECT e.b AS id, r.root FROM r JOIN e ON e.a = r.id WHERE r.root < e.b), l AS (SELECT id, min(root) AS cluster FROM r GROUP BY 1),
+t AS (SELECT n.a AS id, arg_min(l.cluster, (n.d, n.b)) AS cluster FROM n JOIN l ON l.id = n.b GROUP BY 1)
+SELECT p.id AS c_custkey, coalesce(l.cluster, t.cluster) AS cluster, l.id IS NOT NULL AS core FROM p LEFT JOIN l ON l.id = p.id LEFT JOIN t ON t.id = p.id"""
+
+
+@query("density_clusters", _DENSITY)
+def _(spark, d):
+    placed = table(spark, d, "customer").select("c_custkey", F.round("c_acctbal").cast("long").alias("x"), (F.col("c_nationkey") * 400).alias("y"))
+    return density.density_clusters(placed, "c_custkey", ["x", "y"], 450, 12)
+
+
 # Quality.
 
 
@@ -1100,3 +1152,31 @@ def _(spark, d):
     from loomline.streaming.activity import activity_counts
 
     return activity_counts(table(spark, d, "events"), "event_type", "ts").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("streamed_transitions", f"WITH {EVENTS}, m AS (SELECT epoch_ms(max(ts)) - 86400000 AS w FROM events), e AS (SELECT *, epoch_ms(lead(ts) OVER (PARTITION BY case_id ORDER BY activity_num)) AS next_ms FROM log) SELECT activity, next_activity, count(*) AS n, sum(duration_us)::BIGINT AS duration_us FROM e, m WHERE next_activity IS NOT NULL AND activity IS NOT NULL AND next_ms < w GROUP BY ALL")
+def _(spark, d):
+    """The log as a stream of its file; edges of the last day still wait for late events."""
+    from loomline.streaming import activity
+
+    stored = table(spark, d, "events")
+    # A pattern, as a stream's path must not be one file.
+    stream = spark.readStream.schema(stored.schema).parquet(f"{d}/event[s].parquet")
+    edges = activity.transitions(stream, "user_id", "event_type", "ts", "event_id", late="1 day")
+    done = activity.run_to_files(edges, scratch.scratch_path(spark, "streamed-edges"), scratch.scratch_path(spark, "streamed-state"))
+    return done.groupBy("activity", "next_activity").agg(F.count("*").alias("n"), F.sum("duration_us").alias("duration_us"))
+
+
+@query("export_by_bytes", "SELECT role, count(*) AS n, sum(strlen(text))::BIGINT AS bytes, 0::BIGINT AS over FROM conversations GROUP BY 1")
+def _(spark, d):
+    """What files of at most 64 KiB hold, read back; over counts files beyond the budget."""
+    path = scratch.scratch_path(spark, "cut-files")
+    files = io.export_by_bytes(table(spark, d, "conversations"), path, 1 << 16)
+    over = files.agg(F.count_if(F.col("bytes") > (1 << 16))).scalar()
+    back = spark.read.schema("conv_id long, turn long, role string, text string, file string").json(path)
+    return back.groupBy("role").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).withColumn("over", over)
+
+
+@query("duration_from_start", f"WITH {EVENTS}, s AS (SELECT case_id, min(ts) AS a FROM log GROUP BY 1) SELECT activity, count(*) AS n, round(avg(date_diff('microsecond', a, ts)) / 3.6e9, 4) AS mean_from_start, round(max(date_diff('microsecond', a, ts)) / 3.6e9, 4) AS max_from_start FROM log JOIN s USING (case_id) WHERE activity IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    return metrics.duration_from_start(events(spark, d)).withColumns({c: F.round(c, 4) for c in ("mean_from_start", "max_from_start")})

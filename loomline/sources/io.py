@@ -6,6 +6,9 @@ import json
 import re
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,6 +97,33 @@ def export_rows(df: DataFrame, path: str, kind: str = "json", exclude: tuple[str
     return {"schema": json.loads(df.drop(*exclude).schema.json()), "rows": df.sparkSession.read.format(target).option("header", "true").load(path).count()}
 
 
+def export_by_bytes(df: DataFrame, path: str, most: int, mode: str = "errorifexists") -> DataFrame:
+    """Writes df as JSON lines into files of at most so many bytes, and returns (file, rows, bytes) of each.
+
+    Each task cuts its own rows where the running size would pass the budget, so nothing is
+    shuffled or gathered; a row larger than the budget has a file to itself. Files lie in
+    folders file=<task>-<number>, and each ends in a line end.
+    """
+    if most < 1:
+        raise ValueError("the budget must be positive")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, task = 0, 0, TaskContext.get().partitionId()
+        for batch in batches:
+            names = []
+            for size in pc.binary_length(batch.column(0).cast(pa.binary())).to_pylist():
+                if held and held + size + 1 > most:
+                    number, held = number + 1, 0
+                held += size + 1
+                names.append(f"{task:05d}-{number:06d}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string())], ["value", "file"])
+
+    lines = json_lines(df).mapInArrow(cut, "value string, file string")
+    lines.write.mode(mode).option("compression", "none").partitionBy("file").text(path)
+    back = df.sparkSession.read.schema("value string, file string").text(path)
+    return back.groupBy("file").agg(F.count("*").alias("rows"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+
+
 def json_lines(df: DataFrame) -> DataFrame:
     """One JSON text per row, keys sorted, nulls left out."""
     return df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in sorted(df.columns)))).alias("value"))

@@ -45,3 +45,50 @@ def test_streaming_equals_batch(spark, tmp_path):
     want = activity.activity_counts(rows, "act", "ts")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
     assert activity.case_progress(rows, "act", "act", "ts", gap="2 hours").count() == 4
+
+
+def test_files_of_at_most_so_many_bytes(spark, tmp_path):
+    rows = [(i, "x" * (i * 37 % 200)) for i in range(300)] + [(300, "y" * 5000), (301, None), (302, "é" * 90)]
+    df = spark.createDataFrame(rows, "n int, s string").repartition(3)
+    told = {r.file: (r.rows, r.bytes) for r in io.export_by_bytes(df, f"{tmp_path}/cut", 1000).collect()}
+    files = list((tmp_path / "cut").glob("file=*/*.txt"))
+    assert {f.parent.name.removeprefix("file="): f.stat().st_size for f in files} == {k: b for k, (_, b) in told.items()}
+    assert [n for n, b in told.values() if b > 1000] == [1]
+    # Cut only where the next row would not fit, so two neighbours never fit into one file.
+    for task in {k[:5] for k in told}:
+        sizes = [told[k][1] for k in sorted(told) if k[:5] == task]
+        assert all(a + b > 1000 for a, b in zip(sizes[:-2], sizes[1:-1], strict=True)) or len(sizes) < 3
+    back = spark.read.schema("n int, s string").json(f"{tmp_path}/cut")
+    assert sorted(back.select("n", "s").collect(), key=lambda r: r.n) == sorted(df.collect(), key=lambda r: r.n)
+    with pytest.raises(ValueError):
+        io.export_by_bytes(df, f"{tmp_path}/none", 0)
+    assert io.export_by_bytes(df.limit(0), f"{tmp_path}/empty", 10).isEmpty()
+
+
+def test_streamed_transitions_equal_the_sorted_log(spark, tmp_path):
+    import random
+
+    from loomline.eventlog import EventLog
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice([1, 2, 3, None]), rnd.choice(["a", "b", "c", None]), 1_700_000_000 + i * 60 + rnd.choice([0, 0, 7]) - rnd.choice([0, 0, 1200]), i) for i in range(400)]
+    df = spark.createDataFrame(rows, "c long, a string, s long, k long").selectExpr("c", "a", "timestamp_seconds(s) t", "k")
+    where = tmp_path / "in"
+    where.mkdir()
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{where}")
+    edges = activity.transitions(stream, "c", "a", "t", "k", late="1 hour")
+    run = lambda: activity.run_to_files(edges, f"{tmp_path}/out", f"{tmp_path}/state")
+    # Rows come up to twenty minutes out of order, in files of a hundred, and the stream is stopped between two runs.
+    for i in range(4):
+        df.filter(f"k div 100 = {i}").coalesce(1).write.mode("append").parquet(f"{where}")
+        if i in (1, 3):
+            out = run()
+    newest = max(r[2] for r in rows)
+    log = EventLog(df.filter("c is not null"), "c", "a", "t", tiebreak=("k",)).base()
+    sure = log.filter("activity is not null and next_activity is not null").filter(f"unix_micros(ts) + duration_us < ({newest} - 3600) * 1000000L")
+    want = sorted(map(tuple, sure.select("case_id", "activity", "next_activity", "ts", "duration_us").collect()))
+    assert len(want) > 150
+    assert sorted(map(tuple, out.collect())) == want
+    late = spark.createDataFrame([(1, "a", newest - 9000, 999)], "c long, a string, s long, k long").selectExpr("c", "a", "timestamp_seconds(s) t", "k")
+    late.coalesce(1).write.mode("append").parquet(f"{where}")
+    assert sorted(map(tuple, run().collect())) == want
