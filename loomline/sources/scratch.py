@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of rows, by the sizes of their types, that may be broadcast; more are joined by shuffle.
 BROADCAST_BYTES = 16 << 20
+#: Folders of our own by application; Spark refuses to have this setting changed once a session runs.
+_OWN: dict[str, str] = {}
 _WIDTHS = {"string": 64, "boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4}
 
 
@@ -20,8 +22,10 @@ def scratch_dir(spark: SparkSession) -> str:
     if not where:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="loomline-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="loomline-")
+        where = _OWN[app]
     return where.rstrip("/")
 
 

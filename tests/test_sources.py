@@ -92,3 +92,22 @@ def test_streamed_transitions_equal_the_sorted_log(spark, tmp_path):
     late = spark.createDataFrame([(1, "a", newest - 9000, 999)], "c long, a string, s long, k long").selectExpr("c", "a", "timestamp_seconds(s) t", "k")
     late.coalesce(1).write.mode("append").parquet(f"{where}")
     assert sorted(map(tuple, run().collect())) == want
+
+
+def test_scratch_folder_without_a_setting(tmp_path):
+    """A session of its own process, whose configuration names no folder."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from loomline.sources.scratch import scratch_dir, written\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert written(spark.range(3), 'rows').count() == 3 and scratch_dir(spark) == scratch_dir(spark.newSession())\n"
+    )
+    root = str(Path(io.__file__).resolve().parents[2])
+    env = {k: v for k, v in os.environ.items() if k not in ("PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")} | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.pathsep.join([root, *sys.path])}
+    subprocess.run([sys.executable, "-c", code], check=True, env=env, timeout=120)
