@@ -6,6 +6,7 @@ group counts as an outlier, and a null section leaves its rows out, by SQL's rul
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -158,3 +159,38 @@ def detect(kind: str, df: DataFrame, case: str, number: str, activity: str, metr
     if kind == "ensemble":
         return ensemble(df, case, number, metric, **params)
     raise ValueError(f"unknown detector {kind!r}")
+
+
+#: Fields of a request and the kinds that they may have.
+REQUEST = {"detector": str, "params": dict, "case": str, "number": str, "activity": str, "metric": str, "sections": list, "outlier_num": int}
+
+
+def by_request(df: DataFrame, request: str | dict) -> tuple[DataFrame | None, dict]:
+    """(outliers, answer) of a request, as JSON or a dict, with the fields of REQUEST.
+
+    case, number, activity and metric, which name columns, are needed; detector is
+    "default", sections none and params empty unless given. The answer holds
+    response, "ok" or "error", the message of an error, and outlier_num as it came.
+    Requests that cannot be read, name unknown fields or columns, have fields of a wrong
+    kind or parameters that the detector refuses give an error and no outliers; errors of
+    running jobs are not caught.
+    """
+    number = None
+    try:
+        asked = json.loads(request) if isinstance(request, str) else dict(request)
+        if not isinstance(asked, dict):
+            raise ValueError("a request is an object")
+        number = asked.get("outlier_num")
+        if unknown := sorted(set(asked) - set(REQUEST)):
+            raise ValueError(f"unknown fields: {', '.join(unknown)}")
+        if missing := [f for f in ("case", "activity", "metric", "number") if f not in asked]:
+            raise ValueError(f"missing fields: {', '.join(missing)}")
+        if wrong := [f for f, v in asked.items() if not isinstance(v, REQUEST[f]) or isinstance(v, bool)]:
+            raise ValueError(f"fields of a wrong kind: {', '.join(wrong)}")
+        columns = [asked[f] for f in ("case", "activity", "metric", "number")] + asked.get("sections", [])
+        if absent := [c for c in columns if c not in df.columns]:
+            raise ValueError(f"columns not found: {', '.join(map(str, absent))}")
+        found = detect(asked.get("detector", "default"), df, asked["case"], asked["number"], asked["activity"], asked["metric"], asked.get("sections", []), **asked.get("params", {}))
+    except (ValueError, TypeError) as e:
+        return None, {"response": "error", "message": str(e), "outlier_num": number}
+    return found, {"response": "ok", "message": None, "outlier_num": number}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, with_sentinels
 from loomline.functions import scalar
-from loomline.operators import cluster, density, factors, forecasting, happypath, insights, metrics, outliers, quality, ranking, selection, series, trees
+from loomline.operators import cluster, density, factors, forecasting, happypath, insights, leastangle, metrics, outliers, quality, ranking, selection, series, transport, trees
 from loomline.plans import runner
 from loomline.sources import io, scratch
 
@@ -286,6 +286,13 @@ def _(spark, d):
     return outliers.ensemble(rows, "user_id", "num", "cents", 10)
 
 
+@query("outliers_by_request", f"WITH {_NUM}, b AS (SELECT l_returnflag, l_linestatus, {_exact(0.1)} AS lo, {_exact(0.9)} AS hi, count(*) AS n FROM x GROUP BY 1, 2) SELECT DISTINCT l_orderkey AS case_id, num AS activity_num, 7 AS outlier_num FROM x JOIN b USING (l_returnflag, l_linestatus) WHERE CASE WHEN l_extendedprice BETWEEN lo AND hi OR n < 20 THEN 0 ELSE 1 END = 1")
+def _(spark, d):
+    request = """{"detector": "manual", "params": {"lower": 0.1, "upper": 0.9, "min_rows": 20}, "case": "l_orderkey", "number": "num", "activity": "l_returnflag", "metric": "l_extendedprice", "sections": ["l_linestatus"], "outlier_num": 7}"""
+    found, answer = outliers.by_request(_numbered(spark, d), request)
+    return found.withColumn("outlier_num", F.lit(answer["outlier_num"]))
+
+
 # Insights.
 
 
@@ -1042,6 +1049,49 @@ def _(spark, d):
     return out.withColumns({c: F.round(c, 6) for c in ("mae", "r2")})
 
 
+def _ols(split: str) -> str:
+    """The fit of price on quantity and discount over the rows that split keeps, w1 and w2, with their means."""
+    return f"""t AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_discount AS d, l_extendedprice AS y FROM lineitem),
+    c AS (SELECT avg(q) AS mq, avg(d) AS md, var_pop(q) AS qq, var_pop(d) AS dd, covar_pop(q, d) AS qd, covar_pop(q, y) AS qy, covar_pop(d, y) AS dy, var_pop(y) AS yy FROM t WHERE {split}),
+    w AS (SELECT *, (qy * dd - dy * qd) / (qq * dd - qd * qd) AS w1, (dy * qq - qy * qd) / (qq * dd - qd * qd) AS w2 FROM c)"""
+
+
+_PRICED = ("l_extendedprice", ["l_quantity", "l_discount"])
+
+
+@query("row_attributions", f"WITH {_ols('l_orderkey % 4 <> 0')} SELECT l_orderkey, l_linenumber, 'l_quantity' AS feature, round(w1 * (q - mq), 1) AS attribution FROM t, w WHERE l_orderkey % 4 = 0 UNION ALL SELECT l_orderkey, l_linenumber, 'l_discount', round(w2 * (d - md), 1) FROM t, w WHERE l_orderkey % 4 = 0")
+def _(spark, d):
+    """What quantity and discount add to the price of the lines of every fourth order, by a fit of the other lines."""
+    out = leastangle.attributions(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], *_PRICED, F.col("l_orderkey") % 4 == 0)
+    return out.withColumn("attribution", F.round("attribution", 1))
+
+
+@query("first_row_shares", f"WITH {_ols('l_orderkey % 4 <> 0')}, f AS (SELECT abs(w1 * (q - mq)) AS a, abs(w2 * (d - md)) AS b FROM t, w WHERE l_orderkey % 4 = 0 ORDER BY l_orderkey, l_linenumber, q, d LIMIT 1) SELECT 'l_quantity' AS feature, round(100 * a / (a + b), 5) AS share FROM f UNION ALL SELECT 'l_discount', round(100 * b / (a + b), 5) FROM f")
+def _(spark, d):
+    target, features = _PRICED
+    out = leastangle.first_row_shares(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], target, {f: [f] for f in features}, F.col("l_orderkey") % 4 == 0)
+    return out.withColumn("share", F.round("share", 5))
+
+
+@query(
+    "least_angle_two",
+    f"""WITH {_ols('true')}, r AS (SELECT qy / sqrt(qq * yy) AS r1, dy / sqrt(dd * yy) AS r2, qd / sqrt(qq * dd) AS r12, w1, w2 FROM w),
+    o AS (SELECT CASE WHEN abs(r1) >= abs(r2) THEN 'l_quantity' ELSE 'l_discount' END AS f1, CASE WHEN abs(r1) >= abs(r2) THEN r1 ELSE r2 END AS a, CASE WHEN abs(r1) >= abs(r2) THEN r2 ELSE r1 END AS b, r12, w1, w2 FROM r),
+    s AS (SELECT *, abs(a) - least((abs(a) - b) / (1 - r12 * sign(a)), (abs(a) + b) / (1 + r12 * sign(a))) AS c2 FROM o)
+    SELECT 1 AS step, f1 AS feature, round(abs(a), 6) AS correlation, round(CASE WHEN f1 = 'l_quantity' THEN w1 ELSE w2 END, 3) AS weight FROM s
+    UNION ALL SELECT 2, CASE WHEN f1 = 'l_quantity' THEN 'l_discount' ELSE 'l_quantity' END, round(c2, 6), round(CASE WHEN f1 = 'l_quantity' THEN w2 ELSE w1 END, 3) FROM s""",
+)
+def _(spark, d):
+    out = leastangle.least_angle_path(table(spark, d, "lineitem"), *_PRICED)
+    return out.withColumns({"correlation": F.round("correlation", 6), "weight": F.round("weight", 3)})
+
+
+@query("least_angle_path")
+def _(spark, d):
+    """The four features that join first, of seven lags of daily shares of events and their trend."""
+    return leastangle.least_angle_path(series.lag_features(series.node_series(events(spark, d)), ["activity"]), "y", [*(f"lag_{i}" for i in range(1, 8)), "linear"], most=4)
+
+
 # Clusters.
 
 
@@ -1109,6 +1159,43 @@ def _(spark, d):
     return density.density_clusters(placed, "c_custkey", ["x", "y"], 450, 12)
 
 
+def _named_log(spark, d) -> EventLog:
+    """Orders as cases whose stages are the names of the parts."""
+    rows = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    return EventLog(rows, "l_orderkey", "p_name", "l_shipdate", tiebreak=("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+
+
+_VECTORS = f"""l AS (SELECT p_name AS a, lead(p_name) OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS b FROM lineitem JOIN part ON l_partkey = p_partkey),
+e AS (SELECT string_split(a, ' ') AS a, string_split(b, ' ') AS b, count(*) AS n FROM l WHERE b IS NOT NULL GROUP BY ALL),
+m AS (SELECT wa, wb, sum(n) AS n FROM (SELECT wa, unnest(b) AS wb, n FROM (SELECT unnest(a) AS wa, b, n FROM e)) GROUP BY ALL),
+s AS (SELECT wa AS word, 'after:' || wb AS context, n FROM m UNION ALL SELECT wb, 'before:' || wa, n FROM m),
+i AS (SELECT word, context, ln(n::DOUBLE * (sum(n) OVER ()) / ((sum(n) OVER (PARTITION BY word))::DOUBLE * sum(n) OVER (PARTITION BY context))) AS weight FROM s),
+k AS (SELECT * FROM i WHERE weight > 0 UNION ALL SELECT DISTINCT word, 'own:' || word, 1.0 FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM l JOIN part ON a = p_name)),
+x AS (SELECT word, j, sum(CASE WHEN substr(md5(context), j, 1) < '8' THEN weight ELSE -weight END) AS x FROM k, (SELECT unnest(range(1, {transport.DIMS + 1})) AS j) GROUP BY ALL),
+v AS (SELECT word, j, x / sqrt(sum(x * x) OVER (PARTITION BY word)) AS x FROM x)"""
+#: The best of the two ways to move two words of equal weight onto two others.
+_MOVED = f"""{_VECTORS}, c AS (SELECT p.word AS p, q.word AS q, sqrt(sum((p.x - q.x) ** 2)) AS c FROM v p JOIN v q USING (j) GROUP BY ALL),
+n AS (SELECT DISTINCT p_name AS name, string_split(p_name, ' ')[1] AS f, string_split(p_name, ' ')[2] AS g FROM part JOIN l ON a = p_name),
+pr AS (SELECT a.name AS a, b.name AS b, least(ff.c + gg.c, fg.c + gf.c) / 2 AS distance FROM n a JOIN n b ON a.name < b.name
+  JOIN c ff ON ff.p = a.f AND ff.q = b.f JOIN c gg ON gg.p = a.g AND gg.q = b.g JOIN c fg ON fg.p = a.f AND fg.q = b.g JOIN c gf ON gf.p = a.g AND gf.q = b.f)"""
+
+
+@query("word_vectors", f"WITH {_VECTORS} SELECT word, j::INT AS component, round(x, 6) AS x FROM v")
+def _(spark, d):
+    out = transport.word_vectors(_named_log(spark, d)).select("word", F.posexplode("vector").alias("i", "x"))
+    return out.select("word", (F.col("i") + 1).alias("component"), F.round("x", 6).alias("x"))
+
+
+@query("stage_transport", f"WITH {_MOVED} SELECT a, b, round(distance, 2) AS distance FROM pr WHERE distance <= 0.62")
+def _(spark, d):
+    return transport.transport_pairs(_named_log(spark, d), 0.62).withColumn("distance", F.round("distance", 2))
+
+
+@query("stage_transport_clusters", f"WITH RECURSIVE {_MOVED}, g AS (SELECT a, b FROM pr WHERE distance <= 0.62 UNION ALL SELECT b, a FROM pr WHERE distance <= 0.62), rc(s, r) AS (SELECT name, name FROM n UNION SELECT s, g.b FROM rc JOIN g ON r = g.a) SELECT s AS stage, CASE WHEN count(*) > 1 THEN min(r) END AS cluster FROM rc GROUP BY s")
+def _(spark, d):
+    return transport.transport_clusters(_named_log(spark, d), 0.8)
+
+
 # Quality.
 
 

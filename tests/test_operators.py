@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -243,3 +245,28 @@ def test_outputs_and_plans(log):
     wide = series.forecast_table(nodes, plan, comma=True).collect()
     assert len(wide) == 2 and wide[0].A_prob == "0,333333"
     assert insights.pivot(log, "appearance", ["A"]).columns == ["case_id", "A"]
+
+
+def test_outliers_by_request(spark):
+    rows = [(i, 0, "a", float(i), "p") for i in range(100)] + [(i, 1, "b", None, "p") for i in range(3)]
+    df = spark.createDataFrame(rows, "id int, num int, act string, m double, section string")
+    names = {"case": "id", "number": "num", "activity": "act", "metric": "m"}
+    found, answer = outliers.by_request(df, json.dumps({**names, "outlier_num": 4}))
+    assert answer == {"response": "ok", "message": None, "outlier_num": 4}
+    assert sorted(r.case_id for r in found.collect()) == [0, 1, 2, 3, 4, 96, 97, 98, 99]
+    found, _ = outliers.by_request(df, {**names, "detector": "manual", "sections": ["section"], "params": {"lower": 0.1, "upper": 1.0, "min_rows": 3}})
+    assert sorted((r.case_id, r.activity_num) for r in found.collect()) == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (2, 1), *((i, 0) for i in range(3, 10))]
+    for bad, why in (
+        ("{", "Expecting"),
+        ("[1]", "object"),
+        ({**names, "detector": "none"}, "unknown detector"),
+        ({**names, "colour": 1}, "unknown fields: colour"),
+        ({"case": "id"}, "missing fields"),
+        ({**names, "metric": "nothing"}, "columns not found: nothing"),
+        ({**names, "sections": [["x"]]}, "columns not found"),
+        ({**names, "metric": 3}, "wrong kind: metric"),
+        ({**names, "detector": "manual", "params": {"lower": 2.0}}, "bounds"),
+        ({**names, "detector": "manual", "params": {"nothing": 1}}, "nothing"),
+    ):
+        found, answer = outliers.by_request(df, bad)
+        assert found is None and answer["response"] == "error" and why in answer["message"]
