@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -524,6 +525,31 @@ def _(spark, d):
     return out
 
 
+@query("sampled_by_key", "SELECT event_id, event_type FROM events WHERE ('0x' || substr(md5('42:' || event_id), 1, 8))::BIGINT * (SELECT count(*) FROM events) < (SELECT count(*) // 3 FROM events) * 4294967296::BIGINT")
+def _(spark, d):
+    e = table(spark, d, "events").select("event_id", "event_type")
+    return io.sample_by_key(e, "event_id", e.count() // 3)
+
+
+@query("cases_in_partitions", "SELECT user_id, count(*) AS events, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY user_id")
+def _(spark, d):
+    """Each partition adds up its own cases, so a case that is split would have several rows."""
+    rows = io.by_case(table(spark, d, "events").select("user_id", "ts"), "user_id", 7)
+
+    def own(batches):
+        seen = None
+        for batch in batches:
+            one = pa.table({"user_id": batch.column(0), "events": pa.repeat(pa.scalar(1, pa.int64()), batch.num_rows), "first_ts": batch.column(1), "last_ts": batch.column(1)})
+            seen = one if seen is None else pa.concat_tables([seen, one])
+            seen = seen.group_by("user_id").aggregate([("events", "sum"), ("first_ts", "min"), ("last_ts", "max")])
+            seen = seen.rename_columns(["user_id", "events", "first_ts", "last_ts"])
+        if seen is not None:
+            yield from seen.to_batches()
+
+    kind = rows.schema["ts"].dataType.simpleString()
+    return rows.mapInArrow(own, f"user_id long, events long, first_ts {kind}, last_ts {kind}")
+
+
 @query("case_partitions", "SELECT user_id, 1 AS partitions FROM events GROUP BY user_id")
 def _(spark, d):
     rows = io.by_case(table(spark, d, "events"), "user_id", 7).withColumn("p", F.spark_partition_id())

@@ -63,6 +63,20 @@ def sample_rows(df: DataFrame, rows: int = 1_000_000, seed: int = 42) -> DataFra
     return df if total <= rows else df.sample(rows / total, seed)
 
 
+def sample_by_key(df: DataFrame, key: str, rows: int = 1_000_000, seed: int = 42) -> DataFrame:
+    """About so many rows, whole tables below that as they are; the same rows on every run and any partitioning.
+
+    A row stays if the first 32 bits of the MD5 of seed and key are below the wanted share,
+    so rows of a key stay or go together, and a smaller sample is part of a larger one. Rows
+    without a key go unless all stay. A sampling operator by purpose; no shuffle.
+    """
+    total = df.count()
+    if total <= rows:
+        return df
+    place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    return df.filter(place < F.lit(-(-(rows << 32) // total)))
+
+
 def by_case(df: DataFrame, case: str, partitions: int) -> DataFrame:
     """df in so many partitions, none of which splits a case."""
     return df.repartition(partitions, case)

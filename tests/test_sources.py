@@ -111,3 +111,14 @@ def test_scratch_folder_without_a_setting(tmp_path):
     root = str(Path(io.__file__).resolve().parents[2])
     env = {k: v for k, v in os.environ.items() if k not in ("PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")} | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.pathsep.join([root, *sys.path])}
     subprocess.run([sys.executable, "-c", code], check=True, env=env, timeout=120)
+
+
+def test_samples_by_key_are_nested_and_whole_keys(spark):
+    df = spark.createDataFrame([(i // 2 if i % 10 else None, i) for i in range(4000)], "k int, v int")
+    small, large = ({(r.k, r.v) for r in io.sample_by_key(df.repartition(n), "k", rows).collect()} for n, rows in ((3, 800), (7, 2000)))
+    assert small < large and 600 < len(small) < 1000
+    for found in (small, large):
+        keys = {k for k, _ in found}
+        assert None not in keys and found == {(i // 2, i) for i in range(4000) if i % 10 and i // 2 in keys}
+    assert io.sample_by_key(df, "k", 4000).count() == 4000 and io.sample_by_key(df.limit(0), "k", 0).count() == 0
+    assert io.sample_by_key(df, "k", 0).count() == 0
