@@ -146,11 +146,13 @@ def r2(m: tuple, chosen: list[int], w: np.ndarray, b: float) -> float:
     return float(1 - sse / yy) if yy > 1e-12 else 0.0
 
 
-def importances(df: DataFrame, target: str, features: list[str], key: str, folds: int = 5, extended: bool = False, fold: Column | None = None) -> DataFrame:
+def importances(df: DataFrame, target: str, features: list[str], key: str, folds: int = 5, extended: bool = False, fold: Column | None = None, test: Column | None = None) -> DataFrame:
     """(feature, r2_drop, ridge, shap, permutation, score): views of each feature's weight, in percent.
 
     r2_drop is the loss of the best fold's r2 without the feature, ridge the norm of its
-    coefficients over their number, shap its share of linear attributions, permutation the
+    coefficients over their number, shap its share of linear attributions, on average or, if
+    `test` says test rows by the key or a feature, in the first of them by a least-angle fit of
+    the others, permutation the
     rise of the squared error that shuffling it brings on average, which is twice the
     variance of its part of the prediction. score blends them as (c * r2_drop + ridge + 4 *
     shap) / (c + 5), where c is 5, and 0 if any r2_drop is not positive; extended, c is 9 and
@@ -180,6 +182,12 @@ def importances(df: DataFrame, target: str, features: list[str], key: str, folds
         own = [at[c] for c in names]
         shuffled = float(2 * w[own] @ cov[np.ix_(own, own)] @ w[own])
         rows.append([f, full - best([i for i in everything if i not in own]), float(np.sqrt((w[own] ** 2).sum()) / len(own)), float(np.abs(w[own] * spread[own]).sum()), shuffled])
+    if test is not None:
+        from loomline.operators.leastangle import first_row_shares
+
+        first = {r.feature: r.share for r in first_row_shares(table, [key], target, groups, test).collect()}
+        for r in rows:
+            r[3] = first.get(r[0], 0.0)
     share = lambda k: [100 * r[k] / (sum(abs(x[k]) for x in rows) or 1.0) for r in rows]
     drop, ridge, shap, perm = share(1), share(2), share(3), share(4)
     c = 0 if any(r[1] <= 0 for r in rows) else 9 if extended else 5

@@ -1041,6 +1041,27 @@ def _(spark, d):
     return factors.importances(table(spark, d, "part"), "p_retailprice", ["p_brand", "p_size", "p_type"], "p_partkey")
 
 
+@query(
+    "factor_importances_two",
+    """WITH wide AS (SELECT l_orderkey AS k, sum(l_extendedprice) AS y0, sum(l_quantity) AS a0, avg(l_discount) AS b0 FROM lineitem GROUP BY 1),
+    s AS (SELECT k, (y0 - min(y0) OVER ()) / (max(y0) OVER () - min(y0) OVER ()) AS y, (a0 - min(a0) OVER ()) / (max(a0) OVER () - min(a0) OVER ()) AS a, (b0 - min(b0) OVER ()) / (max(b0) OVER () - min(b0) OVER ()) AS b FROM wide),
+    m AS (SELECT part, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, sum(a * a) - count(*) * avg(a) ** 2 AS aa, sum(b * b) - count(*) * avg(b) ** 2 AS bb, sum(a * b) - count(*) * avg(a) * avg(b) AS ab, sum(a * y) - count(*) * avg(a) * avg(y) AS ay, sum(b * y) - count(*) * avg(b) * avg(y) AS by_, part = 'all' AS ridge
+      FROM (SELECT *, unnest(CASE WHEN k % 4 = 0 THEN ['all'] ELSE ['all', 'learnt'] END) AS part FROM s) GROUP BY part),
+    w AS (SELECT *, (ay * (bb + ridge::INT) - by_ * ab) / ((aa + ridge::INT) * (bb + ridge::INT) - ab * ab) AS wa, (by_ * (aa + ridge::INT) - ay * ab) / ((aa + ridge::INT) * (bb + ridge::INT) - ab * ab) AS wb FROM m),
+    f AS (SELECT abs(wa * (a - ma)) AS fa, abs(wb * (b - mb)) AS fb FROM s, w WHERE part = 'learnt' AND k % 4 = 0 ORDER BY k LIMIT 1),
+    p AS (SELECT abs(wa) AS ra, abs(wb) AS rb, wa * wa * aa AS pa, wb * wb * bb AS pb FROM w WHERE part = 'all'),
+    o AS (SELECT 100 * sum((y - (my + wa * (a - ma) + wb * (b - mb))) ** 2) / sum((y - my) ** 2) AS other FROM s, w WHERE part = 'all')
+    SELECT 'quantity' AS feature, round(100 * ra / (ra + rb), 4) AS ridge, round(100 * fa / (fa + fb), 4) AS shap, round(100 * pa / (pa + pb), 4) AS permutation, NULL::DOUBLE AS other FROM p, f
+    UNION ALL SELECT 'discount', round(100 * rb / (ra + rb), 4), round(100 * fb / (fa + fb), 4), round(100 * pb / (pa + pb), 4), NULL FROM p, f
+    UNION ALL SELECT 'other', NULL, NULL, NULL, round(other, 4) FROM o""",
+)
+def _(spark, d):
+    """Of the price of an order; every fourth order is held out of the attributed fit."""
+    wide = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum("l_extendedprice").alias("price"), F.sum("l_quantity").alias("quantity"), F.avg("l_discount").alias("discount"))
+    out = factors.importances(wide, "price", ["quantity", "discount"], "l_orderkey", test=F.col("l_orderkey") % 4 == 0)
+    return out.select("feature", *(F.round(c, 4).alias(c) for c in ("ridge", "shap", "permutation")), F.when(F.col("feature") == "other", F.round("score", 4)).alias("other"))
+
+
 @query("permuted_column", "WITH s AS (SELECT unnest([1, 2]) AS seed), a AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS i FROM part), b AS (SELECT seed, p_size, row_number() OVER (PARTITION BY seed ORDER BY md5(p_partkey || ':' || seed), p_partkey) AS i FROM part, s) SELECT p_partkey, seed, p_size AS p_p_size FROM a JOIN b USING (i)")
 def _(spark, d):
     return ranking.permuted(table(spark, d, "part").select("p_partkey", "p_size"), "p_partkey", ["p_size"], [1, 2]).drop("p_size")
