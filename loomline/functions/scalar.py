@@ -61,6 +61,19 @@ def loop_percent(unique: Column, total: Column) -> Column:
     return (1 - unique / F.nullif(total, F.lit(0))) * 100
 
 
+def whole_sum(c: Column) -> Column:
+    """The sum of 64-bit integers, exact beyond 64 bits and rounded once to a double; null of none.
+
+    It does not depend on the order of the rows, as a sum of doubles does.
+    """
+    return F.sum(c.cast("decimal(19,0)")).cast("double")
+
+
+def whole_mean(c: Column) -> Column:
+    """The mean of 64-bit integers from their exact sum; null of none."""
+    return whole_sum(c) / F.nullif(F.count(c), F.lit(0))
+
+
 def mape(actual: Column, predicted: Column) -> Column:
     """Mean absolute percentage error over rows with a non-zero actual value."""
     return F.avg(F.abs(actual - predicted) / F.nullif(F.abs(actual), F.lit(0.0)))

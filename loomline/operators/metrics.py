@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, unit_us
+from loomline.functions.scalar import whole_mean, whole_sum
 from loomline.operators.quantiles import exact_quantiles, fits_one_task
 from loomline.sources.scratch import written
 
@@ -22,14 +23,16 @@ TIME = ("total_duration", "mean_duration", "median_duration", "max_duration", "m
 def time_metrics(unit: str = "hour", duration: str = "duration_us") -> dict[str, Column]:
     """Seven statistics of durations in a unit; totals of nothing are 0, the others null.
 
-    The variance is that of seconds, divided by the unit once.
+    The variance is that of seconds, divided by the unit once. Totals are exact: those of some
+    million long events have no place in 64 bits.
     """
     us = float(unit_us(unit))
     d = F.col(duration)
+    total = whole_sum(d)
     seconds = d / 1e6
     return {
-        "total_duration": F.coalesce(F.sum(d), F.lit(0)) / us,
-        "mean_duration": F.avg(d) / us,
+        "total_duration": F.coalesce(total, F.lit(0.0)) / us,
+        "mean_duration": whole_mean(d) / us,
         "median_duration": F.median(d) / us,
         "max_duration": F.max(d) / us,
         "min_duration": F.min(d) / us,

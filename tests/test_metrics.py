@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog, unit_us
 from loomline.operators import metrics
@@ -132,3 +133,20 @@ def test_variant_users_and_fields(log):
     assert out["A", "B", "C"].unique_users == ["u1", "u2", "u3"] and out["A", "B", "C"].unique_users_num == 3 and out["A", "B", "C"]["count"] == 2
     late = log.with_fields(late="case when hour(ts) >= 2 then 'yes' else 'no' end")
     assert {r.late for r in late.df.filter("act = 'C'").collect()} == {"yes"} and late.case == log.case
+
+
+def long_log(spark, n, days, kinds=1):
+    """n cases of two events each, so many days apart, of one user."""
+    start = F.lit("0001-01-01").cast("date").cast("timestamp")
+    df = spark.range(n, numPartitions=4).select(F.col("id").alias("case"), F.explode(F.array(F.lit(0), F.lit(1))).alias("i"))
+    df = df.select("case", F.concat(F.lit("A"), (F.col("case") % kinds).cast("string")).alias("act"), F.timestamp_add("DAY", F.col("i") * F.lit(days), start).alias("ts"), F.lit("u").alias("user"))
+    return EventLog(df, "case", "act", "ts", user="user")
+
+
+@pytest.mark.parametrize("family", ["activity", "transition", "user", "variant"])
+def test_totals_beyond_64_bits(spark, family):
+    """200 durations of 9 000 years are more microseconds than a long holds."""
+    days, n = 3_287_000, 200
+    assert n * days * 86_400_000_000 > 2**63
+    out = metrics.FAMILIES[family](long_log(spark, n, days)).apply().collect()
+    assert [(r.total_duration, r.mean_duration) for r in out] == [(n * days * 24.0, days * 24.0)]
