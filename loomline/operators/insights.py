@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomline.eventlog import EventLog
+from loomline.functions.scalar import whole_mean
 from loomline.operators.factors import moments
 from loomline.operators.quantiles import exact_quantiles
 from loomline.operators.selection import all_regressions
@@ -26,7 +27,7 @@ def ratio_or_one(a: Column, b: Column) -> Column:
 def mean_median_ratio(log: EventLog) -> DataFrame:
     """By activity: mean duration over median duration, 1 where the median is null or 0."""
     base = written(log.base().filter(F.col("activity").isNotNull()).select("activity", "duration_us"), "durations")
-    mean = base.groupBy("activity").agg(F.avg("duration_us").alias("mean"))
+    mean = base.groupBy("activity").agg(whole_mean(F.col("duration_us")).alias("mean"))
     middle = exact_quantiles(base, ["activity"], "duration_us", {"median": 0.5})
     return mean.join(middle, "activity", "left").select("activity", ratio_or_one(F.col("mean"), F.col("median")).alias("mean_median_ratio"))
 
@@ -43,7 +44,7 @@ def _bisect_ratio(base: DataFrame) -> DataFrame:
     first_ts = base.agg(F.min("ts")).scalar()
     span = base.agg(F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts"))).scalar()
     half = F.timestamp_diff("MICROSECOND", first_ts, F.col("ts")) * 2 <= span
-    first, second = F.avg(F.when(half, F.col("duration_us"))), F.avg(F.when(~half, F.col("duration_us")))
+    first, second = whole_mean(F.when(half, F.col("duration_us"))), whole_mean(F.when(~half, F.col("duration_us")))
     return base.groupBy("activity").agg(ratio_or_one(second, first).alias("bisect_ratio"))
 
 
@@ -110,12 +111,12 @@ def insight_table(log: EventLog) -> DataFrame:
     base = written(log.base().filter(F.col("activity").isNotNull()), "insight-rows")
     n, cases = F.count("*"), F.count_distinct("case_id")
     per = base.groupBy("activity").agg(
-        (F.avg("duration_us") / 1e6).alias("mean_time"),
+        (whole_mean(F.col("duration_us")) / 1e6).alias("mean_time"),
         (n / cases).alias("frequency"),
         ((1 - cases / n) * 100).alias("cycles"),
         ((n - cases) / n).alias("duplicates_rate"),
         n.alias("activities_num"),
-        F.avg("duration_us").alias("_mean"),
+        whole_mean(F.col("duration_us")).alias("_mean"),
     )
     parts = exact_quantiles(base, ["activity"], "duration_us", {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75})
     known = base.select("activity", "duration_us").join(parts, "activity")
@@ -131,7 +132,7 @@ def insight_flags(log: EventLog, limits: dict[str, float] | None = None) -> Data
     The default limits are the 75 % point of mean times over activities, growth by 10 %, a
     mean of 1.5 medians and 20 % of repeats.
     """
-    table = insight_table(log)
+    table = written(insight_table(log), "insights")
     limits = {"diff_time": 1.1, "mean_median": 1.5, "cycles": 20.0} | (limits or {})
     given = {m: F.lit(float(limits[m])) for m in LABELS if m in limits}
     given.setdefault("mean_time", F.coalesce(table.agg(F.percentile("mean_time", F.lit(0.75))).scalar(), F.lit(0.0)))
@@ -164,15 +165,16 @@ TEXT_LABELS = {
 def stage_labels(log: EventLog) -> DataFrame:
     """(activity, label) of time and order: STAGE_LABELS over the indicators of each activity.
 
-    slow is the 75 % point of mean times over activities, share the part of cases that hold
-    the activity, case_ratio the mean duration of these cases over that of all.
+    slow is the 75 % point of mean times over activities, often one of these itself, so both
+    come from one written table; share is the part of cases that hold the activity,
+    case_ratio the mean duration of these cases over that of all.
     """
-    table = insight_table(log)
+    table = written(insight_table(log), "insights")
     base = log.base()
     cases = base.groupBy("case_id").agg(F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")).alias("us"))
     held = base.filter(F.col("activity").isNotNull()).select("activity", "case_id").distinct().join(cases, "case_id")
-    n, mean = cases.agg(F.count("*")).scalar(), F.nullif(cases.agg(F.avg("us")).scalar(), F.lit(0.0))
-    per = held.groupBy("activity").agg(F.count("*").alias("_n"), F.avg("us").alias("_us")).select("activity", (F.col("_n") / n).alias("share"), (F.col("_us") / mean).alias("case_ratio"))
+    n, mean = cases.agg(F.count("*")).scalar(), F.nullif(cases.agg(whole_mean(F.col("us"))).scalar(), F.lit(0.0))
+    per = held.groupBy("activity").agg(F.count("*").alias("_n"), whole_mean(F.col("us")).alias("_us")).select("activity", (F.col("_n") / n).alias("share"), (F.col("_us") / mean).alias("case_ratio"))
     table = table.join(per, "activity").withColumn("slow", table.agg(F.percentile("mean_time", F.lit(0.75))).scalar())
     return _labelled(table, STAGE_LABELS)
 

@@ -270,3 +270,22 @@ def test_outliers_by_request(spark):
     ):
         found, answer = outliers.by_request(df, bad)
         assert found is None and answer["response"] == "error" and why in answer["message"]
+
+
+def test_means_are_of_exact_sums(spark):
+    """2**53 + 1 + 1 in doubles is 2**53 from the left, and more in another order."""
+    from loomline.functions.scalar import whole_mean, whole_sum
+
+    for order in ([2**53, 1, 1], [1, 1, 2**53]):
+        r = spark.createDataFrame([(v,) for v in order], "v long").coalesce(1).agg(whole_sum(F.col("v")).alias("s"), whole_mean(F.col("v")).alias("m")).first()
+        assert (r.s, r.m) == (2.0**53 + 2, (2**53 + 2) / 3)
+    assert spark.range(0).agg(whole_mean(F.col("id")).alias("m")).first().m is None
+
+
+def test_mean_times_lose_no_event(spark):
+    """One event of 2**57 microseconds and 4 000 of one each: a sum of doubles loses these after the long one."""
+    df = spark.range(4001, numPartitions=1).select("id", F.lit("a").alias("act"), F.timestamp_micros(F.lit(0)).alias("s"), F.timestamp_micros(F.when(F.col("id") == 0, F.lit(2**57)).otherwise(1)).alias("e"))
+    log = EventLog(df, "id", "act", "s", "e")
+    assert insights.insight_table(log).first().mean_time == float(2**57 + 4000) / 4001 / 1e6
+    # The only activity is the 75 % point itself, and not above it.
+    assert "long stage" not in {r.label for r in insights.stage_labels(log).collect()}
