@@ -7,6 +7,12 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomline.sources.scratch import estimated_bytes
+
+#: Bytes of files, by Spark's estimate, whose rows one task sorts by case; a quarter of a million rows of lineitem or more.
+PART_BYTES = 8 << 20
+#: Estimates of more parts are none: Spark multiplies the sides of a join.
+MOST_PARTS = 20_000
 #: Microseconds in a unit of time.
 UNITS = {"s": 1_000_000, "m": 60_000_000, "h": 3_600_000_000, "d": 86_400_000_000, "w": 604_800_000_000}
 _NAMES = {"second": "s", "minute": "m", "hour": "h", "day": "d", "week": "w"}
@@ -60,6 +66,18 @@ class EventLog:
         """The start column, or the end column where there is no start."""
         return self.start or self.end
 
+    @property
+    def by_case(self) -> DataFrame:
+        """df dealt by case in parts of PART_BYTES of its files, so that what a task sorts is as large for any input.
+
+        What has fewer parts than there are cores, and what has no estimate, is left to Spark to deal.
+        """
+        if self.df.isStreaming:
+            return self.df
+        parts = estimated_bytes(self.df) // PART_BYTES + 1
+        cores = self.df.sparkSession.sparkContext.defaultParallelism
+        return self.df.repartition(parts, self.case) if cores < parts <= MOST_PARTS else self.df
+
     def within_case(self):
         return Window.partitionBy(self.case).orderBy(*self.order)
 
@@ -85,7 +103,7 @@ class EventLog:
         metric families start here and read only these columns.
         """
         null = F.lit(None).cast("string")
-        return self.df.select(
+        return self.by_case.select(
             F.col(self.case).alias("case_id"),
             F.col(self.activity).alias("activity"),
             *((F.col(self.time).alias("ts"),) if self.time else ()),
@@ -111,7 +129,7 @@ class EventLog:
         w = self.within_case()
         same = Window.partitionBy(self.case, self.activity).orderBy(*self.order)
         time = F.col(self.time) if self.time else F.lit(None).cast("timestamp")
-        out = self.df.select(
+        out = self.by_case.select(
             "*",
             F.row_number().over(w).alias("activity_num"),
             F.lead(self.activity).over(w).alias("next_activity"),
@@ -149,7 +167,7 @@ def with_sentinels(log: EventLog) -> DataFrame:
     The first and the last event of a case bring them along, so the log is read once.
     """
     w = log.within_case()
-    base = log.df.select(
+    base = log.by_case.select(
         F.col(log.case).alias("case_id"),
         F.col(log.activity).alias("activity"),
         F.coalesce(log.duration(), F.lit(0)).cast("long").alias("duration_us"),

@@ -45,6 +45,10 @@ def _sets(column: str, name: str) -> dict[str, Column]:
     return {f"unique_{name}": F.sort_array(F.collect_set(column)), f"unique_{name}_num": F.count_distinct(column)}
 
 
+def _cases() -> dict[str, Column]:
+    return {"unique_ids": F.sort_array(F.collect_set("case_id")), "unique_ids_num": F.count_if("new_case")}
+
+
 class Metrics:
     """A family: the rows it groups, their key, and its metrics by name."""
 
@@ -56,7 +60,10 @@ class Metrics:
         self.log, self.unit, self.digits = log, unit, digits
 
     def rows(self) -> DataFrame:
-        return self.log.base().dropna(subset=list(self.key))
+        """With new_case, which marks one row of each case and key: cases of a key are counted where their rows lie."""
+        same = Window.partitionBy("case_id", *self.key).orderBy("activity_num")
+        rows = self.log.base().dropna(subset=list(self.key))
+        return rows.withColumn("new_case", F.col("case_id").isNotNull() & (F.row_number().over(same) == 1))
 
     @cached_property
     def stored(self) -> DataFrame:
@@ -108,7 +115,7 @@ class Metrics:
         """Share of each key's cases that hold any of these activities anywhere."""
         case = Window.partitionBy("case_id")
         hit = self.rows().withColumn("hit", F.max(F.col("activity").isin(activities)).over(case))
-        share = F.count_distinct(F.when(F.col("hit"), F.col("case_id"))) / F.count_distinct("case_id")
+        share = F.count_if(F.col("new_case") & F.col("hit")) / F.nullif(F.count_if("new_case"), F.lit(0))
         return hit.groupBy(*self.key).agg(self._rounded(share).alias("inclusion_rate"))
 
     def success_rate(self, activities: list[str]) -> DataFrame:
@@ -119,11 +126,11 @@ class Metrics:
 
 
 def _per_case(key: str) -> dict[str, Column]:
-    count, cases = F.count(key), F.count_distinct("case_id")
+    count, cases = F.count(key), F.count_if("new_case")
     return {
         "count": count,
-        **_sets("case_id", "ids"),
-        "aver_count_in_trace": count / cases,
+        **_cases(),
+        "aver_count_in_trace": count / F.nullif(cases, F.lit(0)),
         "loop_percent": (1 - cases / count) * 100,
     }
 
@@ -161,6 +168,9 @@ class CaseMetrics(Metrics):
 
     key = ("case_id",)
 
+    def rows(self) -> DataFrame:
+        return self.log.base().dropna(subset=["case_id"])
+
     def columns(self):
         length, kinds = F.count("activity"), F.count_distinct("activity")
         ordered = F.array_sort(F.collect_list(F.struct("activity_num", "activity")))
@@ -196,7 +206,7 @@ class UserMetrics(Metrics):
         return {
             "count": F.count("user"),
             **_sets("activity", "activities"),
-            **_sets("case_id", "ids"),
+            **_cases(),
             "throughput": F.count("user") / F.nullif(time["total_duration"], F.lit(0.0)),
             **time,
         }

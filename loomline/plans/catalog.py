@@ -218,7 +218,7 @@ def _(spark, d):
 def _numbered(spark, d) -> DataFrame:
     """lineitem with the number of each line in its order, and the customer-free sections it has."""
     log = lines(spark, d)
-    return log.df.select("l_orderkey", "l_returnflag", "l_linestatus", "l_extendedprice", F.row_number().over(log.within_case()).alias("num"))
+    return log.by_case.select("l_orderkey", "l_returnflag", "l_linestatus", "l_extendedprice", F.row_number().over(log.within_case()).alias("num"))
 
 
 _NUM = "x AS (SELECT l_orderkey, l_returnflag, l_linestatus, l_extendedprice, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)::INT AS num FROM lineitem)"

@@ -150,3 +150,19 @@ def test_totals_beyond_64_bits(spark, family):
     assert n * days * 86_400_000_000 > 2**63
     out = metrics.FAMILIES[family](long_log(spark, n, days)).apply().collect()
     assert [(r.total_duration, r.mean_duration) for r in out] == [(n * days * 24.0, days * 24.0)]
+
+
+@pytest.mark.parametrize("call", [lambda m, log: m.UserMetrics(log, digits=6).inclusion_rate(["C"]), lambda m, log: m.TransitionMetrics(log, digits=6).inclusion_rate(["A"]), lambda m, log: m.UserMetrics(log, digits=6).apply()])
+def test_dealt_by_case(spark, log, monkeypatch, call):
+    """A log of many parts is dealt in as many, counts its cases there, and gives the same rows."""
+    from loomline import eventlog
+
+    left = sorted(map(str, call(metrics, log).collect()))
+    monkeypatch.setattr(eventlog, "PART_BYTES", 8)
+    monkeypatch.setattr(eventlog, "MOST_PARTS", 10**9)
+    out = call(metrics, EventLog(log.df.limit(99), "case", "act", "ts", user="user"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "distinct case_id" not in plan
+    monkeypatch.undo()
+    monkeypatch.setattr(EventLog, "by_case", property(lambda self: self.df.repartition(7, self.case)))
+    assert sorted(map(str, call(metrics, log).collect())) == left
