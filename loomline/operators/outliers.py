@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomline.operators.quantiles import exact_quantiles
+from loomline.operators.quantiles import exact_quantiles, fits_one_task
+from loomline.sources.scratch import small, written
 
 
 @dataclass(frozen=True)
@@ -35,10 +36,19 @@ def element_at_share(df: DataFrame, keys: list[str], value: str, shares: dict[st
     return exact_quantiles(df, keys, value, shares, interpolated=False)
 
 
+def _measured(df: DataFrame, *columns: str) -> DataFrame:
+    """These columns of df, which is read four times; a large one, that may be costly to make, is written first."""
+    return df if fits_one_task(df) else written(df.select(*dict.fromkeys(columns)), "measured")
+
+
 def _flagged(df: DataFrame, bounds: DataFrame, keys: list[str], value: str, low: Column, high: Column, min_rows: int) -> DataFrame:
-    """Rows outside the bounds of their group, by an inner join on non-null keys."""
+    """Rows outside the bounds of their group, by an inner join on non-null keys.
+
+    Bounds of few groups are broadcast: a shuffle by them would bring a whole group to one task.
+    """
     named = bounds.select(*(F.col(k).alias(f"_b_{k}") for k in keys), low.alias("_low"), high.alias("_high"), "_rows")
     if keys:
+        named = small(written(named, "bounds"))
         joined = df.join(named, [F.col(k) == F.col(f"_b_{k}") for k in keys], "inner")
     else:
         joined = df.withColumns(_one_row(named))
@@ -69,6 +79,7 @@ def _bounds(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]
 def quantile_activity(df: DataFrame, case: str, number: str, activity: str, metric: str, sections: list[str] = (), detector: Detector = Detector(), whole_process: bool = False) -> DataFrame:
     """Events outside the quantile bounds of their activity and sections; with whole_process, their cases."""
     keys = [activity, *sections]
+    df = _measured(df, case, number, *keys, metric)
     bounds = _bounds(df, keys, metric, {"low": detector.lower, "high": detector.upper}, F.count("*"))
     return _result(_flagged(df, bounds, keys, metric, F.col("low"), F.col("high"), detector.min_rows), case, None if whole_process else number)
 
@@ -76,6 +87,7 @@ def quantile_activity(df: DataFrame, case: str, number: str, activity: str, metr
 def iqr_activity(df: DataFrame, case: str, number: str, activity: str, metric: str, sections: list[str] = (), min_rows: int = 30, whole_process: bool = False) -> DataFrame:
     """Events beyond 1.5 interquartile ranges from the quartiles of their activity and sections."""
     keys = [activity, *sections]
+    df = _measured(df, case, number, *keys, metric)
     bounds = _bounds(df, keys, metric, {"q1": 0.25, "q3": 0.75}, F.count("*"))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     return _result(_flagged(df, bounds, keys, metric, F.col("q1") - reach, F.col("q3") + reach, min_rows), case, None if whole_process else number)
@@ -102,6 +114,7 @@ def iqr_case(df: DataFrame, case: str, metric: str, sections: list[str] = (), mi
 def quantile_interpolated(df: DataFrame, case: str, number: str, activity: str, metric: str, sections: list[str] = (), detector: Detector = Detector()) -> DataFrame:
     """As quantile_activity with interpolated quantiles, and groups sized by distinct cases."""
     keys = [activity, *sections]
+    df = _measured(df, case, number, *keys, metric)
     sizes = df.groupBy(*keys).agg(F.count_distinct(case).alias("_rows"))
     bounds = sizes.join(exact_quantiles(df, keys, metric, {"low": detector.lower, "high": detector.upper}), keys, "left")
     return _result(_flagged(df, bounds, keys, metric, F.col("low"), F.col("high"), detector.min_rows), case, number)

@@ -82,9 +82,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str
     inside = F.lit(False)
     for i in many:
         inside = inside | between("_v", i)
-    slices = _same(values, ends, named).select(*named, "_n", "_e", F.when(inside, F.col("_v")).alias("_w"), *((F.col("_v").cast("double") < F.col("_e")[2 * i]).cast("long").alias(f"_u{i}") for i in many))
-    # All values outside of the slices are one row.
-    slices = slices.groupBy(*named, "_w").agg(F.first("_n").alias("_n"), F.first("_e").alias("_e"), F.count(F.lit(1)).alias("_k"), *(F.sum(f"_u{i}").alias(f"_u{i}") for i in many))
+    slices = _same(values, ends, named).select(*named, F.when(inside, F.col("_v")).alias("_w"), *((F.col("_v").cast("double") < F.col("_e")[2 * i]).cast("long").alias(f"_u{i}") for i in many))
+    # All values outside of the slices are one row. The splitters, arrays, would make Spark sort all rows for this; they are joined again.
+    slices = _same(slices.groupBy(*named, "_w").agg(F.count(F.lit(1)).alias("_k"), *(F.sum(f"_u{i}").alias(f"_u{i}") for i in many)), ends, named)
     group = Window.partitionBy(*named)
     upto = group.orderBy("_w").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     held = {i: F.coalesce(between("_w", i), F.lit(False)) for i in many}

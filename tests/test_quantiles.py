@@ -80,3 +80,20 @@ def test_both_ways_agree(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "FEW", 100)
     monkeypatch.setattr(quantiles, "SLACK", 0.02)
     assert all_rows() == one
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_task_holds_a_group(spark, sketched, monkeypatch):
+    """Bounds are broadcast whatever Spark's own threshold, and no aggregation sorts the rows."""
+    df = spark.range(9000).select("id", (F.col("id") % 7).cast("int").alias("num"), F.concat(F.lit("g"), F.col("id") % 3).alias("act"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = outliers.quantile_activity(df, "id", "num", "act", "v")
+        assert "BroadcastHashJoin" in plan(found) and "SortMergeJoin" not in plan(found)
+        assert "SortAggregate" not in plan(quantiles.exact_quantiles(df, ["act"], "v", {"m": 0.5}))
+        assert 0 < found.count() < 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
