@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from loomline.sources.scratch import written
+from loomline.sources.scratch import small, written
+
+#: Rows that are sorted by hash at a time; a task takes some eight such buckets.
+BUCKET_ROWS = 50_000
 
 
 def placed(df: DataFrame, *order: str, name: str = "place") -> DataFrame:
@@ -43,11 +46,21 @@ def permuted(df: DataFrame, key: str, columns: list[str], seeds: list[int]) -> D
 
     The row at place i by key gets those of the row at place i by the MD5 of key and seed:
     a permutation of the rows that follows from the seed. Rows of equal keys are in any order.
+    Hashes spread evenly, so their order is cut into buckets of about BUCKET_ROWS, which
+    are counted and then sorted on their own; the hash is made again where it is needed, as it
+    would be most of what is shuffled.
     """
     own = placed(df, key)
     n = own.count()
+    cut = max(1, -(-n // BUCKET_ROWS))
+    text = F.md5(F.concat_ws(":", F.coalesce(F.col("_key").cast("string"), F.lit("")), "seed"))
+    first = F.conv(F.substring(text, 1, 15), 16, 10).cast("long")
     other = df.select(F.col(key).alias("_key"), *(F.col(c).alias(f"p_{c}") for c in columns), F.explode(F.array(*map(F.lit, seeds))).alias("seed"))
-    other = placed(other.withColumn("_hash", F.md5(F.concat_ws(":", F.coalesce(F.col("_key").cast("string"), F.lit("")), "seed"))), "seed", "_hash", "_key", name="_at")
-    # Each seed has as many rows as df.
-    other = other.select("seed", *(f"p_{c}" for c in columns), (F.col("_at") % max(n, 1)).alias("_at"))
+    other = other.withColumn("_bucket", F.floor(F.shiftright(first, 20) * cut / F.lit(float(1 << 40))).cast("int"))
+    counts = written(other.groupBy("seed", "_bucket").agg(F.count(F.lit(1)).alias("_rows")), "buckets")
+    before = counts.select(F.col("seed").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_rows").over(Window.partitionBy("seed").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    dealt = other.repartition(max(1, -(-n * len(seeds) // (8 * BUCKET_ROWS))), "seed", "_bucket").withColumn("_hash", text)
+    nth = F.row_number().over(Window.partitionBy("seed", "_bucket").orderBy("_hash", "_key", *(f"p_{c}" for c in columns))) - 1
+    dealt = dealt.withColumn("_nth", nth).join(small(before), (F.col("seed") == F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+    other = dealt.select("seed", *(f"p_{c}" for c in columns), (F.col("_before") + F.col("_nth")).alias("_at"))
     return own.join(other, F.col("place") == F.col("_at")).drop("place", "_at")

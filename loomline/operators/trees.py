@@ -182,24 +182,25 @@ def permutation_importance(df: DataFrame, key: str, columns: list[str], target:
     over the seeds 1 to repeats, spread their standard deviation. Nulls count as 0.
     """
     k = len(columns)
-    values = F.array(*(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in (target, *columns)))
-    rows = permuted(df.select(F.col(key).alias("_id"), values.alias("x")), "_id", ["x"], list(range(1, repeats + 1)))
+    values = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"x{i}") for i, c in enumerate((target, *columns))]
+    moved = [f"x{i + 1}" for i in range(k)]
+    rows = permuted(df.select(F.col(key).alias("_id"), *values), "_id", moved, list(range(1, repeats + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((repeats + 1, k))
         n = np.zeros(repeats + 1)
         for batch in batches:
-            seed, x = _arrays(batch, k + 1)
-            other = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, k + 1)
+            seed, *values = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2 * k + 2))
+            x, other = np.column_stack(values[: k + 1]), np.column_stack(values[k + 1 :])
             plain = (x[:, 0] - predict(x[:, 1:])) ** 2
             for i in range(k):
                 mixed = x[:, 1:].copy()
-                mixed[:, i] = other[:, i + 1]
+                mixed[:, i] = other[:, i]
                 total[:, i] += np.bincount(seed, (x[:, 0] - predict(mixed)) ** 2 - plain, minlength=repeats + 1)
             n += np.bincount(seed, minlength=repeats + 1)
         s, i = np.nonzero(np.repeat(n[:, None], k, axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int32)), pa.array([columns[j] for j in i]), pa.array(total[s, i]), pa.array(n[s])], ["seed", "feature", "e", "n"])
 
-    sums = rows.select("seed", "x", "p_x").mapInArrow(run, "seed int, feature string, e double, n double")
+    sums = rows.select("seed", *(f"x{i}" for i in range(k + 1)), *(f"p_{c}" for c in moved)).mapInArrow(run, "seed int, feature string, e double, n double")
     by_seed = sums.groupBy("seed", "feature").agg((F.sum("e") / F.sum("n")).alias("rise"))
     return by_seed.groupBy("feature").agg(F.avg("rise").alias("importance"), F.stddev_pop("rise").alias("spread"))

@@ -110,3 +110,19 @@ def test_shuffles_meet_the_closed_form(spark):
     for i, f in enumerate("abc"):
         want = 2 * w[i] ** 2 * x[:, i].var() + 2 * w[i] * np.cov(left, x[:, i], bias=True)[0, 1]
         assert abs(out[f].importance - want) <= 4 * out[f].spread / np.sqrt(10) + 1e-9, (f, out[f], want)
+
+
+def test_permuted_in_many_buckets(spark, monkeypatch):
+    """The order of whole hashes, cut into buckets; rows times seeds are written nowhere."""
+    import hashlib
+
+    sizes = []
+    real = ranking.written
+    monkeypatch.setattr(ranking, "written", lambda df, name: (lambda out: sizes.append((name, out.count())) or out)(real(df, name)))
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 7, raising=False)
+    keys, seeds = [i * 3 for i in range(60)], [1, 2]
+    df = spark.createDataFrame([(k, float(k)) for k in keys], "k long, v double")
+    got = {(r.k, r.seed): r.p_v for r in ranking.permuted(df, "k", ["v"], seeds).collect()}
+    want = {(k, s): float(o) for s in seeds for k, o in zip(keys, sorted(keys, key=lambda k, s=s: hashlib.md5(f"{k}:{s}".encode()).hexdigest()), strict=True)}
+    assert got == want
+    assert sum(n for name, n in sizes if name == "ranked") == 60
